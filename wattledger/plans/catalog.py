@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,11 @@ from wattledger.operators import (
     windows,
 )
 from wattledger.plans.frames import Frames, presented
+from wattledger.schemas import DIM_CONTRACT, FACT_INVOICE, FACT_METER, MART, Table
 from wattledger.sources import driver_tables
+from wattledger.sources.files import read_csv, scratch_dir, write_csv
+from wattledger.sources.layers import LayerStore
+from wattledger.streaming import intake
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,6 +94,79 @@ def _stale_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return presented(leakage.stale_version_billing(lines, f.tables.contracts))
 
 
+def _through_csv(df: DataFrame, table: Table, spark: SparkSession) -> DataFrame:
+    path = f"{scratch_dir(spark)}/{table.name}.csv"
+    write_csv(df, path)
+    return read_csv(spark, path, table)
+
+
+def _csv_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract dimension, bits included, written as CSV and read back."""
+    return presented(_through_csv(driver_tables.contracts(spark, sf_dir), DIM_CONTRACT, spark))
+
+
+def _csv_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return presented(_through_csv(driver_tables.invoices(spark, sf_dir), FACT_INVOICE, spark))
+
+
+def _store(spark: SparkSession) -> LayerStore:
+    root = scratch_dir(spark)
+    return LayerStore(spark, root, prefix=f"run_{uuid.uuid4().hex[:12]}_", wide=True)
+
+
+def _table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Meter readings appended to their typed table in two loads, the late ones second."""
+    store, meter = _store(spark), driver_tables.meter(spark, sf_dir)
+    store.create([FACT_METER])
+    came_late = F.col("ingested_at").cast("date") > F.col("reading_date")
+    store.append(meter.where(~came_late), FACT_METER)
+    store.append(meter.where(came_late), FACT_METER)
+    return presented(store.read(FACT_METER))
+
+
+def _mart_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart built and written to its month partitions twice; the second run replaces the first."""
+    store, built = _store(spark), Frames.from_dir(spark, sf_dir).mart
+    store.create([MART])
+    store.overwrite(built, MART)
+    store.overwrite(built, MART)
+    return presented(store.read(MART))
+
+
+def _sql_over_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The named views queried as SQL."""
+    Frames.from_dir(spark, sf_dir).register_views()
+    return presented(
+        spark.sql(
+            """
+            SELECT s.month, s.contract_rows, s.contracts_negative_margin, t.total_site_kw, c.total_power_cost
+            FROM v_controls_summary s
+            JOIN v_total_usage_monthly t ON s.month = t.usage_month
+            LEFT JOIN v_power_cost_monthly c ON s.month = c.cost_month
+            """
+        )
+    )
+
+
+def _stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily usage as the stream closes it; days inside the last week of the input are still open."""
+    root = scratch_dir(spark)
+    intake.run_daily_usage(intake.event_stream(spark, sf_dir), f"{root}/daily", f"{root}/state").awaitTermination()
+    return presented(spark.read.schema(intake.DAILY_USAGE).parquet(f"{root}/daily"))
+
+
+def _stream_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly usage kept current by the stream's upsert."""
+    root = scratch_dir(spark)
+    events = intake.event_stream(spark, sf_dir)
+    intake.run_month_upsert(events, f"{root}/log", f"{root}/usage", f"{root}/state").awaitTermination()
+    return presented(
+        spark.read.parquet(f"{root}/usage").select(
+            "contract_id", "contract_version", "usage_month", "total_kw", "avg_daily_kw", "peak_kw"
+        )
+    )
+
+
 # Queries over the composed frames of one directory.
 _PLANS: dict[str, Callable[[Frames], DataFrame]] = {
     # curated
@@ -154,4 +232,13 @@ def queries() -> dict[str, Query]:
     registered = {name: _over_frames(plan) for name, plan in _PLANS.items()}
     registered["variance_root_cause"] = _root_cause
     registered["stale_version_billing"] = _stale_versions
+    # files, tables and views
+    registered["csv_contracts"] = _csv_contracts
+    registered["csv_invoice_lines"] = _csv_invoices
+    registered["table_append_load"] = _table_append
+    registered["mart_partition_overwrite"] = _mart_overwrite
+    registered["sql_over_views"] = _sql_over_views
+    # streams
+    registered["stream_usage_daily"] = _stream_daily
+    registered["stream_usage_monthly"] = _stream_months
     return registered

@@ -63,8 +63,8 @@ _STEPS = {
                 * CASE WHEN v = 2 THEN CAST(1.1 AS DECIMAL(2,1)) ELSE 1 END AS DECIMAL(10,2)) AS power_commit_kw,
            CAST(CAST(180 + s_suppkey % 271 AS DECIMAL(10,2))
                 * CASE WHEN v = 2 THEN CAST(1.05 AS DECIMAL(3,2)) ELSE 1 END AS DECIMAL(10,2)) AS price_per_kw,
-           CASE WHEN s_suppkey % 2 = 0 THEN 'Premium' ELSE 'Standard' END AS sla_tier,
-           s_suppkey % 2 = 0 AS overage_allowed_flag
+           CASE WHEN s_suppkey % 2 = 1 THEN 'Premium' ELSE 'Standard' END AS sla_tier,
+           s_suppkey % 2 = 1 AS overage_allowed_flag
     FROM supplier CROSS JOIN (VALUES (1), (2)) versions(v)
     WHERE v = 1 OR s_suppkey % 5 < 3""",
     "meter_raw": f"""
@@ -194,6 +194,12 @@ _STEPS = {
            sum(CASE WHEN true_up_flag THEN 1 ELSE 0 END) AS contracts_with_trueups,
            sum(CASE WHEN gross_margin < 0 THEN 1 ELSE 0 END) AS contracts_negative_margin
     FROM mart GROUP BY 1""",
+    "event_days": """
+    SELECT CAST(ts AS DATE) AS usage_date, user_id AS contract_id, count(*) AS readings,
+           sum(CAST(value AS DECIMAL(10,2))) AS total_kw, max(CAST(value AS DECIMAL(10,2))) AS peak_kw
+    FROM events
+    WHERE CAST(ts AS DATE) + INTERVAL '1' DAY <= (SELECT max(ts) - INTERVAL '7' DAY FROM events)
+    GROUP BY 1, 2""",
     "meter_backfilled": f"""
     SELECT * FROM (
       SELECT *, row_number() OVER (PARTITION BY contract_id, reading_date
@@ -217,7 +223,7 @@ _INTS = """contract_id contract_version customer_id racks_entitled max_racks_use
     contracts_with_estimated_data contracts_with_trueups contracts_negative_margin gap_days next_version
     stated_version in_force_version billed_version reattributed missing previous_version racks_entitled_change
     over_commit_flag over_racks_flag invoice_id invoice_line_id row_count null_count null_revenue_rows
-    null_cost_rows cnt signed_rows""".split()
+    null_cost_rows cnt signed_rows readings overage_allowed_flag""".split()
 _TEXTS = ["ingested_at", "reprocessed_at"]
 
 
@@ -532,6 +538,35 @@ _QUERIES = {
         """(SELECT count(*) FILTER (WHERE erp_revenue_total IS NULL) AS null_revenue_rows,
              count(*) FILTER (WHERE allocated_power_cost IS NULL) AS null_cost_rows FROM mart) risk""",
     ),
+    "csv_contracts": _emit(
+        """contract_id contract_version customer_id effective_start effective_end racks_entitled power_commit_kw
+        price_per_kw sla_tier overage_allowed_flag""",
+        "dim_contract",
+    ),
+    "csv_invoice_lines": _emit(
+        """invoice_id invoice_line_id posting_date invoice_month contract_id contract_version revenue_type
+        amount""",
+        "invoice",
+    ),
+    "table_append_load": _emit(_METER_COLUMNS, "meter_raw"),
+    "mart_partition_overwrite": _emit(_MART_COLUMNS, "mart"),
+    "sql_over_views": _emit(
+        "month contract_rows contracts_negative_margin total_site_kw total_power_cost",
+        """(SELECT s.*, t.total_site_kw, c.total_power_cost
+      FROM summary s JOIN site t ON s.month = t.usage_month LEFT JOIN cost c ON s.month = c.cost_month) joined""",
+    ),
+    "stream_usage_daily": _emit("usage_date contract_id readings total_kw peak_kw", "event_days"),
+    "stream_usage_monthly": _emit(
+        "contract_id contract_version usage_month total_kw avg_daily_kw peak_kw",
+        """(SELECT user_id AS contract_id, 1 AS contract_version,
+             CAST(date_trunc('month', day) AS DATE) AS usage_month, sum(kw) AS total_kw,
+             CAST(round(avg(kw), 2) AS DECIMAL(12,2)) AS avg_daily_kw, max(kw) AS peak_kw
+      FROM (SELECT user_id, CAST(ts AS DATE) AS day, CAST(value AS DECIMAL(10,2)) AS kw,
+                   row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE)
+                                      ORDER BY ts DESC, CAST(value AS DECIMAL(10,2)) DESC, event_id DESC) AS pos
+            FROM events) ranked
+      WHERE pos = 1 GROUP BY 1, 2, 3) upserted""",
+    ),
     "layer_row_counts": _emit(
         "table_name cnt",
         "("
@@ -556,5 +591,5 @@ def oracle_sql() -> dict[str, str]:
     statements = {}
     for name, body in _QUERIES.items():
         steps = ",\n".join(f"{step} AS ({_STEPS[step]})" for step in _steps_of(body))
-        statements[name] = f"WITH {steps}\n{body}"
+        statements[name] = f"WITH {steps}\n{body}" if steps else body
     return statements

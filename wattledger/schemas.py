@@ -1,7 +1,7 @@
 """Table schemas, declared keys and layer of every table.
 
 Spark does not enforce keys or NOT NULL, so the declarations here feed the checks in
-``operators.integrity``. ``None`` fields are the nullable ones.
+``operators.integrity``. Each field states whether it may be NULL.
 """
 
 from __future__ import annotations
@@ -19,11 +19,15 @@ class Table:
     name: str
     schema: T.StructType
     key: tuple[str, ...]
-    partition_by: tuple[str, ...] = ()
+    # Date column whose month partitions the stored table; None for small tables.
+    dated_by: str | None = None
 
     @property
-    def full_name(self) -> str:
-        return f"{self.layer}.{self.name}"
+    def month_column(self) -> str | None:
+        """Partition column: the date itself where it already is a month, else one derived from it."""
+        if self.dated_by is None or self.dated_by.endswith("month"):
+            return self.dated_by
+        return self.dated_by.removesuffix("_date") + "_month"
 
     @property
     def required(self) -> tuple[str, ...]:
@@ -88,6 +92,7 @@ FACT_METER = Table(
         ("ingested_at", TS, False),
     ),
     ("reading_date", "contract_id", "contract_version"),
+    "reading_date",
 )
 
 FACT_RACK = Table(
@@ -101,6 +106,7 @@ FACT_RACK = Table(
         ("ingested_at", TS, False),
     ),
     ("usage_date", "contract_id", "contract_version"),
+    "usage_date",
 )
 
 FACT_INVOICE = Table(
@@ -117,6 +123,7 @@ FACT_INVOICE = Table(
         ("amount", LINE_AMOUNT, False),
     ),
     ("invoice_id", "invoice_line_id"),
+    "invoice_month",
 )
 
 FACT_COST = Table(
@@ -157,11 +164,74 @@ MART = Table(
         ("true_up_flag", BOOL, True),
     ),
     ("contract_id", "contract_version", "month"),
+    "month",
+)
+
+RECON = Table(
+    "recon",
+    "recon_erp_vs_mart_monthly",
+    _struct(
+        ("month", DATE, True),
+        ("erp_revenue_total", T.DecimalType(38, 2), True),
+        ("mart_revenue_total", T.DecimalType(38, 2), True),
+        ("variance_amount", T.DecimalType(38, 2), True),
+        ("variance_pct", T.DoubleType(), True),
+        ("variance_bucket", STR, True),
+        ("control_status", STR, True),
+        ("last_reconciled_at", T.TimestampType(), True),
+    ),
     ("month",),
 )
 
+USAGE_MONTHLY = Table(
+    "curated",
+    "usage_monthly",
+    _struct(
+        ("contract_id", INT, True),
+        ("contract_version", INT, True),
+        ("usage_month", DATE, True),
+        ("total_kw", USAGE, True),
+        ("avg_daily_kw", USAGE, True),
+        ("peak_kw", USAGE, True),
+        ("late_reading_days", INT, True),
+        ("estimated_days", INT, True),
+    ),
+    ("contract_id", "contract_version", "usage_month"),
+    "usage_month",
+)
+
+RACK_MONTHLY = Table(
+    "curated",
+    "rack_monthly",
+    _struct(
+        ("contract_id", INT, True),
+        ("contract_version", INT, True),
+        ("usage_month", DATE, True),
+        ("avg_racks_used", KW, True),
+        ("max_racks_used", INT, True),
+    ),
+    ("contract_id", "contract_version", "usage_month"),
+    "usage_month",
+)
+
+ERP_REVENUE_MONTHLY = Table(
+    "curated",
+    "erp_revenue_monthly",
+    _struct(
+        ("contract_id", INT, True),
+        ("contract_version", INT, True),
+        ("invoice_month", DATE, True),
+        ("erp_revenue_total", AMOUNT, True),
+        ("erp_mrr", AMOUNT, True),
+        ("erp_overage", AMOUNT, True),
+        ("erp_credits", AMOUNT, True),
+    ),
+    ("contract_id", "contract_version", "invoice_month"),
+    "invoice_month",
+)
+
 SOURCE_TABLES = (DIM_CUSTOMER, DIM_CONTRACT, FACT_METER, FACT_RACK, FACT_INVOICE, FACT_COST)
-ALL_TABLES = (*SOURCE_TABLES, MART)
+ALL_TABLES = (*SOURCE_TABLES, USAGE_MONTHLY, RACK_MONTHLY, ERP_REVENUE_MONTHLY, MART, RECON)
 BY_NAME = {t.name: t for t in ALL_TABLES}
 
 FOREIGN_KEYS = (

@@ -91,8 +91,8 @@ def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(second, (price * F.lit("1.05").cast("decimal(3,2)")).cast("decimal(10,2)"))
             .otherwise(price)
             .alias("price_per_kw"),
-            F.when(key % 2 == 0, "Premium").otherwise("Standard").alias("sla_tier"),
-            (key % 2 == 0).alias("overage_allowed_flag"),
+            F.when(key % 2 == 1, "Premium").otherwise("Standard").alias("sla_tier"),
+            (key % 2 == 1).alias("overage_allowed_flag"),
         )
     )
 
