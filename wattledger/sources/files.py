@@ -63,9 +63,12 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder every executor can reach: under ``spark.checkpoint.dir``, or local on one machine."""
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    return new_folder(spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master)
+
+
+def new_folder(shared: str | None, master: str) -> str:
     if shared:
         return f"{shared.rstrip('/')}/wattledger-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
+    if not master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return os.path.join(tempfile.mkdtemp(prefix="wattledger-"), "scratch")

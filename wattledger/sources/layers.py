@@ -79,7 +79,16 @@ class LayerStore:
         rows.write.option("partitionOverwriteMode", "dynamic").insertInto(self.name(table), overwrite=True)
         if months is not None and month:
             for gone in set(months) - set(seen.get["months"]):
-                self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION ({month} = DATE'{gone}')")
+                self._empty(table, gone)
+
+    def _empty(self, table: Table, month: date) -> None:
+        """Removes a month's files; an overwrite of one named partition does so even without rows."""
+        fields = [f for f in self._stored(table).fields if f.name != table.month_column]
+        columns = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in fields)
+        self.spark.sql(
+            f"INSERT OVERWRITE {self.name(table)} PARTITION ({table.month_column} = DATE'{month}') "
+            f"SELECT {columns} WHERE false"
+        )
 
     def read(self, table: Table, months: Sequence[date] | None = None) -> DataFrame:
         """The declared columns, restricted to whole months by partition pruning."""
