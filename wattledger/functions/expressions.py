@@ -64,6 +64,20 @@ def count_where(condition: Column) -> Column:
     return F.sum(flag(condition))
 
 
+def cents(amount: Column) -> Column:
+    """A two-decimal amount as a whole number of cents."""
+    return (amount * 100).cast("bigint")
+
+
+def sum_cents(amount_in_cents: Column, declared: str) -> Column:
+    """Exact sum of cents as the declared decimal.
+
+    Integer sums stay in fixed-width buffers, where decimal sums of this width build an object per row.
+    Room for 9e16 units is far beyond what the declared types of a contract-month hold.
+    """
+    return (F.sum(amount_in_cents).cast("decimal(20,0)") * F.lit("0.01").cast("decimal(2,2)")).cast(declared)
+
+
 def sum_where(condition: Column, value: Column) -> Column:
     """Sum of the value over matching rows, 0 when none match."""
     return F.sum(F.when(condition, value).otherwise(F.lit(0)))

@@ -6,7 +6,7 @@ third of all rows sends one row per map task and month.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattledger.functions.expressions import (
@@ -15,9 +15,11 @@ from wattledger.functions.expressions import (
     LATE,
     OVERAGE,
     RECURRING,
+    cents,
     count_where,
     month_floor,
     ratio,
+    sum_cents,
     sum_where,
 )
 
@@ -30,7 +32,7 @@ def usage_monthly(effective_meter: DataFrame) -> DataFrame:
     return effective_meter.groupBy(
         "contract_id", "contract_version", month_floor(F.col("reading_date")).alias("usage_month")
     ).agg(
-        F.sum(kw).cast("decimal(12,2)").alias("total_kw"),
+        sum_cents(cents(kw), "decimal(12,2)").alias("total_kw"),
         F.avg(kw).cast("decimal(12,2)").alias("avg_daily_kw"),
         F.max(kw).cast("decimal(12,2)").alias("peak_kw"),
         count_where(status == LATE).cast("int").alias("late_reading_days"),
@@ -66,12 +68,16 @@ def rack_monthly(effective_racks: DataFrame) -> DataFrame:
 
 def erp_revenue_monthly(invoices: DataFrame) -> DataFrame:
     """Billed revenue by kind. Credits are negative amounts and are summed as they are."""
-    kind, amount = F.col("revenue_type"), F.col("amount")
+    kind, amount = F.col("revenue_type"), cents(F.col("amount"))
+
+    def billed(wanted: str) -> Column:
+        return sum_cents(F.when(kind == wanted, amount).otherwise(0), "decimal(14,2)")
+
     return invoices.groupBy("contract_id", "contract_version", "invoice_month").agg(
-        F.sum(amount).cast("decimal(14,2)").alias("erp_revenue_total"),
-        sum_where(kind == RECURRING, amount).cast("decimal(14,2)").alias("erp_mrr"),
-        sum_where(kind == OVERAGE, amount).cast("decimal(14,2)").alias("erp_overage"),
-        sum_where(kind == CREDIT, amount).cast("decimal(14,2)").alias("erp_credits"),
+        sum_cents(amount, "decimal(14,2)").alias("erp_revenue_total"),
+        billed(RECURRING).alias("erp_mrr"),
+        billed(OVERAGE).alias("erp_overage"),
+        billed(CREDIT).alias("erp_credits"),
     )
 
 

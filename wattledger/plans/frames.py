@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattledger.operators import allocation, calendar, dedupe, exceptions, mart, monthly, reconciliation, windows
-from wattledger.sources import driver_tables
-from wattledger.sources.driver_tables import SourceTables
+from wattledger.sources.driver_tables import DerivedTables, SourceTables
 
 
 class Frames:
@@ -19,12 +18,12 @@ class Frames:
     totals of the mart) share their deduplication shuffle, which has the same columns on both sides.
     """
 
-    def __init__(self, tables: SourceTables):
+    def __init__(self, tables: SourceTables | DerivedTables):
         self.tables = tables
 
     @classmethod
     def from_dir(cls, spark: SparkSession, sf_dir: str) -> Frames:
-        return cls(driver_tables.load(spark, sf_dir))
+        return cls(DerivedTables(spark, sf_dir))
 
     @cached_property
     def latest_meter(self) -> DataFrame:

@@ -26,11 +26,11 @@ from wattledger.schemas import (
     RECON,
     USAGE_MONTHLY,
 )
-from wattledger.sources.driver_tables import SourceTables
+from wattledger.sources.driver_tables import DerivedTables, SourceTables
 from wattledger.sources.layers import LayerStore, touched_months
 
 
-def load_sources(store: LayerStore, tables: SourceTables) -> None:
+def load_sources(store: LayerStore, tables: SourceTables | DerivedTables) -> None:
     """First load: dimensions and costs are replaced, facts are appended."""
     store.create()
     store.overwrite(tables.customers, DIM_CUSTOMER)
