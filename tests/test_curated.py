@@ -1,3 +1,5 @@
+from datetime import date, timedelta
+
 from conftest import rows
 
 from pyspark.sql import functions as F
@@ -225,3 +227,21 @@ def test_active_months_and_mrr_without_proration(make):
 def test_amendments_list_changed_terms(make):
     contracts = make("dim_contract", *TWO_VERSIONS, {"contract_id": 102})
     assert rows(windows.amendments(contracts)) == [(101, 2, 1, "2023-04-01", 0, 2.0, 10.0)]
+
+
+def test_eight_contracts_over_two_years(spark, make):
+    """Amendments on month starts leave the calendar whole: 8 x 731 days and 8 x 24 months."""
+    amended = {101: "2024-03-01", 102: "2024-10-01", 104: "2024-09-01"}
+    versions = []
+    for contract in range(101, 109):
+        start = amended.get(contract)
+        first = {"contract_id": contract}
+        if start:
+            versions.append({**first, "contract_version": 2, "effective_start": start})
+            first["effective_end"] = (date.fromisoformat(start) - timedelta(days=1)).isoformat()
+        versions.append(first)
+    contracts = make("dim_contract", *versions)
+    none = make("fact_meter_power_daily", {}).limit(0)
+    assert calendar.missing_readings(none, contracts).count() == 5848
+    assert calendar.active_contract_months(contracts).count() == 192
+    assert {r[0] for r in rows(windows.version_windows(contracts), "window_status")} == {"contiguous", "last"}

@@ -7,9 +7,11 @@ from conftest import rows
 
 from pyspark.sql import functions as F
 
-from wattledger.operators import dedupe, leakage, monthly, windows
+from wattledger.operators import dedupe, integrity, leakage, monthly, windows
 from wattledger.plans import catalog
 from wattledger.plans.frames import Frames
+from wattledger.session import split_hot_keys
+from wattledger.sources import driver_tables
 
 SF_DIR = "/root/testdata/sf0.001"
 WRITES = {
@@ -80,8 +82,9 @@ def test_stored_mart_takes_the_exception_filter(spark, tmp_path):
     assert all(c in pushed for c in ("late_reading_days", "estimated_days", "true_up_flag"))
 
 
-def test_mart_reads_meter_readings_once(spark):
-    """Usage and the site totals share one deduplication shuffle, and their joins add none."""
+def test_mart_reads_meter_readings_once(spark, settings):
+    """Usage and the site totals share one deduplication shuffle, and the monthly joins add none."""
+    settings(spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
     plan = executed(Frames.from_dir(spark, SF_DIR).mart)
     assert len(re.findall(r"ReusedExchange \[[^\]]*contract_id[^\]]*reading_date", plan)) == 1
     assert plan.count("FileScan parquet [l_") == 3  # meter, racks and invoices
@@ -125,3 +128,31 @@ def test_hot_contract_is_split_when_contracts_are_too_many_to_broadcast(spark, s
     assert "skew=true" in executed(stale)
     reattributed = windows.version_in_force(lines, contracts, "invoice_month")
     assert reattributed.where("in_force_version = 1").count() == 60_000
+
+
+def test_hot_order_is_split_though_the_check_groups_by_it(spark, settings, tmp_path):
+    """A third of all lines belong to one order, and orders are too many to broadcast."""
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20KB",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+    )
+    number = F.col("id")
+    order = F.when(number % 3 == 0, 7).otherwise(number % 900)
+    spark.range(0, 60_000, 1, 8).select(
+        order.alias("l_orderkey"), (number % 5).alias("l_partkey"), (number % 50).alias("l_suppkey"),
+        (number % 7).cast("int").alias("l_linenumber"), F.lit(2.0).alias("l_quantity"),
+        F.lit(9.5).alias("l_extendedprice"), F.lit("N").alias("l_returnflag"),
+        F.lit("1996-01-05").cast("timestamp_ntz").alias("l_shipdate"),
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.range(900).select(
+        F.col("id").alias("o_orderkey"), F.lit(5.0).alias("o_totalprice"),
+        F.lit("1996-01-01").cast("timestamp_ntz").alias("o_orderdate"),
+    ).write.parquet(str(tmp_path / "orders.parquet"))
+    split_hot_keys(spark)
+    lines = driver_tables.invoices(spark, str(tmp_path))
+    found = integrity.key_violations(lines, "fact_invoice_line", ("invoice_id", "invoice_line_id"))
+    assert "skew=true" in executed(found)
+    assert found.agg(F.sum("row_count")).collect()[0][0] == 60_000

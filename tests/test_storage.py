@@ -118,6 +118,16 @@ def test_stored_build_equals_the_composed_frames(make, store):
     assert rows(store.read(RECON).drop("last_reconciled_at")) == rows(f.recon.drop("last_reconciled_at"))
 
 
+def test_views_over_the_store_read_stored_months(spark, make, store):
+    warehouse.load_sources(store, two_months(make))
+    warehouse.build(store, stamp())
+    warehouse.StoredFrames(store).register_views()
+    summary = spark.sql("SELECT month, contract_rows FROM v_controls_summary ORDER BY month DESC LIMIT 1")
+    assert rows(summary) == [("2023-02-01", 1)]
+    plan = summary._jdf.queryExecution().optimizedPlan().toString()
+    assert "mart_contract_monthly" in plan and "fact_" not in plan
+
+
 def test_backfill_rebuilds_its_months_and_may_run_again(make, store):
     warehouse.load_sources(store, two_months(make))
     warehouse.build(store, stamp())

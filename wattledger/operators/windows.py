@@ -72,7 +72,11 @@ def reattributed_readings(latest: DataFrame, contracts: DataFrame) -> DataFrame:
 
 
 def version_windows(contracts: DataFrame) -> DataFrame:
-    """Each window with the days to the next version: negative overlaps, positive leaves a gap."""
+    """Each window with the days to the next version: negative overlaps, positive leaves a gap.
+
+    The SQL window holds one contract's versions. Versions take turns, so a contract has at most one per
+    day of its life, however large the fact tables grow.
+    """
     order = W.partitionBy("contract_id").orderBy("contract_version")
     gap = F.col("gap_days")
     return (

@@ -22,6 +22,7 @@ from wattledger.operators import (
 )
 from wattledger.plans.frames import Frames, presented
 from wattledger.schemas import DIM_CONTRACT, FACT_INVOICE, FACT_METER, MART, Table
+from wattledger.session import split_hot_keys
 from wattledger.sources import driver_tables
 from wattledger.sources.files import read_csv, scratch_dir, write_csv
 from wattledger.sources.layers import LayerStore
@@ -228,6 +229,14 @@ def _over_frames(plan: Callable[[Frames], DataFrame]) -> Query:
     return lambda spark, sf_dir: presented(plan(Frames.from_dir(spark, sf_dir)))
 
 
+def _prepared(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        split_hot_keys(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
     registered = {name: _over_frames(plan) for name, plan in _PLANS.items()}
     registered["variance_root_cause"] = _root_cause
@@ -241,4 +250,4 @@ def queries() -> dict[str, Query]:
     # streams
     registered["stream_usage_daily"] = _stream_daily
     registered["stream_usage_monthly"] = _stream_months
-    return registered
+    return {name: _prepared(query) for name, query in registered.items()}

@@ -8,11 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 
 from wattledger.operators import dedupe, monthly, reconciliation, windows
 from wattledger.operators.mart import mart_contract_monthly
+from wattledger.plans.frames import Frames
 from wattledger.schemas import (
     DIM_CONTRACT,
     DIM_CUSTOMER,
@@ -31,7 +33,10 @@ from wattledger.sources.layers import LayerStore, touched_months
 
 
 def load_sources(store: LayerStore, tables: SourceTables | DerivedTables) -> None:
-    """First load: dimensions and costs are replaced, facts are appended."""
+    """First load: dimensions and costs are replaced, facts are appended.
+
+    Only declared columns are stored, so equal arrival times are told apart by the readings' own values.
+    """
     store.create()
     store.overwrite(tables.customers, DIM_CUSTOMER)
     store.overwrite(tables.contracts, DIM_CONTRACT)
@@ -96,3 +101,40 @@ def backfill(store: LayerStore, late_readings: DataFrame, reconciled_at: Column
         build_mart(store, months)
         build_recon(store, reconciled_at)
     return months
+
+
+class StoredFrames(Frames):
+    """The layers as read back from a store: reports and views over it scan stored months, not raw facts."""
+
+    def __init__(self, store: LayerStore):
+        self.store = store
+        super().__init__(
+            SourceTables(
+                customers=store.read(DIM_CUSTOMER),
+                contracts=store.read(DIM_CONTRACT),
+                meter=store.read(FACT_METER),
+                racks=store.read(FACT_RACK),
+                invoices=store.read(FACT_INVOICE),
+                power_cost=store.read(FACT_COST),
+            )
+        )
+
+    @cached_property
+    def usage(self) -> DataFrame:
+        return self.store.read(USAGE_MONTHLY)
+
+    @cached_property
+    def rack_usage(self) -> DataFrame:
+        return self.store.read(RACK_MONTHLY)
+
+    @cached_property
+    def erp_revenue(self) -> DataFrame:
+        return self.store.read(ERP_REVENUE_MONTHLY)
+
+    @cached_property
+    def mart(self) -> DataFrame:
+        return self.store.read(MART)
+
+    @cached_property
+    def recon(self) -> DataFrame:
+        return self.store.read(RECON)
