@@ -110,6 +110,13 @@ def test_usage_counts_a_null_reading_as_a_day_but_not_as_kw(make):
     ]
 
 
+def test_average_of_an_exact_half_cent_rounds_up(make):
+    """1890.07 over 26 days is 72.695 exactly; as a double it lies just below."""
+    days = [{"reading_date": f"2023-01-{d:02d}", "used_kw": "72.70"} for d in range(1, 26)]
+    meter = make("fact_meter_power_daily", *days, {"reading_date": "2023-01-26", "used_kw": "72.57"})
+    assert rows(monthly.usage_monthly(meter), "total_kw", "avg_daily_kw") == [(1890.07, 72.7)]
+
+
 def test_late_and_estimated_share(make):
     meter = make(
         "fact_meter_power_daily",

@@ -78,6 +78,13 @@ def test_allocated_cents_stay_within_rounding_of_the_cost(make):
     assert abs(total - 500) <= 0.01 * 7
 
 
+def test_allocated_half_cent_rounds_up(make):
+    """7 and 193 of 200 kW at 1.00 are exactly 0.035 and 0.965."""
+    meter = ({"used_kw": "7.00"}, {"contract_id": 102, "used_kw": "193.00"})
+    t = tables(make, meter=meter, contracts=PAIR, cost=({"total_power_cost": "1.00"},))
+    assert rows(Frames(t).mart, "contract_id", "allocated_power_cost") == [(101, 0.04), (102, 0.97)]
+
+
 def test_allocation_of_site_totals_beyond_declared_digits(spark, make):
     usage = monthly.usage_monthly(make("fact_meter_power_daily", {}, {"contract_id": 102}))
     cost = make("fact_power_cost_monthly", {}).withColumn(

@@ -26,12 +26,14 @@ def allocated(kw: str, site_kw: str, cost: str):
     """Usage share times cost, divided first, in cents; 0 when the site used nothing.
 
     The inputs are exact decimal sums, so one double division gives the same cents on any partitioning
-    and cannot overflow, as a decimal quotient of site-wide totals would.
+    and cannot overflow, as a decimal quotient of site-wide totals would. Rounding to six digits first
+    takes out the double's own error, so that an exact half cent rounds up.
     """
     share = F.col(kw).cast("double") / F.col(site_kw).cast("double")
     return (
         F.when(F.col(site_kw) == 0, F.lit(0.0))
         .otherwise(share * F.col(cost).cast("double"))
+        .cast("decimal(20,6)")
         .cast("decimal(14,2)")
     )
 

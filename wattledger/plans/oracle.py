@@ -43,10 +43,17 @@ _REASON = """CASE WHEN late_reading_days > 0 THEN 'Late Meter Data'
                   ELSE 'No Flag' END"""
 
 
+def _average(kw: str) -> str:
+    """Average of a decimal with six digits, stored with two. Straight from the double, an exact half cent
+    such as 1890.07 / 26 = 72.695 could fall to either side."""
+    return f"CAST(CAST(avg({kw}) AS DECIMAL(14,6)) AS DECIMAL(12,2))"
+
+
 def _share(kw: str, site: str, cost: str) -> str:
+    """Six digits first, for the same reason as the average."""
     return f"""CASE WHEN {site} = 0 THEN 0
-                    ELSE CAST(round(CAST({kw} AS DOUBLE) / CAST({site} AS DOUBLE) * CAST({cost} AS DOUBLE), 2)
-                              AS DECIMAL(14,2)) END"""
+                    ELSE CAST(CAST(CAST({kw} AS DOUBLE) / CAST({site} AS DOUBLE) * CAST({cost} AS DOUBLE)
+                                   AS DECIMAL(20,6)) AS DECIMAL(14,2)) END"""
 
 
 _STEPS = {
@@ -114,10 +121,10 @@ _STEPS = {
     SELECT r.* FROM rack r JOIN dim_contract c
       ON r.contract_id = c.contract_id AND r.contract_version = c.contract_version
      AND r.usage_date BETWEEN c.effective_start AND c.effective_end""",
-    "usage": """
+    "usage": f"""
     SELECT contract_id, contract_version, CAST(date_trunc('month', reading_date) AS DATE) AS usage_month,
            CAST(sum(used_kw) AS DECIMAL(12,2)) AS total_kw,
-           CAST(round(avg(used_kw), 2) AS DECIMAL(12,2)) AS avg_daily_kw,
+           {_average("used_kw")} AS avg_daily_kw,
            CAST(max(used_kw) AS DECIMAL(12,2)) AS peak_kw,
            count(*) FILTER (WHERE reading_status = 'late') AS late_reading_days,
            count(*) FILTER (WHERE reading_status = 'estimated') AS estimated_days
@@ -558,9 +565,9 @@ _QUERIES = {
     "stream_usage_daily": _emit("usage_date contract_id readings total_kw peak_kw", "event_days"),
     "stream_usage_monthly": _emit(
         "contract_id contract_version usage_month total_kw avg_daily_kw peak_kw",
-        """(SELECT user_id AS contract_id, 1 AS contract_version,
+        f"""(SELECT user_id AS contract_id, 1 AS contract_version,
              CAST(date_trunc('month', day) AS DATE) AS usage_month, sum(kw) AS total_kw,
-             CAST(round(avg(kw), 2) AS DECIMAL(12,2)) AS avg_daily_kw, max(kw) AS peak_kw
+             {_average("kw")} AS avg_daily_kw, max(kw) AS peak_kw
       FROM (SELECT user_id, CAST(ts AS DATE) AS day, CAST(value AS DECIMAL(10,2)) AS kw,
                    row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE)
                                       ORDER BY ts DESC, CAST(value AS DECIMAL(10,2)) DESC, event_id DESC) AS pos
