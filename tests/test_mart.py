@@ -87,13 +87,12 @@ def test_allocated_half_cent_rounds_up(make):
 
 def test_allocation_of_site_totals_beyond_declared_digits(spark, make):
     usage = monthly.usage_monthly(make("fact_meter_power_daily", {}, {"contract_id": 102}))
-    cost = make("fact_power_cost_monthly", {}).withColumn(
-        "total_power_cost", F.lit("300000000000000.00").cast("decimal(20,2)")
+    out = usage.withColumns(
+        {
+            "total_power_cost": F.lit("300000000000000.00").cast("decimal(20,2)"),
+            "total_site_kw": F.lit("1000000000000000.00").cast("decimal(22,2)"),
+        }
     )
-    site = allocation.total_usage_monthly(usage).withColumn(
-        "total_site_kw", F.lit("1000000000000000.00").cast("decimal(22,2)")
-    )
-    out = usage.join(site, "usage_month").crossJoin(cost.select("total_power_cost"))
     out = out.select(allocation.allocated("total_kw", "total_site_kw", "total_power_cost").alias("share"))
     assert rows(out) == [(3.0,), (3.0,)]
 

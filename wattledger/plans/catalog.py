@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattledger.functions.expressions import customer_label
 from wattledger.operators import (
     allocation,
     calendar,
@@ -181,6 +182,9 @@ _PLANS: dict[str, Callable[[Frames], DataFrame]] = {
     "lateness_class": lambda f: calendar.lateness_classes(f.effective_meter, f.tables.contracts),
     "backfill_merge": _backfill,
     "surrogate_keys": lambda f: dedupe.with_surrogate_keys(f.tables.contracts),
+    "customer_labels": lambda f: f.tables.customers.select(
+        "customer_id", customer_label(F.col("customer_id")).alias("customer_label"), "industry"
+    ),
     "active_contract_months": lambda f: calendar.active_contract_months(f.tables.contracts).select(
         "contract_id", "contract_version", "customer_id", "month"
     ),

@@ -72,8 +72,7 @@ _STEPS = {
                 * CASE WHEN v = 2 THEN CAST(1.05 AS DECIMAL(3,2)) ELSE 1 END AS DECIMAL(10,2)) AS price_per_kw,
            CASE WHEN s_suppkey % 2 = 1 THEN 'Premium' ELSE 'Standard' END AS sla_tier,
            s_suppkey % 2 = 1 AS overage_allowed_flag
-    FROM supplier CROSS JOIN (VALUES (1), (2)) versions(v)
-    WHERE v = 1 OR s_suppkey % 5 < 3""",
+    FROM supplier JOIN (VALUES (1), (2)) versions(v) ON v = 1 OR s_suppkey % 5 < 3""",
     "meter_raw": f"""
     SELECT CAST(l_shipdate AS DATE) AS reading_date, l_suppkey AS contract_id,
            CASE WHEN l_partkey % 33 = 0 THEN 3 - ({_SHIPPED}) ELSE {_SHIPPED} END AS contract_version,
@@ -363,6 +362,8 @@ _QUERIES = {
         """(SELECT *, md5(concat_ws('|', contract_id, contract_version)) AS contract_key,
              md5(CAST(customer_id AS VARCHAR)) AS customer_key FROM dim_contract) keyed""",
     ),
+    "customer_labels": """SELECT customer_id, printf('Customer_%02d', customer_id) AS customer_label, industry
+    FROM dim_customer""",
     "active_contract_months": _emit("contract_id contract_version customer_id month", "active_months"),
     "usage_monthly": _emit(
         """contract_id contract_version usage_month total_kw avg_daily_kw peak_kw late_reading_days

@@ -27,7 +27,8 @@ def conform(df: DataFrame, table: Table, wide: bool = False) -> DataFrame:
 
     def typed(field: T.StructField):
         if isinstance(field.dataType, T.TimestampNTZType):
-            return F.date_trunc("second", field.name).cast("timestamp_ntz").alias(field.name)
+            # As text: date_trunc would pass through the session's time zone and its clock changes.
+            return F.substring(F.col(field.name).cast("string"), 1, 19).cast("timestamp_ntz").alias(field.name)
         return F.col(field.name).cast(stored_type(field, wide)).alias(field.name)
 
     return df.select(*[typed(f) for f in table.schema.fields])
