@@ -33,7 +33,8 @@ from wattledger.sources.layers import LayerStore, touched_months
 
 
 def load_sources(store: LayerStore, tables: SourceTables | DerivedTables) -> None:
-    """First load: dimensions and costs are replaced, facts are appended.
+    """First load. It replaces what it writes, so a load that failed half way is simply run again; appending
+    invoice lines twice would bill them twice.
 
     Only declared columns are stored, so equal arrival times are told apart by the readings' own values.
     """
@@ -41,9 +42,9 @@ def load_sources(store: LayerStore, tables: SourceTables | DerivedTables) -> Non
     store.overwrite(tables.customers, DIM_CUSTOMER)
     store.overwrite(tables.contracts, DIM_CONTRACT)
     store.overwrite(tables.power_cost, FACT_COST)
-    store.append(tables.meter, FACT_METER)
-    store.append(tables.racks, FACT_RACK)
-    store.append(tables.invoices, FACT_INVOICE)
+    store.overwrite(tables.meter, FACT_METER)
+    store.overwrite(tables.racks, FACT_RACK)
+    store.overwrite(tables.invoices, FACT_INVOICE)
 
 
 def build_usage(store: LayerStore, months: Sequence[date] | None = None) -> None:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,7 +74,7 @@ def intake(
 
     State holds one entry per key for the length of the window and is evicted after it. Readings later
     than that are dropped here, so their days stay missing and the calendar reports them as estimated.
-    The watermark needs a timestamp with time zone; the session runs in UTC.
+    The watermark needs a timestamp with time zone: build this under UTC, as ``run_daily_usage`` does.
     """
     return (
         readings.withColumn("reading_ts", F.col("ingested_at").cast("timestamp"))
@@ -98,17 +99,29 @@ def daily_usage(accepted: DataFrame) -> DataFrame:
     )
 
 
+@contextmanager
+def _utc(spark: SparkSession) -> Iterator[None]:
+    """Days are UTC days whatever the session's zone; a stream keeps the zone it was started under."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def run_daily_usage(events: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Starts the daily usage stream over whatever input is there and ends when it is used up."""
-    return (
-        daily_usage(intake(as_readings(events)))
-        .writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    with _utc(events.sparkSession):
+        return (
+            daily_usage(intake(as_readings(events)))
+            .writeStream.outputMode("append")
+            .format("parquet")
+            .option("path", out)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
 
 
 class MonthUpsert:
