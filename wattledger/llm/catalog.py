@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattledger.llm import line_dedup, sharding
+from wattledger.llm import bpe, line_dedup, sharding
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": line_dedup.op1_line_dedup,
+        "op7_bpe": bpe.op7_bpe,
         "op9_sharding": sharding.op9_sharding,
     }
 
