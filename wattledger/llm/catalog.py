@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattledger.llm import bpe, line_dedup, sharding
+from wattledger.llm import bpe, line_dedup, sharding, token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": line_dedup.op1_line_dedup,
         "op7_bpe": bpe.op7_bpe,
+        "op8_token_counts": token_counts.op8_token_counts,
         "op9_sharding": sharding.op9_sharding,
     }
 
