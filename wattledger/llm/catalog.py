@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattledger.llm import bpe, line_dedup, sharding, token_counts
+from wattledger.llm import bpe, decontamination, line_dedup, sharding, token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,8 +15,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_bpe": bpe.op7_bpe,
         "op8_token_counts": token_counts.op8_token_counts,
         "op9_sharding": sharding.op9_sharding,
+        "op10_decontamination": decontamination.op10_decontamination,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": line_dedup.ORACLE}
+    return {"op1_line_dedup": line_dedup.ORACLE, "op10_decontamination": decontamination.ORACLE}
