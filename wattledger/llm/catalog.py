@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattledger.llm import bpe, decontamination, line_dedup, near_dedup, sharding, token_counts
+from wattledger.llm import bpe, decontamination, line_dedup, near_dedup, quality, sharding, token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": line_dedup.op1_line_dedup,
         "op2_near_dedup": near_dedup.op2_near_dedup,
+        "op3_quality": quality.op3_quality,
         "op7_bpe": bpe.op7_bpe,
         "op8_token_counts": token_counts.op8_token_counts,
         "op9_sharding": sharding.op9_sharding,
