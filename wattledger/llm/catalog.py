@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattledger.llm import bpe, decontamination, html_extract, line_dedup, near_dedup, quality, sharding, token_counts
+from wattledger.llm import bpe, decontamination, html_extract, line_dedup, near_dedup, quality, sharding, suffix_dedup, token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_line_dedup": line_dedup.op1_line_dedup,
         "op2_near_dedup": near_dedup.op2_near_dedup,
         "op3_quality": quality.op3_quality,
+        "op4_suffix_dedup": suffix_dedup.op4_suffix_dedup,
         "op6_html_extraction": html_extract.op6_html_extraction,
         "op7_bpe": bpe.op7_bpe,
         "op8_token_counts": token_counts.op8_token_counts,
