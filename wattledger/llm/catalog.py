@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattledger.llm import bpe, decontamination, html_extract, line_dedup, near_dedup, quality, sharding, suffix_dedup, token_counts
+from wattledger.llm import (
+    bpe,
+    decontamination,
+    html_extract,
+    line_dedup,
+    near_dedup,
+    neighbours,
+    quality,
+    sharding,
+    suffix_dedup,
+    token_counts,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +26,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_near_dedup": near_dedup.op2_near_dedup,
         "op3_quality": quality.op3_quality,
         "op4_suffix_dedup": suffix_dedup.op4_suffix_dedup,
+        "op5_neighbours": neighbours.op5_neighbours,
         "op6_html_extraction": html_extract.op6_html_extraction,
         "op7_bpe": bpe.op7_bpe,
         "op8_token_counts": token_counts.op8_token_counts,

@@ -169,7 +169,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, chunks: int
     return train(samples, {y: share[y] * len(samples) / have[y] for y in (0, 1)})
 
 
-def _score(network: Network):
+def _score(network: Network, score_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores: list[float] = []
@@ -184,21 +184,21 @@ def _score(network: Network):
             if held:
                 scores += network.scores(held)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(scores, pa.float64())], names=[*batch.schema.names[:-1], "score"]
+                [*batch.columns[:-1], pa.array(scores, pa.float64())], names=[*batch.schema.names[:-1], score_col]
             )
 
     return run
 
 
-def score(docs: DataFrame, network: Network, text_col: str = "text") -> DataFrame:
-    """The rows without the text and with ``score`` (replacing a column of that name), from 0 to 1.
+def score(docs: DataFrame, network: Network, text_col: str = "text", score_col: str = "score") -> DataFrame:
+    """The rows without the text and with ``score_col`` (replacing a column of that name), from 0 to 1.
 
     Only the text is read. All of it is, in chunks of 256 bytes that overlap by half. Null and empty texts
     score as one empty chunk does. Nothing is shuffled.
     """
-    kept = [c for c in docs.columns if c not in (text_col, "score")]
+    kept = [c for c in docs.columns if c not in (text_col, score_col)]
     base = docs.select(*kept, F.col(text_col).cast("string").alias("__text"))
-    return base.mapInArrow(_score(network), base.drop("__text").schema.add("score", "double"))
+    return base.mapInArrow(_score(network, score_col), base.drop("__text").schema.add(score_col, "double"))
 
 
 def held_out(doc_id: Column) -> Column:
