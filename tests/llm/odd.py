@@ -3,15 +3,12 @@
 from __future__ import annotations
 
 import random
-import sys
 from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
-sys.path[:0] = [str(Path(__file__).parent)]
-
 #: Names the operators use inside; tables may have columns of these names as well.
 CLASHING = (
     "id row a b n fp score label ids n_tokens decoded shard slot size asked vector block bucket words node value blob zone "

@@ -10,7 +10,7 @@ import brute
 import public_tokenizers
 import pytest
 import tiktoken
-from conftest import odd_tables
+from odd import documents, empty_dir, odd_dir, odd_tables  # noqa: F401 (fixtures)
 from tokenizers import Tokenizer
 
 import corpus_pipeline
