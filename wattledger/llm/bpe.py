@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -13,13 +14,14 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from wattledger.llm._shared import table
 from wattledger.sources.files import scratch_dir
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-BLOCK_CHARS = 32_000_000
+BLOCK_CHARS = 16_000_000
 SEGMENT_CHARS = 500_000
 BATCH_BYTES = 4_000_000
 
@@ -54,23 +56,43 @@ def segments(text: str, size: int = SEGMENT_CHARS) -> Iterator[str]:
     yield text[at:]
 
 
-def _word_blocks(pattern: str, block_chars: int):
-    """One row for each block of texts: its distinct words, and of each text the places in that list."""
+def _pack_places(places: np.ndarray) -> bytes:
+    """Compressed by byte planes, as the high bytes hardly ever change."""
+    return zstandard.compress(places.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 3)
+
+
+def _unpack_places(packed: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
+
+
+def _word_blocks(pattern: str, block_chars: int, buckets: int):
+    """One row for each block of texts: its distinct words by bucket, and of each text the places in that list."""
+    listed = pa.list_(pa.struct([("bucket", pa.int32()), ("words", pa.binary()), ("places", pa.binary())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, pack = regex.compile(pattern).findall, zstandard.ZstdCompressor(level=3).compress
+        split = regex.compile(pattern).findall
         task, block, row = TaskContext.get().partitionId() << 32, 0, 0
         words: dict[str, int] = {}
         rows: list[dict] = []
         chars = 0
 
         def flush() -> pa.RecordBatch:
+            encoded = [w.encode() for w in words]
+            bucket = np.array([crc32(w) % buckets for w in encoded])
+            order = np.argsort(bucket, kind="stable")
+            parts = np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else []
+            dealt = [
+                {
+                    "bucket": int(bucket[part[0]]),
+                    "words": zstandard.compress(
+                        np.array([len(encoded[j]) for j in part], "<u4").tobytes() + b"".join(encoded[j] for j in part), 3
+                    ),
+                    "places": _pack_places(np.diff(part, prepend=0)),
+                }
+                for part in parts
+            ]
             return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([task + block], pa.int64()),
-                    pa.array([list(words)], pa.list_(pa.string())),
-                    pa.array([rows], pa.list_(stored_row)),
-                ],
+                [pa.array([task + block], pa.int64()), pa.array([dealt], listed), pa.array([rows], pa.list_(stored_row))],
                 names=["block", "words", "texts"],
             )
 
@@ -87,14 +109,7 @@ def _word_blocks(pattern: str, block_chars: int):
                     places = np.array([words.setdefault(w, len(words)) for w in split(part)], np.uint32)
                     following = next(parts, None)
                     rows.append(
-                        {
-                            "id": ids[i].as_py(),
-                            "row": task + row,
-                            "piece": piece,
-                            "last": following is None,
-                            # By byte planes, as the high bytes hardly ever change.
-                            "places": pack(places.view(np.uint8).reshape(-1, 4).T.tobytes()),
-                        }
+                        {"id": ids[i].as_py(), "row": task + row, "piece": piece, "last": following is None, "places": _pack_places(places)}
                     )
                     chars += len(part) + 40
                     if chars >= block_chars:
@@ -109,32 +124,28 @@ def _word_blocks(pattern: str, block_chars: int):
 
 
 def _encode_words(path: str, pattern: str):
-    """Words with the places that hold them become, by block, places with their ids."""
+    """A block's words of one bucket become their numbers of tokens and their ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, _ = load(path, pattern)
-        known: dict[str, bytes] = {}
+        known: dict[bytes, tuple[int, bytes]] = {}
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            words = batch.column(0).to_pylist()
-            new = list({w for w in words if w not in known})
-            if len(known) > 500_000:
-                known, new = {}, list(set(words))
-            for word, ids in zip(new, encoder.encode_ordinary_batch(new, num_threads=1), strict=True):
-                known[word] = np.array(ids, "<u4").tobytes()
-            encoded = [known[w] for w in words]
-            blocks, places = batch.column(1).to_numpy(), batch.column(2).to_numpy().astype("<u4")
-            counts = np.array([len(e) // 4 for e in encoded], "<u4")
-            order = np.lexsort((places, blocks))
-            cuts = np.flatnonzero(np.diff(blocks[order])) + 1
-            out = []
-            for part in np.split(order, cuts):
-                out.append((blocks[part[0]], places[part].tobytes(), counts[part].tobytes(), b"".join(encoded[j] for j in part)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([o[0] for o in out], pa.int64()), *[pa.array([o[k] for o in out], pa.binary()) for k in (1, 2, 3)]],
-                names=["block", "places", "counts", "ids"],
-            )
+            for i in range(batch.num_rows):
+                packed, n = zstandard.decompress(batch.column(1)[i].as_py()), len(_unpack_places(batch.column(2)[i].as_py()))
+                ends = np.cumsum(np.frombuffer(packed, "<u4", n)) + 4 * n
+                words = [packed[a:b] for a, b in zip([4 * n, *ends[:-1]], ends, strict=True)]
+                if len(known) > 500_000:
+                    known.clear()
+                new = [w for w in words if w not in known]
+                for word, ids in zip(new, encoder.encode_ordinary_batch([w.decode() for w in new], num_threads=1), strict=True):
+                    known[word] = len(ids), np.array(ids, "<u4").tobytes()
+                counts = np.array([known[w][0] for w in words], np.uint32)
+                ids = np.frombuffer(b"".join(known[w][1] for w in words), "<u4")
+                row = [batch.column(0)[i].as_py(), batch.column(2)[i].as_py(), _pack_places(counts), _pack_places(ids)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([v], t) for v, t in zip(row, [pa.int64(), *[pa.binary()] * 3], strict=True)],
+                    names=["block", "places", "counts", "ids"],
+                )
 
     return run
 
@@ -144,26 +155,25 @@ def _reassemble(path: str, pattern: str, id_kind: pa.DataType):
 
     def run(texts: pa.Table, words: pa.Table) -> pa.Table:
         _, token_bytes = load(path, pattern)
-        unpack = zstandard.ZstdDecompressor().decompress
-        join = lambda column, kind: np.frombuffer(b"".join(words.column(column).to_pylist()), kind)
-        places, counts, flat = join("places", "<u4"), join("counts", "<u4").astype(np.int64), join("ids", "<u4")
-        starts = np.cumsum(counts) - counts
+        join = lambda column, of: np.concatenate([np.zeros(0, np.uint32), *map(of, words.column(column).to_pylist())])
+        places = join("places", lambda v: np.cumsum(_unpack_places(v), dtype=np.uint32))
+        counts, flat = join("counts", _unpack_places).astype(np.int64), join("ids", _unpack_places)
         start_of, count_of = np.zeros(len(places), np.int64), np.zeros(len(places), np.int64)
-        start_of[places], count_of[places] = starts, counts
+        start_of[places], count_of[places] = np.cumsum(counts) - counts, counts
         batches, out, size = [], {n: [] for n in ("id", "row", "piece", "last", "n_tokens", "ids", "decoded")}, 0
         kinds = [id_kind, pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.binary(), pa.binary()]
 
         def flush() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True)], names=list(out))
 
-        for held in texts.column("texts").to_pylist():
+        for held in texts.column("texts"):
             for text in held:
-                at = np.frombuffer(unpack(text["places"]), np.uint8).reshape(4, -1).T.copy().view(np.uint32).ravel()
+                at = _unpack_places(text["places"].as_py())
                 n = count_of[at]
                 ends = np.cumsum(n)
                 ids = flat[np.repeat(start_of[at] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
                 decoded = b"".join(map(token_bytes.__getitem__, ids.tolist()))
-                row = (text["id"], text["row"], text["piece"], text["last"], len(ids), ids.tobytes(), decoded)
+                row = [*(text[c].as_py() for c in ("id", "row", "piece", "last")), len(ids), ids.tobytes(), decoded]
                 for column, value in zip(out.values(), row, strict=True):
                     column.append(value)
                 size += 4 * len(ids) + len(decoded)
@@ -176,6 +186,10 @@ def _reassemble(path: str, pattern: str, id_kind: pa.DataType):
     return run
 
 
+def _struct(fields: list[tuple[str, T.DataType]]) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields])
+
+
 def encode(
     docs: DataFrame,
     vocabulary: str,
@@ -192,28 +206,32 @@ def encode(
     is encoded by itself.
 
     The words of a block of texts are listed once, and a text is the list of its words' places. All
-    blocks' words are shuffled by word, so a word is encoded in one task for the whole corpus, and go back
-    to their block, where each text is put together by position and decoded through the token-byte table.
-    A common word costs one row for each block, not one for each occurrence. Blocks are stored in buckets:
-    the lists of places, most of the volume, are not shuffled. A text larger than a block is cut between
-    words and its parts are joined at the end.
+    blocks' words are shuffled by a hash of the word, those of one block and hash bucket packed together,
+    so a word is encoded in one task for the whole corpus. The ids go back to the block, where each text
+    is put together by position and decoded through the token-byte table. A common word is shuffled once
+    for each block, not for each occurrence. Blocks are stored bucketed by their number: the lists of
+    places, most of the volume, are not shuffled. A text larger than a block is cut between words and its
+    parts are joined at the end.
     """
     spark = docs.sparkSession
-    id_type = docs.schema[id_col].dataType.simpleString()
-    one = f"struct<id:{id_type},row:bigint,piece:int,last:boolean,places:binary>"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    id_type = docs.schema[id_col].dataType
+    numbers = [("row", T.LongType()), ("piece", T.IntegerType()), ("last", T.BooleanType())]
+    text = _struct([("id", id_type), *numbers, ("places", T.BinaryType())])
+    dealt = _struct([("bucket", T.IntegerType()), ("words", T.BinaryType()), ("places", T.BinaryType())])
     blocks = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        _word_blocks(pattern, block_chars), f"block bigint, words array<string>, texts array<{one}>"
+        _word_blocks(pattern, block_chars, 2 * buckets),
+        _struct([("block", T.LongType()), ("words", T.ArrayType(dealt)), ("texts", T.ArrayType(text))]),
     )
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"wattledger_words_{uuid.uuid4().hex}"
     path = scratch_dir(spark)
     writer = blocks.write.bucketBy(buckets, "block").option("compression", "zstd").option("path", path)
     writer.format("parquet").saveAsTable(name)
     listed = spark.table(name)
     words = (
-        listed.select("block", F.posexplode("words").alias("place", "word"))
-        .select("word", "block", "place")
-        .repartition("word")
+        listed.select("block", F.inline("words"))
+        .repartition("bucket")
+        .select("block", "words", "places")
         .mapInArrow(_encode_words(vocabulary, pattern), "block bigint, places binary, counts binary, ids binary")
     )
     pieces = (
@@ -221,8 +239,8 @@ def encode(
         .groupBy("block")
         .cogroup(words.groupBy("block"))
         .applyInArrow(
-            _reassemble(vocabulary, pattern, to_arrow_type(docs.schema[id_col].dataType)),
-            f"id {id_type}, row bigint, piece int, last boolean, n_tokens bigint, ids binary, decoded binary",
+            _reassemble(vocabulary, pattern, to_arrow_type(id_type)),
+            _struct([("id", id_type), *numbers, ("n_tokens", T.LongType()), ("ids", T.BinaryType()), ("decoded", T.BinaryType())]),
         )
     )
     whole = pieces.where("piece = 0 AND last").select("id", "n_tokens", "ids", "decoded")
