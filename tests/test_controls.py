@@ -87,11 +87,27 @@ def test_variance_view_keeps_both_true_up_columns(make):
     assert rows(out, "late_flag", "estimated_flag", "true_up_flag", "true_up_flag2") == [(1, 1, True, 1)]
 
 
-def test_signoff_leaves_estimated_months_out(make):
-    m = flagged(make)
-    assert rows(exceptions.signoff_set(m), "contract_id", "month") == [(103, "2023-01-01"), (103, "2023-02-01")]
-    shares = exceptions.signoff_share(m)
-    assert rows(shares, "month", "contract_rows", "signed_rows", "signed_kw_share")[0] == ("2023-01-01", 3, 1, 0.25)
+def test_signoff_needs_a_reading_in_time_for_every_day(make):
+    """Contract 101 has all of January; 102 misses a day, 103 has one late beyond the window, 104 one estimated."""
+    days = [f"2023-01-{d:02d}" for d in range(1, 32)]
+    readings = [
+        {"contract_id": c, "reading_date": d, "ingested_at": f"{d} 06:00:00"}
+        for c in (101, 102, 103, 104) for d in days if not (c == 102 and d == days[4])
+    ]
+    for r in readings:
+        if r["contract_id"] == 103 and r["reading_date"] == days[9]:
+            r["ingested_at"] = "2023-01-18 06:00:00"
+        if r["contract_id"] == 104 and r["reading_date"] == days[9]:
+            r["reading_status"] = "estimated"
+        if r["contract_id"] == 101 and r["reading_date"] == days[9]:
+            r["ingested_at"] = "2023-01-17 06:00:00"
+    contracts = [{"contract_id": c, "effective_end": "2023-01-31"} for c in (101, 102, 103, 104)]
+    f = Frames(tables(make, meter=readings, contracts=contracts))
+    assert rows(exceptions.signoff_set(f.mart, f.lateness), "contract_id", "month") == [(101, "2023-01-01")]
+    open_days = exceptions.open_days(f.lateness).where("missing_days + overdue_days > 0")
+    assert rows(open_days, "contract_id", "missing_days", "overdue_days") == [(102, 1, 0), (103, 0, 1)]
+    shares = exceptions.signoff_share(f.mart, f.lateness)
+    assert rows(shares, "month", "contract_rows", "signed_rows", "signed_kw") == [("2023-01-01", 4, 1, 310.0)]
 
 
 def test_top_rows_are_latest_first(make):
@@ -169,7 +185,7 @@ def test_unbilled_spike_needs_permission_and_no_overage(make):
         contracts=contracts,
         invoices=({"contract_id": 103, "revenue_type": "overage", "amount": "9.00"},),
     )
-    assert rows(leakage.unbilled_spikes(Frames(t).mart, t.contracts), "contract_id", "kw_over_commit") == [(101, 0.01)]
+    assert rows(leakage.unbilled_spikes(Frames(t).usage, Frames(t).erp_revenue, t.contracts), "contract_id", "kw_over_commit") == [(101, 0.01)]
 
 
 def test_billing_under_a_version_no_longer_in_force(make):
@@ -186,7 +202,27 @@ def test_billing_under_a_version_no_longer_in_force(make):
         {"invoice_id": 4, "invoice_month": "2022-04-01"},
     )
     out = leakage.stale_version_billing(lines, contracts)
-    assert rows(out, "invoice_id", "billed_version", "in_force_version") == [(2, 1, 2)]
+    assert rows(out, "invoice_id", "billed_version", "in_force_version", "stale_reason") == [
+        (2, 1, 2, leakage.OTHER_VERSION),
+        (4, 1, None, leakage.NO_VERSION),
+    ]
+
+
+def test_both_versions_may_be_billed_in_the_month_of_an_amendment(make):
+    contracts = make(
+        "dim_contract",
+        {"effective_end": "2023-04-14"},
+        {"contract_version": 2, "effective_start": "2023-04-15"},
+    )
+    lines = make(
+        "fact_invoice_line",
+        {"invoice_month": "2023-04-01"},
+        {"invoice_id": 2, "invoice_month": "2023-04-01", "contract_version": 2},
+        {"invoice_id": 3, "invoice_month": "2023-05-01"},
+        {"invoice_id": 4, "invoice_month": "2023-03-01", "contract_version": 2},
+    )
+    out = leakage.stale_version_billing(lines, contracts)
+    assert rows(out, "invoice_id", "billed_version", "in_force_version") == [(3, 1, 2), (4, 2, 1)]
 
 
 def test_overage_without_permission(make):

@@ -4,6 +4,7 @@ from conftest import rows
 
 from pyspark.sql import functions as F
 
+from wattledger.functions.expressions import surrogate_key
 from wattledger.operators import calendar, dedupe, monthly, windows
 
 TWO_VERSIONS = (
@@ -215,13 +216,42 @@ def test_backfill_replaces_only_what_arrived_later(make):
     assert rows(again, "reading_date", "used_kw") == [e[:2] for e in expected]
 
 
+def test_overlapping_windows_give_every_reading_one_version(make):
+    contracts = make(
+        "dim_contract",
+        {"effective_end": "2023-12-31"},
+        {"contract_version": 2, "effective_start": "2023-06-01", "effective_end": "2023-12-31"},
+        {"contract_version": 3, "effective_start": "2023-03-01", "effective_end": "2023-09-30"},
+    )
+    meter = make("fact_meter_power_daily", *[{"reading_date": f"2023-{m:02d}-10"} for m in (1, 4, 7, 11)])
+    out = windows.reattributed_readings(meter, contracts)
+    assert rows(out, "reading_date", "in_force_version") == [
+        ("2023-01-10", 1), ("2023-04-10", 3), ("2023-07-10", 3), ("2023-11-10", None),
+    ]
+
+
 def test_surrogate_keys_are_unique_and_stable(make):
     contracts = make("dim_contract", {"contract_id": 1, "contract_version": 11}, {"contract_id": 11})
-    first = rows(dedupe.with_surrogate_keys(contracts))
-    assert first == rows(dedupe.with_surrogate_keys(contracts.repartition(3)))
+    first = rows(dedupe.with_surrogate_keys(contracts, F.lit("erp")))
+    assert first == rows(dedupe.with_surrogate_keys(contracts.repartition(3), F.lit("erp")))
     assert len({r[0] for r in first}) == 2
 
 
+def test_source_systems_with_equal_ids_get_keys_of_their_own(spark, make):
+    contracts = make("dim_contract", {}, {"contract_id": 102})
+    both = dedupe.with_surrogate_keys(contracts.withColumn("s", F.explode(F.array(F.lit("erp"), F.lit("crm")))), F.col("s"))
+    assert both.select("contract_key").distinct().count() == 4 and both.select("customer_key").distinct().count() == 2
+    facts = make("fact_invoice_line", {}, {"contract_id": 103}).withColumn("source_system", F.lit("crm"))
+    keyed = rows(dedupe.keyed_facts(facts, both), "contract_id", "contract_key")
+    assert keyed == [(101, rows(both.where("source_system = 'crm' AND contract_id = 101"), "contract_key")[0][0]), (103, None)]
+    odd = spark.createDataFrame(
+        [("a", None, "5"), ("a", "5", None), ("a", "", "5"), ("a", "1:5", "x"), ("a", "1", "5;1:x"), ("a|b", "c", "d"), ("a", "b|c", "d"), ("a", "null", "5")],
+        "source string, x string, y string",
+    )
+    key = surrogate_key(F.col("source"), F.col("x"), F.col("y"))
+    assert odd.select(key.alias("k")).distinct().count() == odd.count()
+
+
 def test_active_months_and_mrr_without_proration(make):
     contracts = make("dim_contract", {"effective_start": "2023-11-15", "effective_end": "2024-01-01"})
     assert rows(calendar.contract_mrr(contracts), "month", "contract_mrr") == [

@@ -112,10 +112,18 @@ def test_true_up_moves_only_what_changed(make):
 
 def test_customer_rollup_adds_contracts_and_versions(make):
     t = tables(make, meter=({}, {"contract_id": 102}), contracts=PAIR)
-    out = mart.customer_monthly(Frames(t).mart, t.contracts)
-    assert rows(out, "customer_id", "month", "contract_rows", "total_kw", "gross_margin") == [
-        (1, "2023-01-01", 2, 20.0, 1500.0)
+    out = mart.customer_monthly(Frames(t).mart, t.contracts, t.customers)
+    assert rows(out, "customer_id", "customer_name", "month", "contract_rows", "total_kw", "gross_margin", "erp_overage") == [
+        (1, "Customer_01", "2023-01-01", 2, 20.0, 1500.0, 0.0)
     ]
+    unknown = mart.customer_monthly(Frames(t).mart, t.contracts, t.customers.where("false"))
+    assert rows(unknown, "customer_id", "customer_name", "contract_rows") == [(1, None, 2)]
+
+
+def test_clamped_utilization_stays_within_what_is_granted(make):
+    t = tables(make, meter=({"used_kw": "25.00"}, {"contract_id": 102, "used_kw": "5.00"}), contracts=PAIR)
+    out = mart.clamped_utilization(mart.contract_utilization(Frames(t).mart))
+    assert rows(out, "contract_id", "power_utilization", "rack_utilization") == [(101, 1.0, 0.75), (102, 0.25, None)]
 
 
 def test_utilization_against_entitlement(make):

@@ -10,8 +10,20 @@ from pyspark.sql import functions as F
 
 from wattledger.plans import warehouse
 from wattledger.plans.frames import Frames
-from wattledger.schemas import ALL_TABLES, DIM_CONTRACT, FACT_COST, FACT_INVOICE, FACT_METER, LAYERS, MART, RECON, USAGE_MONTHLY
-from wattledger.sources.files import new_folder, read_csv, scratch_dir, write_csv
+from wattledger.schemas import (
+    ALL_TABLES,
+    DIM_CONTRACT,
+    ERP_REVENUE_MONTHLY,
+    FACT_COST,
+    FACT_INVOICE,
+    FACT_METER,
+    LAYERS,
+    MART,
+    RACK_MONTHLY,
+    RECON,
+    USAGE_MONTHLY,
+)
+from wattledger.sources.files import new_folder, own_dir, read_csv, scratch_dir, write_csv
 from wattledger.sources.layers import LayerStore
 
 JAN, FEB = date(2023, 1, 1), date(2023, 2, 1)
@@ -89,8 +101,11 @@ def test_append_adds_and_overwrite_replaces_touched_months_only(make, store):
     store.append(make("fact_meter_power_daily", {}, {"reading_date": "2023-02-10"}), FACT_METER)
     assert store.read(FACT_METER).count() == 3
     assert store.read(FACT_METER, [FEB]).count() == 1
-    store.overwrite(make("fact_meter_power_daily", {"used_kw": "7.00"}), FACT_METER)
+    store.overwrite(make("fact_meter_power_daily", {"used_kw": "7.00"}), FACT_METER, [JAN])
     assert rows(store.read(FACT_METER), "reading_date", "used_kw") == [("2023-01-10", 7.0), ("2023-02-10", 10.0)]
+    store.overwrite(make("fact_meter_power_daily", {"used_kw": "8.00"}), FACT_METER)
+    assert rows(store.read(FACT_METER), "reading_date", "used_kw") == [("2023-01-10", 8.0)]
+    assert store.read(FACT_METER, [FEB]).isEmpty()
 
 
 def test_overwrite_empties_rebuilt_months_without_rows(make, store):
@@ -147,8 +162,64 @@ def test_backfill_rebuilds_its_months_and_may_run_again(make, store):
     ]
 
 
+def test_full_rebuild_leaves_nothing_of_removed_months(make, store):
+    warehouse.load_sources(store, two_months(make))
+    warehouse.build(store, stamp())
+    assert store.read(MART, [FEB]).count() == 1
+    # The contract ends in January: no reading of February counts any more, and its line is taken back.
+    ended = tables(
+        make,
+        contracts=({"effective_end": "2023-01-31"},),
+        meter=({}, {"reading_date": "2023-02-10"}),
+        cost=({}, {"cost_month": "2023-02-01"}),
+    )
+    warehouse.load_sources(store, ended)
+    warehouse.build(store, stamp())
+    for table, month in ((USAGE_MONTHLY, "usage_month"), (RACK_MONTHLY, "usage_month"), (ERP_REVENUE_MONTHLY, "invoice_month"), (MART, "month"), (RECON, "month")):
+        assert {r[0] for r in store.read(table).select(month).collect()} <= {JAN}, table.name
+    # An emptied fact empties what is built on it.
+    warehouse.load_sources(store, tables(make, meter=()))
+    warehouse.build(store, stamp())
+    assert store.read(USAGE_MONTHLY).isEmpty() and store.read(MART).isEmpty()
+
+
+def test_backfill_stamps_readings_and_counts(make, store):
+    warehouse.load_sources(store, two_months(make))
+    warehouse.build(store, stamp())
+    assert store.read(FACT_METER, audit=True).where("reprocessed_at IS NOT NULL").isEmpty()
+    late = make("fact_meter_power_daily", {"reading_date": "2023-02-11", "used_kw": "5.00"})
+    assert warehouse.backfill(store, late, stamp(), stamp()) == [FEB]
+    stamped = store.read(FACT_METER, audit=True).where("reprocessed_at IS NOT NULL")
+    assert rows(stamped, "reading_date") == [("2023-02-11",)]
+    racks = make("fact_rack_utilization_daily", {"usage_date": "2023-02-10", "racks_used": 9})
+    for _ in range(2):
+        assert warehouse.backfill_racks(store, racks, stamp(), stamp()) == [FEB]
+        assert rows(store.read(MART, [FEB]), "max_racks_used", "total_kw") == [(9, 15.0)]
+    assert warehouse.backfill(store, late.where("false"), stamp()) == []
+
+
+def test_backfill_of_a_corrected_line_replaces_it_wherever_it_was(make, store):
+    warehouse.load_sources(store, two_months(make))
+    warehouse.build(store, stamp())
+    corrected = make("fact_invoice_line", {"invoice_id": 2, "invoice_month": "2023-01-01", "amount": "50.00"})
+    for _ in range(2):
+        assert warehouse.backfill_invoices(store, corrected, stamp(), stamp()) == ([JAN, FEB] if _ == 0 else [JAN])
+        assert rows(store.read(MART), "month", "erp_revenue_total") == [("2023-01-01", 2050.0), ("2023-02-01", 0.0)]
+    assert rows(store.read(FACT_INVOICE, audit=True).where("reprocessed_at IS NOT NULL"), "invoice_id") == [(2,)]
+
+
 def test_scratch_follows_the_shared_setting(spark):
     assert scratch_dir(spark) != scratch_dir(spark)
     assert new_folder("hdfs://shared/state/", "yarn").startswith("hdfs://shared/state/wattledger-")
-    with pytest.raises(RuntimeError):
-        new_folder(None, "yarn")
+    for cluster in ("yarn", "local-cluster[3,2,3000]"):
+        with pytest.raises(RuntimeError):
+            new_folder(None, cluster)
+    assert new_folder(None, "local[4]") and new_folder(None, "local")
+
+
+def test_own_folders_are_emptied_and_used_again(spark):
+    first = own_dir(spark, "a_query")
+    spark.range(3).write.parquet(f"{first}/rows")
+    assert own_dir(spark, "a_query") == first
+    spark.range(2).write.parquet(f"{first}/rows")
+    assert spark.read.parquet(f"{first}/rows").count() == 2

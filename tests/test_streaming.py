@@ -1,7 +1,11 @@
-from datetime import datetime
+from datetime import date, datetime
+from decimal import Decimal
 
 from conftest import rows
 
+from pyspark.sql import functions as F
+
+from wattledger.operators import dedupe, monthly, windows
 from wattledger.streaming import intake
 
 
@@ -15,43 +19,98 @@ def stream(spark, folder):
     return intake.event_stream(spark, f"{folder}/*", "*.parquet", maxFilesPerTrigger=1)
 
 
+READING = "reading_date date, contract_id long, contract_version int, used_kw decimal(10,2), reading_status string, ingested_at timestamp_ntz, reading_id long"
+
+
+def deliver(spark, folder, name, *readings):
+    """One input file of (reading_id, reading_date, arrival, contract, kW)."""
+    data = [
+        (date.fromisoformat(day), contract, 1, Decimal(str(kw)), "on_time", datetime.fromisoformat(arrival), i)
+        for i, day, arrival, contract, kw in readings
+    ]
+    spark.createDataFrame(data, READING).coalesce(1).write.mode("append").parquet(f"{folder}/{name}")
+
+
+def readings(spark, folder):
+    return spark.readStream.schema(intake.READINGS).option("maxFilesPerTrigger", 1).option("pathGlobFilter", "*.parquet").parquet(f"{folder}/*")
+
+
 def run_daily(spark, tmp_path):
-    intake.run_daily_usage(stream(spark, tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+    intake.run_daily_usage(readings(spark, tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
     return rows(spark.read.schema(intake.DAILY_USAGE).parquet(str(tmp_path / "out")), "usage_date", "contract_id", "readings", "total_kw")
 
 
 def test_days_close_once_the_lateness_bound_has_passed(spark, tmp_path):
-    drop(spark, tmp_path / "in", "a", (1, "2024-01-01 01:00:00", 7, 1.5), (2, "2024-01-01 02:00:00", 7, 2.0))
+    folder = tmp_path / "in"
+    deliver(spark, folder, "a", (1, "2024-01-01", "2024-01-01 01:00:00", 7, 1.5), (2, "2024-01-01", "2024-01-01 02:00:00", 7, 2.0))
     assert run_daily(spark, tmp_path) == []
-    # A copy of event 1 and a reading four days late: the first is dropped, the second counts.
-    drop(spark, tmp_path / "in", "b", (1, "2024-01-01 01:00:00", 7, 1.5), (3, "2024-01-05 00:00:00", 7, 9.0))
-    drop(spark, tmp_path / "in", "c", (4, "2024-01-01 03:00:00", 7, 0.5))
+    # A copy of reading 1, and one five days late: the first is dropped, the second counts on its own day.
+    deliver(spark, folder, "b", (1, "2024-01-01", "2024-01-01 01:00:00", 7, 1.5), (3, "2024-01-06", "2024-01-06 00:00:00", 7, 9.0))
+    deliver(spark, folder, "c", (4, "2024-01-01", "2024-01-06 03:00:00", 7, 0.5))
     assert run_daily(spark, tmp_path) == []
-    drop(spark, tmp_path / "in", "d", (5, "2024-01-09 00:00:00", 7, 1.0))
-    assert run_daily(spark, tmp_path) == [("2024-01-01", 7, 3, 4.0)]
-    # Beyond the bound: the day stays as it was closed.
-    drop(spark, tmp_path / "in", "e", (6, "2024-01-01 05:00:00", 7, 100.0))
+    deliver(spark, folder, "d", (5, "2024-01-09", "2024-01-09 00:00:00", 7, 1.0))
     assert run_daily(spark, tmp_path) == [("2024-01-01", 7, 3, 4.0)]
+    # Thirty days late: the day stays as it was closed, and the day of arrival gets nothing.
+    deliver(spark, folder, "e", (6, "2024-01-01", "2024-01-31 05:00:00", 7, 100.0))
+    deliver(spark, folder, "f", (7, "2024-02-20", "2024-02-20 05:00:00", 7, 1.0))
+    assert [r for r in run_daily(spark, tmp_path) if r[3] >= 100] == []
+    assert run_daily(spark, tmp_path)[0] == ("2024-01-01", 7, 3, 4.0)
+
+
+def test_readings_beyond_the_bound_go_to_the_side_table(spark, tmp_path):
+    folder = tmp_path / "in"
+    deliver(spark, folder, "a", (1, "2024-01-01", "2024-01-06 01:00:00", 7, 1.5), (1, "2024-01-01", "2024-01-06 01:00:00", 7, 1.5))
+    deliver(spark, folder, "b", (2, "2024-01-01", "2024-01-31 01:00:00", 7, 2.0), (3, "2024-01-30", "2024-01-31 01:00:00", 7, 3.0))
+    intake.run_intake(readings(spark, folder), str(tmp_path / "ok"), str(tmp_path / "late"), str(tmp_path / "state"))
+    taken = {n: rows(spark.read.schema(intake.READINGS).parquet(str(tmp_path / n)), "reading_id", "reading_date") for n in ("ok", "late")}
+    assert taken == {"ok": [(1, "2024-01-01"), (3, "2024-01-30")], "late": [(2, "2024-01-01")]}
+
 
+def contracts(make):
+    return make(
+        "dim_contract",
+        *[{"contract_id": c, "effective_start": "2024-01-01", "effective_end": "2024-01-31"} for c in (7, 8)],
+        {"contract_id": 7, "contract_version": 2, "effective_start": "2024-02-01", "effective_end": "2024-12-31"},
+    )
 
-def run_months(spark, tmp_path):
+
+def run_months(spark, tmp_path, held):
     intake.run_month_upsert(
-        stream(spark, tmp_path / "in"), str(tmp_path / "log"), str(tmp_path / "usage"), str(tmp_path / "state")
+        intake.as_readings(stream(spark, tmp_path / "in")), held, str(tmp_path / "log"), str(tmp_path / "usage"), str(tmp_path / "state")
     ).awaitTermination()
-    return rows(spark.read.parquet(str(tmp_path / "usage")), "usage_month", "contract_id", "total_kw")
+    return rows(spark.read.parquet(str(tmp_path / "usage")), "usage_month", "contract_id", "contract_version", "total_kw")
 
 
-def test_months_follow_the_latest_reading(spark, tmp_path):
-    drop(spark, tmp_path / "in", "a", (1, "2024-01-31 01:00:00", 7, 1.0), (2, "2024-02-01 01:00:00", 7, 2.0))
-    assert run_months(spark, tmp_path) == [("2024-01-01", 7, 1.0), ("2024-02-01", 7, 2.0)]
+def test_months_follow_the_latest_reading_under_the_version_in_force(spark, make, tmp_path):
+    held = contracts(make)
+    drop(spark, tmp_path / "in", "a", (1, "2024-01-31 01:00:00", 7, 1.0), (2, "2024-02-01 01:00:00", 7, 2.0), (9, "2024-02-01 01:00:00", 8, 3.0))
+    assert run_months(spark, tmp_path, held) == [("2024-01-01", 7, 1, 1.0), ("2024-02-01", 7, 2, 2.0)]
     drop(spark, tmp_path / "in", "b", (3, "2024-01-31 09:00:00", 7, 5.0), (4, "2024-01-30 09:00:00", 8, 4.0))
-    assert run_months(spark, tmp_path) == [("2024-01-01", 7, 5.0), ("2024-01-01", 8, 4.0), ("2024-02-01", 7, 2.0)]
+    after = [("2024-01-01", 7, 1, 5.0), ("2024-01-01", 8, 1, 4.0), ("2024-02-01", 7, 2, 2.0)]
+    assert run_months(spark, tmp_path, held) == after
+    # The batch operators say the same of the same readings.
+    given = intake.as_readings(spark.read.schema(intake.EVENTS).parquet(str(tmp_path / "in" / "a"), str(tmp_path / "in" / "b")))
+    latest = windows.version_in_force(dedupe.latest_readings(given), held, "reading_date").where("in_force_version IS NOT NULL")
+    batch = monthly.usage_monthly(latest.withColumn("contract_version", F.col("in_force_version")))
+    assert rows(batch, "usage_month", "contract_id", "contract_version", "total_kw") == after
 
 
-def test_replayed_batch_changes_nothing(spark, tmp_path):
+def test_replayed_batch_changes_nothing(spark, make, tmp_path):
+    held = contracts(make)
     drop(spark, tmp_path / "in", "a", (1, "2024-01-31 01:00:00", 7, 1.0))
-    before = run_months(spark, tmp_path)
+    before = run_months(spark, tmp_path, held)
     events = spark.read.schema(intake.EVENTS).parquet(str(tmp_path / "in" / "a"))
-    intake.MonthUpsert(str(tmp_path / "log"), str(tmp_path / "usage"))(intake.as_readings(events), 0)
-    assert rows(spark.read.parquet(str(tmp_path / "usage")), "usage_month", "contract_id", "total_kw") == before
+    intake.MonthUpsert(held, str(tmp_path / "log"), str(tmp_path / "usage"))(intake.as_readings(events), 0)
+    assert rows(spark.read.parquet(str(tmp_path / "usage")), "usage_month", "contract_id", "contract_version", "total_kw") == before
     assert spark.read.parquet(str(tmp_path / "log")).count() == 1
+
+
+def test_the_log_of_a_month_is_folded(spark, make, tmp_path):
+    """Fifty batches of one month, one of them replayed after its elders were folded away."""
+    upsert = intake.MonthUpsert(contracts(make), str(tmp_path / "log"), str(tmp_path / "usage"), most_batches=12)
+    for k in range(50):
+        events = spark.createDataFrame([(k, datetime(2024, 1, 1 + k % 25, 1, k), 7, float(k))], intake.EVENTS)
+        for _ in range(2 if k == 30 else 1):
+            upsert(intake.as_readings(events), k)
+        assert len(list((tmp_path / "log" / "reading_month=2024-01-01").glob("batch_id=*"))) <= 13
+    assert rows(spark.read.parquet(str(tmp_path / "usage")), "contract_id", "total_kw") == [(7, float(sum(range(25, 50))))]

@@ -90,7 +90,8 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def clamp(value: Column, low: Column, high: Column) -> Column:
-    return F.greatest(low, F.least(high, value))
+    """The value inside its limits; NULL stays NULL, which ``greatest`` alone would turn into a limit."""
+    return F.when(value.isNotNull(), F.greatest(low, F.least(high, value)))
 
 
 def customer_label(customer_id: Column) -> Column:
@@ -98,13 +99,16 @@ def customer_label(customer_id: Column) -> Column:
     return F.format_string("Customer_%02d", customer_id)
 
 
-def surrogate_key(*parts: Column) -> Column:
-    """128-bit key over the parts in order, stable between runs and partitionings.
+def surrogate_key(source: Column, *parts: Column) -> Column:
+    """128-bit key over the source system and the parts in order, stable between runs and partitionings.
 
-    A 64-bit hash would be shorter, but with a billion keys it collides with a chance of some per cent,
+    Every part is preceded by its length, a NULL is marked as such: parts that differ in any way never
+    make the same text, whatever they hold. A 64-bit hash would be shorter, but with a billion keys it collides with a chance of some per cent,
     and two contracts merged by a collision would be silent.
     """
-    return F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]).cast("binary"))
+    texts = [p.cast("string") for p in (source, *parts)]
+    marked = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("null")) for t in texts]
+    return F.md5(F.concat_ws(";", *marked).cast("binary"))
 
 
 def exception_reason(late_days: Column, estimated_days: Column, true_up: Column) -> Column:

@@ -55,11 +55,22 @@ def backfill_merge(existing: DataFrame, late: DataFrame, reprocessed_at: Column)
     return latest_record(marked, READING_KEY, arrival_order(existing)).drop("source_order")
 
 
-def with_surrogate_keys(contracts: DataFrame) -> DataFrame:
-    """Contracts with keys that stay unique when source systems reuse contract or customer ids."""
+def keyed_facts(facts: DataFrame, keyed_contracts: DataFrame) -> DataFrame:
+    """Facts with a source_system and the keys of their contract; NULL where the mapping has none."""
+    mapping = keyed_contracts.select("source_system", "contract_id", "contract_version", "contract_key", "customer_key")
+    return facts.join(mapping, ["source_system", "contract_id", "contract_version"], "left")
+
+
+def with_surrogate_keys(contracts: DataFrame, source: Column) -> DataFrame:
+    """Contracts with keys that stay unique when source systems reuse contract or customer ids.
+
+    ``source`` names the system a row came from. The result is also the mapping: joined on source system,
+    contract and version it gives facts of several systems their contract's key.
+    """
     return contracts.select(
-        surrogate_key(F.col("contract_id"), F.col("contract_version")).alias("contract_key"),
-        surrogate_key(F.col("customer_id")).alias("customer_key"),
+        surrogate_key(source, F.col("contract_id"), F.col("contract_version")).alias("contract_key"),
+        surrogate_key(source, F.col("customer_id")).alias("customer_key"),
+        source.alias("source_system"),
         "contract_id",
         "contract_version",
         "customer_id",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattledger.functions.expressions import count_where, exception_reason, flag, ratio
+from wattledger.functions.expressions import ESTIMATED, count_where, exception_reason, flag, month_floor, ratio
 
 
 def contract_variance_monthly(mart: DataFrame) -> DataFrame:
@@ -76,18 +76,38 @@ def recent_contracts(mart: DataFrame, n: int) -> DataFrame:
     return top_rows(mart, n, F.col("month").desc(), F.col("contract_id"), F.col("contract_version"))
 
 
-def signoff_set(mart: DataFrame) -> DataFrame:
-    """Contract-months free of estimated readings, the only ones finance may sign off."""
-    return mart.where(F.col("estimated_days") == 0).select(
+def open_days(classes: DataFrame) -> DataFrame:
+    """Days of each contract-month without a reading, and with one that came after the backfill window."""
+    overdue = ~F.col("missing") & (F.col("lateness_class") == ESTIMATED)
+    return classes.groupBy(
+        "contract_id", "contract_version", month_floor(F.col("reading_date")).alias("month")
+    ).agg(count_where(F.col("missing")).alias("missing_days"), count_where(overdue).alias("overdue_days"))
+
+
+def _with_signed(mart: DataFrame, classes: DataFrame) -> DataFrame:
+    """A contract-month may be signed off if no reading is estimated, missing or came after the backfill window."""
+    closed = (F.col("estimated_days") == 0) & (F.col("missing_days") == 0) & (F.col("overdue_days") == 0)
+    keys = ["contract_id", "contract_version", "month"]
+    return mart.join(open_days(classes), keys, "left").withColumn("signed", F.coalesce(closed, F.lit(False)))
+
+
+def signoff_set(mart: DataFrame, classes: DataFrame) -> DataFrame:
+    """Contract-months with a reading in time for every day, the only ones finance may sign off.
+
+    ``classes`` are the lateness classes of all contract days. The mart's own column counts the readings
+    that are labelled estimated; days without any are only known to the calendar.
+    """
+    return _with_signed(mart, classes).where("signed").select(
         "contract_id", "contract_version", "month", "total_kw", "erp_revenue_total", "gross_margin"
     )
 
 
-def signoff_share(mart: DataFrame) -> DataFrame:
+def signoff_share(mart: DataFrame, classes: DataFrame) -> DataFrame:
     """How much of each month can be signed off, by contract rows and by kW."""
-    signed = F.col("estimated_days") == 0
+    signed = F.col("signed")
     return (
-        mart.groupBy("month")
+        _with_signed(mart, classes)
+        .groupBy("month")
         .agg(
             F.count("*").alias("contract_rows"),
             count_where(signed).alias("signed_rows"),

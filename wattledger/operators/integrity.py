@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattledger.functions.expressions import count_where, key_text
@@ -73,6 +73,22 @@ def null_risk(mart: DataFrame) -> DataFrame:
     )
 
 
+def monthly_layer_counts(daily: DataFrame, month: Column, contracts: DataFrame, names: Mapping[str, str]) -> DataFrame:
+    """Row counts of effective daily rows, of their contract-months and of those that reach the mart.
+
+    ``names`` gives the layers' names by "daily", "monthly" and "mart"; layers not named are left out. All
+    are counted over one grouping, so the daily facts are deduplicated once.
+    """
+    key = ["contract_id", "contract_version"]
+    months = daily.groupBy(*key, month.alias("month")).agg(F.count("*").alias("days"))
+    terms = contracts.groupBy(*key).agg(F.count("*").alias("terms"))
+    counted = months.join(terms, key, "left").agg(
+        F.sum("days").alias("daily"), F.count("*").alias("monthly"), F.sum(F.coalesce("terms", F.lit(0))).alias("mart")
+    )
+    listed = F.array(*[F.struct(F.lit(n).alias("table_name"), F.coalesce(layer, F.lit(0)).alias("cnt")) for layer, n in names.items()])
+    return counted.select(F.inline(listed))
+
+
 def layer_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return _union([df.agg(F.count("*").alias("cnt")).select(F.lit(name).alias("table_name"), "cnt")
                    for name, df in tables.items()])

@@ -6,19 +6,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattledger.functions.expressions import OVERAGE
-from wattledger.operators.windows import version_in_force
+from wattledger.operators.calendar import active_contract_months
 
+OTHER_VERSION, NO_VERSION = "other version in force", "no version in force"
 
-def unbilled_spikes(mart: DataFrame, contracts: DataFrame) -> DataFrame:
-    """Months whose peak passed the commitment, on contracts that may be charged for it, with no overage billed."""
-    terms = contracts.where("overage_allowed_flag").select("contract_id", "contract_version")
+
+def unbilled_spikes(usage: DataFrame, erp_revenue: DataFrame, contracts: DataFrame) -> DataFrame:
+    """Months whose peak passed the commitment, on contracts that may be charged for it, with no overage billed.
+
+    From the monthly tables: cost and site totals, which the mart would bring along, are not needed.
+    """
+    terms = contracts.where("overage_allowed_flag").select("contract_id", "contract_version", "power_commit_kw")
+    billed = erp_revenue.select("contract_id", "contract_version", F.col("invoice_month").alias("usage_month"), "erp_overage")
     return (
-        mart.where((F.col("peak_kw") > F.col("power_commit_kw")) & (F.col("erp_overage") == 0))
+        usage.join(billed, ["contract_id", "contract_version", "usage_month"], "left")
+        .where(F.coalesce("erp_overage", F.lit(0)) == 0)
         .join(terms, ["contract_id", "contract_version"])
+        .where(F.col("peak_kw") > F.col("power_commit_kw"))
         .select(
             "contract_id",
             "contract_version",
-            "month",
+            F.col("usage_month").alias("month"),
             "peak_kw",
             "power_commit_kw",
             (F.col("peak_kw") - F.col("power_commit_kw")).alias("kw_over_commit"),
@@ -27,15 +35,22 @@ def unbilled_spikes(mart: DataFrame, contracts: DataFrame) -> DataFrame:
 
 
 def stale_version_billing(invoices: DataFrame, contracts: DataFrame) -> DataFrame:
-    """Lines billed under another version than the one in force in their month.
+    """Lines billed under a version that was not in force on any day of their month, with the reason.
 
-    Works on single lines: a contract with a third of them is split by adaptive execution's skew join
-    when contracts are too many to broadcast.
+    With an amendment inside a month both versions may be billed for it. ``in_force_version`` is the last
+    of the month's versions, NULL in a month without one. Works on single lines: a contract with a third
+    of them is split by adaptive execution's skew join when contracts are too many to broadcast.
     """
     billed = F.col("contract_version")
+    in_month = (
+        active_contract_months(contracts)
+        .groupBy("contract_id", F.col("month").alias("invoice_month"))
+        .agg(F.collect_set("contract_version").alias("versions"), F.max("contract_version").alias("in_force_version"))
+    )
+    none = F.col("versions").isNull()
     return (
-        version_in_force(invoices, contracts, "invoice_month")
-        .where(billed != F.col("in_force_version"))
+        invoices.join(in_month, ["contract_id", "invoice_month"], "left")
+        .where(none | billed.isNull() | ~F.array_contains("versions", billed))
         .select(
             "invoice_id",
             "invoice_line_id",
@@ -43,6 +58,7 @@ def stale_version_billing(invoices: DataFrame, contracts: DataFrame) -> DataFram
             "invoice_month",
             billed.alias("billed_version"),
             "in_force_version",
+            F.when(none, NO_VERSION).otherwise(OTHER_VERSION).alias("stale_reason"),
             "revenue_type",
             "amount",
         )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wattledger.functions.expressions import flag, ratio
+from wattledger.functions.expressions import clamp, flag, ratio
 from wattledger.operators.allocation import power_cost_allocated
 from wattledger.operators.monthly import CONTRACT_MONTH
 from wattledger.schemas import MART
@@ -54,9 +54,13 @@ def mart_contract_monthly(
     )
 
 
-def customer_monthly(mart: DataFrame, contracts: DataFrame) -> DataFrame:
-    """Revenue, usage, cost and margin per customer and month."""
+def customer_monthly(mart: DataFrame, contracts: DataFrame, customers: DataFrame) -> DataFrame:
+    """Revenue, usage, cost and margin per customer and month.
+
+    Names come last and by a left join: a customer the dimension lacks still shows up, without a name.
+    """
     owners = contracts.select("contract_id", "contract_version", "customer_id")
+    names = customers.select("customer_id", "customer_name", "industry")
     return (
         mart.join(owners, ["contract_id", "contract_version"])
         .groupBy("customer_id", "month")
@@ -65,9 +69,24 @@ def customer_monthly(mart: DataFrame, contracts: DataFrame) -> DataFrame:
             F.sum("total_kw").alias("total_kw"),
             F.sum("erp_revenue_total").alias("erp_revenue_total"),
             F.sum("erp_mrr").alias("erp_mrr"),
+            F.sum("erp_overage").alias("erp_overage"),
+            F.sum("erp_credits").alias("erp_credits"),
             F.sum("allocated_power_cost").alias("allocated_power_cost"),
             F.sum("gross_margin").alias("gross_margin"),
         )
+        .join(names, "customer_id", "left")
+    )
+
+
+def clamped_utilization(utilization: DataFrame) -> DataFrame:
+    """Average utilisation held between nothing and all of what the contract grants, for gauges and scores."""
+    none, all_of_it = F.lit(0.0), F.lit(1.0)
+    return utilization.select(
+        "contract_id",
+        "contract_version",
+        "month",
+        clamp(F.col("avg_power_utilization"), none, all_of_it).alias("power_utilization"),
+        clamp(F.col("avg_rack_utilization"), none, all_of_it).alias("rack_utilization"),
     )
 
 

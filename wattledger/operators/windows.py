@@ -46,11 +46,26 @@ def rejected_readings(latest: DataFrame, contracts: DataFrame, day: str = "readi
     )
 
 
+def disjoint_windows(contracts: DataFrame) -> DataFrame:
+    """The windows with every version ending before any later one starts: an amendment replaces what it amends.
+
+    Windows that are left empty are dropped. The SQL window holds one contract's versions, as above.
+    """
+    later = W.partitionBy("contract_id").orderBy("contract_version").rowsBetween(1, W.unboundedFollowing)
+    replaced = F.date_sub(F.min("effective_start").over(later), 1)
+    return (
+        _windows(contracts)
+        .withColumn("effective_end", F.least(F.col("effective_end"), replaced))
+        .where(F.col("effective_start") <= F.col("effective_end"))
+    )
+
+
 def version_in_force(rows: DataFrame, contracts: DataFrame, day: str) -> DataFrame:
-    """Adds ``in_force_version``, the version whose window holds the day; NULL when none does."""
-    windows = contracts.select(
-        "contract_id", F.col("contract_version").alias("in_force_version"), "effective_start", "effective_end"
-    ).alias("w")
+    """Adds ``in_force_version``, the version whose window holds the day; NULL when none does.
+
+    Where windows overlap the later version counts, so every row comes back once.
+    """
+    windows = disjoint_windows(contracts).withColumnRenamed("contract_version", "in_force_version").alias("w")
     left = rows.alias("r")
     matches = (F.col("r.contract_id") == F.col("w.contract_id")) & F.col(f"r.{day}").between(
         F.col("w.effective_start"), F.col("w.effective_end")
@@ -74,8 +89,7 @@ def reattributed_readings(latest: DataFrame, contracts: DataFrame) -> DataFrame:
 def version_windows(contracts: DataFrame) -> DataFrame:
     """Each window with the days to the next version: negative overlaps, positive leaves a gap.
 
-    The SQL window holds one contract's versions. Versions take turns, so a contract has at most one per
-    day of its life, however large the fact tables grow.
+    The SQL window holds one contract's versions, which do not grow with the fact tables.
     """
     order = W.partitionBy("contract_id").orderBy("contract_version")
     gap = F.col("gap_days")

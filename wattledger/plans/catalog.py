@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattledger.functions.expressions import customer_label
+from wattledger.functions.expressions import customer_label, month_end, month_floor
 from wattledger.operators import (
     allocation,
     calendar,
@@ -21,12 +20,23 @@ from wattledger.operators import (
     reconciliation,
     windows,
 )
+from wattledger.plans import warehouse
 from wattledger.plans.frames import Frames, presented
-from wattledger.schemas import DIM_CONTRACT, FACT_INVOICE, FACT_METER, MART, Table
+from wattledger.schemas import (
+    DIM_CONTRACT,
+    ERP_REVENUE_MONTHLY,
+    FACT_COST,
+    FACT_INVOICE,
+    FACT_METER,
+    MART,
+    RACK_MONTHLY,
+    USAGE_MONTHLY,
+    Table,
+)
 from wattledger.session import split_hot_keys
 from wattledger.sources import driver_tables
-from wattledger.sources.files import read_csv, scratch_dir, write_csv
-from wattledger.sources.layers import LayerStore
+from wattledger.sources.files import own_dir, read_csv, write_csv
+from wattledger.sources.layers import LayerStore, touched_months
 from wattledger.streaming import intake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,16 +58,31 @@ def _source_frames(f: Frames) -> dict[str, DataFrame]:
     }
 
 
-def _layer_frames(f: Frames) -> dict[str, DataFrame]:
-    return {
-        "v_meter_power_daily_effective": f.effective_meter,
-        "v_rack_utilization_daily_effective": f.effective_racks,
-        "v_usage_monthly": f.usage,
-        "v_rack_monthly": f.rack_usage,
-        "v_erp_revenue_monthly": f.erp_revenue,
-        "v_power_cost_monthly": f.power_cost,
-        "mart_contract_monthly": f.mart,
-    }
+def _layer_counts(f: Frames) -> DataFrame:
+    readings = {"daily": "v_meter_power_daily_effective", "monthly": "v_usage_monthly", "mart": "mart_contract_monthly"}
+    counts = {"daily": "v_rack_utilization_daily_effective", "monthly": "v_rack_monthly"}
+    rest = {"v_erp_revenue_monthly": f.erp_revenue, "v_power_cost_monthly": f.power_cost}
+    by_day = integrity.monthly_layer_counts
+    return (
+        by_day(f.effective_meter, month_floor(F.col("reading_date")), f.tables.contracts, readings)
+        .unionByName(by_day(f.effective_racks, month_floor(F.col("usage_date")), f.tables.contracts, counts))
+        .unionByName(integrity.layer_row_counts(rest))
+    )
+
+
+def _surrogate_keys(f: Frames) -> DataFrame:
+    """Two source systems that use the same contract and customer ids."""
+    contracts = f.tables.contracts
+    both = contracts.withColumn("system", F.explode(F.array(F.lit("erp"), F.lit("crm"))))
+    return dedupe.with_surrogate_keys(both, F.col("system"))
+
+
+def _posting_against_month_end(f: Frames) -> DataFrame:
+    """Lines by the days from their posting to the end of the month they are booked in."""
+    closes = month_end(F.col("invoice_month"))
+    return f.tables.invoices.select(
+        "invoice_id", "invoice_line_id", "posting_date", closes.alias("closes_on"), F.datediff(closes, "posting_date").alias("days_to_close")
+    )
 
 
 def _backfill(f: Frames) -> DataFrame:
@@ -97,7 +122,7 @@ def _stale_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _through_csv(df: DataFrame, table: Table, spark: SparkSession) -> DataFrame:
-    path = f"{scratch_dir(spark)}/{table.name}.csv"
+    path = f"{own_dir(spark, f'csv_{table.name}')}/{table.name}.csv"
     write_csv(df, path)
     return read_csv(spark, path, table)
 
@@ -111,14 +136,31 @@ def _csv_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return presented(_through_csv(driver_tables.invoices(spark, sf_dir), FACT_INVOICE, spark))
 
 
-def _store(spark: SparkSession) -> LayerStore:
-    root = scratch_dir(spark)
-    return LayerStore(spark, root, prefix=f"run_{uuid.uuid4().hex[:12]}_", wide=True)
+def _overlapping(spark: SparkSession, sf_dir: str) -> tuple[Frames, DataFrame]:
+    return Frames.from_dir(spark, sf_dir), driver_tables.contracts(spark, sf_dir, overlapping=True)
+
+
+def _reattribution_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f, contracts = _overlapping(spark, sf_dir)
+    return presented(windows.reattributed_readings(f.latest_meter, contracts))
+
+
+def _stale_mid_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both versions are billable in the month of the amendment, and while they overlap."""
+    _, contracts = _overlapping(spark, sf_dir)
+    return presented(leakage.stale_version_billing(driver_tables.invoices(spark, sf_dir, misfiled=True), contracts))
+
+
+def _store(spark: SparkSession, query: str) -> LayerStore:
+    """A store of the query's own, in a folder and databases that its next run replaces."""
+    store = LayerStore(spark, own_dir(spark, query), prefix=f"run_{query}_", wide=True)
+    store.drop()
+    return store
 
 
 def _table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Meter readings appended to their typed table in two loads, the late ones second."""
-    store, meter = _store(spark), driver_tables.meter(spark, sf_dir)
+    store, meter = _store(spark, "table_append_load"), driver_tables.meter(spark, sf_dir)
     store.create([FACT_METER])
     came_late = F.col("ingested_at").cast("date") > F.col("reading_date")
     store.append(meter.where(~came_late), FACT_METER)
@@ -127,11 +169,33 @@ def _table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mart_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mart built and written to its month partitions twice; the second run replaces the first."""
-    store, built = _store(spark), Frames.from_dir(spark, sf_dir).mart
-    store.create([MART])
-    store.overwrite(built, MART)
-    store.overwrite(built, MART)
+    """The mart built from stored months and written twice, the second time month by month over the first."""
+    store, f = _store(spark, "mart_partition_overwrite"), Frames.from_dir(spark, sf_dir)
+    store.create([DIM_CONTRACT, FACT_COST, USAGE_MONTHLY, RACK_MONTHLY, ERP_REVENUE_MONTHLY, MART])
+    monthly_frames = {USAGE_MONTHLY: f.usage, RACK_MONTHLY: f.rack_usage, ERP_REVENUE_MONTHLY: f.erp_revenue}
+    for table, rows in {DIM_CONTRACT: f.tables.contracts, FACT_COST: f.tables.power_cost, **monthly_frames}.items():
+        store.overwrite(rows, table)
+    warehouse.build_mart(store)
+    warehouse.build_mart(store, touched_months(store.read(MART), "month"))
+    return presented(store.read(MART))
+
+
+def _mart_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart of a store that held ten more years before: a full load and build leave nothing of them."""
+    store, t = _store(spark, "mart_full_rebuild"), Frames.from_dir(spark, sf_dir).tables
+    later = lambda day: F.add_months(day, 120).alias(day)
+    shifted = t.meter.select(*[later(c) if c == "reading_date" else c for c in t.meter.columns])
+    larger = driver_tables.SourceTables(
+        customers=t.customers,
+        contracts=t.contracts.withColumn("effective_end", F.add_months("effective_end", 120)),
+        meter=t.meter.unionByName(shifted),
+        racks=t.racks,
+        invoices=t.invoices,
+        power_cost=t.power_cost,
+    )
+    for tables in (larger, t):
+        warehouse.load_sources(store, tables)
+        warehouse.build(store)
     return presented(store.read(MART))
 
 
@@ -152,16 +216,32 @@ def _sql_over_views(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily usage as the stream closes it; days inside the last week of the input are still open."""
-    root = scratch_dir(spark)
-    intake.run_daily_usage(intake.event_stream(spark, sf_dir), f"{root}/daily", f"{root}/state").awaitTermination()
+    root = own_dir(spark, "stream_usage_daily")
+    readings = intake.as_readings(intake.event_stream(spark, sf_dir), arriving_late=True)
+    intake.run_daily_usage(readings, f"{root}/daily", f"{root}/state").awaitTermination()
     return presented(spark.read.schema(intake.DAILY_USAGE).parquet(f"{root}/daily"))
 
 
+def _stream_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings as the intake takes them, every seventh delivered twice, with those that came too late."""
+    root = own_dir(spark, "stream_intake")
+    events = intake.event_stream(spark, sf_dir)
+    twice = events.unionByName(events.where("event_id % 7 = 0"))
+    intake.run_intake(intake.as_readings(twice, arriving_late=True), f"{root}/in", f"{root}/late", f"{root}/state")
+    kept = {name: spark.read.schema(intake.READINGS).parquet(f"{root}/{name}") for name in ("in", "late")}
+    # The side table holds deliveries as they came, the intake each reading once.
+    return presented(
+        kept["in"].withColumn("outcome", F.lit("accepted")).unionByName(kept["late"].withColumn("outcome", F.lit("too late")))
+        .select("reading_id", "contract_id", "reading_date", "used_kw", "outcome")
+    )
+
+
 def _stream_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly usage kept current by the stream's upsert."""
-    root = scratch_dir(spark)
-    events = intake.event_stream(spark, sf_dir)
-    intake.run_month_upsert(events, f"{root}/log", f"{root}/usage", f"{root}/state").awaitTermination()
+    root = own_dir(spark, "stream_usage_monthly")
+    readings = intake.as_readings(intake.event_stream(spark, sf_dir))
+    contracts = intake.event_contracts(driver_tables.contracts(spark, sf_dir))
+    intake.run_month_upsert(readings, contracts, f"{root}/log", f"{root}/usage", f"{root}/state").awaitTermination()
     return presented(
         spark.read.parquet(f"{root}/usage").select(
             "contract_id", "contract_version", "usage_month", "total_kw", "avg_daily_kw", "peak_kw"
@@ -179,9 +259,9 @@ _PLANS: dict[str, Callable[[Frames], DataFrame]] = {
     "version_reattribution": lambda f: windows.reattributed_readings(f.latest_meter, f.tables.contracts),
     "version_windows": lambda f: windows.version_windows(f.tables.contracts),
     "missing_readings": lambda f: calendar.missing_readings(f.effective_meter, f.tables.contracts),
-    "lateness_class": lambda f: calendar.lateness_classes(f.effective_meter, f.tables.contracts),
+    "lateness_class": lambda f: f.lateness,
     "backfill_merge": _backfill,
-    "surrogate_keys": lambda f: dedupe.with_surrogate_keys(f.tables.contracts),
+    "surrogate_keys": _surrogate_keys,
     "customer_labels": lambda f: f.tables.customers.select(
         "customer_id", customer_label(F.col("customer_id")).alias("customer_label"), "industry"
     ),
@@ -197,8 +277,9 @@ _PLANS: dict[str, Callable[[Frames], DataFrame]] = {
     "power_cost_allocated": lambda f: f.allocated_cost,
     "mart_contract_monthly": lambda f: f.mart,
     "contract_mrr": lambda f: f.contract_mrr,
-    "customer_monthly": lambda f: mart.customer_monthly(f.mart, f.tables.contracts),
+    "customer_monthly": lambda f: mart.customer_monthly(f.mart, f.tables.contracts, f.tables.customers),
     "contract_utilization": lambda f: mart.contract_utilization(f.mart),
+    "clamped_utilization": lambda f: mart.clamped_utilization(mart.contract_utilization(f.mart)),
     "monthly_trend": lambda f: mart.monthly_trend(f.mart),
     "true_up_delta": _true_up,
     "estimated_share": lambda f: monthly.usage_quality_monthly(f.effective_meter),
@@ -210,22 +291,23 @@ _PLANS: dict[str, Callable[[Frames], DataFrame]] = {
     "exceptions_only": lambda f: exceptions.exceptions_only(f.mart),
     "controls_summary": lambda f: exceptions.controls_summary(f.mart),
     "negative_margin": lambda f: exceptions.negative_margin(f.mart),
-    "signoff_set": lambda f: exceptions.signoff_set(f.mart),
-    "signoff_share": lambda f: exceptions.signoff_share(f.mart),
+    "signoff_set": lambda f: exceptions.signoff_set(f.mart, f.lateness),
+    "signoff_share": lambda f: exceptions.signoff_share(f.mart, f.lateness),
     "top_recent_contracts": lambda f: exceptions.recent_contracts(f.mart, 10),
     "top_exceptions": lambda f: exceptions.recent_contracts(exceptions.exceptions_only(f.mart), 20),
     "top_controls_integrity": lambda f: exceptions.latest_months(_recon(f), 12),
     "top_controls_summary": lambda f: exceptions.latest_months(exceptions.controls_summary(f.mart), 12),
     "mrr_vs_invoiced": lambda f: reconciliation.mrr_vs_invoiced(f.contract_mrr, f.erp_revenue),
     "amendments": lambda f: windows.amendments(f.tables.contracts),
-    "unbilled_spikes": lambda f: leakage.unbilled_spikes(f.mart, f.tables.contracts),
+    "unbilled_spikes": lambda f: leakage.unbilled_spikes(f.usage, f.erp_revenue, f.tables.contracts),
     "disallowed_overage": lambda f: leakage.disallowed_overage(f.tables.invoices, f.tables.contracts),
     # integrity
     "pk_violations": lambda f: integrity.primary_key_violations(_source_frames(f)),
     "fk_violations": lambda f: integrity.foreign_key_violations(_source_frames(f)),
     "not_null_violations": lambda f: integrity.not_null_violations(_source_frames(f)),
     "null_risk": lambda f: integrity.null_risk(f.mart),
-    "layer_row_counts": lambda f: integrity.layer_row_counts(_layer_frames(f)),
+    "layer_row_counts": _layer_counts,
+    "posting_month_end": _posting_against_month_end,
 }
 
 
@@ -245,13 +327,17 @@ def queries() -> dict[str, Query]:
     registered = {name: _over_frames(plan) for name, plan in _PLANS.items()}
     registered["variance_root_cause"] = _root_cause
     registered["stale_version_billing"] = _stale_versions
+    registered["stale_version_mid_month"] = _stale_mid_month
+    registered["version_reattribution_overlap"] = _reattribution_overlap
     # files, tables and views
     registered["csv_contracts"] = _csv_contracts
     registered["csv_invoice_lines"] = _csv_invoices
     registered["table_append_load"] = _table_append
     registered["mart_partition_overwrite"] = _mart_overwrite
+    registered["mart_full_rebuild"] = _mart_rebuild
     registered["sql_over_views"] = _sql_over_views
     # streams
+    registered["stream_intake"] = _stream_intake
     registered["stream_usage_daily"] = _stream_daily
     registered["stream_usage_monthly"] = _stream_months
     return {name: _prepared(query) for name, query in registered.items()}

@@ -14,8 +14,8 @@ from wattledger.sources.driver_tables import DerivedTables, SourceTables
 class Frames:
     """Composes the operators over one set of source tables.
 
-    Nothing is computed here. Frames used twice in one plan (usage feeds both the rows and the site
-    totals of the mart) share their deduplication shuffle, which has the same columns on both sides.
+    Nothing is computed here. Usage feeds both the rows and the site totals of the mart; the two share
+    one deduplication shuffle, as long as a plan reads the same columns of both.
     """
 
     def __init__(self, tables: SourceTables | DerivedTables):
@@ -73,7 +73,13 @@ class Frames:
 
     @cached_property
     def recon(self) -> DataFrame:
-        return reconciliation.recon_erp_vs_mart_monthly(self.tables.invoices, self.mart)
+        """Billed months from the contract-months, which the mart reads as well, not from the lines again."""
+        billed = self.erp_revenue.withColumnRenamed("erp_revenue_total", "amount")
+        return reconciliation.recon_erp_vs_mart_monthly(billed, self.mart)
+
+    @cached_property
+    def lateness(self) -> DataFrame:
+        return calendar.lateness_classes(self.effective_meter, self.tables.contracts)
 
     def named_views(self) -> dict[str, DataFrame]:
         """The published view names and what stands behind them."""
@@ -94,7 +100,10 @@ class Frames:
         }
 
     def register_views(self) -> list[str]:
-        """Makes every view available to ``spark.sql``; Catalyst inlines them as usual."""
+        """Makes every view available to ``spark.sql``; Catalyst inlines them as usual.
+
+        Temporary views of the same names in this session are replaced; ``spark.newSession()`` keeps them apart.
+        """
         views = self.named_views()
         for name, df in views.items():
             df.createOrReplaceTempView(name)

@@ -200,12 +200,28 @@ _STEPS = {
            sum(CASE WHEN true_up_flag THEN 1 ELSE 0 END) AS contracts_with_trueups,
            sum(CASE WHEN gross_margin < 0 THEN 1 ELSE 0 END) AS contracts_negative_margin
     FROM mart GROUP BY 1""",
+    "reading_taken": """
+    SELECT event_id AS reading_id, user_id AS contract_id, CAST(ts AS DATE) AS reading_date,
+           CAST(value AS DECIMAL(10,2)) AS used_kw, event_id % 11 <= 7 AS in_time
+    FROM events""",
     "event_days": """
-    SELECT CAST(ts AS DATE) AS usage_date, user_id AS contract_id, count(*) AS readings,
-           sum(CAST(value AS DECIMAL(10,2))) AS total_kw, max(CAST(value AS DECIMAL(10,2))) AS peak_kw
-    FROM events
-    WHERE CAST(ts AS DATE) + INTERVAL '1' DAY <= (SELECT max(ts) - INTERVAL '7' DAY FROM events)
+    SELECT reading_date AS usage_date, contract_id, count(*) AS readings, sum(used_kw) AS total_kw, max(used_kw) AS peak_kw
+    FROM reading_taken
+    WHERE in_time AND reading_date + INTERVAL '1' DAY
+                      <= (SELECT max(reading_date) - INTERVAL '7' DAY FROM reading_taken WHERE in_time)
     GROUP BY 1, 2""",
+    "dim_contract_overlapping": """
+    SELECT contract_id, contract_version,
+           CASE WHEN contract_version = 2 THEN DATE '1998-04-15' ELSE effective_start END AS effective_start,
+           CASE WHEN effective_end = DATE '1998-03-31' THEN DATE '1998-06-30' ELSE effective_end END AS effective_end
+    FROM dim_contract""",
+    "signed": """
+    SELECT m.*, m.estimated_days = 0 AND coalesce(d.open_days, 1) = 0 AS signed
+    FROM mart m LEFT JOIN (
+      SELECT contract_id, contract_version, CAST(date_trunc('month', reading_date) AS DATE) AS month,
+             count(*) FILTER (WHERE missing OR date_diff('day', reading_date, CAST(ingested_at AS DATE)) > 7) AS open_days
+      FROM calendar_days GROUP BY 1, 2, 3) d
+      ON m.contract_id = d.contract_id AND m.contract_version = d.contract_version AND m.month = d.month""",
     "meter_backfilled": f"""
     SELECT * FROM (
       SELECT *, row_number() OVER (PARTITION BY contract_id, reading_date
@@ -216,6 +232,21 @@ _STEPS = {
     WHERE pos = 1""",
 }
 
+# Stored tables keep the declared columns alone: equal arrivals are told apart by the readings' own values.
+_STEPS["meter_stored"] = """
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY contract_id, reading_date ORDER BY ingested_at DESC,
+                             contract_version DESC, used_kw DESC, reading_status DESC) AS pos FROM meter_raw) ranked
+    WHERE pos = 1"""
+_STEPS["rack_stored"] = """
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY contract_id, usage_date ORDER BY ingested_at DESC,
+                             contract_version DESC, racks_used DESC) AS pos FROM rack_raw) ranked
+    WHERE pos = 1"""
+_ON_STORED = ("meter_effective", "rack_effective", "usage", "rack_usage", "site", "allocation", "mart")
+for _step in _ON_STORED:
+    _STEPS[f"{_step}_stored"] = re.sub(
+        rf"\b(FROM|JOIN) (meter|rack|{'|'.join(_ON_STORED)})\b", r"\1 \2_stored", _STEPS[_step]
+    )
+
 _DOUBLES = """used_kw total_kw avg_daily_kw peak_kw avg_racks_used erp_revenue_total erp_mrr erp_overage erp_credits
     allocated_power_cost gross_margin power_commit_kw price_per_kw total_site_kw total_power_cost contract_mrr
     mart_revenue_total variance_amount variance_pct contract_erp_revenue amount kw_over_commit invoiced_mrr
@@ -229,7 +260,7 @@ _INTS = """contract_id contract_version customer_id racks_entitled max_racks_use
     contracts_with_estimated_data contracts_with_trueups contracts_negative_margin gap_days next_version
     stated_version in_force_version billed_version reattributed missing previous_version racks_entitled_change
     over_commit_flag over_racks_flag invoice_id invoice_line_id row_count null_count null_revenue_rows
-    null_cost_rows cnt signed_rows readings overage_allowed_flag""".split()
+    null_cost_rows cnt signed_rows readings overage_allowed_flag days_to_close reading_id""".split()
 _TEXTS = ["ingested_at", "reprocessed_at"]
 
 
@@ -311,6 +342,33 @@ def _nulls(table: str) -> str:
     )
 
 
+def _marked(*parts: str) -> str:
+    """Parts with their lengths, as the surrogate keys take them."""
+    texts = [f"CAST({p} AS VARCHAR)" for p in parts]
+    return "concat_ws(';', " + ", ".join(f"coalesce(length({t}) || ':' || {t}, 'null')" for t in texts) + ")"
+
+
+def _stale(contracts: str) -> str:
+    return _emit(
+        """invoice_id invoice_line_id contract_id invoice_month billed_version in_force_version stale_reason
+        revenue_type amount""",
+        f"""(SELECT i.*, i.contract_version AS billed_version, n.in_force_version,
+             CASE WHEN n.in_force_version IS NULL THEN 'no version in force' ELSE 'other version in force' END AS stale_reason
+      FROM invoice_misfiled i
+      LEFT JOIN (SELECT j.invoice_id, j.invoice_line_id, j.contract_id, j.invoice_month, j.contract_version,
+                        max(c.contract_version) AS in_force_version,
+                        bool_or(c.contract_version = j.contract_version) AS billable
+                 FROM (SELECT DISTINCT invoice_id, invoice_line_id, contract_id, invoice_month, contract_version
+                       FROM invoice_misfiled) j
+                 JOIN {contracts} c ON j.contract_id = c.contract_id AND c.effective_start <= last_day(j.invoice_month)
+                  AND c.effective_end >= j.invoice_month
+                 GROUP BY 1, 2, 3, 4, 5) n
+        ON i.invoice_id = n.invoice_id AND i.invoice_line_id = n.invoice_line_id AND i.contract_id = n.contract_id
+       AND i.invoice_month = n.invoice_month AND i.contract_version = n.contract_version
+      WHERE n.billable IS DISTINCT FROM true) stale""",
+    )
+
+
 _COUNTED = {
     "v_meter_power_daily_effective": "meter_effective",
     "v_rack_utilization_daily_effective": "rack_effective",
@@ -358,9 +416,10 @@ _QUERIES = {
     ),
     "backfill_merge": _emit(_METER_COLUMNS + " reprocessed_at", "meter_backfilled"),
     "surrogate_keys": _emit(
-        "contract_key customer_key contract_id contract_version customer_id",
-        """(SELECT *, md5(concat_ws('|', contract_id, contract_version)) AS contract_key,
-             md5(CAST(customer_id AS VARCHAR)) AS customer_key FROM dim_contract) keyed""",
+        "contract_key customer_key source_system contract_id contract_version customer_id",
+        f"""(SELECT *, md5({_marked("source_system", "contract_id", "contract_version")}) AS contract_key,
+             md5({_marked("source_system", "customer_id")}) AS customer_key
+      FROM dim_contract, (VALUES ('erp'), ('crm')) systems(source_system)) keyed""",
     ),
     "customer_labels": """SELECT customer_id, printf('Customer_%02d', customer_id) AS customer_label, industry
     FROM dim_customer""",
@@ -384,12 +443,26 @@ _QUERIES = {
     "mart_contract_monthly": _emit(_MART_COLUMNS, "mart"),
     "contract_mrr": _emit("contract_id contract_version customer_id month contract_mrr", "mrr"),
     "customer_monthly": _emit(
-        "customer_id month contract_rows total_kw erp_revenue_total erp_mrr allocated_power_cost gross_margin",
-        """(SELECT c.customer_id, m.month, count(*) AS contract_rows, sum(m.total_kw) AS total_kw,
+        """customer_id month contract_rows total_kw erp_revenue_total erp_mrr erp_overage erp_credits
+        allocated_power_cost gross_margin customer_name industry""",
+        """(SELECT owned.*, d.customer_name, d.industry FROM (SELECT c.customer_id, m.month, count(*) AS contract_rows, sum(m.total_kw) AS total_kw,
              sum(m.erp_revenue_total) AS erp_revenue_total, sum(m.erp_mrr) AS erp_mrr,
+             sum(m.erp_overage) AS erp_overage, sum(m.erp_credits) AS erp_credits,
              sum(m.allocated_power_cost) AS allocated_power_cost, sum(m.gross_margin) AS gross_margin
       FROM mart m JOIN dim_contract c ON m.contract_id = c.contract_id AND m.contract_version = c.contract_version
-      GROUP BY 1, 2) owned""",
+      GROUP BY 1, 2) owned LEFT JOIN dim_customer d ON owned.customer_id = d.customer_id) named""",
+    ),
+    "clamped_utilization": """
+    SELECT CAST(contract_id AS BIGINT) AS contract_id, CAST(contract_version AS BIGINT) AS contract_version, month,
+           CASE WHEN power IS NOT NULL THEN greatest(0.0::DOUBLE, least(1.0::DOUBLE, power)) END AS power_utilization,
+           CASE WHEN racks IS NOT NULL THEN greatest(0.0::DOUBLE, least(1.0::DOUBLE, racks)) END AS rack_utilization
+    FROM (SELECT *, CAST(avg_daily_kw AS DOUBLE) / nullif(CAST(power_commit_kw AS DOUBLE), 0) AS power,
+                 CAST(avg_racks_used AS DOUBLE) / nullif(CAST(racks_entitled AS DOUBLE), 0) AS racks
+          FROM mart) used""",
+    "posting_month_end": _emit(
+        "invoice_id invoice_line_id posting_date closes_on days_to_close",
+        """(SELECT *, date_diff('day', posting_date, closes_on) AS days_to_close
+      FROM (SELECT *, last_day(invoice_month) AS closes_on FROM invoice) dated) timed""",
     ),
     "contract_utilization": _emit(
         """contract_id contract_version month avg_power_utilization peak_power_utilization avg_rack_utilization
@@ -456,16 +529,16 @@ _QUERIES = {
     "controls_summary": _emit(_SUMMARY_COLUMNS, "summary"),
     "negative_margin": _emit(_MART_COLUMNS, "mart WHERE gross_margin < 0"),
     "signoff_set": _emit(
-        "contract_id contract_version month total_kw erp_revenue_total gross_margin", "mart WHERE estimated_days = 0"
+        "contract_id contract_version month total_kw erp_revenue_total gross_margin", "signed WHERE signed"
     ),
     "signoff_share": _emit(
         "month contract_rows signed_rows total_kw signed_kw signed_row_share signed_kw_share",
         """(SELECT *, CAST(signed_rows AS DOUBLE) / CAST(contract_rows AS DOUBLE) AS signed_row_share,
              CAST(signed_kw AS DOUBLE) / nullif(CAST(total_kw AS DOUBLE), 0) AS signed_kw_share
-      FROM (SELECT month, count(*) AS contract_rows, count(*) FILTER (WHERE estimated_days = 0) AS signed_rows,
+      FROM (SELECT month, count(*) AS contract_rows, count(*) FILTER (WHERE signed) AS signed_rows,
                    sum(total_kw) AS total_kw,
-                   sum(CASE WHEN estimated_days = 0 THEN total_kw ELSE 0 END) AS signed_kw
-            FROM mart GROUP BY 1) sums) shares""",
+                   sum(CASE WHEN signed THEN total_kw ELSE 0 END) AS signed_kw
+            FROM signed GROUP BY 1) sums) shares""",
     ),
     "top_recent_contracts": _emit(
         _MART_COLUMNS, "mart ORDER BY mart.month DESC, mart.contract_id, mart.contract_version LIMIT 10"
@@ -499,13 +572,17 @@ _QUERIES = {
       LEFT JOIN usage u ON b.contract_id = u.contract_id AND b.contract_version = u.contract_version
                        AND b.invoice_month = u.usage_month) causes""",
     ),
-    "stale_version_billing": _emit(
-        """invoice_id invoice_line_id contract_id invoice_month billed_version in_force_version revenue_type
-        amount""",
-        """(SELECT i.*, i.contract_version AS billed_version, c.contract_version AS in_force_version
-      FROM invoice_misfiled i JOIN dim_contract c
-        ON i.contract_id = c.contract_id AND i.invoice_month BETWEEN c.effective_start AND c.effective_end
-      WHERE i.contract_version <> c.contract_version) stale""",
+    "stale_version_billing": _stale("dim_contract"),
+    "stale_version_mid_month": _stale("dim_contract_overlapping"),
+    "version_reattribution_overlap": _emit(
+        "reading_date contract_id stated_version in_force_version used_kw reattributed",
+        """(SELECT m.reading_date, m.contract_id, m.contract_version AS stated_version, m.used_kw, c.in_force_version,
+             m.contract_version IS DISTINCT FROM c.in_force_version AS reattributed
+      FROM meter m LEFT JOIN (
+        SELECT r.contract_id, r.reading_date, max(c.contract_version) AS in_force_version
+        FROM meter r JOIN dim_contract_overlapping c
+          ON r.contract_id = c.contract_id AND r.reading_date BETWEEN c.effective_start AND c.effective_end
+        GROUP BY 1, 2) c ON m.contract_id = c.contract_id AND m.reading_date = c.reading_date) moved""",
     ),
     "amendments": _emit(
         """contract_id contract_version previous_version amended_from racks_entitled_change power_commit_kw_change
@@ -558,11 +635,18 @@ _QUERIES = {
     ),
     "table_append_load": _emit(_METER_COLUMNS, "meter_raw"),
     "mart_partition_overwrite": _emit(_MART_COLUMNS, "mart"),
+    "mart_full_rebuild": _emit(_MART_COLUMNS, "mart_stored"),
     "sql_over_views": _emit(
         "month contract_rows contracts_negative_margin total_site_kw total_power_cost",
         """(SELECT s.*, t.total_site_kw, c.total_power_cost
       FROM summary s JOIN site t ON s.month = t.usage_month LEFT JOIN cost c ON s.month = c.cost_month) joined""",
     ),
+    "stream_intake": _emit(
+        "reading_id contract_id reading_date used_kw outcome",
+        """(SELECT *, 'accepted' AS outcome FROM reading_taken WHERE in_time
+      UNION ALL SELECT *, 'too late' AS outcome FROM reading_taken WHERE NOT in_time
+      UNION ALL SELECT *, 'too late' AS outcome FROM reading_taken WHERE NOT in_time AND reading_id % 7 = 0) taken""",
+    ),
     "stream_usage_daily": _emit("usage_date contract_id readings total_kw peak_kw", "event_days"),
     "stream_usage_monthly": _emit(
         "contract_id contract_version usage_month total_kw avg_daily_kw peak_kw",
@@ -573,7 +657,8 @@ _QUERIES = {
                    row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE)
                                       ORDER BY ts DESC, CAST(value AS DECIMAL(10,2)) DESC, event_id DESC) AS pos
             FROM events) ranked
-      WHERE pos = 1 GROUP BY 1, 2, 3) upserted""",
+      WHERE pos = 1 AND user_id IN (SELECT contract_id FROM dim_contract) AND year(day) = 2024
+      GROUP BY 1, 2, 3) upserted""",
     ),
     "layer_row_counts": _emit(
         "table_name cnt",

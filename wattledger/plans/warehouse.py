@@ -11,6 +11,7 @@ from datetime import date
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from wattledger.operators import dedupe, monthly, reconciliation, windows
 from wattledger.operators.mart import mart_contract_monthly
@@ -26,6 +27,7 @@ from wattledger.schemas import (
     MART,
     RACK_MONTHLY,
     RECON,
+    REPROCESSED,
     USAGE_MONTHLY,
 )
 from wattledger.sources.driver_tables import DerivedTables, SourceTables
@@ -89,21 +91,66 @@ def build(store: LayerStore, reconciled_at: Column | None = None) -> None:
     build_recon(store, reconciled_at)
 
 
-def backfill(store: LayerStore, late_readings: DataFrame, reconciled_at: Column | None = None) -> list[date]:
-    """Takes in late readings and rebuilds the months they touch.
+def _stamped(rows: DataFrame, reprocessed_at: Column | None) -> DataFrame:
+    at = F.current_timestamp() if reprocessed_at is None else reprocessed_at
+    return rows.withColumn(REPROCESSED, at.cast("timestamp_ntz"))
+
+
+def backfill(
+    store: LayerStore,
+    late_readings: DataFrame,
+    reconciled_at: Column | None = None,
+    reprocessed_at: Column | None = None,
+) -> list[date]:
+    """Takes in late readings, stamped with the time of the rerun, and rebuilds the months they touch.
 
     The raw table only grows. A rerun after a failure may append the same readings again; the latest
-    record per day absorbs copies, so the rebuilt months are the same.
+    record per day absorbs copies, so the rebuilt months are the same. The months are those that were
+    written: a source that grows meanwhile cannot leave one out.
     """
-    months = touched_months(late_readings, "reading_date")
+    months = store.append(_stamped(late_readings, reprocessed_at), FACT_METER)
     if months:
-        store.append(late_readings, FACT_METER)
         build_usage(store, months)
         build_mart(store, months)
         build_recon(store, reconciled_at)
     return months
 
 
+def backfill_racks(
+    store: LayerStore, late_counts: DataFrame, reconciled_at: Column | None = None, reprocessed_at: Column | None = None
+) -> list[date]:
+    """The same for rack counts."""
+    months = store.append(_stamped(late_counts, reprocessed_at), FACT_RACK)
+    if months:
+        build_rack_usage(store, months)
+        build_mart(store, months)
+        build_recon(store, reconciled_at)
+    return months
+
+
+def backfill_invoices(
+    store: LayerStore, lines: DataFrame, reconciled_at: Column | None = None, reprocessed_at: Column | None = None
+) -> list[date]:
+    """Takes in late and corrected invoice lines and rebuilds the months they touch.
+
+    A line replaces the stored one of its key, also where it moved to another month; appending it would
+    bill it twice. Only months that hold such lines, before or after, are read and written again. A line
+    given twice counts once.
+    """
+    key = list(FACT_INVOICE.key)
+    lines = _stamped(lines.dropDuplicates(key), reprocessed_at)
+    stored = store.read(FACT_INVOICE, audit=True)
+    moved = stored.join(lines.select(*key), key, "left_semi")
+    months = sorted(touched_months(moved.select("invoice_month").unionByName(lines.select("invoice_month")), "invoice_month"))
+    if months:
+        kept = store.read(FACT_INVOICE, months, audit=True).join(lines.select(*key), key, "left_anti")
+        store.overwrite(kept.unionByName(lines.select(*kept.columns)), FACT_INVOICE, months)
+        build_revenue(store, months)
+        build_mart(store, months)
+        build_recon(store, reconciled_at)
+    return months
+
+
 class StoredFrames(Frames):
     """The layers as read back from a store: reports and views over it scan stored months, not raw facts."""
 

@@ -21,6 +21,8 @@ class Table:
     key: tuple[str, ...]
     # Date column whose month partitions the stored table; None for small tables.
     dated_by: str | None = None
+    # Stored beside the declared columns and not part of the source format.
+    audit: tuple[str, ...] = ()
 
     @property
     def month_column(self) -> str | None:
@@ -50,6 +52,9 @@ TS = T.TimestampNTZType()
 KW, LINE_AMOUNT, AMOUNT = T.DecimalType(10, 2), T.DecimalType(12, 2), T.DecimalType(14, 2)
 USAGE = T.DecimalType(12, 2)
 
+#: When a row came in by a rerun; NULL on a first load.
+REPROCESSED = "reprocessed_at"
+
 DIM_CUSTOMER = Table(
     "curated",
     "dim_customer",
@@ -93,6 +98,7 @@ FACT_METER = Table(
     ),
     ("reading_date", "contract_id", "contract_version"),
     "reading_date",
+    (REPROCESSED,),
 )
 
 FACT_RACK = Table(
@@ -107,6 +113,7 @@ FACT_RACK = Table(
     ),
     ("usage_date", "contract_id", "contract_version"),
     "usage_date",
+    (REPROCESSED,),
 )
 
 FACT_INVOICE = Table(
@@ -124,6 +131,7 @@ FACT_INVOICE = Table(
     ),
     ("invoice_id", "invoice_line_id"),
     "invoice_month",
+    (REPROCESSED,),
 )
 
 FACT_COST = Table(

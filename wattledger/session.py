@@ -24,7 +24,11 @@ SETTINGS = {
 
 
 def split_hot_keys(spark: SparkSession) -> None:
-    """Makes a session it did not build meet skewed joins the way the operators rely on."""
+    """Makes a session it did not build meet skewed joins the way the operators rely on.
+
+    The settings stay: queries are lazy and need them when they run. Bring ``spark.newSession()`` to keep
+    another session's settings as they are.
+    """
     for key, value in SKEW_SETTINGS.items():
         spark.conf.set(key, value)
 

@@ -30,6 +30,7 @@ from wattledger.functions.expressions import (
 # Fixed values of the derivation.
 FIRST_DAY, LAST_DAY = "1995-01-01", "2001-12-31"
 AMENDED_FROM, AMENDED_UNTIL = "1998-04-01", "1998-03-31"
+AMENDED_MID_MONTH, RUNS_ON_UNTIL = "1998-04-15", "1998-06-30"
 
 # Tie-breaks after the arrival time; together they order every line of one contract and day.
 LINE_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
@@ -107,7 +108,8 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def contracts(spark: SparkSession, sf_dir: str, overlapping: bool = False) -> DataFrame:
+    """``overlapping`` amends in the middle of a month and lets the first version run on after it."""
     key = F.col("s_suppkey")
     amended = key % 5 < 3
     second = F.col("contract_version") == 2
@@ -121,8 +123,8 @@ def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
             key.alias("contract_id"),
             "contract_version",
             key.alias("customer_id"),
-            F.when(second, F.lit(AMENDED_FROM)).otherwise(F.lit(FIRST_DAY)).cast("date").alias("effective_start"),
-            F.when(amended & ~second, F.lit(AMENDED_UNTIL))
+            F.when(second, F.lit(AMENDED_MID_MONTH if overlapping else AMENDED_FROM)).otherwise(F.lit(FIRST_DAY)).cast("date").alias("effective_start"),
+            F.when(amended & ~second, F.lit(RUNS_ON_UNTIL if overlapping else AMENDED_UNTIL))
             .otherwise(F.lit(LAST_DAY))
             .cast("date")
             .alias("effective_end"),

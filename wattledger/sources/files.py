@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,8 +24,9 @@ def stored_type(field: T.StructField, wide: bool) -> T.DataType:
     return field.dataType
 
 
-def conform(df: DataFrame, table: Table, wide: bool = False) -> DataFrame:
-    """The declared columns in the declared order and type; times lose their fraction of a second."""
+def conform(df: DataFrame, table: Table, wide: bool = False, more: tuple[str, ...] = ()) -> DataFrame:
+    """The declared columns in the declared order and type, then ``more`` as they are; times lose their
+    fraction of a second."""
 
     def typed(field: T.StructField):
         if isinstance(field.dataType, T.TimestampNTZType):
@@ -31,7 +34,7 @@ def conform(df: DataFrame, table: Table, wide: bool = False) -> DataFrame:
             return F.substring(F.col(field.name).cast("string"), 1, 19).cast("timestamp_ntz").alias(field.name)
         return F.col(field.name).cast(stored_type(field, wide)).alias(field.name)
 
-    return df.select(*[typed(f) for f in table.schema.fields])
+    return df.select(*[typed(f) for f in table.schema.fields], *more)
 
 
 def read_csv(spark: SparkSession, path: str, table: Table) -> DataFrame:
@@ -67,9 +70,31 @@ def scratch_dir(spark: SparkSession) -> str:
     return new_folder(spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master)
 
 
+_local_root = lru_cache(maxsize=1)(lambda: tempfile.mkdtemp(prefix="wattledger-"))
+
+
+def own_dir(spark: SparkSession, name: str) -> str:
+    """The folder of one query under the shared one, emptied of what its last run left.
+
+    Results that are read from it lazily are gone with the next run of the same query.
+    """
+    shared, master = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master
+    if not shared and not _is_local(master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    folder = f"{shared.rstrip('/') if shared else _local_root()}/wattledger-{name}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+    return folder
+
+
+def _is_local(master: str) -> bool:
+    """One process with one disk; ``local-cluster`` has several."""
+    return re.match(r"local(\[|$)", master) is not None
+
+
 def new_folder(shared: str | None, master: str) -> str:
     if shared:
         return f"{shared.rstrip('/')}/wattledger-{uuid.uuid4().hex}"
-    if not master.startswith("local"):
+    if not _is_local(master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return os.path.join(tempfile.mkdtemp(prefix="wattledger-"), "scratch")

@@ -47,13 +47,16 @@ class LayerStore:
 
     def _stored(self, table: Table) -> T.StructType:
         fields = [T.StructField(f.name, stored_type(f, self.wide)) for f in table.schema.fields]
+        fields += [T.StructField(name, T.TimestampNTZType()) for name in table.audit]
         if table.month_column and table.month_column not in table.schema.names:
             fields.append(T.StructField(table.month_column, T.DateType()))
         return T.StructType(fields)
 
     def _shaped(self, df: DataFrame, table: Table) -> DataFrame:
         """Declared columns and types, in the positional order the stored table has."""
-        rows = conform(df, table, self.wide)
+        given = {c: F.col(c) if c in df.columns else F.lit(None) for c in table.audit}
+        kept = {c: v.cast("timestamp_ntz").alias(c) for c, v in given.items()}
+        rows = conform(df.select(*[c for c in df.columns if c not in kept], *kept.values()), table, self.wide, tuple(kept))
         month = table.month_column
         if month and month not in rows.columns:
             rows = rows.withColumn(month, month_floor(F.col(table.dated_by)))
@@ -63,23 +66,41 @@ class LayerStore:
             rows = rows.hint("rebalance", month)
         return rows.select(*self.spark.table(self.name(table)).columns)
 
-    def append(self, df: DataFrame, table: Table) -> None:
-        self._shaped(df, table).write.mode("append").insertInto(self.name(table))
+    def append(self, df: DataFrame, table: Table) -> list[date]:
+        """Adds rows; returns the months they went to, as they were written."""
+        rows, month = self._shaped(df, table), table.month_column
+        seen = Observation()
+        if month:
+            rows = rows.observe(seen, F.collect_set(month).alias("months"))
+        rows.write.mode("append").insertInto(self.name(table))
+        return sorted(seen.get["months"]) if month else []
 
     def overwrite(self, df: DataFrame, table: Table, months: Sequence[date] | None = None) -> None:
-        """Replaces the months the rows belong to, or the whole table where it has no months.
+        """Replaces the whole table, or with ``months`` those months and no other.
 
         ``months`` are the ones that were rebuilt: those the rows no longer mention are emptied, which an
         overwrite of written partitions alone would leave as they were.
         """
         rows, month = self._shaped(df, table), table.month_column
+        if months is None or not month:
+            self._replace(rows, table, "static")
+            return
         seen = Observation()
-        if months is not None and month:
-            rows = rows.observe(seen, F.collect_set(month).alias("months"))
-        rows.write.option("partitionOverwriteMode", "dynamic").insertInto(self.name(table), overwrite=True)
-        if months is not None and month:
-            for gone in set(months) - set(seen.get["months"]):
-                self._empty(table, gone)
+        rows = rows.observe(seen, F.collect_set(month).alias("months"))
+        self._replace(rows, table, "dynamic")
+        for gone in set(months) - set(seen.get["months"]):
+            self._empty(table, gone)
+
+    def _replace(self, rows: DataFrame, table: Table, mode: str) -> None:
+        """Static replaces the table, dynamic the months written. A catalog table takes the mode from the
+        session alone, which gets its own back when the write is done."""
+        setting = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(setting)
+        self.spark.conf.set(setting, mode)
+        try:
+            rows.write.insertInto(self.name(table), overwrite=True)
+        finally:
+            self.spark.conf.set(setting, before)
 
     def _empty(self, table: Table, month: date) -> None:
         """Removes a month's files; an overwrite of one named partition does so even without rows."""
@@ -90,12 +111,17 @@ class LayerStore:
             f"SELECT {columns} WHERE false"
         )
 
-    def read(self, table: Table, months: Sequence[date] | None = None) -> DataFrame:
-        """The declared columns, restricted to whole months by partition pruning."""
+    def read(self, table: Table, months: Sequence[date] | None = None, audit: bool = False) -> DataFrame:
+        """The declared columns, restricted to whole months by partition pruning; on demand those for audit."""
         rows = self.spark.table(self.name(table))
         if months is not None and table.month_column:
             rows = rows.where(F.col(table.month_column).isin(list(months)))
-        return rows.select(*table.schema.names)
+        return rows.select(*table.schema.names, *(table.audit if audit else ()))
+
+    def drop(self) -> None:
+        """Forgets the tables; their files stay."""
+        for layer in LAYERS:
+            self.spark.sql(f"DROP DATABASE IF EXISTS {self.database(layer)} CASCADE")
 
 
 def touched_months(df: DataFrame, day: str) -> list[date]:

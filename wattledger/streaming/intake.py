@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -13,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from wattledger.functions.expressions import BACKFILL_DAYS, ON_TIME, month_floor
 from wattledger.operators.dedupe import latest_readings
 from wattledger.operators.monthly import usage_monthly
+from wattledger.operators.windows import version_in_force
 from wattledger.sources.layers import touched_months
 
 EVENTS = T.StructType(
@@ -54,37 +57,62 @@ def event_stream(spark: SparkSession, folder: str, name_glob: str = "events*.par
     return reader.parquet(folder)
 
 
-def as_readings(events: DataFrame) -> DataFrame:
-    """Events as meter readings: the user is the contract, the value its kW, the event time the arrival."""
+def as_readings(events: DataFrame, arriving_late: bool = False) -> DataFrame:
+    """Events as meter readings: the user is the contract, the value its kW, the event's day the reading date.
+
+    The event time is the arrival; with ``arriving_late`` readings arrive up to ten days after it.
+    """
+    delay = (F.col("event_id") % 11).cast("int") if arriving_late else F.lit(0)
     return events.select(
         F.col("ts").cast("date").alias("reading_date"),
         F.col("user_id").alias("contract_id"),
         F.lit(1).alias("contract_version"),
         F.col("value").cast("decimal(10,2)").alias("used_kw"),
         F.lit(ON_TIME).alias("reading_status"),
-        F.col("ts").alias("ingested_at"),
+        (F.col("ts") + F.make_dt_interval(delay)).alias("ingested_at"),
         F.col("event_id").alias("reading_id"),
     )
 
 
+def event_contracts(contracts: DataFrame) -> DataFrame:
+    """Contracts for the readings made from events: as many as there are, in one version, for the events' years."""
+    return contracts.select("contract_id").distinct().select(
+        "contract_id",
+        F.lit(1).alias("contract_version"),
+        F.lit("2024-01-01").cast("date").alias("effective_start"),
+        F.lit("2024-12-31").cast("date").alias("effective_end"),
+    )
+
+
+def _days_late() -> Column:
+    return F.datediff(F.col("ingested_at").cast("date"), F.col("reading_date"))
+
+
 def intake(
     readings: DataFrame, key: Sequence[str] = ("reading_id",), lateness_days: int = BACKFILL_DAYS
 ) -> DataFrame:
-    """Readings no later than the backfill window, each delivered once.
+    """Readings that arrived within the backfill window, each delivered once.
 
-    State holds one entry per key for the length of the window and is evicted after it. Readings later
-    than that are dropped here, so their days stay missing and the calendar reports them as estimated.
-    The watermark needs a timestamp with time zone: build this under UTC, as ``run_daily_usage`` does.
+    The reading's own day is the event time: it decides on lateness, on the day usage is booked and on
+    when state is let go. State holds one entry per key for the length of the window. What came later is
+    in ``too_late``. Input is taken in the order of arrival; a reading in time is then never behind the
+    watermark. The watermark needs a timestamp with time zone: build this under UTC, as the runs below do.
     """
     return (
-        readings.withColumn("reading_ts", F.col("ingested_at").cast("timestamp"))
+        readings.where(_days_late() <= lateness_days)
+        .withColumn("reading_ts", F.col("reading_date").cast("timestamp"))
         .withWatermark("reading_ts", f"{lateness_days} days")
         .dropDuplicatesWithinWatermark(list(key))
     )
 
 
+def too_late(readings: DataFrame, lateness_days: int = BACKFILL_DAYS) -> DataFrame:
+    """Readings beyond the window, as they came: for the next backfill, and so that none is lost without a trace."""
+    return readings.where(_days_late() > lateness_days)
+
+
 def daily_usage(accepted: DataFrame) -> DataFrame:
-    """Usage per contract and day; in append mode a day appears once, when the watermark has closed it.
+    """Usage per contract and reading day; in append mode a day appears once, when the watermark has closed it.
 
     Months differ in length, so they cannot be a tumbling window; ``MonthUpsert`` builds those.
     """
@@ -101,7 +129,11 @@ def daily_usage(accepted: DataFrame) -> DataFrame:
 
 @contextmanager
 def _utc(spark: SparkSession) -> Iterator[None]:
-    """Days are UTC days whatever the session's zone; a stream keeps the zone it was started under."""
+    """Days are UTC days whatever the session's zone; a stream keeps the zone it was started under.
+
+    The session's zone is changed while streams are started and set back at once: do not plan other
+    queries of the same session in another thread at that moment.
+    """
     zone = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     try:
@@ -110,18 +142,30 @@ def _utc(spark: SparkSession) -> Iterator[None]:
         spark.conf.set("spark.sql.session.timeZone", zone)
 
 
-def run_daily_usage(events: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+def _append(rows: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    return (
+        rows.writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", out)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def run_daily_usage(readings: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Starts the daily usage stream over whatever input is there and ends when it is used up."""
-    with _utc(events.sparkSession):
-        return (
-            daily_usage(intake(as_readings(events)))
-            .writeStream.outputMode("append")
-            .format("parquet")
-            .option("path", out)
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start()
-        )
+    with _utc(readings.sparkSession):
+        return _append(daily_usage(intake(readings)), out, checkpoint)
+
+
+def run_intake(readings: DataFrame, out: str, late_out: str, checkpoint: str) -> None:
+    """Takes in what is there: accepted readings to one table, those beyond the window to the other."""
+    with _utc(readings.sparkSession):
+        accepted = _append(intake(readings).drop("reading_ts"), out, f"{checkpoint}/accepted")
+        late = _append(too_late(readings), late_out, f"{checkpoint}/late")
+    for query in (accepted, late):
+        query.awaitTermination()
 
 
 class MonthUpsert:
@@ -129,24 +173,52 @@ class MonthUpsert:
 
     The log is partitioned by month and batch. A replayed batch overwrites its own partitions, and the
     monthly table is only ever derived from the log, so a failure at any point is repaired by the replay.
+    Readings get the contract version in force on their day and those no version holds are left out, as
+    the batch tables do it.
+
+    A month that has gathered ``most_batches`` folders is folded into one, in a base table beside the
+    log: it is written first and the folders go afterwards, and as the latest reading of a day wins, a
+    failure in between leaves copies but changes nothing.
     """
 
-    def __init__(self, log_path: str, usage_path: str):
-        self.log_path, self.usage_path = log_path, usage_path
+    def __init__(self, contracts: DataFrame, log_path: str, usage_path: str, most_batches: int = 16):
+        self.contracts, self.log_path, self.usage_path = contracts, log_path, usage_path
+        self.base_path, self.most_batches = f"{log_path}_base", most_batches
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        stamped = batch.withColumn("reading_month", month_floor(F.col("reading_date"))).withColumn(
-            "batch_id", F.lit(batch_id)
-        )
+        month = month_floor(F.col("reading_date"))
+        months = touched_months(batch, "reading_date")
+        if not months:
+            return
+        stamped = batch.withColumn("reading_month", month).withColumn("batch_id", F.lit(batch_id))
         self._write(stamped.hint("rebalance", "reading_month"), self.log_path, "reading_month", "batch_id")
-        log = batch.sparkSession.read.schema(
-            T.StructType([*READINGS.fields, T.StructField("reading_month", T.DateType()),
-                          T.StructField("batch_id", T.LongType())])
-        ).parquet(self.log_path)
-        months = touched_months(log.where(F.col("batch_id") == batch_id), "reading_month")
-        readings = log.where(F.col("reading_month").isin(months)).drop("reading_month", "batch_id")
-        usage = usage_monthly(latest_readings(readings)).hint("rebalance", "usage_month")
+        readings = self._logged(batch.sparkSession, months)
+        latest = version_in_force(latest_readings(readings.drop("reading_month")), self.contracts, "reading_date")
+        held = latest.where("in_force_version IS NOT NULL").withColumn("contract_version", F.col("in_force_version"))
+        usage = usage_monthly(held.drop("in_force_version")).hint("rebalance", "usage_month")
         self._write(usage, self.usage_path, "usage_month")
+        for one in months:
+            self._fold(batch.sparkSession, one, batch_id)
+
+    def _logged(self, spark: SparkSession, months: Sequence[date]) -> DataFrame:
+        """Base and log of the months, by their folders alone: other months are not even listed."""
+        stored = T.StructType([*READINGS.fields, T.StructField("reading_month", T.DateType())])
+        parts = []
+        for root in (self.base_path, self.log_path):
+            there = [p for m in months if _exists(spark, p := f"{root}/reading_month={m}")]
+            if there:
+                parts.append(spark.read.option("basePath", root).schema(stored).parquet(*there).select(*stored.names))
+        return reduce(DataFrame.unionByName, parts)
+
+    def _fold(self, spark: SparkSession, month: date, batch_id: int) -> None:
+        """All but the batch at hand, which a replay may still write again."""
+        old = [p for p in _children(spark, f"{self.log_path}/reading_month={month}") if p != f"batch_id={batch_id}" and "=" in p]
+        if len(old) < self.most_batches:
+            return
+        everything = latest_readings(self._logged(spark, [month]).drop("reading_month")).withColumn("reading_month", F.lit(month))
+        self._write(everything.hint("rebalance", "reading_month"), self.base_path, "reading_month")
+        for folder in old:
+            _delete(spark, f"{self.log_path}/reading_month={month}/{folder}")
 
     @staticmethod
     def _write(df: DataFrame, path: str, *partitions: str) -> None:
@@ -154,10 +226,31 @@ class MonthUpsert:
         writer.partitionBy(*partitions).parquet(path)
 
 
-def run_month_upsert(events: DataFrame, log_path: str, usage_path: str, checkpoint: str) -> StreamingQuery:
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), folder
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    files, folder = _folder(spark, path)
+    return files.exists(folder)
+
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    files, folder = _folder(spark, path)
+    return [f.getPath().getName() for f in files.listStatus(folder)] if files.exists(folder) else []
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    files, folder = _folder(spark, path)
+    files.delete(folder, True)
+
+
+def run_month_upsert(
+    readings: DataFrame, contracts: DataFrame, log_path: str, usage_path: str, checkpoint: str
+) -> StreamingQuery:
     return (
-        as_readings(events)
-        .writeStream.foreachBatch(MonthUpsert(log_path, usage_path))
+        readings.writeStream.foreachBatch(MonthUpsert(contracts, log_path, usage_path))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
