@@ -1,0 +1,187 @@
+"""What the registered queries do not reach: other parameters, hot groups, cut texts, held-out accuracy."""
+
+from __future__ import annotations
+
+import os
+import random
+from collections import Counter
+
+import brute
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from test_queries import encoder
+from tokenizers import Tokenizer
+
+from wattledger.llm import bpe, html_extract, line_dedup, near_dedup, neighbours, quality, sharding, suffix_dedup, token_counts
+from wattledger.llm._words import SPACED, groups
+
+DOCS = "doc_id long, text string"
+
+
+def test_lines_keep_other_columns_and_replace_their_own(spark):
+    rows = [(k, f"shared by all of the documents\nown line {k}", "kept", 99) for k in range(4)]
+    docs = spark.createDataFrame(rows, DOCS + ", source string, n_lines long")
+    out = line_dedup.drop_shared_lines(docs)
+    assert out.columns == ["doc_id", "source", "text", "n_lines", "n_dropped"]
+    assert {(r.doc_id, r.source, r.n_lines, r.n_dropped) for r in out.collect()} == {(k, "kept", 2, int(k < 3)) for k in range(4)}
+
+
+def test_hot_group_of_near_copies_in_cells(spark, monkeypatch):
+    """Cells of seven documents: groups are cut by length, dealt out and joined again."""
+    monkeypatch.setattr(near_dedup, "CELL_DOCS", 7)
+    r = random.Random(4)
+    base = [f"w{r.randint(0, 500)}" for _ in range(120)]
+    docs = []
+    for k in range(60):
+        words = list(base[: r.choice([120, 110, 60])])
+        for _ in range(r.randint(0, 9)):
+            words[r.randrange(len(words))] = f"e{r.randint(0, 9999)}"
+        docs.append((k, " ".join(words)))
+    docs += [(100 + k, docs[k][1].upper()) for k in range(5)]
+    found = near_dedup.near_duplicates(spark.createDataFrame(docs, DOCS), 3, 85).collect()
+    want = {w[0]: w[2] for w in brute.near_dedup(docs)}
+    assert {r.doc_id: r.component_id for r in found} == want and 10 < len(set(want.values())) < 60
+
+
+def test_union_sketch_and_links_agree_with_sets():
+    r = random.Random(1)
+    sets = [np.unique(np.array([r.getrandbits(64) for _ in range(150)], np.uint64)) for _ in range(3)]
+    sets += [np.unique(np.concatenate([sets[0][:k], sets[1][: 150 - k]])) for k in (150, 145, 138, 75)] + [sets[0][:20]]
+    link = near_dedup.linked(sets, 64, 85)
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            common, union = len(np.intersect1d(a, b)), len(np.union1d(a, b))
+            assert link[i, j] == (i != j and 100 * common >= 85 * union)
+    size, common = near_dedup.union_sketch(np.array([sets[0][:64], sets[1][:64], sets[4][:64]]), np.array([0, 0]), np.array([1, 2]), 64)
+    smallest = np.union1d(sets[0], sets[4])[:64]
+    assert size.tolist() == [64, 64] and common.tolist() == [0, len(np.intersect1d(np.intersect1d(smallest, sets[0]), sets[4]))]
+
+
+def test_word_hashes_do_not_depend_on_the_group():
+    import pyarrow as pa
+
+    long = "alpha beta " * 120_000
+    together = list(groups(pa.array(["Alpha  BETA", None, long, "beta"]), SPACED))
+    assert [g.first for g in together] == [0, 2, 3]
+    a, b = together[0].hashes
+    assert (together[1].hashes[::2] == a).all() and (together[1].hashes[1::2] == b).all() and len(together[1].hashes) == 240_000
+    assert together[2].hashes.tolist() == [b] and together[0].bounds.tolist() == [0, 2, 2]
+
+
+def spliced_texts():
+    r = random.Random(5)
+    base = ["".join(r.choice("abcdé ") for _ in range(700)) for _ in range(3)]
+    docs = [(0, None), (2, "x" * 900), (3, "ab" * 300), (None, base[0]), (None, base[0]), (9, base[1][:64])]
+    for k in range(40):
+        text = "".join(r.choice("ghijklm ") for _ in range(r.randint(0, 300)))
+        for _ in range(r.randint(0, 2)):
+            b, s = r.choice(base), r.randint(0, 600)
+            piece = b[s : s + r.randint(20, 160)]
+            if r.random() < 0.4:
+                p = r.randint(0, len(piece))
+                piece = piece[:p] + "zq" + piece[p + 1 :]
+            text += piece + "".join(r.choice("ghijklm ") for _ in range(r.randint(0, 200)))
+        docs.append((10 + k, text))
+    return docs
+
+
+@pytest.mark.parametrize("array_rows", [4000, 3])
+def test_repeats_in_arrays_and_by_windows(spark, array_rows):
+    docs = spliced_texts()
+    out = suffix_dedup.remove_repeats(spark.createDataFrame(docs, DOCS), length=64, array_rows=array_rows).collect()
+    got = Counter((r.doc_id, r.n_bytes, r.n_removed, len(r.spans), brute.sha(bytes(r.kept))) for r in out)
+    assert got == Counter(brute.suffix_dedup(docs, 64))
+    assert 0 < sum(r.n_removed for r in out) < 0.7 * sum(r.n_bytes for r in out)
+
+
+def test_intervals_are_maximal_and_nested():
+    assert sorted(suffix_dedup.intervals(np.array([3, 3, 1, 5]), 1)) == [(1, 0, 4), (3, 0, 2), (5, 3, 4)]
+    assert list(suffix_dedup.intervals(np.array([3, 3, 1, 5]), 4)) == [(5, 3, 4)]
+
+
+def test_cut_texts_have_the_tokens_of_whole_ones(spark):
+    r = random.Random(2)
+    long = "".join(r.choice(["word", " ", "  ", "\n", "'s", "é", "12", "!?", "　"]) for _ in range(3000))
+    docs = [(1, long), (1, long), (2, "x" * 2000), (3, None), (None, "a b"), (4, " " * 500), (5, long[:700])]
+    vocabulary = public_tokenizers.path(bpe.VOCABULARY)
+    df = spark.createDataFrame(docs, DOCS)
+    out = bpe.encode(df, vocabulary, public_tokenizers.PATTERN, block_chars=900, segment_chars=200).collect()
+    got = Counter((x.doc_id, x.n_tokens, brute.sha(bytes(x.ids)), brute.sha(bytes(x.decoded))) for x in out)
+    assert got == Counter(brute.encode(docs, encoder()))
+
+
+def test_chunks_resynchronise_or_widen(spark):
+    library = Tokenizer.from_file(public_tokenizers.path(token_counts.VOCABULARY))
+    r = random.Random(2)
+    pieces = ["a", " ", "b\n", "<|endoftext|>", "'s", "é", "12", "  "]
+    texts = ["x" * 5000, None, "ab <|endoftext|>" * 300, "漢字" * 1500 + " a" * 300, "   \n\n " * 500, "<|endoftext|" * 200 + ">", "x" * 5000, ""]
+    docs = [(k, t) for k, t in enumerate(texts + ["".join(r.choice(pieces) for _ in range(2000)) for _ in range(8)])]
+    df = spark.createDataFrame(docs, DOCS)
+    out = token_counts.count_tokens(df, public_tokenizers.path(token_counts.VOCABULARY), public_tokenizers.PATTERN, chunk=600, overlap=40)
+    want = {k: len(library.encode(t or "", add_special_tokens=False)) for k, t in docs}
+    assert {x.doc_id: x.n_tokens for x in out.collect()} == want
+
+
+def test_weighted_shards_and_moves():
+    ids = range(6000)
+    weights = [1.0, 2.0, 3.0]
+    shares = Counter(brute.shard_of(i, weights) for i in ids)
+    assert all(abs(shares[s] / 6000 - w / 6) < 0.03 for s, w in enumerate(weights))
+    moved = [(brute.shard_of(i, weights), brute.shard_of(i, [*weights, 1.0])) for i in ids]
+    assert {b for a, b in moved if a != b} == {3}
+
+
+def test_shards_follow_weights_and_number_hot_groups(spark):
+    ids = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("doc_id"))
+    weights = [1.0, 0.5, 2.5]
+    placed = sharding.number_within(sharding.assign_shards(ids, weights), "shard", ["doc_id"]).collect()
+    assert all(r.shard == brute.shard_of(r.doc_id, weights) for r in placed)
+    slots: dict = {}
+    for r in placed:
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert sum(map(len, slots.values())) == 3000 and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    with pytest.raises(ValueError):
+        sharding.rendezvous(F.col("doc_id"), [1.0, 0.0])
+
+
+def test_graph_recall():
+    rng = np.random.default_rng(0)
+    centres = rng.normal(0, 1, (20, 32))
+    vectors = (centres[rng.integers(0, 20, 2500)] + rng.normal(0, 0.3, (2500, 32))).astype(np.float32)
+    graph = neighbours.build(vectors)
+    hit = 0
+    for q in rng.integers(0, 2500, 60):
+        exact = np.argsort(((vectors - vectors[q]) ** 2).sum(axis=1))[:10]
+        hit += len(set(exact.tolist()) & set(graph.nearest(vectors[q], neighbours.SEARCH_WIDTH)[:10]))
+    assert hit / 600 >= 0.9
+
+
+def test_furniture_of_pages_is_left_out():
+    page = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="main">
+    <header><h1>Site</h1><a href=/>Home</a></header><div id="cookie-notice">We use <b>cookies</b>.</div><nav>menu</nav>
+    <main><h1>Title &lt;x&gt;</h1><p>Para one with <a href="a>b">link</a> &amp;
+      text&nbsp;here.<p>Short.<ul><li>item one<li>item two</ul><div class="share-buttons">Share</div>
+    <form><label>Mail</label><input></form><aside>Side stuff long enough to matter in words and more words</aside>
+    <div class="ad">Buy this</div><table><tr><td>c1</td><td>c2</td></tr></table><!-- note --></main>
+    <section class="comments"><article><p>A long comment about the article, with many words in it, by a reader.</p></article></section>
+    <footer>&copy; foot</footer><script>if(a<b){"</p>"}</script>"""
+    tree = html_extract.grow(
+        np.array([f for f, _ in html_extract.LABELLED], float), np.array([y for _, y in html_extract.LABELLED], float)
+    )
+    assert html_extract.main_text(page, tree).split("\n") == ["Title <x>", "Para one with link & text here.", "Short.", "item one", "item two", "c1 c2"]
+    assert html_extract.main_text("<article><p>1 < 2</article>", tree) == "1 < 2"
+    assert all(html_extract.decide(tree, f) == bool(y) for f, y in html_extract.LABELLED)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="no test tables")
+def test_quality_of_held_out_documents(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    known = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    rows = quality.op3_quality(spark, sf_dir).where("held_out").join(known, "doc_id").collect()
+    bad, good = ([r.score for r in rows if r.quality == q] for q in (0, 1))
+    assert len(bad) > 50 and np.mean([g > b for g in good for b in bad]) > 0.95
+    assert np.mean([r.predicted == r.quality for r in rows]) > 0.95
+    # Clean documents stay.
+    assert np.mean([g >= quality.THRESHOLD for g in good]) > 0.99

@@ -39,7 +39,7 @@ def load(path: str, pattern: str):
     return encoder, {rank: token for token, rank in ranks.items()}
 
 
-def segments(text: str, size: int = SEGMENT_CHARS) -> Iterator[str]:
+def segments(text: str, size: int) -> Iterator[str]:
     """A text in parts that split into the same words as the whole.
 
     No word of the pattern holds white space behind another character, so a place between such a
@@ -65,7 +65,7 @@ def _unpack_places(packed: bytes) -> np.ndarray:
     return np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
 
 
-def _word_blocks(pattern: str, block_chars: int, buckets: int):
+def _word_blocks(pattern: str, block_chars: int, segment_chars: int, buckets: int):
     """One row for each block of texts: its distinct words by bucket, and of each text the places in that list."""
     listed = pa.list_(pa.struct([("bucket", pa.int32()), ("words", pa.binary()), ("places", pa.binary())]))
 
@@ -103,7 +103,7 @@ def _word_blocks(pattern: str, block_chars: int, buckets: int):
             )
             for i in range(batch.num_rows):
                 text = batch.column(1)[i].as_py() or ""
-                parts = segments(text)
+                parts = segments(text, segment_chars)
                 part, piece = next(parts), 0
                 while part is not None:
                     places = np.array([words.setdefault(w, len(words)) for w in split(part)], np.uint32)
@@ -197,6 +197,7 @@ def encode(
     id_col: str = "doc_id",
     text_col: str = "text",
     block_chars: int = BLOCK_CHARS,
+    segment_chars: int = SEGMENT_CHARS,
 ) -> DataFrame:
     """One row per document: ``id_col``, ``n_tokens``, ``ids`` (little-endian unsigned 32-bit integers) and
     ``decoded`` (the bytes the ids stand for). A null or empty text has no tokens. Rows that repeat an id
@@ -211,7 +212,7 @@ def encode(
     is put together by position and decoded through the token-byte table. A common word is shuffled once
     for each block, not for each occurrence. Blocks are stored bucketed by their number: the lists of
     places, most of the volume, are not shuffled. A text larger than a block is cut between words and its
-    parts are joined at the end.
+    parts are joined at the end. ``segment_chars`` is what is split into words at a time.
     """
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -220,7 +221,7 @@ def encode(
     text = _struct([("id", id_type), *numbers, ("places", T.BinaryType())])
     dealt = _struct([("bucket", T.IntegerType()), ("words", T.BinaryType()), ("places", T.BinaryType())])
     blocks = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        _word_blocks(pattern, block_chars, 2 * buckets),
+        _word_blocks(pattern, block_chars, segment_chars, 2 * buckets),
         _struct([("block", T.LongType()), ("words", T.ArrayType(dealt)), ("texts", T.ArrayType(text))]),
     )
     name = f"wattledger_words_{uuid.uuid4().hex}"

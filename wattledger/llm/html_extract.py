@@ -57,13 +57,19 @@ class Block:
     heading: bool
 
 
-def _kind(tag: str, rest: str, in_article: bool) -> tuple[bool, bool]:
-    """Whether an element stands beside the article, and whether it is one."""
+def _kind(tag: str, rest: str, in_element: bool) -> tuple[bool, bool]:
+    """Whether an element stands beside the article, and whether it is one.
+
+    A header belongs to the article only inside an article element: containers named content often hold
+    the whole page. The body is neither, whatever its name.
+    """
+    if tag in ("body", "html"):
+        return False, False
     named = {p.lower() for _, *v in NAMES.findall(rest) for p in PARTS.findall("".join(v))} if rest else set()
     beside = tag in BESIDE or bool(named & BESIDE_WORDS) or bool(rest and HIDDEN.search(rest))
-    if not in_article:
+    if not in_element:
         beside = beside or tag == "header" or bool(named & HEADER_WORDS and not named & ARTICLE_WORDS)
-    return beside and tag not in ("body", "html"), tag in ARTICLES or bool(named & ARTICLE_WORDS)
+    return beside, tag in ARTICLES or bool(named & ARTICLE_WORDS)
 
 
 def blocks(page: str) -> list[Block]:
@@ -71,7 +77,7 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, bool, bool]] = []
     pieces: list[tuple[str, bool]] = []
-    beside = article = dropped = links = heading = 0
+    beside = article = element = dropped = links = heading = 0
 
     def flush() -> None:
         text = " ".join("".join(p for p, _ in pieces).split())
@@ -81,10 +87,11 @@ def blocks(page: str) -> list[Block]:
         pieces.clear()
 
     def pop() -> None:
-        nonlocal beside, article, dropped, links, heading
+        nonlocal beside, article, element, dropped, links, heading
         tag, is_beside, is_article = stack.pop()
         beside -= is_beside
         article -= is_article
+        element -= tag in ARTICLES
         dropped -= tag in DROPPED
         links -= tag == "a"
         heading -= tag in HEADINGS
@@ -117,10 +124,11 @@ def blocks(page: str) -> list[Block]:
             if not any(s[0] in BLOCKS for s in stack[k + 1 :]):
                 while len(stack) > k:
                     pop()
-        is_beside, is_article = _kind(tag, token["rest"], article > 0)
+        is_beside, is_article = _kind(tag, token["rest"], element > 0)
         stack.append((tag, is_beside, is_article))
         beside += is_beside
         article += is_article
+        element += tag in ARTICLES
         dropped += tag in DROPPED
         links += tag == "a"
         heading += tag in HEADINGS
