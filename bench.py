@@ -36,6 +36,10 @@ HEADLINE = (
     "stale_version_billing",
     "pk_violations",
     "backfill_merge",
+    "unbilled_spikes",
+    "layer_row_counts",
+    "mart_partition_overwrite",
+    "stream_usage_daily",
 )
 
 

@@ -73,9 +73,7 @@ class Frames:
 
     @cached_property
     def recon(self) -> DataFrame:
-        """Billed months from the contract-months, which the mart reads as well, not from the lines again."""
-        billed = self.erp_revenue.withColumnRenamed("erp_revenue_total", "amount")
-        return reconciliation.recon_erp_vs_mart_monthly(billed, self.mart)
+        return reconciliation.recon_from_months(self.erp_revenue, self.usage, self.power_cost)
 
     @cached_property
     def lateness(self) -> DataFrame:
