@@ -229,6 +229,8 @@ def encode(
     writer = blocks.write.bucketBy(buckets, "block").option("compression", "zstd").option("path", path)
     writer.format("parquet").saveAsTable(name)
     listed = spark.table(name)
+    # Only its name: the files stay, and the plan knows them and their buckets.
+    spark.sql(f"DROP TABLE {name}")
     words = (
         listed.select("block", F.inline("words"))
         .repartition("bucket")
