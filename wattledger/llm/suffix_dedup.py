@@ -16,6 +16,7 @@ LENGTH = 400
 PIECE = 2**19
 PLACE_BITS = np.uint64(2**20 - 1)
 ARRAY_ROWS = 4000
+FIELD_BITS = 2**25
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -187,6 +188,18 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=[batch.schema.names[0], "n_bytes", "n_removed", "spans", "kept"])
 
 
+def likely_in(rows: DataFrame, column: str, values: DataFrame) -> DataFrame:
+    """The rows whose value is among ``values``, with some others: a bit field of fixed size, at most
+    ``FIELD_BITS`` / 64 rows whatever there is, is broadcast instead of the values."""
+    slot = F.col(column).bitwiseAND(FIELD_BITS - 1)
+    at, bit = F.shiftright(slot, 6).cast("int"), slot.bitwiseAND(63).cast("int")
+    field = (
+        values.select(at.alias("__at"), bit.alias("__bit")).groupBy("__at").agg(F.bit_or(F.expr("shiftleft(1L, __bit)")).alias("__bits"))
+    )
+    marked = rows.withColumns({"__at": at, "__bit": bit}).join(F.broadcast(field), "__at")
+    return marked.where(F.expr("shiftrightunsigned(__bits, __bit) & 1 = 1")).select(*rows.columns)
+
+
 def remove_repeats(
     docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", array_rows: int = ARRAY_ROWS
 ) -> DataFrame:
@@ -215,6 +228,9 @@ def remove_repeats(
             _anchor_rows(length), "a bigint, b bigint, place bigint, left int, right int, string bigint, around bigint"
         )
     )
+    # Most strings occur once; as long as the field is not full, their places go no further.
+    often = stored(places.groupBy("string").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("string"))
+    places = likely_in(places, "string", often)
     kinds = places.groupBy("string", "around").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("a", "b", "place", "left", "right")).alias("one")
     )
