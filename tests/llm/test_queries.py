@@ -81,8 +81,9 @@ def test_sharding(spark, odd_dir, documents):
     same(df, ["doc_id", "size", "text_crc32", "law", "shard", "grown_shard"], brute.sharded(documents))
     by_shard: dict = {}
     for r in df.collect():
-        by_shard.setdefault(r.shard, []).append(r.slot)
-    assert all(sorted(slots) == list(range(len(slots))) for slots in by_shard.values())
+        by_shard.setdefault(r.shard, []).append(((r.doc_id is not None, r.doc_id or 0, r.text_crc32, r["size"]), r.slot))
+    for rows in by_shard.values():
+        assert [slot for _, slot in sorted(rows)] == list(range(len(rows)))
 
 
 def test_decontamination(spark, odd_dir, documents):

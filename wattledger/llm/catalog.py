@@ -36,4 +36,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": line_dedup.ORACLE, "op10_decontamination": decontamination.ORACLE}
+    return {
+        "op1_line_dedup": line_dedup.ORACLE,
+        "op2_near_dedup": near_dedup.ORACLE,
+        "op4_suffix_dedup": suffix_dedup.ORACLE,
+        "op9_sharding": sharding.ORACLE,
+        "op10_decontamination": decontamination.ORACLE,
+    }

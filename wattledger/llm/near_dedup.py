@@ -252,3 +252,32 @@ def near_duplicates(
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+ORACLE = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                             'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+         ELSE list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) END AS shingles
+  FROM split
+), members AS (
+  SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets
+), links AS (
+  SELECT a.doc_id AS u, b.doc_id AS v
+  FROM members a JOIN members b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  WHERE 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reached AS (
+  SELECT doc_id AS node, doc_id AS other FROM sets
+  UNION
+  SELECT reached.node, links.v FROM reached JOIN links ON links.u = reached.other
+), smallest AS (
+  SELECT node, min(other) AS component_id FROM reached GROUP BY node
+)
+SELECT doc_id, len(shingles) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN smallest ON node = doc_id
+"""

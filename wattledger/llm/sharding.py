@@ -34,25 +34,28 @@ def rendezvous(key: Column, weights: list[float]) -> Column:
 
 
 def number_within(rows: DataFrame, group: str, order: list[str], slot: str = "slot") -> DataFrame:
-    """Numbers the rows of each group from 0 without a gap.
+    """Numbers the rows of each group from 0 without a gap, in the given order.
 
-    A group may be a large part of the table, so it is numbered in pieces: the rows that one input task
-    read are a piece, each piece is numbered on its own, and the pieces' sizes add up to where each
-    starts. The numbered rows are written first, as both steps must see the same pieces.
+    A group may be a large part of the table, so the rows are dealt out by ranges of group and order, each
+    range is numbered on its own, and the sizes of those before it add up to where it starts. Rows that
+    agree in all of this are told apart by where they were read, so repeats of one row fill no range of
+    their own. The numbers depend on the values alone. The numbered rows are written first, as both steps
+    must see the same ranges.
     """
     from pyspark.sql import Window
 
-    inside = Window.partitionBy(group, "__piece").orderBy(*order)
+    ranged = rows.withColumn("__read", F.monotonically_increasing_id()).repartitionByRange(group, *order, "__read")
+    inside = Window.partitionBy(group, "__range").orderBy(*order)
     numbered = stored(
-        rows.withColumn("__piece", F.spark_partition_id()).withColumn("__n", F.row_number().over(inside).cast("long") - 1)
+        ranged.drop("__read").withColumn("__range", F.spark_partition_id()).withColumn("__n", F.row_number().over(inside).cast("long") - 1)
     )
-    before = Window.partitionBy(group).orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(group).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        numbered.groupBy(group, "__piece")
+        numbered.groupBy(group, "__range")
         .agg(F.count(F.lit(1)).alias("__rows"))
-        .select(group, "__piece", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start"))
+        .select(group, "__range", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start"))
     )
-    placed = numbered.join(starts, [group, "__piece"]).withColumn(slot, F.col("__start") + F.col("__n"))
+    placed = numbered.join(starts, [group, "__range"]).withColumn(slot, F.col("__start") + F.col("__n"))
     return placed.select(*[c for c in rows.columns if c != slot], slot)
 
 
@@ -80,3 +83,31 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     numbered = number_within(narrow, "shard", ["doc_id", "text_crc32", "size"])
     return numbered.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+ORACLE = r"""
+WITH docs AS (
+  SELECT doc_id, strlen(coalesce(text, '')) AS n, encode(coalesce(text, '')) AS bytes FROM documents
+), listed AS (
+  SELECT doc_id, n, list_transform(range(1, n + 1), lambda i: CAST('0x' || hex(bytes[i:i]) AS BIGINT)) AS codes FROM docs
+), summed AS (
+  -- Fixed values: what each bit of the lowest byte leaves in the remainder.
+  SELECT doc_id, n + 1 AS size, xor(4294967295, list_reduce(codes, lambda c, d: xor(c >> 8, list_bit_xor([
+           (xor(c, d) & 1) * 1996959894, (xor(c, d) >> 1 & 1) * 3993919788, (xor(c, d) >> 2 & 1) * 124634137,
+           (xor(c, d) >> 3 & 1) * 249268274, (xor(c, d) >> 4 & 1) * 498536548, (xor(c, d) >> 5 & 1) * 997073096,
+           (xor(c, d) >> 6 & 1) * 1994146192, (xor(c, d) >> 7 & 1) * 3988292384])), 4294967295)) AS text_crc32
+  FROM listed
+), drawn AS (
+  SELECT doc_id, size, text_crc32,
+         list_transform(range(17), lambda s: md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || s)[1:13]) AS draws
+  FROM summed
+), sharded AS (
+  SELECT doc_id, size, text_crc32,
+         list_position(draws[1:16], list_max(draws[1:16])) - 1 AS shard, list_position(draws, list_max(draws)) - 1 AS grown_shard
+  FROM drawn
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS slot,
+       CAST(grown_shard AS INTEGER) AS grown_shard
+FROM sharded
+"""

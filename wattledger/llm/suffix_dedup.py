@@ -284,3 +284,28 @@ def remove_repeats(
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = remove_repeats(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE = r"""
+WITH docs AS (
+  SELECT doc_id, encode(coalesce(text, '')) AS bytes, strlen(coalesce(text, '')) AS n FROM documents
+), windows AS (
+  SELECT doc_id, place, md5(bytes[place + 1:place + 400]) AS digest
+  FROM (SELECT doc_id, bytes, unnest(range(n - 399)) AS place FROM docs)
+), again AS (
+  SELECT doc_id, place, place > lag(place, 1, -500) OVER (PARTITION BY doc_id ORDER BY place) + 400 AS fresh
+  FROM windows WHERE digest IN (SELECT digest FROM windows GROUP BY digest HAVING count(*) > 1)
+), runs AS (
+  SELECT doc_id, min(place) AS low, max(place) + 400 AS high
+  FROM (SELECT doc_id, place, count(*) FILTER (fresh) OVER (PARTITION BY doc_id ORDER BY place) AS run FROM again)
+  GROUP BY doc_id, run
+), pieces AS (
+  SELECT doc_id, low, high, lag(high, 1, 0) OVER (PARTITION BY doc_id ORDER BY low) AS since FROM runs
+  UNION ALL
+  SELECT doc_id, n, n, coalesce((SELECT max(high) FROM runs WHERE runs.doc_id = docs.doc_id), 0) FROM docs
+)
+SELECT docs.doc_id, any_value(n) AS n_bytes, sum(high - low)::BIGINT AS n_removed, count(*) FILTER (high > low) AS n_spans,
+       sha256(unhex(string_agg(CASE WHEN low > since THEN hex(bytes[since + 1:low]) ELSE '' END, '' ORDER BY since, low))) AS kept_sha256
+FROM docs JOIN pieces ON pieces.doc_id = docs.doc_id
+GROUP BY docs.doc_id
+"""
