@@ -39,12 +39,12 @@ def number_within(rows: DataFrame, group: str, order: list[str], slot: str = "sl
     A group may be a large part of the table, so the rows are dealt out by ranges of group and order, each
     range is numbered on its own, and the sizes of those before it add up to where it starts. Rows that
     agree in all of this are told apart by where they were read, so repeats of one row fill no range of
-    their own. The numbers depend on the values alone. The numbered rows are written first, as both steps
-    must see the same ranges.
+    their own. The numbers depend on the values alone. The rows are written first, so that drawing the ranges
+    does not read the input again, and once more when numbered, as both steps must see the same ranges.
     """
     from pyspark.sql import Window
 
-    ranged = rows.withColumn("__read", F.monotonically_increasing_id()).repartitionByRange(group, *order, "__read")
+    ranged = stored(rows).withColumn("__read", F.monotonically_increasing_id()).repartitionByRange(group, *order, "__read")
     inside = Window.partitionBy(group, "__range").orderBy(*order)
     numbered = stored(
         ranged.drop("__read").withColumn("__range", F.spark_partition_id()).withColumn("__n", F.row_number().over(inside).cast("long") - 1)
