@@ -114,3 +114,20 @@ def test_the_log_of_a_month_is_folded(spark, make, tmp_path):
             upsert(intake.as_readings(events), k)
         assert len(list((tmp_path / "log" / "reading_month=2024-01-01").glob("batch_id=*"))) <= 13
     assert rows(spark.read.parquet(str(tmp_path / "usage")), "contract_id", "total_kw") == [(7, float(sum(range(25, 50))))]
+
+
+def test_readings_no_version_holds_go_to_a_side_table(spark, make, tmp_path):
+    """Days outside the window, an unknown contract and a reading without a day; a replay writes none twice."""
+    events = [(1, datetime(2024, 1, 5), 7, 1.0), (2, datetime(2025, 3, 1), 7, 2.0), (3, datetime(2024, 1, 5), 99, 3.0), (4, None, 7, 4.0)]
+    batch = intake.as_readings(spark.createDataFrame(events, intake.EVENTS))
+    upsert = intake.MonthUpsert(contracts(make), str(tmp_path / "log"), str(tmp_path / "usage"))
+    for _ in range(2):
+        upsert(batch, 0)
+    assert rows(spark.read.parquet(str(tmp_path / "usage")), "contract_id", "total_kw") == [(7, 1.0)]
+    assert rows(intake.unheld_readings(spark, str(tmp_path / "usage")), "reading_id", "contract_id") == [(2, 7), (3, 99), (4, 7)]
+
+
+def test_contracts_of_all_users_and_years_of_the_events(spark):
+    events = [(1, datetime(2019, 1, 5), 7, 1.0), (2, datetime(2025, 3, 1), 7, 2.0), (3, datetime(2023, 6, 30), 10, 3.0)]
+    held = intake.event_versions(spark.createDataFrame(events, intake.EVENTS))
+    assert rows(held) == [(10, 1, "2023-06-30", "2023-06-23"), (7, 1, "2019-01-05", "2025-03-01")]

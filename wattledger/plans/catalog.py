@@ -249,6 +249,24 @@ def _stream_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _stream_months_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over all users and years of the events, with a count for each contract-month of the readings
+    no version holds."""
+    root = own_dir(spark, "stream_usage_monthly_events")
+    stream = intake.event_stream(spark, sf_dir)
+    events = spark.read.schema(intake.EVENTS).option("pathGlobFilter", "events*.parquet").parquet(sf_dir)
+    contracts = intake.event_versions(events)
+    intake.run_month_upsert(intake.as_readings(stream), contracts, f"{root}/log", f"{root}/usage", f"{root}/state").awaitTermination()
+    held = spark.read.parquet(f"{root}/usage").withColumn("unheld_readings", F.lit(0).cast("long"))
+    unheld = (
+        intake.unheld_readings(spark, f"{root}/usage")
+        .groupBy("contract_id", month_floor(F.col("reading_date")).alias("usage_month"))
+        .agg(F.count(F.lit(1)).alias("unheld_readings"))
+    )
+    columns = ["contract_id", "contract_version", "usage_month", "total_kw", "avg_daily_kw", "peak_kw", "unheld_readings"]
+    return presented(held.select(*columns).unionByName(unheld, allowMissingColumns=True))
+
+
 # Queries over the composed frames of one directory.
 _PLANS: dict[str, Callable[[Frames], DataFrame]] = {
     # curated
@@ -340,4 +358,5 @@ def queries() -> dict[str, Query]:
     registered["stream_intake"] = _stream_intake
     registered["stream_usage_daily"] = _stream_daily
     registered["stream_usage_monthly"] = _stream_months
+    registered["stream_usage_monthly_events"] = _stream_months_events
     return {name: _prepared(query) for name, query in registered.items()}

@@ -210,6 +210,13 @@ _STEPS = {
     WHERE in_time AND reading_date + INTERVAL '1' DAY
                       <= (SELECT max(reading_date) - INTERVAL '7' DAY FROM reading_taken WHERE in_time)
     GROUP BY 1, 2""",
+    "event_held": """
+    SELECT e.event_id, e.user_id AS contract_id, e.ts, CAST(e.ts AS DATE) AS day, CAST(e.value AS DECIMAL(10,2)) AS kw,
+           coalesce(CAST(e.ts AS DATE) BETWEEN s.first_day AND s.last_day, false) AS held
+    FROM events e
+    LEFT JOIN (SELECT user_id, min(CAST(ts AS DATE)) AS first_day,
+                      max(CAST(ts AS DATE)) - CASE WHEN user_id % 5 = 0 THEN 7 ELSE 0 END AS last_day
+               FROM events GROUP BY user_id) s ON e.user_id = s.user_id""",
     "dim_contract_overlapping": """
     SELECT contract_id, contract_version,
            CASE WHEN contract_version = 2 THEN DATE '1998-04-15' ELSE effective_start END AS effective_start,
@@ -660,6 +667,19 @@ _QUERIES = {
       WHERE pos = 1 AND user_id IN (SELECT contract_id FROM dim_contract) AND year(day) = 2024
       GROUP BY 1, 2, 3) upserted""",
     ),
+    "stream_usage_monthly_events": _emit(
+        "contract_id contract_version usage_month total_kw avg_daily_kw peak_kw unheld_readings",
+        f"""(SELECT contract_id, 1 AS contract_version, CAST(date_trunc('month', day) AS DATE) AS usage_month,
+             sum(kw) AS total_kw, {_average("kw")} AS avg_daily_kw, max(kw) AS peak_kw, 0 AS unheld_readings
+      FROM (SELECT *, row_number() OVER (PARTITION BY contract_id, day ORDER BY ts DESC, kw DESC, event_id DESC) AS pos
+            FROM event_held WHERE held) ranked
+      WHERE pos = 1
+      GROUP BY 1, 2, 3
+      UNION ALL
+      SELECT contract_id, NULL, CAST(date_trunc('month', day) AS DATE), NULL, NULL, NULL, count(*)
+      FROM event_held WHERE NOT held
+      GROUP BY 1, 3) upserted""",
+    ),
     "layer_row_counts": _emit(
         "table_name cnt",
         "("

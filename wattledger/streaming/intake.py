@@ -84,6 +84,16 @@ def event_contracts(contracts: DataFrame) -> DataFrame:
     )
 
 
+def event_versions(events: DataFrame) -> DataFrame:
+    """Contracts for the readings made from events, by the events alone: one version for each user, from its
+    first day to its last. Every fifth user's version ends a week early, so that some days have none."""
+    day = F.col("ts").cast("date")
+    last = F.date_sub(F.max(day), F.when(F.col("user_id") % 5 == 0, 7).otherwise(0))
+    return events.groupBy("user_id").agg(F.min(day).alias("effective_start"), last.alias("effective_end")).select(
+        F.col("user_id").alias("contract_id"), F.lit(1).alias("contract_version"), "effective_start", "effective_end"
+    )
+
+
 def _days_late() -> Column:
     return F.datediff(F.col("ingested_at").cast("date"), F.col("reading_date"))
 
@@ -173,8 +183,9 @@ class MonthUpsert:
 
     The log is partitioned by month and batch. A replayed batch overwrites its own partitions, and the
     monthly table is only ever derived from the log, so a failure at any point is repaired by the replay.
-    Readings get the contract version in force on their day and those no version holds are left out, as
-    the batch tables do it.
+    Readings get the contract version in force on their day. Those no version holds are not part of the
+    months, as the batch tables do it; they go as they came to a side table (``unheld_path``), partitioned
+    like the log, as do those without a day.
 
     A month that has gathered ``most_batches`` folders is folded into one, in a base table beside the
     log: it is written first and the folders go afterwards, and as the latest reading of a day wins, a
@@ -183,15 +194,21 @@ class MonthUpsert:
 
     def __init__(self, contracts: DataFrame, log_path: str, usage_path: str, most_batches: int = 16):
         self.contracts, self.log_path, self.usage_path = contracts, log_path, usage_path
-        self.base_path, self.most_batches = f"{log_path}_base", most_batches
+        self.base_path, self.unheld_path, self.most_batches = f"{log_path}_base", f"{usage_path}_unheld", most_batches
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         month = month_floor(F.col("reading_date"))
-        months = touched_months(batch, "reading_date")
-        if not months:
+        touched = touched_months(batch, "reading_date")
+        if not touched:
             return
         stamped = batch.withColumn("reading_month", month).withColumn("batch_id", F.lit(batch_id))
-        self._write(stamped.hint("rebalance", "reading_month"), self.log_path, "reading_month", "batch_id")
+        unheld = version_in_force(stamped, self.contracts, "reading_date").where("in_force_version IS NULL")
+        self._write(unheld.drop("in_force_version").hint("rebalance", "reading_month"), self.unheld_path, "reading_month", "batch_id")
+        months = [m for m in touched if m is not None]
+        if not months:
+            return
+        dated = stamped.where("reading_date IS NOT NULL")
+        self._write(dated.hint("rebalance", "reading_month"), self.log_path, "reading_month", "batch_id")
         readings = self._logged(batch.sparkSession, months)
         latest = version_in_force(latest_readings(readings.drop("reading_month")), self.contracts, "reading_date")
         held = latest.where("in_force_version IS NOT NULL").withColumn("contract_version", F.col("in_force_version"))
@@ -226,6 +243,11 @@ class MonthUpsert:
         writer.partitionBy(*partitions).parquet(path)
 
 
+def unheld_readings(spark: SparkSession, usage_path: str) -> DataFrame:
+    """What the upsert's contracts did not hold; an empty frame where they held everything."""
+    return spark.read.schema(READINGS).option("recursiveFileLookup", True).parquet(f"{usage_path}_unheld")
+
+
 def _folder(spark: SparkSession, path: str):
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), folder
