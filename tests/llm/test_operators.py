@@ -175,6 +175,32 @@ def test_furniture_of_pages_is_left_out():
     assert all(html_extract.decide(tree, f) == bool(y) for f, y in html_extract.LABELLED)
 
 
+TEXT = "A paragraph of the article that has quite a number of words in it, enough of them to be its main text for any reader."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<html><head><meta charset=utf-8><title>T</title><body><article><p>{TEXT}</article>",
+        f"<head><title>T</title><link rel=x><article><p>{TEXT}</article>",
+        f"<head><title>T</title><article><svg><path d=x></svg><p>{TEXT}</article>",
+        f"<body><svg><path d='x'><article><p>{TEXT}</article>",
+        f"<body><svg><foreignObject><article><p>{TEXT}</article>",
+        f"<body><button>Menu<article><button><div>Share</div></button><p>{TEXT}</article>",
+        f"<article><button>Menu<object><div>Fallback</div></object><p>{TEXT}</article>",
+        f"<article><svg><foreignObject><div>Label</div></foreignObject></svg><select><option>a<option>b</select><p>{TEXT}</article>",
+        f'<body><div class="content has-sidebar"><p>{TEXT}</p></div>',
+        f'<body><div id="main" class="sidebar-right"><p>{TEXT}</p><div class="content sidebar"><p>{TEXT}</p></div></div>',
+        f'<body><main class="with-comments"><p>{TEXT}</p><div class="related-content"><p>{TEXT}</p></div></main>',
+    ],
+)
+def test_pages_with_open_heads_and_elements_and_wrappers_named_for_what_they_hold(page):
+    tree = html_extract.grow(
+        np.array([f for f, _ in html_extract.LABELLED], float), np.array([y for _, y in html_extract.LABELLED], float)
+    )
+    assert html_extract.main_text(page, tree) == TEXT
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="no test tables")
 def test_quality_of_held_out_documents(spark):
     sf_dir = "/root/testdata/sf0.1"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,6 +22,10 @@ BLOCKS = frozenset(
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody tfoot thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+# Elements a head may hold (those read as one token aside), and those in foreign ones that hold html.
+HEAD_ONLY = frozenset("html head base basefont bgsound link meta noframes".split())
+FOREIGN = frozenset("svg math".split())
+INTEGRATION = frozenset("foreignobject desc annotation-xml mi mo mn ms mtext".split())
 SPACING = frozenset("br td th img".split())
 CLOSED_BY_SAME = frozenset("p li dt dd tr td th option".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -36,6 +41,8 @@ BESIDE_WORDS = frozenset(
 )
 ARTICLE_WORDS = frozenset("article content main post entry story articlebody maincontent".split())
 HEADER_WORDS = frozenset("header topbar top".split())
+# Names that begin so say what a container holds or lacks, not what it is.
+HOLDS = frozenset("has with no without".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<(?P<raw>script|style|noscript|template|textarea|title|iframe)\b[^>]*>.*?(?:</(?P=raw)\s*>|$)"
@@ -61,21 +68,58 @@ def _kind(tag: str, rest: str, in_element: bool) -> tuple[bool, bool]:
     """Whether an element stands beside the article, and whether it is one.
 
     A header belongs to the article only inside an article element: containers named content often hold
-    the whole page. The body is neither, whatever its name.
+    the whole page. The body is neither, whatever its name. Where one name is of article words alone, or the
+    element is an article, side words count only in names of side words alone: "content sidebar-left" is a
+    wrapper, "content sidebar" and "related-content" stand beside.
     """
     if tag in ("body", "html"):
         return False, False
-    named = {p.lower() for _, *v in NAMES.findall(rest) for p in PARTS.findall("".join(v))} if rest else set()
-    beside = tag in BESIDE or bool(named & BESIDE_WORDS) or bool(rest and HIDDEN.search(rest))
+    names = [[p.lower() for p in PARTS.findall(n)] for _, *v in NAMES.findall(rest) for n in "".join(v).split()] if rest else []
+    named = {p for parts in names for p in parts}
+    wrapper = tag in ARTICLES or any(parts and ARTICLE_WORDS.issuperset(parts) for parts in names)
+    side = any(
+        BESIDE_WORDS.issuperset(parts) if wrapper else not BESIDE_WORDS.isdisjoint(parts)
+        for parts in names
+        if parts and parts[0] not in HOLDS
+    )
+    beside = tag in BESIDE or side or bool(rest and HIDDEN.search(rest))
     if not in_element:
         beside = beside or tag == "header" or bool(named & HEADER_WORDS and not named & ARTICLE_WORDS)
     return beside, tag in ARTICLES or bool(named & ARTICLE_WORDS)
 
 
+def _left_open(tokens: list[re.Match]) -> set[int]:
+    """The places of dropped elements, and of parts for html in them, that no end tag of their own ends."""
+    stack: list[tuple[str, int]] = []
+    count: Counter[str] = Counter()
+    out: set[int] = set()
+    for place, token in enumerate(tokens):
+        tag = (token["tag"] or "").lower()
+        if not tag or tag in VOID or (not token["close"] and token["rest"].endswith("/")):
+            continue
+        if not token["close"]:
+            stack.append((tag, place))
+            count[tag] += 1
+        elif count[tag]:
+            while True:
+                name, opened = stack.pop()
+                count[name] -= 1
+                if name == tag:
+                    break
+                if name in DROPPED or name in INTEGRATION:
+                    out.add(opened)
+    return out | {opened for name, opened in stack if name in DROPPED or name in INTEGRATION}
+
+
 def blocks(page: str) -> list[Block]:
-    """The page's texts between block elements, in order. Elements left open end with their parents."""
+    """The page's texts between block elements, in order. Elements left open end with their parents.
+
+    A head ends where something stands that it cannot hold. Of the other dropped elements, those without an
+    end tag end with the next block element, svg and math with any block element that is not in a part of
+    theirs for html.
+    """
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []
+    stack: list[tuple[str, bool, bool, bool]] = []
     pieces: list[tuple[str, bool]] = []
     beside = article = element = dropped = links = heading = 0
 
@@ -88,7 +132,7 @@ def blocks(page: str) -> list[Block]:
 
     def pop() -> None:
         nonlocal beside, article, element, dropped, links, heading
-        tag, is_beside, is_article = stack.pop()
+        tag, is_beside, is_article, _ = stack.pop()
         beside -= is_beside
         article -= is_article
         element -= tag in ARTICLES
@@ -96,14 +140,36 @@ def blocks(page: str) -> list[Block]:
         links -= tag == "a"
         heading -= tag in HEADINGS
 
+    def end_dropped() -> None:
+        """Before a block element: ends the dropped elements it cannot stand in, and what they hold."""
+        low = len(stack)
+        for k in range(len(stack) - 1, -1, -1):
+            name, is_open = stack[k][0], stack[k][3]
+            if is_open and name in DROPPED or name in FOREIGN:
+                low = k
+            elif not is_open and (name in DROPPED or name in INTEGRATION):
+                break
+        while len(stack) > low:
+            pop()
+
     at = 0
-    for token in TOKEN.finditer(page):
-        if token.start() > at and not dropped:
-            pieces.append((html.unescape(page[at : token.start()]), links > 0))
+    tokens = list(TOKEN.finditer(page))
+    left_open = _left_open(tokens)
+    for place, token in enumerate(tokens):
+        if token.start() > at:
+            text = page[at : token.start()]
+            if stack and stack[-1][0] == "head" and "<" not in text and text.strip():
+                pop()
+            if not dropped:
+                pieces.append((html.unescape(text), links > 0))
         at = token.end()
         tag = (token["tag"] or "").lower()
         if not tag:
             continue
+        if tag not in HEAD_ONLY and not token["close"] and stack and stack[-1][0] == "head":
+            pop()
+        if tag in BLOCKS and not token["close"] and dropped:
+            end_dropped()
         if tag in SPACING:
             pieces.append((" ", False))
         if tag in BLOCKS:
@@ -125,15 +191,18 @@ def blocks(page: str) -> list[Block]:
                 while len(stack) > k:
                     pop()
         is_beside, is_article = _kind(tag, token["rest"], element > 0)
-        stack.append((tag, is_beside, is_article))
+        stack.append((tag, is_beside, is_article, place in left_open))
         beside += is_beside
         article += is_article
         element += tag in ARTICLES
         dropped += tag in DROPPED
         links += tag == "a"
         heading += tag in HEADINGS
-    if at < len(page) and not dropped:
-        pieces.append((html.unescape(page[at:]), links > 0))
+    if at < len(page):
+        if stack and stack[-1][0] == "head" and "<" not in page[at:] and page[at:].strip():
+            pop()
+        if not dropped:
+            pieces.append((html.unescape(page[at:]), links > 0))
     flush()
     return out
 
