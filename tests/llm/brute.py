@@ -135,3 +135,71 @@ def decontaminate(docs, items, window=13):
         bad = bool(hit) and 20 * len(hit) >= len(words)
         out.append((i, len(words), len(hit), len(found), sha(",".join(sorted(found))), bad))
     return out
+
+
+TERMS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def rank_documents(docs, items, top=10):
+    split = lambda text: re.findall(TERMS, (text or "").translate(LOWER))
+    rows = [(i, Counter(split(text)), len(split(text))) for i, text in docs]
+    n_docs, n_words = sum(n > 0 for _, _, n in rows), sum(n for _, _, n in rows)
+    df = Counter(t for _, tf, _ in rows for t in tf)
+    out = []
+    for item, text in dict.fromkeys(items):
+        scored = []
+        for i, tf, n in rows:
+            m = 25 + (75 * n * n_docs) // n_words
+            weight = lambda t: math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+            score = sum(weight(t) * (1_000_000_000 * tf[t] // (1000 * tf[t] + 8 * m)) for t in split(text) if t in tf)
+            if score > 0:
+                scored.append((-score, i is not None, i or 0, i))
+        out += [(item, rank, s[3], -s[0]) for rank, s in enumerate(sorted(scored)[:top], 1)]
+    return out
+
+
+def whiten(vectors, components=8):
+    """Whitened entries up to their sign, by the library's eigenvectors."""
+    good = [(i, v) for i, v in vectors if v and None not in v and all(map(math.isfinite, v))]
+    size = Counter(len(v) for _, v in good).most_common(1)[0][0]
+    good = [(i, v) for i, v in good if len(v) == size]
+    x = np.floor(1024 * np.array([v for _, v in good], np.float64)).astype(np.int64) + 100_000
+    n = len(x)
+    deviation = ((n * x - x.sum(axis=0)) ** 2).sum(axis=1)
+    z = x - x.sum(axis=0) / n
+    e, u = np.linalg.eigh(z.T @ z / n)
+    e, u = e[::-1][:components], u[:, ::-1][:, :components]
+    white = z @ u / np.sqrt(e)
+    share = e / (z * z).sum() * n
+    return [(i, c + 1, n, int(deviation[k]), white[k, c], share[c]) for k, (i, _) in enumerate(good) for c in range(len(e))]
+
+
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+
+
+def secrets(docs, classes, allowed):
+    kinds = ["assign", "access", "hex", *[c[0] for c in classes]]
+    joined = lambda spans: ",".join(f"{k}:{a}:{b}" for a, k, b in sorted(spans, key=lambda s: (s[0], kinds.index(s[1]))))
+    out = []
+    for i, text in docs:
+        text = text or ""
+        base = [(m.start(), "assign", m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+        base += [(m.start(), "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+        base += [(m.start(), "hex", m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+        more = []
+        for kind, alphabet, window, bits in classes:
+            for m in re.finditer(f"[{re.escape(alphabet)}]+", text):
+                if any(re.search(a, m[0]) for a in allowed):
+                    continue
+                covered = set()
+                for s in range(len(m[0]) - window + 1):
+                    counts = Counter(m[0][s : s + window]).values()
+                    if -sum(c / window * math.log2(c / window) for c in counts) >= bits:
+                        covered |= set(range(m.start() + s, m.start() + s + window))
+                starts = sorted(p for p in covered if p - 1 not in covered)
+                ends = sorted(p + 1 for p in covered if p + 1 not in covered)
+                more += [(a, kind, b) for a, b in zip(starts, ends, strict=True)]
+        more = [s for s in more if not any(a <= s[0] and b >= s[2] for a, _, b in base)]
+        count = Counter(k for _, k, _ in base)
+        out.append((i, *[count[k] for k in kinds[:3]], sha(joined(base)), joined(base + more)))
+    return out

@@ -14,7 +14,7 @@ from odd import documents, empty_dir, odd_dir, odd_tables  # noqa: F401 (fixture
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from wattledger.llm import bpe, catalog, token_counts
+from wattledger.llm import bpe, catalog, secret_scan, token_counts
 
 QUERIES = catalog.queries()
 SF_DIR = os.environ.get("PARITY_SF_DIR", "/root/testdata/sf0.001")
@@ -94,6 +94,32 @@ def test_decontamination(spark, odd_dir, documents):
     same(df, columns, want)
 
 
+def test_lexical_search(spark, odd_dir, documents):
+    df = QUERIES["op11_lexical_search"](spark, odd_dir)
+    same(df, ["item_id", "rank", "doc_id", "score"], brute.rank_documents(documents, items()))
+
+
+def test_whitening(spark, odd_dir):
+    rows = odd_tables()["embeddings"].select(["vec_id", "embedding"]).to_pylist()
+    want = brute.whiten([(r["vec_id"], r["embedding"]) for r in rows])
+    got = QUERIES["op12_whitening"](spark, odd_dir).collect()
+    assert Counter((r.vec_id, r.component, r.n, r.deviation) for r in got) == Counter(w[:4] for w in want)
+    assert len({r.identity_error for r in got}) == 1 and got[0].identity_error < 1e-9
+    for c in {r.component for r in got}:
+        mine = {r.vec_id: r.whitened for r in got if r.component == c}
+        theirs = {w[0]: w[4] for w in want if w[1] == c}
+        sign = 1 if sum(mine[i] * theirs[i] for i in mine) > 0 else -1
+        assert all(mine[i] == pytest.approx(sign * theirs[i], abs=1e-9) for i in mine)
+        shares = {r.explained for r in got if r.component == c}
+        assert len(shares) == 1 and shares.pop() == pytest.approx(next(w[5] for w in want if w[1] == c), rel=1e-9)
+
+
+def test_secret_scan(spark, odd_dir, documents):
+    df = QUERIES["op13_secret_scan"](spark, odd_dir)
+    classes = [(c.kind, c.alphabet, c.window, c.least_bits) for c in secret_scan.CLASSES]
+    same(df, ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"], brute.secrets(documents, classes, secret_scan.ALLOWED))
+
+
 def test_quality_of_odd_rows(spark, odd_dir, documents):
     got = QUERIES["op3_quality"](spark, odd_dir).collect()
     assert Counter(r.doc_id for r in got) == Counter(i for i, _ in documents)

@@ -10,13 +10,16 @@ from wattledger.llm import (
     bpe,
     decontamination,
     html_extract,
+    lexical_search,
     line_dedup,
     near_dedup,
     neighbours,
     quality,
+    secret_scan,
     sharding,
     suffix_dedup,
     token_counts,
+    whitening,
 )
 
 
@@ -32,6 +35,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_counts": token_counts.op8_token_counts,
         "op9_sharding": sharding.op9_sharding,
         "op10_decontamination": decontamination.op10_decontamination,
+        "op11_lexical_search": lexical_search.op11_lexical_search,
+        "op12_whitening": whitening.op12_whitening,
+        "op13_secret_scan": secret_scan.op13_secret_scan,
     }
 
 
@@ -42,4 +48,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_suffix_dedup": suffix_dedup.ORACLE,
         "op9_sharding": sharding.ORACLE,
         "op10_decontamination": decontamination.ORACLE,
+        "op11_lexical_search": lexical_search.ORACLE,
+        "op13_secret_scan": secret_scan.ORACLE,
     }
