@@ -203,3 +203,16 @@ def secrets(docs, classes, allowed):
         count = Counter(k for _, k, _ in base)
         out.append((i, *[count[k] for k in kinds[:3]], sha(joined(base)), joined(base + more)))
     return out
+
+
+def quality(network, text, chunk=256, step=128, block=64):
+    """The network's score by plain sums over bytes; a text is filled up to whole blocks with zero bytes."""
+    data = (text or "").encode()
+    places = max(1, -(-len(data) // block)) * block
+    width = len(network.filters)
+    byte = data + bytes(places + width - len(data))
+    value = [sum(network.filters[k][byte[p + k]].astype(float) for k in range(width)) for p in range(places)]
+    starts = range(0, max(len(data) - step, 1), step)
+    pooled = np.array([np.maximum(np.max(value[s : s + chunk], axis=0) + network.bias, 0) for s in starts])
+    z = np.concatenate([pooled.mean(axis=0), pooled.max(axis=0)]) @ network.weights + network.offset
+    return 1 / (1 + math.exp(-z))

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattledger.llm._shared import table
+from wattledger.llm._shared import stored, table
 
 CHUNK = 256
 STEP = 128
@@ -18,8 +19,10 @@ BLOCK = 64
 WIDTH = 6
 FILTERS = 12
 TRAIN_ROWS = 2400
-TRAIN_CHUNKS = 48
 EPOCHS = 24
+BATCH_ROWS = 32
+#: Chunks whose responses are held at a time.
+SLICE_CHUNKS = 1024
 THRESHOLD = 0.7
 GROUP_BYTES = 500_000
 
@@ -75,8 +78,29 @@ class Network:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def train(samples: list[tuple[np.ndarray, int]], weight: dict[int, float], epochs: int = EPOCHS, seed: int = 7) -> Network:
-    """Adam over batches of documents; a sample is a document's chunks, one a row, and its label."""
+def _chunks(text: bytes) -> np.ndarray:
+    """All chunks of a text, one a row, each with the bytes that filters reach beyond it."""
+    data = np.frombuffer(text + bytes(CHUNK + WIDTH), np.uint8)
+    return np.lib.stride_tricks.sliding_window_view(data, CHUNK + WIDTH)[chunk_starts(len(text))]
+
+
+def _strongest(network: Network, chunks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where in each chunk each filter responds most, and with what."""
+    places, values = [], []
+    for low in range(0, len(chunks), SLICE_CHUNKS):
+        part = chunks[low : low + SLICE_CHUNKS]
+        flat = np.concatenate([part.ravel(), np.zeros(WIDTH, np.uint8)])
+        response = network.respond(flat).reshape(len(part), -1, FILTERS)[:, :CHUNK]
+        place = response.argmax(axis=1)
+        places.append(place)
+        values.append(np.take_along_axis(response, place[:, None], 1)[:, 0])
+    return np.concatenate(places), np.concatenate(values)
+
+
+def train(
+    samples: Callable[[int], Iterator[tuple[bytes, int]]], weight: dict[int, float], epochs: int = EPOCHS, seed: int = 7
+) -> Network:
+    """Adam over batches of documents. ``samples`` gives those of an epoch, whole texts and labels, one by one."""
     rng = np.random.default_rng(seed)
     parameters = {
         "filters": rng.normal(0, 0.1, (WIDTH, 256, FILTERS)).astype(np.float32),
@@ -86,20 +110,18 @@ def train(samples: list[tuple[np.ndarray, int]], weight: dict[int, float], epoch
     }
     first = {k: np.zeros_like(v) for k, v in parameters.items()}
     second = {k: np.zeros_like(v) for k, v in parameters.items()}
-    step, size = 0, 32
+    step = 0
     for epoch in range(epochs):
-        order = rng.permutation(len(samples))
-        for low in range(0, len(order), size):
-            batch = [samples[i] for i in order[low : low + size]]
-            chunks = np.concatenate([c for c, _ in batch])
-            owner = np.repeat(np.arange(len(batch)), [len(c) for c, _ in batch])
+        given = samples(epoch)
+        while batch := list(islice(given, BATCH_ROWS)):
+            each = [_chunks(text) for text, _ in batch]
+            chunks = np.concatenate(each)
+            owner = np.repeat(np.arange(len(batch)), [len(c) for c in each])
             edges = np.concatenate([[0], np.flatnonzero(np.diff(owner)) + 1])
             label = np.array([y for _, y in batch], np.float32)
             network = Network(parameters["filters"], parameters["bias"], parameters["weights"], float(parameters["offset"][0]))
-            flat = np.concatenate([chunks.ravel(), np.zeros(WIDTH, np.uint8)])
-            response = network.respond(flat).reshape(len(chunks), -1, FILTERS)[:, :CHUNK]
-            place = response.argmax(axis=1)
-            pooled = np.maximum(np.take_along_axis(response, place[:, None], 1)[:, 0] + parameters["bias"], 0)
+            place, value = _strongest(network, chunks)
+            pooled = np.maximum(value + parameters["bias"], 0)
             counts = np.bincount(owner)[:, None]
             mean, top = np.add.reduceat(pooled, edges) / counts, np.maximum.reduceat(pooled, edges)
             z = np.concatenate([mean, top], axis=1) @ parameters["weights"] + parameters["offset"]
@@ -128,45 +150,44 @@ def train(samples: list[tuple[np.ndarray, int]], weight: dict[int, float], epoch
     return Network(parameters["filters"], parameters["bias"], parameters["weights"], float(parameters["offset"][0]))
 
 
-def _sample_chunks(most: int):
-    """Up to ``most`` chunks of a text, spread over all of it."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            held = []
-            for text in batch.column(1):
-                data = (text.as_py() or "").encode()
-                starts = chunk_starts(len(data))
-                if len(starts) > most:
-                    starts = starts[np.linspace(0, len(starts) - 1, most).astype(int)]
-                data += bytes(CHUNK + WIDTH)
-                held.append(b"".join(data[s : s + CHUNK + WIDTH] for s in starts))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(held, pa.binary())], names=["label", "chunks"])
-
-    return run
-
-
-def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, chunks: int = TRAIN_CHUNKS) -> Network:
-    """A network learned from ``rows`` labelled documents at most, half of each label (fewer where a label
-    has fewer), and ``chunks`` chunks of each at most.
+def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Network:
+    """A network learned from the whole texts of ``rows`` labelled documents at most, half of each label (fewer
+    where a label has fewer).
 
     ``labels`` has doc_id and label (0 or 1, others and nulls are left out). The documents are those whose
-    ids hash lowest, so the same tables give the same sample. The loss weighs the labels as all of
+    ids hash lowest, so the same tables give the same sample; of rows that share an id, the one whose text
+    hashes lowest stands for them, found before rows are shuffled. The loss weighs the labels as all of
     ``labels`` holds them. Without documents of both labels every score is one half.
+
+    The sample is stored and read again for each epoch in another order: the driver holds one batch of
+    documents, not the sample.
     """
+    nothing = np.zeros((WIDTH, 256, FILTERS), np.float32)
+    blank = Network(nothing, nothing[0, 0], np.zeros(2 * FILTERS, np.float32), 0.0)
     known = labels.where("label IN (0, 1) AND doc_id IS NOT NULL")
     totals = {r.label: r.n for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(totals) < 2:
-        nothing = np.zeros((WIDTH, 256, FILTERS), np.float32)
-        return Network(nothing, nothing[0, 0], np.zeros(2 * FILTERS, np.float32), 0.0)
+        return blank
     order = [F.xxhash64(F.lit("sample"), "doc_id"), F.col("doc_id")]
     picked = [known.where(F.col("label") == y).dropDuplicates(["doc_id"]).orderBy(*order).limit(rows // 2) for y in (0, 1)]
-    chosen = docs.join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id").select(F.col("label").cast("int"), "text")
-    read = sorted((r.label, bytes(r.chunks)) for r in chosen.mapInArrow(_sample_chunks(chunks), "label int, chunks binary").toLocalIterator())
-    samples = [(np.frombuffer(data, np.uint8).reshape(-1, CHUNK + WIDTH), y) for y, data in read]
-    have = {y: max(1, sum(1 for _, label in samples if label == y)) for y in (0, 1)}
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")))
+    chosen = stored(
+        docs.join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id")
+        .groupBy("doc_id", F.col("label").cast("int").alias("label"))
+        .agg(one.alias("one"))
+        .select("doc_id", "label", "one.text")
+    )
+    have = {r.label: r.n for r in chosen.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not have:
+        return blank
+
+    def samples(epoch: int) -> Iterator[tuple[bytes, int]]:
+        dealt = chosen.orderBy(F.xxhash64(F.lit(epoch), "doc_id"), "doc_id", "label")
+        for r in dealt.select("text", "label").toLocalIterator():
+            yield r.text.encode(), r.label
+
     share = {y: totals[y] / sum(totals.values()) for y in (0, 1)}
-    return train(samples, {y: share[y] * len(samples) / have[y] for y in (0, 1)})
+    return train(samples, {y: share[y] * sum(have.values()) / have.get(y, 1) for y in (0, 1)})
 
 
 def _score(network: Network, score_col: str):
