@@ -283,7 +283,14 @@ def remove_repeats(
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = remove_repeats(table(spark, sf_dir, "documents"))
-    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+        (F.col("n_bytes") - F.col("n_removed")).alias("n_kept"),
+    )
 
 
 ORACLE = r"""
@@ -305,7 +312,8 @@ WITH docs AS (
   SELECT doc_id, n, n, coalesce((SELECT max(high) FROM runs WHERE runs.doc_id = docs.doc_id), 0) FROM docs
 )
 SELECT docs.doc_id, any_value(n) AS n_bytes, sum(high - low)::BIGINT AS n_removed, count(*) FILTER (high > low) AS n_spans,
-       sha256(unhex(string_agg(CASE WHEN low > since THEN hex(bytes[since + 1:low]) ELSE '' END, '' ORDER BY since, low))) AS kept_sha256
+       sha256(unhex(string_agg(CASE WHEN low > since THEN hex(bytes[since + 1:low]) ELSE '' END, '' ORDER BY since, low))) AS kept_sha256,
+       any_value(n) - sum(high - low)::BIGINT AS n_kept
 FROM docs JOIN pieces ON pieces.doc_id = docs.doc_id
 GROUP BY docs.doc_id
 """
