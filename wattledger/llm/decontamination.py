@@ -30,9 +30,10 @@ def _shingles_of(column: int, longest: int):
         for batch in batches:
             rows: list[tuple[int, int, int]] = []
             for group in groups(batch.column(column), ALNUM):
+                by_length = {n: group.shingles(n)[0] for n in np.unique(np.minimum(np.diff(group.bounds), longest)).tolist()}
                 for i in range(len(group.bounds) - 1):
                     n = int(group.bounds[i + 1] - group.bounds[i])
-                    hashes, _ = group.shingles(min(n, longest))
+                    hashes = by_length[min(n, longest)]
                     for offset in range(n - min(n, longest) + 1):
                         rows.append((group.first + i, int(hashes[group.bounds[i] + offset].astype(np.int64)), offset))
             taken = batch.take(pa.array([r[0] for r in rows], pa.int64()))
