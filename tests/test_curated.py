@@ -97,6 +97,22 @@ def test_version_windows_report_gap_overlap_and_contiguity(make):
     ]
 
 
+def test_version_windows_compare_with_all_that_still_run(make):
+    """The first version outlasts the next two: no gap between them, and the third overlaps with the first."""
+    spans = [("2020-01-01", "2025-12-31"), ("2020-02-01", "2020-02-28"), ("2020-03-01", "2020-12-31"), ("2026-01-05", "2026-12-31")]
+    versions = [{"contract_version": v, "effective_start": a, "effective_end": b} for v, (a, b) in enumerate(spans, 1)]
+    versions += [{"contract_id": 9, "contract_version": v, "effective_start": a, "effective_end": "2024-01-31"} for v, a in ((2, "2024-01-01"), (1, "2024-01-01"))]
+    found = windows.version_windows(make("dim_contract", *versions))
+    assert rows(found, "contract_id", "contract_version", "covered_until", "gap_days", "window_status") == [
+        (101, 1, "2025-12-31", -2160, "overlap"),
+        (101, 2, "2025-12-31", -2132, "overlap"),
+        (101, 3, "2025-12-31", 4, "gap"),
+        (101, 4, "2026-12-31", None, "last"),
+        (9, 1, "2024-01-31", -31, "overlap"),
+        (9, 2, "2024-01-31", None, "last"),
+    ]
+
+
 def test_usage_counts_a_null_reading_as_a_day_but_not_as_kw(make):
     meter = make(
         "fact_meter_power_daily",

@@ -87,16 +87,21 @@ def reattributed_readings(latest: DataFrame, contracts: DataFrame) -> DataFrame:
 
 
 def version_windows(contracts: DataFrame) -> DataFrame:
-    """Each window with the days to the next version: negative overlaps, positive leaves a gap.
+    """A sweep over each contract's windows in order of their start: the days from the end of all windows so
+    far to the next start; negative overlaps, positive leaves days that no version covers.
 
-    The SQL window holds one contract's versions, which do not grow with the fact tables.
+    ``covered_until`` is the latest end of a window and all before it, so a version overlaps with any earlier
+    one that still runs, not only with its neighbour, and no gap is seen where an earlier window goes on.
+    Windows that start together are in order of their version. The SQL window holds one contract's versions,
+    which do not grow with the fact tables.
     """
-    order = W.partitionBy("contract_id").orderBy("contract_version")
+    order = W.partitionBy("contract_id").orderBy("effective_start", "contract_version")
     gap = F.col("gap_days")
     return (
         _windows(contracts)
+        .withColumn("covered_until", F.max("effective_end").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)))
         .withColumn("next_start", F.lead("effective_start").over(order))
-        .withColumn("gap_days", F.datediff("next_start", "effective_end") - 1)
+        .withColumn("gap_days", F.datediff("next_start", "covered_until") - 1)
         .withColumn(
             "window_status",
             F.when(gap.isNull(), "last").when(gap < 0, "overlap").when(gap > 0, "gap").otherwise("contiguous"),

@@ -140,6 +140,10 @@ def _overlapping(spark: SparkSession, sf_dir: str) -> tuple[Frames, DataFrame]:
     return Frames.from_dir(spark, sf_dir), driver_tables.contracts(spark, sf_dir, overlapping=True)
 
 
+def _tangled_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return presented(windows.version_windows(driver_tables.tangled_windows(spark, sf_dir)))
+
+
 def _reattribution_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     f, contracts = _overlapping(spark, sf_dir)
     return presented(windows.reattributed_readings(f.latest_meter, contracts))
@@ -215,11 +219,26 @@ def _sql_over_views(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily usage as the stream closes it; days inside the last week of the input are still open."""
+    """Daily usage as the stream closes it, with what came too late for its day; days inside the last week of
+    the input are still open."""
     root = own_dir(spark, "stream_usage_daily")
     readings = intake.as_readings(intake.event_stream(spark, sf_dir), arriving_late=True)
-    intake.run_daily_usage(readings, f"{root}/daily", f"{root}/state").awaitTermination()
-    return presented(spark.read.schema(intake.DAILY_USAGE).parquet(f"{root}/daily"))
+    intake.run_daily_usage(readings, f"{root}/daily", f"{root}/late", f"{root}/state")
+    closed = spark.read.schema(intake.DAILY_USAGE).parquet(f"{root}/daily").withColumn("outcome", F.lit("closed"))
+    late = (
+        spark.read.schema(intake.READINGS).parquet(f"{root}/late")
+        .groupBy(F.col("reading_date").alias("usage_date"), "contract_id")
+        .agg(F.count("*").alias("readings"), F.sum("used_kw").alias("total_kw"), F.max("used_kw").alias("peak_kw"))
+    )
+    return presented(closed.unionByName(late.withColumn("outcome", F.lit("too late"))))
+
+
+def _stream_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days of the events' contracts that the stream has closed: on time, late, or estimated for want of a reading."""
+    root = own_dir(spark, "stream_day_status")
+    readings = intake.as_readings(intake.event_stream(spark, sf_dir), arriving_late=True)
+    intake.run_closed_days(readings, intake.event_versions(_events(spark, sf_dir)), f"{root}/days", f"{root}/late", f"{root}/state")
+    return presented(spark.read.schema(intake.DAY_STATUS).parquet(f"{root}/days"))
 
 
 def _stream_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,35 +255,39 @@ def _stream_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(intake.EVENTS).option("pathGlobFilter", "events*.parquet").parquet(sf_dir)
+
+
+def _upserted(spark: SparkSession, sf_dir: str, query: str) -> str:
+    """The folder of the months that two feeds keep current, one after the other: the second corrects days
+    and months that the first has already published."""
+    root = own_dir(spark, query)
+    contracts = intake.event_versions(_events(spark, sf_dir))
+    for feed, part in (("odd", "event_id % 2 = 1"), ("even", "event_id % 2 = 0 OR event_id IS NULL")):
+        readings = intake.as_readings(intake.event_stream(spark, sf_dir).where(part))
+        intake.run_month_upsert(readings, contracts, f"{root}/months", f"{root}/state_{feed}", feed).awaitTermination()
+    return f"{root}/months"
+
+
+_MONTHS = ("contract_id", "contract_version", "usage_month", "total_kw", "avg_daily_kw", "peak_kw")
+
+
 def _stream_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monthly usage kept current by the stream's upsert."""
-    root = own_dir(spark, "stream_usage_monthly")
-    readings = intake.as_readings(intake.event_stream(spark, sf_dir))
-    contracts = intake.event_contracts(driver_tables.contracts(spark, sf_dir))
-    intake.run_month_upsert(readings, contracts, f"{root}/log", f"{root}/usage", f"{root}/state").awaitTermination()
-    return presented(
-        spark.read.parquet(f"{root}/usage").select(
-            "contract_id", "contract_version", "usage_month", "total_kw", "avg_daily_kw", "peak_kw"
-        )
-    )
+    """Monthly usage of all users and years of the events, kept current by the stream's upsert."""
+    return presented(intake.usage_months(spark, _upserted(spark, sf_dir, "stream_usage_monthly")).select(*_MONTHS))
 
 
 def _stream_months_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same over all users and years of the events, with a count for each contract-month of the readings
-    no version holds."""
-    root = own_dir(spark, "stream_usage_monthly_events")
-    stream = intake.event_stream(spark, sf_dir)
-    events = spark.read.schema(intake.EVENTS).option("pathGlobFilter", "events*.parquet").parquet(sf_dir)
-    contracts = intake.event_versions(events)
-    intake.run_month_upsert(intake.as_readings(stream), contracts, f"{root}/log", f"{root}/usage", f"{root}/state").awaitTermination()
-    held = spark.read.parquet(f"{root}/usage").withColumn("unheld_readings", F.lit(0).cast("long"))
+    """The same with a count for each contract-month of the readings no version holds."""
+    root = _upserted(spark, sf_dir, "stream_usage_monthly_events")
+    held = intake.usage_months(spark, root).select(*_MONTHS, F.lit(0).cast("long").alias("unheld_readings"))
     unheld = (
-        intake.unheld_readings(spark, f"{root}/usage")
+        intake.unheld_readings(spark, root)
         .groupBy("contract_id", month_floor(F.col("reading_date")).alias("usage_month"))
         .agg(F.count(F.lit(1)).alias("unheld_readings"))
     )
-    columns = ["contract_id", "contract_version", "usage_month", "total_kw", "avg_daily_kw", "peak_kw", "unheld_readings"]
-    return presented(held.select(*columns).unionByName(unheld, allowMissingColumns=True))
+    return presented(held.unionByName(unheld, allowMissingColumns=True))
 
 
 # Queries over the composed frames of one directory.
@@ -347,6 +370,7 @@ def queries() -> dict[str, Query]:
     registered["stale_version_billing"] = _stale_versions
     registered["stale_version_mid_month"] = _stale_mid_month
     registered["version_reattribution_overlap"] = _reattribution_overlap
+    registered["version_windows_tangled"] = _tangled_windows
     # files, tables and views
     registered["csv_contracts"] = _csv_contracts
     registered["csv_invoice_lines"] = _csv_invoices
@@ -357,6 +381,7 @@ def queries() -> dict[str, Query]:
     # streams
     registered["stream_intake"] = _stream_intake
     registered["stream_usage_daily"] = _stream_daily
+    registered["stream_day_status"] = _stream_days
     registered["stream_usage_monthly"] = _stream_months
     registered["stream_usage_monthly_events"] = _stream_months_events
     return {name: _prepared(query) for name, query in registered.items()}

@@ -210,18 +210,32 @@ _STEPS = {
     WHERE in_time AND reading_date + INTERVAL '1' DAY
                       <= (SELECT max(reading_date) - INTERVAL '7' DAY FROM reading_taken WHERE in_time)
     GROUP BY 1, 2""",
+    "event_spans": """
+    SELECT user_id, min(CAST(ts AS DATE)) AS first_day,
+           max(CAST(ts AS DATE)) - CASE WHEN user_id % 5 = 0 THEN 7 ELSE 0 END AS last_day
+    FROM events GROUP BY user_id""",
     "event_held": """
     SELECT e.event_id, e.user_id AS contract_id, e.ts, CAST(e.ts AS DATE) AS day, CAST(e.value AS DECIMAL(10,2)) AS kw,
            coalesce(CAST(e.ts AS DATE) BETWEEN s.first_day AND s.last_day, false) AS held
-    FROM events e
-    LEFT JOIN (SELECT user_id, min(CAST(ts AS DATE)) AS first_day,
-                      max(CAST(ts AS DATE)) - CASE WHEN user_id % 5 = 0 THEN 7 ELSE 0 END AS last_day
-               FROM events GROUP BY user_id) s ON e.user_id = s.user_id""",
+    FROM events e LEFT JOIN event_spans s ON e.user_id = s.user_id""",
     "dim_contract_overlapping": """
     SELECT contract_id, contract_version,
            CASE WHEN contract_version = 2 THEN DATE '1998-04-15' ELSE effective_start END AS effective_start,
            CASE WHEN effective_end = DATE '1998-03-31' THEN DATE '1998-06-30' ELSE effective_end END AS effective_end
     FROM dim_contract""",
+    "dim_contract_tangled": "\n    UNION ALL ".join(
+        f"SELECT s_suppkey AS contract_id, {v} AS contract_version, DATE '{a}' AS effective_start, DATE '{b}' AS effective_end "
+        f"FROM supplier WHERE s_suppkey % 4 = {kind}"
+        for kind, windows in enumerate(
+            (
+                (("1995-01-01", "2001-12-31"), ("1998-04-01", "1998-06-30"), ("1998-07-01", "2001-12-31")),
+                (("1995-01-01", "1996-12-31"), ("1997-02-01", "2001-12-31")),
+                (("1997-01-01", "2001-12-31"), ("1995-01-01", "1996-12-31")),
+                (("1995-01-01", "1999-12-31"), ("1996-01-01", "1996-12-31"), ("1999-06-01", "2000-12-31"), ("2001-03-01", "2001-12-31")),
+            )
+        )
+        for v, (a, b) in enumerate(windows, 1)
+    ),
     "signed": """
     SELECT m.*, m.estimated_days = 0 AND coalesce(d.open_days, 1) = 0 AS signed
     FROM mart m LEFT JOIN (
@@ -376,6 +390,23 @@ def _stale(contracts: str) -> str:
     )
 
 
+def _swept(contracts: str) -> str:
+    """Every version against all others of its contract: the ends of those that start no later, the first of
+    those that start later."""
+    before = "(b.effective_start < a.effective_start OR b.effective_start = a.effective_start AND b.contract_version <= a.contract_version)"
+    return _emit(
+        "contract_id contract_version effective_start effective_end covered_until next_start gap_days window_status",
+        f"""(SELECT *, CASE WHEN next_start IS NULL THEN 'last' WHEN next_start <= covered_until THEN 'overlap'
+                     WHEN next_start > covered_until + INTERVAL '1' DAY THEN 'gap' ELSE 'contiguous' END AS window_status,
+             date_diff('day', covered_until, next_start) - 1 AS gap_days
+      FROM (SELECT a.contract_id, a.contract_version, a.effective_start, a.effective_end,
+                   max(b.effective_end) FILTER (WHERE {before}) AS covered_until,
+                   min(b.effective_start) FILTER (WHERE NOT {before}) AS next_start
+            FROM {contracts} a JOIN {contracts} b ON a.contract_id = b.contract_id
+            GROUP BY 1, 2, 3, 4) paired) checked""",
+    )
+
+
 _COUNTED = {
     "v_meter_power_daily_effective": "meter_effective",
     "v_rack_utilization_daily_effective": "rack_effective",
@@ -405,14 +436,8 @@ _QUERIES = {
       FROM meter m LEFT JOIN dim_contract c
         ON m.contract_id = c.contract_id AND m.reading_date BETWEEN c.effective_start AND c.effective_end) moved""",
     ),
-    "version_windows": _emit(
-        "contract_id contract_version effective_start effective_end next_start gap_days window_status",
-        """(SELECT *, CASE WHEN gap_days IS NULL THEN 'last' WHEN gap_days < 0 THEN 'overlap'
-                     WHEN gap_days > 0 THEN 'gap' ELSE 'contiguous' END AS window_status
-      FROM (SELECT *, date_diff('day', effective_end, next_start) - 1 AS gap_days
-            FROM (SELECT *, lead(effective_start) OVER (PARTITION BY contract_id ORDER BY contract_version) AS next_start
-                  FROM dim_contract) ordered) gaps) checked""",
-    ),
+    "version_windows": _swept("dim_contract"),
+    "version_windows_tangled": _swept("dim_contract_tangled"),
     "missing_readings": _emit("contract_id contract_version reading_date", "calendar_days WHERE missing"),
     "lateness_class": _emit(
         "contract_id contract_version reading_date missing lateness_class",
@@ -654,17 +679,30 @@ _QUERIES = {
       UNION ALL SELECT *, 'too late' AS outcome FROM reading_taken WHERE NOT in_time
       UNION ALL SELECT *, 'too late' AS outcome FROM reading_taken WHERE NOT in_time AND reading_id % 7 = 0) taken""",
     ),
-    "stream_usage_daily": _emit("usage_date contract_id readings total_kw peak_kw", "event_days"),
+    "stream_usage_daily": _emit(
+        "usage_date contract_id readings total_kw peak_kw outcome",
+        """(SELECT *, 'closed' AS outcome FROM event_days
+      UNION ALL
+      SELECT reading_date, contract_id, count(*), sum(used_kw), max(used_kw), 'too late'
+      FROM reading_taken WHERE NOT in_time GROUP BY 1, 2) taken""",
+    ),
+    "stream_day_status": _emit(
+        "contract_id contract_version reading_date missing lateness_class",
+        """(SELECT d.user_id AS contract_id, 1 AS contract_version, d.day AS reading_date, t.delay IS NULL AS missing,
+             CASE WHEN t.delay IS NULL THEN 'estimated' WHEN t.delay > 0 THEN 'late' ELSE 'on_time' END AS lateness_class
+      FROM (SELECT user_id, CAST(unnest(generate_series(CAST(first_day AS TIMESTAMP), CAST(last_day AS TIMESTAMP), INTERVAL '1' DAY)) AS DATE) AS day
+            FROM event_spans WHERE first_day <= last_day) d
+      LEFT JOIN (SELECT contract_id, reading_date, max(reading_id % 11) AS delay FROM reading_taken WHERE in_time GROUP BY 1, 2) t
+        ON d.user_id = t.contract_id AND d.day = t.reading_date
+      WHERE d.day + INTERVAL '1' DAY <= (SELECT max(reading_date) - INTERVAL '7' DAY FROM reading_taken WHERE in_time)) closed""",
+    ),
     "stream_usage_monthly": _emit(
         "contract_id contract_version usage_month total_kw avg_daily_kw peak_kw",
-        f"""(SELECT user_id AS contract_id, 1 AS contract_version,
-             CAST(date_trunc('month', day) AS DATE) AS usage_month, sum(kw) AS total_kw,
-             {_average("kw")} AS avg_daily_kw, max(kw) AS peak_kw
-      FROM (SELECT user_id, CAST(ts AS DATE) AS day, CAST(value AS DECIMAL(10,2)) AS kw,
-                   row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE)
-                                      ORDER BY ts DESC, CAST(value AS DECIMAL(10,2)) DESC, event_id DESC) AS pos
-            FROM events) ranked
-      WHERE pos = 1 AND user_id IN (SELECT contract_id FROM dim_contract) AND year(day) = 2024
+        f"""(SELECT contract_id, 1 AS contract_version, CAST(date_trunc('month', day) AS DATE) AS usage_month,
+             sum(kw) AS total_kw, {_average("kw")} AS avg_daily_kw, max(kw) AS peak_kw
+      FROM (SELECT *, row_number() OVER (PARTITION BY contract_id, day ORDER BY ts DESC, kw DESC, event_id DESC) AS pos
+            FROM event_held WHERE held) ranked
+      WHERE pos = 1
       GROUP BY 1, 2, 3) upserted""",
     ),
     "stream_usage_monthly_events": _emit(

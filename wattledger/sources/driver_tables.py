@@ -141,6 +141,27 @@ def contracts(spark: SparkSession, sf_dir: str, overlapping: bool = False) -> Da
     )
 
 
+# Windows of contracts by contract_id % 4: one that outlasts its successors, a gap, versions numbered against
+# time, and a nested window before an overlap and a gap.
+TANGLED = (
+    (("1995-01-01", "2001-12-31"), ("1998-04-01", "1998-06-30"), ("1998-07-01", "2001-12-31")),
+    (("1995-01-01", "1996-12-31"), ("1997-02-01", "2001-12-31")),
+    (("1997-01-01", "2001-12-31"), ("1995-01-01", "1996-12-31")),
+    (("1995-01-01", "1999-12-31"), ("1996-01-01", "1996-12-31"), ("1999-06-01", "2000-12-31"), ("2001-03-01", "2001-12-31")),
+)
+
+
+def tangled_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contract windows with every fault a window check must find."""
+    date = lambda day: F.lit(day).cast("date")
+    lists = [
+        F.array(*[F.struct(F.lit(v).alias("contract_version"), date(a).alias("effective_start"), date(b).alias("effective_end")) for v, (a, b) in enumerate(windows, 1)])
+        for windows in TANGLED
+    ]
+    of = F.get(F.array(*lists), (F.col("s_suppkey") % len(TANGLED)).cast("int"))
+    return _read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("contract_id"), F.inline(of))
+
+
 def _shipped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shipped lines with the fields the two daily facts share."""
     return _read(spark, sf_dir, "lineitem").select(

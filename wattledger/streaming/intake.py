@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
-from datetime import date
-from functools import reduce
+from datetime import date, timedelta
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from wattledger.functions.expressions import BACKFILL_DAYS, ON_TIME, month_floor
+from wattledger.functions.expressions import BACKFILL_DAYS, ESTIMATED, LATE, ON_TIME, month_floor
 from wattledger.operators.dedupe import latest_readings
 from wattledger.operators.monthly import usage_monthly
 from wattledger.operators.windows import version_in_force
@@ -39,6 +39,10 @@ READINGS = T.StructType(
     ]
 )
 
+#: Readings as the monthly upsert keeps them, and the months it has staged and not yet published.
+STORED = T.StructType([*READINGS.fields, T.StructField("reading_month", T.DateType())])
+PENDING = T.StructType([T.StructField("reading_month", T.DateType())])
+
 DAILY_USAGE = T.StructType(
     [
         T.StructField("usage_date", T.DateType()),
@@ -74,16 +78,6 @@ def as_readings(events: DataFrame, arriving_late: bool = False) -> DataFrame:
     )
 
 
-def event_contracts(contracts: DataFrame) -> DataFrame:
-    """Contracts for the readings made from events: as many as there are, in one version, for the events' years."""
-    return contracts.select("contract_id").distinct().select(
-        "contract_id",
-        F.lit(1).alias("contract_version"),
-        F.lit("2024-01-01").cast("date").alias("effective_start"),
-        F.lit("2024-12-31").cast("date").alias("effective_end"),
-    )
-
-
 def event_versions(events: DataFrame) -> DataFrame:
     """Contracts for the readings made from events, by the events alone: one version for each user, from its
     first day to its last. Every fifth user's version ends a week early, so that some days have none."""
@@ -117,8 +111,9 @@ def intake(
 
 
 def too_late(readings: DataFrame, lateness_days: int = BACKFILL_DAYS) -> DataFrame:
-    """Readings beyond the window, as they came: for the next backfill, and so that none is lost without a trace."""
-    return readings.where(_days_late() > lateness_days)
+    """All that ``intake`` does not take, as it came: readings beyond the window, and those without a day or an
+    arrival, whose lateness nobody knows. They are there for the next backfill."""
+    return readings.where(F.coalesce(_days_late() > lateness_days, F.lit(True)))
 
 
 def daily_usage(accepted: DataFrame) -> DataFrame:
@@ -137,19 +132,29 @@ def daily_usage(accepted: DataFrame) -> DataFrame:
     )
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 @contextmanager
-def _utc(spark: SparkSession) -> Iterator[None]:
-    """Days are UTC days whatever the session's zone; a stream keeps the zone it was started under.
+def _settings(spark: SparkSession, **settings: str) -> Iterator[None]:
+    """Settings for streams that are started meanwhile, which keep them.
 
-    The session's zone is changed while streams are started and set back at once: do not plan other
-    queries of the same session in another thread at that moment.
+    They are changed while streams are started and set back at once: do not plan other queries of the same
+    session in another thread at that moment.
     """
-    zone = spark.conf.get("spark.sql.session.timeZone")
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set("spark.sql.session.timeZone", zone)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def _utc(spark: SparkSession):
+    """Days are UTC days whatever the session's zone."""
+    return _settings(spark, **{"spark.sql.session.timeZone": "UTC"})
 
 
 def _append(rows: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
@@ -163,10 +168,17 @@ def _append(rows: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     )
 
 
-def run_daily_usage(readings: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Starts the daily usage stream over whatever input is there and ends when it is used up."""
+def _finished(*queries: StreamingQuery) -> None:
+    for query in queries:
+        query.awaitTermination()
+
+
+def run_daily_usage(readings: DataFrame, out: str, late_out: str, checkpoint: str) -> None:
+    """Daily usage of whatever input is there; readings the intake does not take go to the other table."""
     with _utc(readings.sparkSession):
-        return _append(daily_usage(intake(readings)), out, checkpoint)
+        closed = _append(daily_usage(intake(readings)), out, f"{checkpoint}/daily")
+        late = _append(too_late(readings), late_out, f"{checkpoint}/late")
+    _finished(closed, late)
 
 
 def run_intake(readings: DataFrame, out: str, late_out: str, checkpoint: str) -> None:
@@ -174,105 +186,199 @@ def run_intake(readings: DataFrame, out: str, late_out: str, checkpoint: str) ->
     with _utc(readings.sparkSession):
         accepted = _append(intake(readings).drop("reading_ts"), out, f"{checkpoint}/accepted")
         late = _append(too_late(readings), late_out, f"{checkpoint}/late")
-    for query in (accepted, late):
-        query.awaitTermination()
+    _finished(accepted, late)
+
+
+DAY_STATUS = T.StructType(
+    [
+        T.StructField("contract_id", T.LongType()),
+        T.StructField("contract_version", T.IntegerType()),
+        T.StructField("reading_date", T.DateType()),
+        T.StructField("missing", T.BooleanType()),
+        T.StructField("lateness_class", T.StringType()),
+    ]
+)
+
+_EPOCH = date(1970, 1, 1)
+_DAY_MS = 86_400_000
+
+
+class DayCloser(StatefulProcessor):
+    """Closes the days of a contract's versions as event time passes them, with or without a reading.
+
+    Days are numbered from 1970. State is what the contract's open days need: its versions, the longest delay
+    of the readings of each open day, and the first open day, on whose end a timer stands. When the watermark
+    is past it, every day that ended is emitted once and forgotten, so state does not grow with history; past
+    the last day nothing stays.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.versions = handle.getListState("versions", "version int, first int, last int")
+        self.delays = handle.getMapState("delays", "day int", "days int")
+        self.first_open = handle.getValueState("first_open", "day int")
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        versions = sorted({(int(v), int(a), int(b)) for v, a, b in initialState[["version", "first", "last"]].itertuples(index=False)})
+        if versions:
+            self.versions.put(versions)
+            self._open_from(min(v[1] for v in versions))
+
+    def _open_from(self, day: int) -> None:
+        self.first_open.update((day,))
+        self.handle.registerTimer((day + 1) * _DAY_MS - 1)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        if self.first_open.exists():
+            (first,) = self.first_open.get()
+            for some in rows:
+                for day, days in some.groupby("day")["days"].max().items():
+                    known = self.delays.getValue((int(day),)) if self.delays.containsKey((int(day),)) else None
+                    if day >= first and (known is None or known[0] < days):
+                        self.delays.updateValue((int(day),), (int(days),))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        versions = list(self.versions.get())
+        (day,) = self.first_open.get()
+        last = max(v[2] for v in versions)
+        ended = min(timerValues.getCurrentWatermarkInMs() // _DAY_MS - 1, last)
+        closed = []
+        while day <= ended:
+            found = self.delays.getValue((day,)) if self.delays.containsKey((day,)) else None
+            held = [v[0] for v in versions if v[1] <= day <= v[2]]
+            if held:
+                status = ESTIMATED if found is None else ON_TIME if found[0] <= 0 else LATE
+                closed.append((key[0], max(held), _EPOCH + timedelta(days=day), found is None, status))
+            if found is not None:
+                self.delays.removeKey((day,))
+            day += 1
+        if day > last:
+            for state in (self.versions, self.delays, self.first_open):
+                state.clear()
+        else:
+            self._open_from(day)
+        yield pd.DataFrame(closed, columns=DAY_STATUS.names)
+
+    def close(self) -> None:
+        pass
+
+
+def closed_days(readings: DataFrame, contracts: DataFrame, lateness_days: int = BACKFILL_DAYS) -> DataFrame:
+    """Every day of every contract version once, when its lateness bound has passed: on time or late by the
+    longest delay among its readings in time, estimated where there is none.
+
+    The stream's form of ``calendar.lateness_classes`` over the readings ``intake`` takes. Days are those of
+    ``contracts`` as they were when the stream first started; where versions overlap, the later one counts.
+    A reading for a day outside them closes none. Needs Spark's RocksDB state store (``run_closed_days``).
+    """
+    day = lambda column: F.datediff(F.col(column), F.lit(_EPOCH))
+    spans = contracts.select(
+        F.col("contract_id").cast("long").alias("contract_id"),
+        F.col("contract_version").cast("int").alias("version"),
+        day("effective_start").alias("first"),
+        day("effective_end").alias("last"),
+    ).where("first <= last AND contract_id IS NOT NULL")
+    timely = (
+        readings.where((_days_late() <= lateness_days) & F.col("contract_id").isNotNull())
+        .withColumn("reading_ts", F.col("reading_date").cast("timestamp"))
+        .withWatermark("reading_ts", f"{lateness_days} days")
+        .select("reading_ts", F.col("contract_id").cast("long").alias("contract_id"), day("reading_date").alias("day"), _days_late().alias("days"))
+    )
+    return timely.groupBy("contract_id").transformWithStateInPandas(
+        statefulProcessor=DayCloser(),
+        outputStructType=DAY_STATUS,
+        outputMode="Append",
+        timeMode="EventTime",
+        initialState=spans.groupBy("contract_id"),
+    )
+
+
+def run_closed_days(readings: DataFrame, contracts: DataFrame, out: str, late_out: str, checkpoint: str) -> None:
+    """Closes the days that the input at hand brings to an end; what is not in time goes to the other table."""
+    spark = readings.sparkSession
+    with _utc(spark), _settings(spark, **{"spark.sql.streaming.stateStore.providerClass": ROCKSDB}):
+        closed = _append(closed_days(readings, contracts), out, f"{checkpoint}/closed")
+    with _utc(spark):
+        late = _append(too_late(readings), late_out, f"{checkpoint}/late")
+    _finished(closed, late)
 
 
 class MonthUpsert:
-    """Batch function of a stream: logs the readings, then rebuilds the months they touch, latest wins.
+    """Batch function of a stream: keeps the latest reading of each contract-day and the months they add up to.
+
+    Everything is tables under ``root``, partitioned by month and written by Spark alone: ``readings`` holds
+    the latest reading of each day, ``usage`` the months under the contract version in force, ``unheld`` the
+    readings that no version holds or that have no day, as they came, partitioned by batch as well.
 
-    The log is partitioned by month and batch. A replayed batch overwrites its own partitions, and the
-    monthly table is only ever derived from the log, so a failure at any point is repaired by the replay.
-    Readings get the contract version in force on their day. Those no version holds are not part of the
-    months, as the batch tables do it; they go as they came to a side table (``unheld_path``), partitioned
-    like the log, as do those without a day.
+    A batch touches some months. Their readings are merged with the batch into ``staged``, their list is
+    written to ``pending``, then both tables' months are replaced from what is staged, and the list is
+    emptied. Interrupted before the list is written, nothing was published and the replay starts from the
+    tables as they were. Interrupted later, the next call first publishes what is staged: months that a
+    half-done replacement emptied come back. As the latest reading wins, a batch that is given again, in
+    part or whole, changes nothing.
 
-    A month that has gathered ``most_batches`` folders is folded into one, in a base table beside the
-    log: it is written first and the folders go afterwards, and as the latest reading of a day wins, a
-    failure in between leaves copies but changes nothing.
+    Readings count as published with the versions in ``contracts``; a version withdrawn later asks for a
+    rebuild of its months. ``source`` tells apart the batches of several streams that share a root.
     """
 
-    def __init__(self, contracts: DataFrame, log_path: str, usage_path: str, most_batches: int = 16):
-        self.contracts, self.log_path, self.usage_path = contracts, log_path, usage_path
-        self.base_path, self.unheld_path, self.most_batches = f"{log_path}_base", f"{usage_path}_unheld", most_batches
+    def __init__(self, contracts: DataFrame, root: str, source: str = "stream"):
+        self.contracts, self.root, self.source = contracts, root.rstrip("/"), source
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        month = month_floor(F.col("reading_date"))
+        spark = batch.sparkSession
+        self._publish(spark)
         touched = touched_months(batch, "reading_date")
-        if not touched:
-            return
-        stamped = batch.withColumn("reading_month", month).withColumn("batch_id", F.lit(batch_id))
-        unheld = version_in_force(stamped, self.contracts, "reading_date").where("in_force_version IS NULL")
-        self._write(unheld.drop("in_force_version").hint("rebalance", "reading_month"), self.unheld_path, "reading_month", "batch_id")
+        stamped = batch.withColumn("reading_month", month_floor(F.col("reading_date")))
+        labelled = stamped.withColumn("source", F.lit(self.source)).withColumn("batch_id", F.lit(batch_id))
+        unheld = version_in_force(labelled, self.contracts, "reading_date").where("in_force_version IS NULL")
+        self._write(unheld.drop("in_force_version"), "unheld", "reading_month", "source", "batch_id")
         months = [m for m in touched if m is not None]
         if not months:
             return
-        dated = stamped.where("reading_date IS NOT NULL")
-        self._write(dated.hint("rebalance", "reading_month"), self.log_path, "reading_month", "batch_id")
-        readings = self._logged(batch.sparkSession, months)
-        latest = version_in_force(latest_readings(readings.drop("reading_month")), self.contracts, "reading_date")
-        held = latest.where("in_force_version IS NOT NULL").withColumn("contract_version", F.col("in_force_version"))
-        usage = usage_monthly(held.drop("in_force_version")).hint("rebalance", "usage_month")
-        self._write(usage, self.usage_path, "usage_month")
-        for one in months:
-            self._fold(batch.sparkSession, one, batch_id)
-
-    def _logged(self, spark: SparkSession, months: Sequence[date]) -> DataFrame:
-        """Base and log of the months, by their folders alone: other months are not even listed."""
-        stored = T.StructType([*READINGS.fields, T.StructField("reading_month", T.DateType())])
-        parts = []
-        for root in (self.base_path, self.log_path):
-            there = [p for m in months if _exists(spark, p := f"{root}/reading_month={m}")]
-            if there:
-                parts.append(spark.read.option("basePath", root).schema(stored).parquet(*there).select(*stored.names))
-        return reduce(DataFrame.unionByName, parts)
-
-    def _fold(self, spark: SparkSession, month: date, batch_id: int) -> None:
-        """All but the batch at hand, which a replay may still write again."""
-        old = [p for p in _children(spark, f"{self.log_path}/reading_month={month}") if p != f"batch_id={batch_id}" and "=" in p]
-        if len(old) < self.most_batches:
+        before = self._read(spark, "readings", STORED).where(F.col("reading_month").isin(months))
+        merged = latest_readings(before.unionByName(stamped.where("reading_date IS NOT NULL")).select(*STORED.names))
+        self._replace(merged, "staged")
+        self._replace(spark.createDataFrame([(m,) for m in months], PENDING).coalesce(1), "pending")
+        self._publish(spark)
+
+    def _publish(self, spark: SparkSession) -> None:
+        """Replaces the months that are pending by what is staged for them."""
+        if self._read(spark, "pending", PENDING).isEmpty():
             return
-        everything = latest_readings(self._logged(spark, [month]).drop("reading_month")).withColumn("reading_month", F.lit(month))
-        self._write(everything.hint("rebalance", "reading_month"), self.base_path, "reading_month")
-        for folder in old:
-            _delete(spark, f"{self.log_path}/reading_month={month}/{folder}")
-
-    @staticmethod
-    def _write(df: DataFrame, path: str, *partitions: str) -> None:
-        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(*partitions).parquet(path)
-
-
-def unheld_readings(spark: SparkSession, usage_path: str) -> DataFrame:
-    """What the upsert's contracts did not hold; an empty frame where they held everything."""
-    return spark.read.schema(READINGS).option("recursiveFileLookup", True).parquet(f"{usage_path}_unheld")
-
+        staged = self._read(spark, "staged", STORED)
+        self._write(staged, "readings", "reading_month")
+        latest = version_in_force(staged.drop("reading_month"), self.contracts, "reading_date")
+        held = latest.where("in_force_version IS NOT NULL").withColumn("contract_version", F.col("in_force_version"))
+        self._write(usage_monthly(held.drop("in_force_version")), "usage", "usage_month")
+        self._replace(spark.createDataFrame([], PENDING).coalesce(1), "pending")
 
-def _folder(spark: SparkSession, path: str):
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), folder
+    def _read(self, spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
+        """A table, which is made empty where it is not there yet."""
+        spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{self.root}/{table}")
+        return spark.read.schema(schema).parquet(f"{self.root}/{table}")
 
+    def _replace(self, rows: DataFrame, table: str) -> None:
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{self.root}/{table}")
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    files, folder = _folder(spark, path)
-    return files.exists(folder)
+    def _write(self, rows: DataFrame, table: str, *partitions: str) -> None:
+        """Replaces the partitions the rows are in, and no other."""
+        writer = rows.hint("rebalance", partitions[0]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*partitions).parquet(f"{self.root}/{table}")
 
 
-def _children(spark: SparkSession, path: str) -> list[str]:
-    files, folder = _folder(spark, path)
-    return [f.getPath().getName() for f in files.listStatus(folder)] if files.exists(folder) else []
+def usage_months(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/usage")
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    files, folder = _folder(spark, path)
-    files.delete(folder, True)
+def unheld_readings(spark: SparkSession, root: str) -> DataFrame:
+    """What the upsert's contracts did not hold; an empty frame where they held everything."""
+    return spark.read.schema(READINGS).option("recursiveFileLookup", True).parquet(f"{root}/unheld")
 
 
-def run_month_upsert(
-    readings: DataFrame, contracts: DataFrame, log_path: str, usage_path: str, checkpoint: str
-) -> StreamingQuery:
+def run_month_upsert(readings: DataFrame, contracts: DataFrame, root: str, checkpoint: str, source: str = "stream") -> StreamingQuery:
     return (
-        readings.writeStream.foreachBatch(MonthUpsert(contracts, log_path, usage_path))
+        readings.writeStream.foreachBatch(MonthUpsert(contracts, root, source))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
