@@ -104,7 +104,7 @@ def test_version_windows_compare_with_all_that_still_run(make):
     versions += [{"contract_id": 9, "contract_version": v, "effective_start": a, "effective_end": "2024-01-31"} for v, a in ((2, "2024-01-01"), (1, "2024-01-01"))]
     found = windows.version_windows(make("dim_contract", *versions))
     assert rows(found, "contract_id", "contract_version", "covered_until", "gap_days", "window_status") == [
-        (101, 1, "2025-12-31", -2160, "overlap"),
+        (101, 1, "2025-12-31", -2161, "overlap"),
         (101, 2, "2025-12-31", -2132, "overlap"),
         (101, 3, "2025-12-31", 4, "gap"),
         (101, 4, "2026-12-31", None, "last"),
