@@ -8,6 +8,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from wattledger.operators import reconciliation
 from wattledger.plans import warehouse
 from wattledger.plans.frames import Frames
 from wattledger.schemas import (
@@ -25,6 +26,7 @@ from wattledger.schemas import (
 )
 from wattledger.sources.files import new_folder, own_dir, read_csv, scratch_dir, write_csv
 from wattledger.sources.layers import LayerStore
+from wattledger.sources.ledger import LedgerStore, WriteMismatch
 
 JAN, FEB = date(2023, 1, 1), date(2023, 2, 1)
 
@@ -134,6 +136,79 @@ def test_stored_build_equals_the_composed_frames(make, store):
     assert rows(store.read(RECON).drop("last_reconciled_at")) == rows(f.recon.drop("last_reconciled_at"))
 
 
+@pytest.fixture
+def ledger(spark, tmp_path):
+    s = LedgerStore(spark, str(tmp_path / "store"), prefix=f"l{abs(hash(tmp_path)) % 10**9}_")
+    yield s
+    s.drop()
+
+
+def status(store, *tables):
+    found = store.check(tables or (FACT_METER, FACT_INVOICE, FACT_COST, USAGE_MONTHLY, ERP_REVENUE_MONTHLY, MART))
+    return {(r.table_name, r.month and r.month.isoformat()) for r in found.where("ledger_status = 'Red'").collect()}
+
+
+def test_ledger_agrees_with_what_the_store_wrote(make, ledger):
+    for _ in range(2):
+        warehouse.load_sources(ledger, two_months(make))
+        warehouse.build(ledger, stamp())
+    warehouse.backfill(ledger, make("fact_meter_power_daily", {"reading_date": "2023-02-11"}, {"reading_date": "2023-03-01"}), stamp())
+    warehouse.backfill_invoices(ledger, make("fact_invoice_line", {"invoice_id": 2, "invoice_month": "2023-01-01"}), stamp())
+    assert status(ledger) == set()
+    checked = ledger.check([MART, FACT_COST]).orderBy("table_name", "month")
+    assert rows(checked, "table_name", "month", "stored_rows") == [
+        ("fact_power_cost_monthly", None, 2), ("mart_contract_monthly", "2023-01-01", 1), ("mart_contract_monthly", "2023-02-01", 1), ("mart_contract_monthly", "2023-03-01", 1),
+    ]
+    ledger.overwrite(make("fact_meter_power_daily", {}), FACT_METER)
+    assert status(ledger, FACT_METER) == set() and ledger.check([FACT_METER]).count() == 1
+
+
+@pytest.mark.parametrize("fault", ["lost", "doubled", "priced", "foreign"])
+def test_ledger_and_reconciliation_show_what_changed_behind_the_store(spark, make, ledger, fault):
+    warehouse.load_sources(ledger, two_months(make))
+    warehouse.build(ledger, stamp())
+    colours = lambda: dict(rows(recon_of(ledger), "month", "control_status"))
+    before, counted = colours(), ledger.read(MART).count()
+    assert set(before.values()) == {"Green"}
+    mart = warehouse.mart_rows(ledger, [JAN])
+    altered = {
+        "lost": mart.where("false"),
+        "doubled": mart.unionByName(mart),
+        "priced": mart.withColumn("erp_revenue_total", F.col("erp_revenue_total") * 2),
+        "foreign": mart.withColumn("month", F.lit("2023-04-01").cast("date")),
+    }[fault]
+    LayerStore(spark, ledger.root, prefix=ledger.prefix).overwrite(altered, MART, [JAN, date(2023, 4, 1)])
+    broken = {"2023-01-01", "2023-04-01"} if fault == "foreign" else {"2023-01-01"}
+    assert status(ledger) == {("mart_contract_monthly", m) for m in broken}
+    assert {m for m, c in colours().items() if c == "Red"} == broken
+    assert ledger.read(MART).count() == counted + {"lost": -1, "doubled": 1}.get(fault, 0)
+    # The next rebuild of the month puts it right.
+    warehouse.build_mart(ledger, [JAN, date(2023, 4, 1)])
+    assert status(ledger) == set() and colours() == before
+
+
+def recon_of(store):
+    billed = store.read(ERP_REVENUE_MONTHLY).withColumnRenamed("erp_revenue_total", "amount")
+    return reconciliation.recon_erp_vs_mart_monthly(billed, store.read(MART))
+
+
+def test_a_write_onto_altered_rows_is_refused_an_entry(spark, make, ledger):
+    ledger.create([FACT_METER])
+    ledger.append(make("fact_meter_power_daily", {}), FACT_METER)
+    LayerStore(spark, ledger.root, prefix=ledger.prefix).append(make("fact_meter_power_daily", {}), FACT_METER)
+    with pytest.raises(WriteMismatch):
+        ledger.append(make("fact_meter_power_daily", {}), FACT_METER)
+    assert status(ledger, FACT_METER) == {("fact_meter_power_daily", "2023-01-01")}
+
+
+def test_composed_reconciliation_reads_the_mart(make):
+    f = Frames(two_months(make))
+    assert {r.control_status for r in f.recon.collect()} == {"Green"}
+    f = Frames(two_months(make))
+    f.mart = f.mart.where("month <> '2023-02-01'")
+    assert dict(rows(f.recon, "month", "control_status")) == {"2023-01-01": "Green", "2023-02-01": "Red"}
+
+
 def test_views_over_the_store_read_stored_months(spark, make, store):
     warehouse.load_sources(store, two_months(make))
     warehouse.build(store, stamp())

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattledger.functions.expressions import count_where, key_text
+from wattledger.functions.expressions import GREEN, RED, count_where, key_text
 from wattledger.schemas import BY_NAME, FOREIGN_KEYS, ForeignKey
 
 
@@ -73,22 +73,44 @@ def null_risk(mart: DataFrame) -> DataFrame:
     )
 
 
-def monthly_layer_counts(daily: DataFrame, month: Column, contracts: DataFrame, names: Mapping[str, str]) -> DataFrame:
-    """Row counts of effective daily rows, of their contract-months and of those that reach the mart.
+def layer_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows of every layer, each counted from what the layer itself gives."""
+    return _union([df.agg(F.count("*").alias("cnt")).select(F.lit(name).alias("table_name"), "cnt")
+                   for name, df in tables.items()])
 
-    ``names`` gives the layers' names by "daily", "monthly" and "mart"; layers not named are left out. All
-    are counted over one grouping, so the daily facts are deduplicated once.
-    """
-    key = ["contract_id", "contract_version"]
-    months = daily.groupBy(*key, month.alias("month")).agg(F.count("*").alias("days"))
-    terms = contracts.groupBy(*key).agg(F.count("*").alias("terms"))
-    counted = months.join(terms, key, "left").agg(
-        F.sum("days").alias("daily"), F.count("*").alias("monthly"), F.sum(F.coalesce("terms", F.lit(0))).alias("mart")
+
+LEDGER_KEY = ("table_name", "month")
+
+
+def control_sum(control: Sequence[str]) -> Column:
+    """The exact sum of the control columns over all rows; NULL amounts count as nothing."""
+    none = F.lit(0).cast("decimal(28,2)")
+    return F.sum(reduce(Column.__add__, [F.coalesce(F.col(c).cast("decimal(28,2)"), none) for c in control], none)).cast("decimal(38,2)")
+
+
+def control_totals(df: DataFrame, table: str, month: str | None, control: Sequence[str]) -> DataFrame:
+    """Rows and the exact sum of the control columns, for each month of a table, or for all of it."""
+    by = F.col(month) if month else F.lit(None).cast("date")
+    return (
+        df.groupBy(by.alias("month"))
+        .agg(F.count("*").alias("row_count"), control_sum(control).alias("control_sum"))
+        .select(F.lit(table).alias("table_name"), "month", "row_count", "control_sum")
     )
-    listed = F.array(*[F.struct(F.lit(n).alias("table_name"), F.coalesce(layer, F.lit(0)).alias("cnt")) for layer, n in names.items()])
-    return counted.select(F.inline(listed))
 
 
-def layer_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    return _union([df.agg(F.count("*").alias("cnt")).select(F.lit(name).alias("table_name"), "cnt")
-                   for name, df in tables.items()])
+def ledger_check(recorded: DataFrame, stored: DataFrame) -> DataFrame:
+    """What was recorded as written against what a layer holds, by table and month; Red where they differ.
+
+    A month that only one side knows counts as nothing on the other, so lost and foreign months are Red too.
+    Both sides have a row for each table and month of the calendar.
+    """
+    zero = F.lit(0).cast("decimal(38,2)")
+    left = recorded.select(*LEDGER_KEY, F.col("row_count").alias("recorded_rows"), F.col("control_sum").alias("recorded_sum")).alias("r")
+    right = stored.select(*LEDGER_KEY, F.col("row_count").alias("stored_rows"), F.col("control_sum").alias("stored_sum")).alias("s")
+    same = (F.col("r.table_name") == F.col("s.table_name")) & F.col("r.month").eqNullSafe(F.col("s.month"))
+    amounts = {f"{side}_{what}": F.coalesce(F.col(f"{side}_{what}"), none) for what, none in (("rows", F.lit(0).cast("long")), ("sum", zero)) for side in ("recorded", "stored")}
+    both = left.join(right, same, "full_outer").select(
+        F.coalesce("r.table_name", "s.table_name").alias("table_name"), F.coalesce("r.month", "s.month").alias("month"), *[v.alias(n) for n, v in amounts.items()]
+    )
+    agrees = (F.col("recorded_rows") == F.col("stored_rows")) & (F.col("recorded_sum") == F.col("stored_sum"))
+    return both.withColumn("ledger_status", F.when(agrees, GREEN).otherwise(RED))

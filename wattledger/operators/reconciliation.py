@@ -30,7 +30,8 @@ def recon_erp_vs_mart_monthly(
 ) -> DataFrame:
     """ERP and mart revenue of each month, their variance, its likely reason and a control colour.
 
-    Both sides are grouped by month before they meet, so the full join sees one row per month. A month
+    ``invoices`` are lines or already billed contract-months, by invoice_month and amount; ``mart`` is the
+    mart itself, as stored or as composed. Both sides are grouped by month before they meet, so the full join sees one row per month. A month
     only one side knows is Red. The 1 % tolerance is documented; the limit between Yellow and Red is a
     parameter of ours. Percentages are compared unrounded and shown with four decimals.
     """
@@ -44,39 +45,6 @@ def recon_erp_vs_mart_monthly(
     return _reconciled(erp.join(modelled, "month", "full_outer"), reconciled_at, green_max_pct, yellow_max_pct)
 
 
-def recon_from_months(
-    erp_revenue: DataFrame,
-    usage: DataFrame,
-    power_cost: DataFrame,
-    reconciled_at: Column | None = None,
-    green_max_pct: float = GREEN_MAX_PCT,
-    yellow_max_pct: float = YELLOW_MAX_PCT,
-) -> DataFrame:
-    """The same reconciliation without a stored mart: its revenue is what is billed where usage exists.
-
-    Billed and used contract-months meet once, on the partitioning both already have, so neither the lines
-    nor the readings are gathered a second time; what the energy cost is allocated to is not needed.
-    ``power_cost`` has one row per month.
-    """
-    key = ["contract_id", "contract_version", "usage_month"]
-    billed = erp_revenue.withColumnRenamed("invoice_month", "usage_month").select(*key, "erp_revenue_total")
-    used = usage.select(*key, "late_reading_days", "estimated_days", F.lit(True).alias("used"))
-    months = (
-        used.join(billed, key, "full_outer")
-        .groupBy(F.col("usage_month").alias("month"))
-        .agg(
-            F.sum("erp_revenue_total").alias("erp_sum"),
-            F.sum(F.when(F.col("used"), F.coalesce("erp_revenue_total", F.lit(0)))).alias("mart_sum"),
-            F.sum("late_reading_days").alias("late_days"),
-            F.sum("estimated_days").alias("estimated_days"),
-        )
-    )
-    flags = power_cost.select(F.col("cost_month").alias("month"), "true_up_flag")
-    true_up = F.when(F.col("mart_sum").isNotNull(), F.coalesce("true_up_flag", F.lit(False)))
-    sides = months.join(flags, "month", "left").withColumn("true_up", true_up)
-    return _reconciled(sides, reconciled_at, green_max_pct, yellow_max_pct)
-
-
 def _reconciled(sides: DataFrame, reconciled_at: Column | None, green_max_pct: float, yellow_max_pct: float) -> DataFrame:
     """Variance, bucket and colour of months with what each side sums up to; NULL where a side has none."""
     one_sided = F.col("erp_sum").isNull() | F.col("mart_sum").isNull()

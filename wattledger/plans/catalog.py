@@ -37,6 +37,7 @@ from wattledger.session import split_hot_keys
 from wattledger.sources import driver_tables
 from wattledger.sources.files import own_dir, read_csv, write_csv
 from wattledger.sources.layers import LayerStore, touched_months
+from wattledger.sources.ledger import LedgerStore
 from wattledger.streaming import intake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,17 +60,50 @@ def _source_frames(f: Frames) -> dict[str, DataFrame]:
 
 
 def _layer_counts(f: Frames) -> DataFrame:
-    readings = {"daily": "v_meter_power_daily_effective", "monthly": "v_usage_monthly", "mart": "mart_contract_monthly"}
-    counts = {"daily": "v_rack_utilization_daily_effective", "monthly": "v_rack_monthly"}
-    rest = {"v_erp_revenue_monthly": f.erp_revenue, "v_power_cost_monthly": f.power_cost}
-    by_day = integrity.monthly_layer_counts
-    return (
-        by_day(f.effective_meter, month_floor(F.col("reading_date")), f.tables.contracts, readings)
-        .unionByName(by_day(f.effective_racks, month_floor(F.col("usage_date")), f.tables.contracts, counts))
-        .unionByName(integrity.layer_row_counts(rest))
+    return integrity.layer_row_counts(
+        {
+            "v_meter_power_daily_effective": f.effective_meter,
+            "v_rack_utilization_daily_effective": f.effective_racks,
+            "v_usage_monthly": f.usage,
+            "v_rack_monthly": f.rack_usage,
+            "v_erp_revenue_monthly": f.erp_revenue,
+            "v_power_cost_monthly": f.power_cost,
+            "mart_contract_monthly": f.mart,
+        }
     )
 
 
+def _altered(rows: DataFrame) -> DataFrame:
+    """A mart as faults leave it: every third contract lost in February, May doubled, July priced up."""
+    month = F.month("month")
+    kept = rows.where((month != 2) | (F.col("contract_id") % 3 != 0))
+    priced = kept.withColumn("erp_revenue_total", F.col("erp_revenue_total") + F.when(month == 7, F.lit("99.00").cast("decimal(4,2)")).otherwise(F.lit(0).cast("decimal(4,2)")))
+    copies = F.explode(F.sequence(F.lit(1), F.when(month == 5, 2).otherwise(1)))
+    return priced.withColumn("copy", copies).drop("copy")
+
+
+def _altered_controls(f: Frames) -> DataFrame:
+    """The reconciliation of a mart with faults: their months leave the tolerance."""
+    billed = f.erp_revenue.select("invoice_month", F.col("erp_revenue_total").alias("amount"))
+    return reconciliation.recon_erp_vs_mart_monthly(billed, _altered(f.mart)).drop("last_reconciled_at")
+
+
+def _ledger_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored layers against the ledger of their writes, after the mart was altered behind its back."""
+    f, query = Frames.from_dir(spark, sf_dir), "layer_ledger_check"
+    store = LedgerStore(spark, own_dir(spark, query), prefix=f"run_{query}_", wide=True)
+    store.drop()
+    written = {DIM_CONTRACT: f.tables.contracts, FACT_COST: f.tables.power_cost, USAGE_MONTHLY: f.usage, RACK_MONTHLY: f.rack_usage, ERP_REVENUE_MONTHLY: f.erp_revenue}
+    store.create([*written, MART])
+    for table, rows in written.items():
+        store.overwrite(rows, table)
+    warehouse.build_mart(store)
+    behind = LayerStore(spark, store.root, prefix=store.prefix, wide=True)
+    touched = [m for m in touched_months(store.read(MART), "month") if m.month in (2, 5, 7)]
+    behind.overwrite(_altered(warehouse.mart_rows(store, touched)), MART, touched)
+    return presented(store.check([*written, MART]))
+
+
 def _surrogate_keys(f: Frames) -> DataFrame:
     """Two source systems that use the same contract and customer ids."""
     contracts = f.tables.contracts
@@ -348,6 +382,7 @@ _PLANS: dict[str, Callable[[Frames], DataFrame]] = {
     "not_null_violations": lambda f: integrity.not_null_violations(_source_frames(f)),
     "null_risk": lambda f: integrity.null_risk(f.mart),
     "layer_row_counts": _layer_counts,
+    "controls_of_altered_mart": _altered_controls,
     "posting_month_end": _posting_against_month_end,
 }
 
@@ -377,6 +412,7 @@ def queries() -> dict[str, Query]:
     registered["table_append_load"] = _table_append
     registered["mart_partition_overwrite"] = _mart_overwrite
     registered["mart_full_rebuild"] = _mart_rebuild
+    registered["layer_ledger_check"] = _ledger_check
     registered["sql_over_views"] = _sql_over_views
     # streams
     registered["stream_intake"] = _stream_intake

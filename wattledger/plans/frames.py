@@ -73,7 +73,9 @@ class Frames:
 
     @cached_property
     def recon(self) -> DataFrame:
-        return reconciliation.recon_from_months(self.erp_revenue, self.usage, self.power_cost)
+        """Billed contract-months against the mart. Both read the same revenue, whose shuffle is shared."""
+        billed = self.erp_revenue.select("invoice_month", F.col("erp_revenue_total").alias("amount"))
+        return reconciliation.recon_erp_vs_mart_monthly(billed, self.mart)
 
     @cached_property
     def lateness(self) -> DataFrame:

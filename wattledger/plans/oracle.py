@@ -56,6 +56,21 @@ def _share(kw: str, site: str, cost: str) -> str:
                                    AS DECIMAL(20,6)) AS DECIMAL(14,2)) END"""
 
 
+def _reconciled(mart: str) -> str:
+    return f"""
+    SELECT month, billed AS erp_revenue_total, booked AS mart_revenue_total, booked - billed AS variance_amount,
+           CASE WHEN billed <> 0
+                THEN round(100 * (CAST(booked - billed AS DOUBLE) / CAST(billed AS DOUBLE)), 4) END AS variance_pct,
+           variance_bucket,
+           CASE WHEN one_sided THEN 'Red' ELSE {_STATUS.format(expected="billed", actual="booked")} END AS control_status
+    FROM (SELECT coalesce(e.month, m.month) AS month, coalesce(e.erp_sum, 0) AS billed, coalesce(m.mart_sum, 0) AS booked,
+                 e.month IS NULL OR m.month IS NULL AS one_sided, {_REASON} AS variance_bucket
+          FROM (SELECT invoice_month AS month, sum(amount) AS erp_sum FROM invoice GROUP BY 1) e
+          FULL OUTER JOIN (SELECT month, sum(erp_revenue_total) AS mart_sum, sum(late_reading_days) AS late_reading_days,
+                                  sum(estimated_days) AS estimated_days, bool_or(true_up_flag) AS true_up_flag
+                           FROM {mart} GROUP BY 1) m ON e.month = m.month) sides"""
+
+
 _STEPS = {
     # source tables
     "dim_customer": """
@@ -180,18 +195,12 @@ _STEPS = {
     LEFT JOIN allocation p ON u.contract_id = p.contract_id AND u.contract_version = p.contract_version
                           AND u.usage_month = p.usage_month""",
     # controls
-    "recon": f"""
-    SELECT month, billed AS erp_revenue_total, booked AS mart_revenue_total, booked - billed AS variance_amount,
-           CASE WHEN billed <> 0
-                THEN round(100 * (CAST(booked - billed AS DOUBLE) / CAST(billed AS DOUBLE)), 4) END AS variance_pct,
-           variance_bucket,
-           CASE WHEN one_sided THEN 'Red' ELSE {_STATUS.format(expected="billed", actual="booked")} END AS control_status
-    FROM (SELECT coalesce(e.month, m.month) AS month, coalesce(e.erp_sum, 0) AS billed, coalesce(m.mart_sum, 0) AS booked,
-                 e.month IS NULL OR m.month IS NULL AS one_sided, {_REASON} AS variance_bucket
-          FROM (SELECT invoice_month AS month, sum(amount) AS erp_sum FROM invoice GROUP BY 1) e
-          FULL OUTER JOIN (SELECT month, sum(erp_revenue_total) AS mart_sum, sum(late_reading_days) AS late_reading_days,
-                                  sum(estimated_days) AS estimated_days, bool_or(true_up_flag) AS true_up_flag
-                           FROM mart GROUP BY 1) m ON e.month = m.month) sides""",
+    "recon": _reconciled("mart"),
+    "mart_altered": """
+    SELECT * REPLACE (CASE WHEN month(month) = 7 THEN erp_revenue_total + 99 ELSE erp_revenue_total END AS erp_revenue_total)
+    FROM (SELECT * FROM mart UNION ALL SELECT * FROM mart WHERE month(month) = 5) copied
+    WHERE month(month) <> 2 OR contract_id % 3 <> 0""",
+    "recon_altered": _reconciled("mart_altered"),
     "exceptions": "SELECT * FROM mart WHERE late_reading_days > 0 OR estimated_days > 0 OR true_up_flag",
     "summary": """
     SELECT month, count(*) AS contract_rows,
@@ -275,13 +284,14 @@ _DOUBLES = """used_kw total_kw avg_daily_kw peak_kw avg_racks_used erp_revenue_t
     true_up_amount revenue power_cost margin usage_kw revenue_change power_cost_change margin_change
     usage_kw_change margin_ratio avg_power_utilization peak_power_utilization avg_rack_utilization
     peak_rack_utilization signed_kw signed_row_share signed_kw_share power_commit_kw_change
-    price_per_kw_change""".split()
+    price_per_kw_change recorded_sum stored_sum""".split()
 _INTS = """contract_id contract_version customer_id racks_entitled max_racks_used racks_used late_reading_days
     estimated_days true_up_flag late_flag estimated_flag true_up_flag2 contract_rows contracts_with_late_data
     contracts_with_estimated_data contracts_with_trueups contracts_negative_margin gap_days next_version
     stated_version in_force_version billed_version reattributed missing previous_version racks_entitled_change
     over_commit_flag over_racks_flag invoice_id invoice_line_id row_count null_count null_revenue_rows
-    null_cost_rows cnt signed_rows readings overage_allowed_flag days_to_close reading_id""".split()
+    null_cost_rows cnt signed_rows readings overage_allowed_flag days_to_close reading_id
+    recorded_rows stored_rows""".split()
 _TEXTS = ["ingested_at", "reprocessed_at"]
 
 
@@ -417,6 +427,25 @@ _COUNTED = {
     "mart_contract_monthly": "mart",
 }
 
+#: Tables of the ledger check with their month, their control amounts, and what is stored where that differs.
+_LEDGERED = (
+    ("dim_contract", "dim_contract", "NULL", "0"),
+    ("fact_power_cost_monthly", "power_cost", "NULL", "total_power_cost"),
+    ("usage_monthly", "usage", "usage_month", "total_kw"),
+    ("rack_monthly", "rack_usage", "usage_month", "0"),
+    ("erp_revenue_monthly", "erp", "invoice_month", "erp_revenue_total"),
+    ("mart_contract_monthly", "mart", "month", "erp_revenue_total + allocated_power_cost + total_kw", "mart_altered"),
+)
+
+
+def _ledgered(table: str, source: str, month: str, control: str, stored: str | None = None) -> str:
+    totals = "SELECT CAST({month} AS DATE) AS month, count(*) AS n, CAST(sum({control}) AS DECIMAL(38,2)) AS total FROM {of} GROUP BY 1"
+    recorded, holds = (totals.format(month=month, control=control, of=of) for of in (source, stored or source))
+    return f"""SELECT '{table}' AS table_name, coalesce(r.month, s.month) AS month, coalesce(r.n, 0) AS recorded_rows,
+             coalesce(s.n, 0) AS stored_rows, coalesce(r.total, 0) AS recorded_sum, coalesce(s.total, 0) AS stored_sum
+      FROM ({recorded}) r FULL OUTER JOIN ({holds}) s ON r.month IS NOT DISTINCT FROM s.month"""
+
+
 _QUERIES = {
     "latest_reading": _emit(_METER_COLUMNS, "meter"),
     "effective_meter": _emit(_METER_COLUMNS, "meter_effective"),
@@ -540,6 +569,14 @@ _QUERIES = {
             FROM meter_effective GROUP BY 1, 2, 3) sums) quality""",
     ),
     "controls_data_integrity": _emit(_RECON_COLUMNS, "recon"),
+    "controls_of_altered_mart": _emit(_RECON_COLUMNS, "recon_altered"),
+    "layer_ledger_check": _emit(
+        "table_name month recorded_rows stored_rows recorded_sum stored_sum ledger_status",
+        """(SELECT *, CASE WHEN recorded_rows = stored_rows AND recorded_sum = stored_sum THEN 'Green' ELSE 'Red' END AS ledger_status
+      FROM ("""
+        + " UNION ALL ".join(_ledgered(*t) for t in _LEDGERED)
+        + """) totals) checked""",
+    ),
     "contract_variance_monthly": _emit(
         """month contract_id contract_version contract_erp_revenue allocated_power_cost gross_margin
         late_reading_days estimated_days true_up_flag total_kw avg_daily_kw peak_kw late_flag estimated_flag

@@ -65,15 +65,19 @@ def build_revenue(store: LayerStore, months: Sequence[date] | None = None) -> No
     store.overwrite(monthly.erp_revenue_monthly(store.read(FACT_INVOICE, months)), ERP_REVENUE_MONTHLY, months)
 
 
-def build_mart(store: LayerStore, months: Sequence[date] | None = None) -> None:
-    rows = mart_contract_monthly(
+def mart_rows(store: LayerStore, months: Sequence[date] | None = None) -> DataFrame:
+    """The mart as the stored months make it."""
+    return mart_contract_monthly(
         store.read(USAGE_MONTHLY, months),
         store.read(DIM_CONTRACT),
         store.read(RACK_MONTHLY, months),
         store.read(ERP_REVENUE_MONTHLY, months),
         store.read(FACT_COST),
     )
-    store.overwrite(rows, MART, months)
+
+
+def build_mart(store: LayerStore, months: Sequence[date] | None = None) -> None:
+    store.overwrite(mart_rows(store, months), MART, months)
 
 
 def build_recon(store: LayerStore, reconciled_at: Column | None = None) -> None:

@@ -23,6 +23,8 @@ class Table:
     dated_by: str | None = None
     # Stored beside the declared columns and not part of the source format.
     audit: tuple[str, ...] = ()
+    # Amounts whose sum the ledger keeps for each month.
+    control: tuple[str, ...] = ()
 
     @property
     def month_column(self) -> str | None:
@@ -99,6 +101,7 @@ FACT_METER = Table(
     ("reading_date", "contract_id", "contract_version"),
     "reading_date",
     (REPROCESSED,),
+    control=("used_kw",),
 )
 
 FACT_RACK = Table(
@@ -132,6 +135,7 @@ FACT_INVOICE = Table(
     ("invoice_id", "invoice_line_id"),
     "invoice_month",
     (REPROCESSED,),
+    control=("amount",),
 )
 
 FACT_COST = Table(
@@ -145,6 +149,7 @@ FACT_COST = Table(
         ("true_up_flag", BOOL, False),
     ),
     ("cost_month", "site_id"),
+    control=("total_power_cost",),
 )
 
 MART = Table(
@@ -173,6 +178,7 @@ MART = Table(
     ),
     ("contract_id", "contract_version", "month"),
     "month",
+    control=("erp_revenue_total", "allocated_power_cost", "total_kw"),
 )
 
 RECON = Table(
@@ -191,6 +197,20 @@ RECON = Table(
     ("month",),
 )
 
+#: What each write left in a month of a table (NULL: of a table without months), the latest write last.
+LAYER_LEDGER = Table(
+    "recon",
+    "layer_ledger",
+    _struct(
+        ("table_name", STR, False),
+        ("month", DATE, True),
+        ("row_count", LONG, False),
+        ("control_sum", T.DecimalType(38, 2), True),
+        ("write_id", LONG, False),
+    ),
+    ("table_name", "month", "write_id"),
+)
+
 USAGE_MONTHLY = Table(
     "curated",
     "usage_monthly",
@@ -206,6 +226,7 @@ USAGE_MONTHLY = Table(
     ),
     ("contract_id", "contract_version", "usage_month"),
     "usage_month",
+    control=("total_kw",),
 )
 
 RACK_MONTHLY = Table(
@@ -236,10 +257,11 @@ ERP_REVENUE_MONTHLY = Table(
     ),
     ("contract_id", "contract_version", "invoice_month"),
     "invoice_month",
+    control=("erp_revenue_total",),
 )
 
 SOURCE_TABLES = (DIM_CUSTOMER, DIM_CONTRACT, FACT_METER, FACT_RACK, FACT_INVOICE, FACT_COST)
-ALL_TABLES = (*SOURCE_TABLES, USAGE_MONTHLY, RACK_MONTHLY, ERP_REVENUE_MONTHLY, MART, RECON)
+ALL_TABLES = (*SOURCE_TABLES, USAGE_MONTHLY, RACK_MONTHLY, ERP_REVENUE_MONTHLY, MART, RECON, LAYER_LEDGER)
 BY_NAME = {t.name: t for t in ALL_TABLES}
 
 FOREIGN_KEYS = (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,14 +66,20 @@ class LayerStore:
             rows = rows.hint("rebalance", month)
         return rows.select(*self.spark.table(self.name(table)).columns)
 
+    def _metrics(self, table: Table) -> list[Column]:
+        """What is observed of the rows of a write as they pass."""
+        months = F.collect_set(table.month_column) if table.month_column else F.collect_set(F.lit(None).cast("date"))
+        return [F.count(F.lit(1)).alias("rows"), months.alias("months")]
+
+    def _wrote(self, table: Table, seen: dict, months: Sequence[date] | None, replaced: bool) -> None:
+        """Called after each write with what was observed; for stores that keep account of it."""
+
     def append(self, df: DataFrame, table: Table) -> list[date]:
         """Adds rows; returns the months they went to, as they were written."""
-        rows, month = self._shaped(df, table), table.month_column
         seen = Observation()
-        if month:
-            rows = rows.observe(seen, F.collect_set(month).alias("months"))
-        rows.write.mode("append").insertInto(self.name(table))
-        return sorted(seen.get["months"]) if month else []
+        self._shaped(df, table).observe(seen, *self._metrics(table)).write.mode("append").insertInto(self.name(table))
+        self._wrote(table, seen.get, None, replaced=False)
+        return sorted(seen.get["months"])
 
     def overwrite(self, df: DataFrame, table: Table, months: Sequence[date] | None = None) -> None:
         """Replaces the whole table, or with ``months`` those months and no other.
@@ -81,15 +87,13 @@ class LayerStore:
         ``months`` are the ones that were rebuilt: those the rows no longer mention are emptied, which an
         overwrite of written partitions alone would leave as they were.
         """
-        rows, month = self._shaped(df, table), table.month_column
-        if months is None or not month:
-            self._replace(rows, table, "static")
-            return
         seen = Observation()
-        rows = rows.observe(seen, F.collect_set(month).alias("months"))
-        self._replace(rows, table, "dynamic")
-        for gone in set(months) - set(seen.get["months"]):
+        rows = self._shaped(df, table).observe(seen, *self._metrics(table))
+        by_month = months is not None and table.month_column is not None
+        self._replace(rows, table, "dynamic" if by_month else "static")
+        for gone in set(months) - set(seen.get["months"]) if by_month else ():
             self._empty(table, gone)
+        self._wrote(table, seen.get, months if by_month else None, replaced=True)
 
     def _replace(self, rows: DataFrame, table: Table, mode: str) -> None:
         """Static replaces the table, dynamic the months written. A catalog table takes the mode from the
