@@ -34,10 +34,11 @@ from wattledger.schemas import (
     Table,
 )
 from wattledger.session import split_hot_keys
-from wattledger.sources import driver_tables
+from wattledger.sources import admission, arrivals, driver_tables
 from wattledger.sources.files import own_dir, read_csv, write_csv
 from wattledger.sources.layers import LayerStore, touched_months
 from wattledger.sources.ledger import LedgerStore
+from wattledger.sources.registry import KeyRegistry
 from wattledger.streaming import intake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -206,6 +207,71 @@ def _table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return presented(store.read(FACT_METER))
 
 
+def _faulty_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Invoice lines, some without an amount, some of a contract nobody knows; many share a key as they come."""
+    lines = driver_tables.invoices(spark, sf_dir)
+    return lines.withColumns(
+        {
+            "amount": F.when(F.col("invoice_id") % 89 != 0, F.col("amount")),
+            "contract_id": F.col("contract_id") + F.when(F.col("invoice_id") % 101 == 0, 1_000_000_000).otherwise(0),
+        }
+    )
+
+
+def _load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load of faulty lines: those published, without a reason, and those refused, with one."""
+    root = own_dir(spark, "load_audit")
+    store = LayerStore(spark, f"{root}/store", prefix="run_load_audit_", wide=True)
+    store.drop()
+    store.create([FACT_INVOICE])
+    contracts = driver_tables.contracts(spark, sf_dir)
+    admission.admit(store, _faulty_invoices(spark, sf_dir), FACT_INVOICE, {"dim_contract": contracts}, f"{root}/staged")
+    published = store.read(FACT_INVOICE).withColumn("copies", F.lit(1).cast("long")).withColumn("reason", F.lit(None).cast("string"))
+    return presented(published.unionByName(admission.quarantine(store, f"{root}/staged")))
+
+
+def _damaged_lines(lines: DataFrame) -> DataFrame:
+    """Invoice lines as text, some with an amount that is none, some cut short."""
+    whole = F.concat_ws(",", *[F.col(c).cast("string") for c in FACT_INVOICE.schema.names])
+    spoilt = F.concat(F.substring_index(whole, ",", 7), F.lit(",n/a"))
+    kind = F.col("invoice_id") % 97
+    return lines.select(F.when(kind == 0, spoilt).when(kind == 1, F.substring_index(whole, ",", 4)).otherwise(whole).alias("value"))
+
+
+def _dropped(lines: DataFrame, path: str) -> None:
+    """Files with a header, as another system drops them."""
+    header = ",".join(FACT_INVOICE.schema.names)
+    # Another separator, which no line holds, writes a line as it is.
+    lines.select(F.col("value").alias(header)).write.option("header", True).option("sep", "\x01").csv(path)
+
+
+def _csv_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed lines, and the text of those that are damaged."""
+    path = f"{own_dir(spark, 'csv_damaged_lines')}/lines"
+    _dropped(_damaged_lines(driver_tables.invoices(spark, sf_dir)), path)
+    return presented(arrivals.read_lines(spark, path, FACT_INVOICE, wide=True))
+
+
+def _folder_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files loaded as they are dropped: two folders, a load after each, and one that finds nothing new."""
+    root = own_dir(spark, "folder_load")
+    lines = driver_tables.invoices(spark, sf_dir)
+    for name, part in (("first", lines.where("invoice_id % 2 = 0")), ("second", lines.where("invoice_id % 2 = 1"))):
+        _dropped(_damaged_lines(part), f"{root}/dropped/{name}")
+        for _ in range(2 if name == "second" else 1):
+            arrivals.load_new_files(spark, f"{root}/dropped/*", FACT_INVOICE, f"{root}/loaded", wide=True)
+    return presented(arrivals.loaded(spark, f"{root}/loaded"))
+
+
+def _key_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of two loads, the second with all pairs of the first and those of another system."""
+    registry = KeyRegistry(spark, own_dir(spark, "key_registry"))
+    ids = driver_tables.contracts(spark, sf_dir).select(F.col("contract_id").alias("natural_id"))
+    registry.register(ids.where("natural_id % 3 <> 0").withColumn("source_system", F.lit("erp")))
+    registry.register(ids.withColumn("source_system", F.explode(F.array(F.lit("erp"), F.lit("crm")))))
+    return presented(registry.keys())
+
+
 def _mart_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mart built from stored months and written twice, the second time month by month over the first."""
     store, f = _store(spark, "mart_partition_overwrite"), Frames.from_dir(spark, sf_dir)
@@ -410,6 +476,10 @@ def queries() -> dict[str, Query]:
     registered["csv_contracts"] = _csv_contracts
     registered["csv_invoice_lines"] = _csv_invoices
     registered["table_append_load"] = _table_append
+    registered["load_audit"] = _load_audit
+    registered["csv_damaged_lines"] = _csv_damaged
+    registered["folder_load"] = _folder_load
+    registered["key_registry"] = _key_registry
     registered["mart_partition_overwrite"] = _mart_overwrite
     registered["mart_full_rebuild"] = _mart_rebuild
     registered["layer_ledger_check"] = _ledger_check

@@ -291,7 +291,7 @@ _INTS = """contract_id contract_version customer_id racks_entitled max_racks_use
     stated_version in_force_version billed_version reattributed missing previous_version racks_entitled_change
     over_commit_flag over_racks_flag invoice_id invoice_line_id row_count null_count null_revenue_rows
     null_cost_rows cnt signed_rows readings overage_allowed_flag days_to_close reading_id
-    recorded_rows stored_rows""".split()
+    recorded_rows stored_rows copies natural_id key""".split()
 _TEXTS = ["ingested_at", "reprocessed_at"]
 
 
@@ -427,6 +427,16 @@ _COUNTED = {
     "mart_contract_monthly": "mart",
 }
 
+_INVOICE_COLUMNS = """invoice_id invoice_line_id posting_date invoice_month contract_id contract_version revenue_type
+    amount"""
+_LINE = " || ',' || ".join(f"CAST({c} AS VARCHAR)" for c in _INVOICE_COLUMNS.split())
+#: Lines whose number leaves 0 of 97 have no amount, those that leave 1 end after four values.
+_DAMAGED = f"""
+    SELECT {", ".join(f"CASE WHEN kind > 1 THEN {c} END AS {c}" for c in _INVOICE_COLUMNS.split())},
+           CASE kind WHEN 0 THEN regexp_replace({_LINE}, ',[^,]*$', ',n/a')
+                     WHEN 1 THEN array_to_string(string_split({_LINE}, ',')[1:4], ',') END AS damaged_line
+    FROM (SELECT *, invoice_id % 97 AS kind FROM invoice) numbered"""
+
 #: Tables of the ledger check with their month, their control amounts, and what is stored where that differs.
 _LEDGERED = (
     ("dim_contract", "dim_contract", "NULL", "0"),
@@ -703,6 +713,29 @@ _QUERIES = {
         "invoice",
     ),
     "table_append_load": _emit(_METER_COLUMNS, "meter_raw"),
+    "load_audit": _emit(
+        f"{_INVOICE_COLUMNS} reason copies",
+        f"""(SELECT {', '.join(_INVOICE_COLUMNS.split())}, CASE WHEN part > 1 THEN coalesce(fault, 'duplicate key') END AS reason, count(*) AS copies
+      FROM (SELECT *, CASE WHEN fault IS NOT NULL THEN 2
+                           ELSE row_number() OVER (PARTITION BY invoice_id, invoice_line_id, fault ORDER BY posting_date DESC,
+                                invoice_month DESC, contract_id DESC, contract_version DESC, revenue_type DESC, amount DESC) END AS part
+            FROM (SELECT i.*, CASE WHEN i.amount IS NULL THEN 'missing amount'
+                                   WHEN c.contract_id IS NULL THEN 'no dim_contract for contract_id contract_version' END AS fault
+                  FROM (SELECT * REPLACE (CASE WHEN invoice_id % 89 <> 0 THEN amount END AS amount,
+                                          contract_id + CASE WHEN invoice_id % 101 = 0 THEN 1000000000 ELSE 0 END AS contract_id)
+                        FROM invoice) i
+                  LEFT JOIN dim_contract c ON i.contract_id = c.contract_id AND i.contract_version = c.contract_version) judged) ranked
+      GROUP BY ALL) counted""",
+    ),
+    "csv_damaged_lines": _emit(f"{_INVOICE_COLUMNS} damaged_line", f"({_DAMAGED}) lines"),
+    "folder_load": _emit(f"{_INVOICE_COLUMNS} damaged_line", f"({_DAMAGED}) lines"),
+    "key_registry": _emit(
+        "source_system natural_id key",
+        """(SELECT source_system, natural_id, row_number() OVER (ORDER BY load, source_system, natural_id) AS key
+      FROM (SELECT DISTINCT system AS source_system, contract_id AS natural_id,
+                   CASE WHEN system = 'erp' AND contract_id % 3 <> 0 THEN 1 ELSE 2 END AS load
+            FROM dim_contract, (VALUES ('erp'), ('crm')) systems(system)) loads) keyed""",
+    ),
     "mart_partition_overwrite": _emit(_MART_COLUMNS, "mart"),
     "mart_full_rebuild": _emit(_MART_COLUMNS, "mart_stored"),
     "sql_over_views": _emit(
