@@ -1,13 +1,16 @@
-"""Loads: constraints that hold, damaged lines set aside, files loaded once, keys that stay."""
+"""Loads and closes: constraints that hold, damaged lines, files loaded once, keys, journals and sign-offs that stay."""
 
 from datetime import date
+from decimal import Decimal
 
 import pytest
 from conftest import rows
 
 from pyspark.sql import functions as F
 
-from wattledger.schemas import DIM_CONTRACT, FACT_INVOICE
+from wattledger.operators import allocation, exceptions
+from wattledger.plans import warehouse
+from wattledger.schemas import COST_JOURNAL, DIM_CONTRACT, FACT_INVOICE, SIGNOFF_LOCK, USAGE_MONTHLY
 from wattledger.sources import admission, arrivals
 from wattledger.sources.layers import LayerStore
 from wattledger.sources.registry import KeyRegistry
@@ -112,3 +115,62 @@ def test_many_keys_are_numbered_by_ranges_without_gaps(spark, tmp_path):
     keys = registry.keys()
     assert keys.agg(F.count("*"), F.count_distinct("key"), F.min("key"), F.max("key")).first() == (5000, 5000, 1, 5000)
     assert keys.where("natural_id % 2 = 0").agg(F.max("key")).first()[0] == 2500
+
+
+def cost_rows(spark, *given):
+    return spark.createDataFrame(
+        [(date.fromisoformat(m), site, date.fromisoformat(known), Decimal(cost)) for m, site, known, cost in given],
+        "cost_month date, site_id int, known_from date, total_power_cost decimal(20,2)",
+    )
+
+
+def close(spark, *given):
+    return spark.createDataFrame([(date.fromisoformat(m), date.fromisoformat(day)) for m, day in given], "cost_month date, close_on date")
+
+
+def test_cost_as_known_at_a_close(spark):
+    known = cost_rows(
+        spark, ("2023-01-01", 1, "2023-01-20", "100.00"), ("2023-01-01", 1, "2023-02-10", "130.00"), ("2023-01-01", 2, "2023-02-05", "50.00"), ("2023-02-01", 1, "2023-03-20", "9.00")
+    )
+    at = close(spark, ("2023-01-01", "2023-02-04"), ("2023-01-01", "2023-02-05"), ("2023-01-01", "2023-02-28"), ("2023-02-01", "2023-03-19"))
+    assert rows(allocation.cost_as_of(known, at)) == [
+        ("2023-01-01", "2023-02-04", 100.0), ("2023-01-01", "2023-02-05", 150.0), ("2023-01-01", "2023-02-28", 180.0),
+    ]
+
+
+def test_journal_adds_up_to_what_is_known_last(spark, tmp_path):
+    store = LayerStore(spark, str(tmp_path / "store"), prefix=f"j{abs(hash(tmp_path)) % 10**9}_")
+    store.create([USAGE_MONTHLY, COST_JOURNAL])
+    use = lambda *given: spark.createDataFrame(
+        [(c, 1, date(2023, 1, 1), Decimal(kw), None, None, 0, 0) for c, kw in given], store.read(USAGE_MONTHLY).schema
+    )
+    known = cost_rows(spark, ("2023-01-01", 1, "2023-01-20", "100.00"), ("2023-01-01", 1, "2023-02-10", "130.00"))
+    snapshot = lambda day: allocation.cost_as_of(known, close(spark, ("2023-01-01", day)))
+    store.overwrite(use((1, "30.00"), (2, "10.00"), (3, "0.00")), USAGE_MONTHLY)
+    for day in ("2023-02-01", "2023-02-01", "2023-02-20", "2023-03-01"):
+        warehouse.book_close(store, snapshot(day))
+    entries = [(1, "2023-02-01", 75.0), (1, "2023-02-20", 22.5), (2, "2023-02-01", 25.0), (2, "2023-02-20", 7.5), (3, "2023-02-01", 0.0)]
+    assert rows(store.read(COST_JOURNAL), "contract_id", "close_on", "booked") == entries
+    # A contract-month that lost its readings is booked back, and the other takes its share.
+    store.overwrite(use((1, "30.00"), (3, "0.00")), USAGE_MONTHLY)
+    warehouse.book_close(store, snapshot("2023-04-01"))
+    total = store.read(COST_JOURNAL).groupBy("contract_id").agg(F.sum("booked").alias("booked"))
+    assert rows(total) == [(1, 130.0), (2, 0.0), (3, 0.0)]
+    store.drop()
+
+
+def test_signed_months_stay_and_changes_are_reported(spark, tmp_path):
+    store = LayerStore(spark, str(tmp_path / "store"), prefix=f"s{abs(hash(tmp_path)) % 10**9}_")
+    store.create([SIGNOFF_LOCK])
+    mart = lambda *given: spark.createDataFrame(
+        [(c, 1, date(2023, 1, 1), Decimal(kw), Decimal("5.00"), margin and Decimal(margin)) for c, kw, margin in given], store.read(SIGNOFF_LOCK).schema
+    )
+    first = mart((1, "10.00", "3.00"), (2, "20.00", "4.00"), (3, "1.00", None))
+    for signed in (first, mart((1, "11.00", "3.00"), (4, "1.00", "1.00"))):
+        warehouse.sign_off(store, signed)
+    lock = store.read(SIGNOFF_LOCK)
+    assert rows(lock, "contract_id", "total_kw") == [(1, 10.0), (2, 20.0), (3, 1.0), (4, 1.0)]
+    rebuilt = mart((1, "10.00", "3.00"), (2, "20.00", "2.50"), (3, "1.00", None))
+    assert rows(exceptions.lock_conflicts(lock, rebuilt), "contract_id", "rebuilt_gross_margin", "gross_margin_change") == [(2, 2.5, -1.5), (4, None, -1.0)]
+    assert exceptions.lock_conflicts(lock.where("contract_id < 4"), first).isEmpty()
+    store.drop()

@@ -17,7 +17,8 @@ SF_DIR = "/root/testdata/sf0.001"
 WRITES = {
     "csv_contracts", "csv_invoice_lines", "table_append_load", "mart_partition_overwrite",
     "stream_usage_daily", "stream_usage_monthly", "stream_intake", "mart_full_rebuild", "stream_day_status",
-    "stream_usage_monthly_events", "layer_ledger_check",
+    "stream_usage_monthly_events", "layer_ledger_check", "load_audit", "csv_damaged_lines", "folder_load",
+    "key_registry", "true_up_journal", "signoff_changes",
 }
 
 

@@ -76,3 +76,39 @@ def true_up_delta(usage: DataFrame, estimated_cost: DataFrame, actual_cost: Data
         )
     )
     return shares.withColumn("true_up_amount", F.col("actual_allocation") - F.col("estimated_allocation"))
+
+
+def cost_as_of(cost_versions: DataFrame, closes: DataFrame) -> DataFrame:
+    """Site cost of each month as it was known at each close: ``cost_month``, ``close_on``, ``total_power_cost``.
+
+    ``cost_versions`` has a row for each time a site's cost of a month became known anew (``known_from``), and
+    the last one that a close could know counts; sites add up. A close before anything was known has no row.
+    Equality on the month comes with the bound on time, and both sides are bounded by the calendar.
+    """
+    known = cost_versions.join(closes, "cost_month").where(F.col("known_from") <= F.col("close_on"))
+    last = known.groupBy("cost_month", "close_on", "site_id").agg(F.max(F.struct("known_from", "total_power_cost")).alias("last"))
+    return last.groupBy("cost_month", "close_on").agg(F.sum("last.total_power_cost").alias("total_power_cost"))
+
+
+def journal_entries(usage: DataFrame, snapshot: DataFrame, journal: DataFrame) -> DataFrame:
+    """What a close has to book so that each contract-month's entries add up to its share of the cost known now.
+
+    ``snapshot`` is the cost as of the close (``cost_as_of``), one row for each month; ``journal`` is what was
+    booked before. The first close of a contract-month books its whole share, later ones the difference; a
+    share that stays as it was books nothing, so a close that is run again adds no entry. Contract-months
+    that are no longer used are booked back to zero.
+    """
+    months = broadcast_months(snapshot.select(F.col("cost_month").alias("usage_month"), "close_on", "total_power_cost"))
+    site = broadcast_months(total_usage_monthly(usage))
+    zero = F.lit(0).cast("decimal(14,2)")
+    share = F.coalesce(allocated("total_kw", "total_site_kw", "total_power_cost"), zero)
+    due = usage.join(site, "usage_month").join(months, "usage_month").select(*CONTRACT_MONTH, share.alias("due"))
+    booked = journal.groupBy(*CONTRACT_MONTH).agg(F.sum("booked").alias("before"))
+    closed = months.select("usage_month", "close_on")
+    return (
+        due.join(booked, list(CONTRACT_MONTH), "full_outer")
+        .join(broadcast_months(closed), "usage_month")
+        .select(*CONTRACT_MONTH, "close_on", (F.coalesce("due", zero) - F.coalesce("before", zero)).cast("decimal(14,2)").alias("booked"), F.col("before").isNull().alias("first"))
+        .where("first OR booked <> 0")
+        .drop("first")
+    )

@@ -117,3 +117,25 @@ def signoff_share(mart: DataFrame, classes: DataFrame) -> DataFrame:
         .withColumn("signed_row_share", ratio(F.col("signed_rows"), F.col("contract_rows")))
         .withColumn("signed_kw_share", ratio(F.col("signed_kw"), F.col("total_kw")))
     )
+
+
+SIGNED_VALUES = ("total_kw", "erp_revenue_total", "gross_margin")
+
+
+def newly_signed(signed: DataFrame, lock: DataFrame) -> DataFrame:
+    """Contract-months that may be signed off now and were not before; what is signed stays as it was signed."""
+    keys = ["contract_id", "contract_version", "month"]
+    return signed.select(*keys, *SIGNED_VALUES).join(lock.select(*keys), keys, "left_anti")
+
+
+def lock_conflicts(lock: DataFrame, mart: DataFrame) -> DataFrame:
+    """Signed contract-months whose values a rebuilt mart would change, with both and the change of margin.
+
+    A contract-month the mart no longer has would lose its values: they are NULL on the mart's side.
+    """
+    keys = ["contract_id", "contract_version", "month"]
+    now = mart.select(*keys, *[F.col(c).alias(f"rebuilt_{c}") for c in SIGNED_VALUES])
+    signed = lock.select(*keys, *[F.col(c).alias(f"signed_{c}") for c in SIGNED_VALUES])
+    differs = [~F.col(f"signed_{c}").eqNullSafe(F.col(f"rebuilt_{c}")) for c in SIGNED_VALUES]
+    change = F.coalesce("rebuilt_gross_margin", F.lit(0)) - F.coalesce("signed_gross_margin", F.lit(0))
+    return signed.join(now, keys, "left").where(differs[0] | differs[1] | differs[2]).withColumn("gross_margin_change", change)

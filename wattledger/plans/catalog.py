@@ -23,6 +23,7 @@ from wattledger.operators import (
 from wattledger.plans import warehouse
 from wattledger.plans.frames import Frames, presented
 from wattledger.schemas import (
+    COST_JOURNAL,
     DIM_CONTRACT,
     ERP_REVENUE_MONTHLY,
     FACT_COST,
@@ -30,6 +31,7 @@ from wattledger.schemas import (
     FACT_METER,
     MART,
     RACK_MONTHLY,
+    SIGNOFF_LOCK,
     USAGE_MONTHLY,
     Table,
 )
@@ -272,6 +274,41 @@ def _key_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return presented(registry.keys())
 
 
+#: Days after the end of a month at which its cost is closed; the last one knows all of it.
+CLOSES = (5, 20, 60)
+
+
+def _cost_journal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cost booked at three closes as it became known, the second of them run twice."""
+    store, f = _store(spark, "true_up_journal"), Frames.from_dir(spark, sf_dir)
+    store.create([USAGE_MONTHLY, COST_JOURNAL])
+    store.overwrite(f.usage, USAGE_MONTHLY)
+    known = driver_tables.cost_versions(spark, sf_dir)
+    for days in (CLOSES[0], CLOSES[1], CLOSES[1], CLOSES[2]):
+        warehouse.book_close(store, allocation.cost_as_of(known, driver_tables.closes(spark, sf_dir, days)))
+    return presented(store.read(COST_JOURNAL))
+
+
+def _dense(spark: SparkSession, sf_dir: str, corrected: bool = False) -> Frames:
+    """Frames over readings of every day for every tenth contract."""
+    t = Frames.from_dir(spark, sf_dir).tables
+    meter = driver_tables.dense_meter(spark, sf_dir, corrected)
+    return Frames(driver_tables.SourceTables(t.customers, t.contracts, meter, t.racks, t.invoices, t.power_cost))
+
+
+def _signoff_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = _dense(spark, sf_dir)
+    return presented(exceptions.signoff_set(f.mart, f.lateness))
+
+
+def _signoff_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What readings corrected after the sign-off would change in contract-months that are signed."""
+    store, f = _store(spark, "signoff_changes"), _dense(spark, sf_dir)
+    store.create([SIGNOFF_LOCK])
+    warehouse.sign_off(store, exceptions.signoff_set(f.mart, f.lateness))
+    return presented(exceptions.lock_conflicts(store.read(SIGNOFF_LOCK), _dense(spark, sf_dir, corrected=True).mart))
+
+
 def _mart_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mart built from stored months and written twice, the second time month by month over the first."""
     store, f = _store(spark, "mart_partition_overwrite"), Frames.from_dir(spark, sf_dir)
@@ -480,6 +517,9 @@ def queries() -> dict[str, Query]:
     registered["csv_damaged_lines"] = _csv_damaged
     registered["folder_load"] = _folder_load
     registered["key_registry"] = _key_registry
+    registered["true_up_journal"] = _cost_journal
+    registered["signoff_dense"] = _signoff_dense
+    registered["signoff_changes"] = _signoff_changes
     registered["mart_partition_overwrite"] = _mart_overwrite
     registered["mart_full_rebuild"] = _mart_rebuild
     registered["layer_ledger_check"] = _ledger_check

@@ -277,7 +277,41 @@ for _step in _ON_STORED:
         rf"\b(FROM|JOIN) (meter|rack|{'|'.join(_ON_STORED)})\b", r"\1 \2_stored", _STEPS[_step]
     )
 
-_DOUBLES = """used_kw total_kw avg_daily_kw peak_kw avg_racks_used erp_revenue_total erp_mrr erp_overage erp_credits
+
+
+def _carried(correction: str) -> str:
+    """Readings of every tenth contract on every day: a reading counts until the next one."""
+    return f"""
+    SELECT CAST(day AS DATE) AS reading_date, contract_id,
+           CASE WHEN own THEN contract_version ELSE {_version("contract_id", "CAST(day AS DATE)")} END AS contract_version,
+           CAST(used_kw + {correction} AS DECIMAL(10,2)) AS used_kw,
+           CASE WHEN own THEN reading_status ELSE 'on_time' END AS reading_status,
+           CASE WHEN own THEN ingested_at ELSE day + INTERVAL '6' HOUR END AS ingested_at
+    FROM (SELECT *, CAST(day AS DATE) = reading_date AS own
+          FROM (SELECT *, unnest(generate_series(CAST(reading_date AS TIMESTAMP), CAST(until AS TIMESTAMP), INTERVAL '1' DAY)) AS day
+                FROM (SELECT *, coalesce(lead(reading_date) OVER (PARTITION BY contract_id ORDER BY reading_date) - 1,
+                                         DATE '2001-12-31') AS until
+                      FROM meter WHERE contract_id % 10 = 0) spans) listed) days"""
+
+
+_STEPS["meter_dense"] = _carried("0")
+_STEPS["meter_corrected"] = _carried("CASE WHEN contract_id % 20 = 0 AND month(day) IN (3, 6, 9) THEN 1 ELSE 0 END")
+_ON_DENSE = ("meter_effective", "usage", "site", "allocation", "mart", "calendar_days", "signed")
+for _kind in ("dense", "corrected"):
+    for _step in _ON_DENSE:
+        _STEPS[f"{_step}_{_kind}"] = re.sub(rf"\b(FROM|JOIN) (meter|{'|'.join(_ON_DENSE)})\b", rf"\1 \2_{_kind}", _STEPS[_step])
+# What each close knows of a month's cost, straight from the orders known by then.
+_STEPS["closed_cost"] = """
+    SELECT cost_month, close_on, CAST(ordered * CAST(0.35 AS DECIMAL(2,2)) AS DECIMAL(20,2)) AS total_power_cost
+    FROM (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS cost_month,
+                 CAST(last_day(CAST(o_orderdate AS DATE)) + days AS DATE) AS close_on,
+                 CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS ordered
+          FROM orders, (VALUES (5), (20), (60)) closes(days)
+          WHERE CAST(o_orderdate AS DATE) + CAST(o_orderkey % 45 AS INTEGER) <= last_day(CAST(o_orderdate AS DATE)) + days
+          GROUP BY 1, 2) known"""
+
+_DOUBLES = """booked signed_total_kw signed_erp_revenue_total signed_gross_margin rebuilt_total_kw rebuilt_erp_revenue_total
+    rebuilt_gross_margin gross_margin_change used_kw total_kw avg_daily_kw peak_kw avg_racks_used erp_revenue_total erp_mrr erp_overage erp_credits
     allocated_power_cost gross_margin power_commit_kw price_per_kw total_site_kw total_power_cost contract_mrr
     mart_revenue_total variance_amount variance_pct contract_erp_revenue amount kw_over_commit invoiced_mrr
     mrr_difference late_kw estimated_kw late_share estimated_share estimated_allocation actual_allocation
@@ -736,6 +770,28 @@ _QUERIES = {
                    CASE WHEN system = 'erp' AND contract_id % 3 <> 0 THEN 1 ELSE 2 END AS load
             FROM dim_contract, (VALUES ('erp'), ('crm')) systems(system)) loads) keyed""",
     ),
+    "true_up_journal": _emit(
+        "contract_id contract_version usage_month close_on booked",
+        f"""(SELECT *, share - coalesce(earlier, 0) AS booked
+      FROM (SELECT *, lag(share) OVER (PARTITION BY contract_id, contract_version, usage_month ORDER BY close_on) AS earlier
+            FROM (SELECT u.contract_id, u.contract_version, u.usage_month, c.close_on,
+                         {_share("u.total_kw", "t.total_site_kw", "c.total_power_cost")} AS share
+                  FROM usage u JOIN site t ON u.usage_month = t.usage_month
+                  JOIN closed_cost c ON u.usage_month = c.cost_month) shares) stepped
+      WHERE earlier IS NULL OR share <> earlier) journal""",
+    ),
+    "signoff_dense": _emit("contract_id contract_version month total_kw erp_revenue_total gross_margin", "signed_dense WHERE signed"),
+    "signoff_changes": _emit(
+        """contract_id contract_version month signed_total_kw signed_erp_revenue_total signed_gross_margin rebuilt_total_kw
+        rebuilt_erp_revenue_total rebuilt_gross_margin gross_margin_change""",
+        """(SELECT s.contract_id, s.contract_version, s.month, s.total_kw AS signed_total_kw,
+             s.erp_revenue_total AS signed_erp_revenue_total, s.gross_margin AS signed_gross_margin, m.total_kw AS rebuilt_total_kw,
+             m.erp_revenue_total AS rebuilt_erp_revenue_total, m.gross_margin AS rebuilt_gross_margin,
+             m.gross_margin - s.gross_margin AS gross_margin_change
+      FROM signed_dense s JOIN mart_corrected m
+        ON s.contract_id = m.contract_id AND s.contract_version = m.contract_version AND s.month = m.month
+      WHERE s.signed AND (s.total_kw <> m.total_kw OR s.erp_revenue_total <> m.erp_revenue_total OR s.gross_margin <> m.gross_margin)) changed""",
+    ),
     "mart_partition_overwrite": _emit(_MART_COLUMNS, "mart"),
     "mart_full_rebuild": _emit(_MART_COLUMNS, "mart_stored"),
     "sql_over_views": _emit(

@@ -13,10 +13,11 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattledger.operators import dedupe, monthly, reconciliation, windows
+from wattledger.operators import allocation, dedupe, exceptions, monthly, reconciliation, windows
 from wattledger.operators.mart import mart_contract_monthly
 from wattledger.plans.frames import Frames
 from wattledger.schemas import (
+    COST_JOURNAL,
     DIM_CONTRACT,
     DIM_CUSTOMER,
     ERP_REVENUE_MONTHLY,
@@ -28,6 +29,7 @@ from wattledger.schemas import (
     RACK_MONTHLY,
     RECON,
     REPROCESSED,
+    SIGNOFF_LOCK,
     USAGE_MONTHLY,
 )
 from wattledger.sources.driver_tables import DerivedTables, SourceTables
@@ -155,6 +157,16 @@ def backfill_invoices(
     return months
 
 
+def book_close(store: LayerStore, snapshot: DataFrame) -> None:
+    """Books what the cost known at a close changes in the journal; run again it books nothing."""
+    store.append(allocation.journal_entries(store.read(USAGE_MONTHLY), snapshot, store.read(COST_JOURNAL)), COST_JOURNAL)
+
+
+def sign_off(store: LayerStore, signed: DataFrame) -> None:
+    """Locks the contract-months that may be signed off and are not yet."""
+    store.append(exceptions.newly_signed(signed, store.read(SIGNOFF_LOCK)), SIGNOFF_LOCK)
+
+
 class StoredFrames(Frames):
     """The layers as read back from a store: reports and views over it scan stored months, not raw facts."""
 

@@ -211,6 +211,39 @@ LAYER_LEDGER = Table(
     ("table_name", "month", "write_id"),
 )
 
+#: Energy cost booked to contract-months at each close; entries are only ever added.
+COST_JOURNAL = Table(
+    "mart",
+    "power_cost_journal",
+    _struct(
+        ("contract_id", INT, False),
+        ("contract_version", INT, False),
+        ("usage_month", DATE, False),
+        ("close_on", DATE, False),
+        ("booked", AMOUNT, False),
+    ),
+    ("contract_id", "contract_version", "usage_month", "close_on"),
+    "usage_month",
+    control=("booked",),
+)
+
+#: Contract-months as they were signed off; rows are only ever added.
+SIGNOFF_LOCK = Table(
+    "recon",
+    "signoff_lock",
+    _struct(
+        ("contract_id", INT, False),
+        ("contract_version", INT, False),
+        ("month", DATE, False),
+        ("total_kw", USAGE, True),
+        ("erp_revenue_total", AMOUNT, True),
+        ("gross_margin", AMOUNT, True),
+    ),
+    ("contract_id", "contract_version", "month"),
+    "month",
+    control=("total_kw", "erp_revenue_total", "gross_margin"),
+)
+
 USAGE_MONTHLY = Table(
     "curated",
     "usage_monthly",
@@ -261,7 +294,7 @@ ERP_REVENUE_MONTHLY = Table(
 )
 
 SOURCE_TABLES = (DIM_CUSTOMER, DIM_CONTRACT, FACT_METER, FACT_RACK, FACT_INVOICE, FACT_COST)
-ALL_TABLES = (*SOURCE_TABLES, USAGE_MONTHLY, RACK_MONTHLY, ERP_REVENUE_MONTHLY, MART, RECON, LAYER_LEDGER)
+ALL_TABLES = (*SOURCE_TABLES, USAGE_MONTHLY, RACK_MONTHLY, ERP_REVENUE_MONTHLY, MART, RECON, LAYER_LEDGER, COST_JOURNAL, SIGNOFF_LOCK)
 BY_NAME = {t.name: t for t in ALL_TABLES}
 
 FOREIGN_KEYS = (

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,8 +25,11 @@ from wattledger.functions.expressions import (
     ON_TIME,
     OVERAGE,
     RECURRING,
+    day_sequence,
+    month_end,
     month_floor,
 )
+from wattledger.operators.dedupe import latest_readings
 
 # Fixed values of the derivation.
 FIRST_DAY, LAST_DAY = "1995-01-01", "2001-12-31"
@@ -243,3 +247,46 @@ def power_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.month("cost_month") % 8 == 0).alias("true_up_flag"),
         )
     )
+
+
+def dense_meter(spark: SparkSession, sf_dir: str, corrected: bool = False) -> DataFrame:
+    """Readings of every tenth contract, each carried on in time over the days up to the next one.
+
+    ``corrected`` adds 1 kW to every twentieth contract's readings in March, June and September.
+    """
+    day = F.col("day")
+    latest = latest_readings(meter(spark, sf_dir).where(F.col("contract_id") % 10 == 0))
+    following = F.lead("reading_date").over(W.partitionBy("contract_id").orderBy("reading_date"))
+    until = F.coalesce(F.date_sub(following, 1), F.lit(LAST_DAY).cast("date"))
+    days = latest.withColumn("until", until).withColumn("day", F.explode(day_sequence(F.col("reading_date"), F.col("until"))))
+    own = day == F.col("reading_date")
+    more = F.when((F.col("contract_id") % 20 == 0) & F.month("day").isin(3, 6, 9), 1).otherwise(0) if corrected else F.lit(0)
+    return days.select(
+        day.alias("reading_date"),
+        "contract_id",
+        F.when(own, F.col("contract_version")).otherwise(_version_on(F.col("contract_id"), day)).alias("contract_version"),
+        (F.col("used_kw") + more).cast("decimal(10,2)").alias("used_kw"),
+        F.when(own, F.col("reading_status")).otherwise(ON_TIME).alias("reading_status"),
+        F.when(own, F.col("ingested_at")).otherwise(day.cast("timestamp_ntz") + F.expr("interval 6 hours")).alias("ingested_at"),
+    )
+
+
+def cost_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Site cost of each month each time it became known anew: an order is known up to 44 days after its date."""
+    ordered = F.col("o_orderdate").cast("date")
+    known = F.date_add(ordered, (F.col("o_orderkey") % 45).cast("int"))
+    by_day = (
+        _read(spark, sf_dir, "orders")
+        .groupBy(month_floor(ordered).alias("cost_month"), known.alias("known_from"))
+        .agg(F.sum(F.col("o_totalprice").cast("decimal(12,2)")).alias("ordered"))
+    )
+    # A month becomes known over 75 days at most, which bounds this window.
+    so_far = F.sum("ordered").over(W.partitionBy("cost_month").orderBy("known_from"))
+    cost = (so_far.cast("decimal(22,2)") * F.lit("0.35").cast("decimal(2,2)")).cast("decimal(20,2)")
+    return by_day.select("cost_month", F.lit(1).alias("site_id"), "known_from", cost.alias("total_power_cost"))
+
+
+def closes(spark: SparkSession, sf_dir: str, days: int) -> DataFrame:
+    """A close of every month with orders, so many days after its end."""
+    months = _read(spark, sf_dir, "orders").select(month_floor(F.col("o_orderdate").cast("date")).alias("cost_month")).distinct()
+    return months.withColumn("close_on", F.date_add(month_end(F.col("cost_month")), days))
