@@ -87,8 +87,7 @@ def _altered(rows: DataFrame) -> DataFrame:
 
 def _altered_controls(f: Frames) -> DataFrame:
     """The reconciliation of a mart with faults: their months leave the tolerance."""
-    billed = f.erp_revenue.select("invoice_month", F.col("erp_revenue_total").alias("amount"))
-    return reconciliation.recon_erp_vs_mart_monthly(billed, _altered(f.mart)).drop("last_reconciled_at")
+    return reconciliation.recon_erp_vs_mart_monthly(f.tables.invoices, _altered(f.mart)).drop("last_reconciled_at")
 
 
 def _ledger_check(spark: SparkSession, sf_dir: str) -> DataFrame:
