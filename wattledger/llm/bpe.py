@@ -92,8 +92,13 @@ def _word_blocks(pattern: str, block_chars: int, segment_chars: int, buckets: in
                 for part in parts
             ]
             return pa.RecordBatch.from_arrays(
-                [pa.array([task + block], pa.int64()), pa.array([dealt], listed), pa.array([rows], pa.list_(stored_row))],
-                names=["block", "words", "texts"],
+                [
+                    pa.array([task + block], pa.int64()),
+                    pa.array([any(r["piece"] or not r["last"] for r in rows)]),
+                    pa.array([dealt], listed),
+                    pa.array([rows], pa.list_(stored_row)),
+                ],
+                names=["block", "cut", "words", "texts"],
             )
 
         for batch in batches:
@@ -222,7 +227,7 @@ def encode(
     dealt = _struct([("bucket", T.IntegerType()), ("words", T.BinaryType()), ("places", T.BinaryType())])
     blocks = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
         _word_blocks(pattern, block_chars, segment_chars, 2 * buckets),
-        _struct([("block", T.LongType()), ("words", T.ArrayType(dealt)), ("texts", T.ArrayType(text))]),
+        _struct([("block", T.LongType()), ("cut", T.BooleanType()), ("words", T.ArrayType(dealt)), ("texts", T.ArrayType(text))]),
     )
     name = f"wattledger_words_{uuid.uuid4().hex}"
     path = scratch_dir(spark)
@@ -231,35 +236,32 @@ def encode(
     listed = spark.table(name)
     # Only its name: the files stay, and the plan knows them and their buckets.
     spark.sql(f"DROP TABLE {name}")
-    words = (
-        listed.select("block", F.inline("words"))
-        .repartition("bucket")
-        .select("block", "words", "places")
-        .mapInArrow(_encode_words(vocabulary, pattern), "block bigint, places binary, counts binary, ids binary")
-    )
-    pieces = (
-        listed.select("block", "texts")
-        .groupBy("block")
-        .cogroup(words.groupBy("block"))
-        .applyInArrow(
-            _reassemble(vocabulary, pattern, to_arrow_type(id_type)),
-            _struct([("id", id_type), *numbers, ("n_tokens", T.LongType()), ("ids", T.BinaryType()), ("decoded", T.BinaryType())]),
+    result = _struct([("id", id_type), *numbers, ("n_tokens", T.LongType()), ("ids", T.BinaryType()), ("decoded", T.BinaryType())])
+
+    def pieces(blocks: DataFrame) -> DataFrame:
+        words = (
+            blocks.select("block", F.inline("words"))
+            .repartition("bucket")
+            .select("block", "words", "places")
+            .mapInArrow(_encode_words(vocabulary, pattern), "block bigint, places binary, counts binary, ids binary")
         )
-    )
-    whole = pieces.where("piece = 0 AND last").select("id", "n_tokens", "ids", "decoded")
-    ordered = F.array_sort(F.collect_list(F.struct("piece", "ids", "decoded")))
-    joined = lambda field: F.aggregate(
-        F.col("parts"), F.lit(b""), lambda whole, part: F.concat(whole, part[field])
-    )
-    cut = (
-        pieces.where("NOT (piece = 0 AND last)")
-        .groupBy("row")
-        .agg(F.first("id").alias("id"), F.sum("n_tokens").alias("n_tokens"), ordered.alias("parts"))
-        .select("id", "n_tokens", joined("ids").alias("ids"), joined("decoded").alias("decoded"))
-    )
+        texts = blocks.select("block", "texts").groupBy("block").cogroup(words.groupBy("block"))
+        return texts.applyInArrow(_reassemble(vocabulary, pattern, to_arrow_type(id_type)), result)
+
+    whole = pieces(listed).where("piece = 0 AND last").drop(*[n for n, _ in numbers])
+    # Blocks say whether they hold a cut text, so that only those few are put together a second time.
+    cut = pieces(listed.where("cut")).where("NOT (piece = 0 AND last)").groupBy("row").applyInArrow(_joined, whole.schema)
     return whole.unionByName(cut).withColumnRenamed("id", id_col)
 
 
+def _joined(pieces: pa.Table) -> pa.Table:
+    """One row of the pieces of a text."""
+    pieces = pieces.sort_by("piece")
+    whole = {n: b"".join(pieces.column(n).to_pylist()) for n in ("ids", "decoded")}
+    rows = [pieces.column("id").slice(0, 1).combine_chunks(), pa.array([sum(pieces.column("n_tokens").to_pylist())], pa.int64())]
+    return pa.table([*rows, *[pa.array([v], pa.binary()) for v in whole.values()]], names=["id", "n_tokens", *whole])
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
