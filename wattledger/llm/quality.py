@@ -18,8 +18,8 @@ STEP = 128
 BLOCK = 64
 WIDTH = 6
 FILTERS = 12
-TRAIN_ROWS = 2400
-EPOCHS = 24
+TRAIN_ROWS = 1600
+EPOCHS = 12
 BATCH_ROWS = 32
 #: Chunks whose responses are held at a time.
 SLICE_CHUNKS = 1024
