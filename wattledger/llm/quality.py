@@ -21,6 +21,7 @@ FILTERS = 12
 TRAIN_ROWS = 1600
 EPOCHS = 12
 BATCH_ROWS = 32
+SAMPLE_PARTS = 4
 #: Chunks whose responses are held at a time.
 SLICE_CHUNKS = 1024
 THRESHOLD = 0.7
@@ -159,8 +160,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Network:
     hashes lowest stands for them, found before rows are shuffled. The loss weighs the labels as all of
     ``labels`` holds them. Without documents of both labels every score is one half.
 
-    The sample is stored and read again for each epoch in another order: the driver holds one batch of
-    documents, not the sample.
+    The sample is stored and read again for each epoch, part by part and in another order: the driver holds
+    one part (``SAMPLE_PARTS``) of it, not the sample.
     """
     nothing = np.zeros((WIDTH, 256, FILTERS), np.float32)
     blank = Network(nothing, nothing[0, 0], np.zeros(2 * FILTERS, np.float32), 0.0)
@@ -176,15 +177,18 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Network:
         .groupBy("doc_id", F.col("label").cast("int").alias("label"))
         .agg(one.alias("one"))
         .select("doc_id", "label", "one.text")
+        .coalesce(SAMPLE_PARTS)
     )
     have = {r.label: r.n for r in chosen.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not have:
         return blank
 
     def samples(epoch: int) -> Iterator[tuple[bytes, int]]:
-        dealt = chosen.orderBy(F.xxhash64(F.lit(epoch), "doc_id"), "doc_id", "label")
-        for r in dealt.select("text", "label").toLocalIterator():
-            yield r.text.encode(), r.label
+        turn = F.xxhash64(F.lit(epoch), "doc_id")
+        for part in range(SAMPLE_PARTS):
+            dealt = chosen.where(F.pmod(turn, F.lit(SAMPLE_PARTS)) == part).coalesce(1).sortWithinPartitions(turn, "doc_id", "label")
+            for r in dealt.select("text", "label").toLocalIterator():
+                yield r.text.encode(), r.label
 
     share = {y: totals[y] / sum(totals.values()) for y in (0, 1)}
     return train(samples, {y: share[y] * sum(have.values()) / have.get(y, 1) for y in (0, 1)})
