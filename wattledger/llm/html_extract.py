@@ -120,6 +120,9 @@ def blocks(page: str) -> list[Block]:
     """
     out: list[Block] = []
     stack: list[tuple[str, bool, bool, bool]] = []
+    opened: Counter[str] = Counter()
+    # Places in the stack of what a block element ends or ends at.
+    marks: list[int] = []
     pieces: list[tuple[str, bool]] = []
     beside = article = element = dropped = links = heading = 0
 
@@ -133,6 +136,9 @@ def blocks(page: str) -> list[Block]:
     def pop() -> None:
         nonlocal beside, article, element, dropped, links, heading
         tag, is_beside, is_article, _ = stack.pop()
+        opened[tag] -= 1
+        if marks and marks[-1] == len(stack):
+            marks.pop()
         beside -= is_beside
         article -= is_article
         element -= tag in ARTICLES
@@ -143,12 +149,11 @@ def blocks(page: str) -> list[Block]:
     def end_dropped() -> None:
         """Before a block element: ends the dropped elements it cannot stand in, and what they hold."""
         low = len(stack)
-        for k in range(len(stack) - 1, -1, -1):
+        for k in reversed(marks):
             name, is_open = stack[k][0], stack[k][3]
-            if is_open and name in DROPPED or name in FOREIGN:
-                low = k
-            elif not is_open and (name in DROPPED or name in INTEGRATION):
+            if not (is_open or name in FOREIGN):
                 break
+            low = k
         while len(stack) > low:
             pop()
 
@@ -177,7 +182,7 @@ def blocks(page: str) -> list[Block]:
             while stack and stack[-1][0] == "a":
                 pop()
         if token["close"]:
-            if any(s[0] == tag for s in stack):
+            if opened[tag]:
                 while stack[-1][0] != tag:
                     pop()
                 pop()
@@ -186,12 +191,15 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag in CLOSED_BY_SAME and any(s[0] == tag for s in stack[-6:]):
             # Only where nothing but inline elements was opened since.
-            k = max(i for i, s in enumerate(stack) if s[0] == tag)
+            k = max(i for i in range(max(0, len(stack) - 6), len(stack)) if stack[i][0] == tag)
             if not any(s[0] in BLOCKS for s in stack[k + 1 :]):
                 while len(stack) > k:
                     pop()
         is_beside, is_article = _kind(tag, token["rest"], element > 0)
+        if tag in DROPPED or tag in FOREIGN or (tag in INTEGRATION and place not in left_open):
+            marks.append(len(stack))
         stack.append((tag, is_beside, is_article, place in left_open))
+        opened[tag] += 1
         beside += is_beside
         article += is_article
         element += tag in ARTICLES
@@ -207,76 +215,67 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
-FEATURES = ("beside", "article", "heading", "words", "links", "words_before", "links_before", "words_after", "links_after")
+FEATURES = (
+    "beside", "article", "heading", "words", "links", "words_before", "links_before", "words_after", "links_after",
+    "titled", "outside", "inside",
+)
 
-# A small table of blocks as they stand on pages, in the order of FEATURES, and whether each
-# is main text. Links are the linked share of words; a missing neighbour has neither words nor links.
-LABELLED = (
-    # inside an article: titles, short and long paragraphs, paragraphs with links, captions
-    ((0, 1, 1, 6, 0.0, 0, 0.0, 40, 0.0), 1),
-    ((0, 1, 1, 2, 0.0, 8, 1.0, 3, 0.0), 1),
-    ((0, 1, 1, 9, 1.0, 1, 1.0, 60, 0.0), 1),
-    ((0, 1, 0, 1, 0.0, 1, 0.0, 1, 0.0), 1),
-    ((0, 1, 0, 3, 0.0, 25, 0.0, 7, 0.0), 1),
-    ((0, 1, 0, 12, 0.1, 30, 0.0, 25, 0.0), 1),
-    ((0, 1, 0, 45, 0.2, 9, 0.0, 5, 0.0), 1),
-    ((0, 1, 0, 120, 0.0, 70, 0.05, 90, 0.0), 1),
-    ((0, 1, 0, 80, 0.4, 50, 0.1, 0, 0.0), 1),
-    ((0, 1, 0, 15, 0.6, 60, 0.0, 40, 0.1), 1),
-    ((0, 1, 0, 4, 1.0, 40, 0.0, 30, 0.0), 1),
-    ((0, 1, 0, 8, 0.0, 6, 1.0, 9, 1.0), 1),
-    ((0, 1, 0, 300, 0.02, 2, 0.0, 14, 0.0), 1),
-    ((0, 1, 0, 3, 0.0, 30, 0.0, 4, 1.0), 1),
-    ((0, 1, 0, 5, 0.0, 3, 1.0, 2, 1.0), 1),
-    ((0, 1, 0, 20, 0.0, 2, 1.0, 6, 1.0), 1),
-    ((0, 1, 0, 2, 0.0, 4, 0.0, 3, 1.0), 1),
-    ((0, 1, 0, 7, 0.3, 12, 0.0, 5, 1.0), 1),
-    ((0, 1, 0, 28, 0.1, 40, 0.0, 0, 0.0), 1),
-    # lists of links inside an article without a name of their own
-    ((0, 1, 0, 3, 1.0, 4, 1.0, 5, 1.0), 0),
-    ((0, 1, 0, 6, 1.0, 3, 1.0, 4, 1.0), 0),
-    ((0, 1, 0, 2, 1.0, 2, 1.0, 2, 1.0), 0),
-    # beside it: menus, headers, footers, notices, adverts, forms, comments; some inside an article element
-    ((1, 0, 0, 1, 1.0, 1, 1.0, 1, 1.0), 0),
-    ((1, 0, 0, 2, 1.0, 0, 0.0, 3, 1.0), 0),
-    ((1, 0, 0, 30, 0.0, 4, 1.0, 8, 0.0), 0),
-    ((1, 0, 0, 8, 0.0, 1, 1.0, 9, 0.0), 0),
-    ((1, 0, 1, 3, 0.0, 20, 0.0, 30, 0.0), 0),
-    ((1, 0, 0, 90, 0.0, 60, 0.0, 0, 0.0), 0),
-    ((1, 1, 0, 25, 0.0, 50, 0.0, 40, 0.0), 0),
-    ((1, 1, 0, 5, 1.0, 30, 0.0, 20, 0.0), 0),
-    ((1, 1, 1, 4, 0.0, 45, 0.0, 12, 0.0), 0),
-    ((1, 1, 0, 140, 0.1, 3, 0.0, 70, 0.0), 0),
-    # pages without an article element: long texts and headings above them
-    ((0, 0, 0, 60, 0.0, 55, 0.0, 80, 0.0), 1),
-    ((0, 0, 0, 35, 0.1, 6, 0.0, 40, 0.0), 1),
-    ((0, 0, 0, 22, 0.0, 40, 0.0, 30, 0.0), 1),
-    ((0, 0, 0, 150, 0.05, 3, 1.0, 4, 1.0), 1),
-    ((0, 0, 0, 18, 0.0, 70, 0.0, 3, 1.0), 1),
-    ((0, 0, 1, 7, 0.0, 2, 1.0, 50, 0.0), 1),
-    ((0, 0, 1, 4, 0.0, 45, 0.0, 60, 0.0), 1),
-    ((0, 0, 0, 6, 0.0, 48, 0.0, 52, 0.0), 1),
-    ((0, 0, 0, 4, 0.0, 33, 0.0, 41, 0.1), 1),
-    # and what surrounds them
-    ((0, 0, 0, 2, 1.0, 2, 1.0, 30, 0.0), 0),
-    ((0, 0, 0, 3, 1.0, 40, 0.0, 50, 0.0), 0),
-    ((0, 0, 0, 6, 0.8, 9, 1.0, 70, 0.1), 0),
-    ((0, 0, 0, 4, 0.0, 3, 1.0, 8, 0.0), 0),
-    ((0, 0, 0, 5, 0.0, 0, 0.0, 2, 1.0), 0),
-    ((0, 0, 0, 7, 0.0, 44, 0.0, 0, 0.0), 0),
-    ((0, 0, 0, 2, 1.0, 3, 1.0, 2, 1.0), 0),
-    ((0, 0, 0, 1, 1.0, 0, 0.0, 1, 1.0), 0),
-    ((0, 0, 0, 12, 0.9, 8, 1.0, 10, 0.9), 0),
-    ((0, 0, 0, 5, 0.0, 2, 1.0, 3, 1.0), 0),
-    ((0, 0, 0, 3, 0.0, 1, 1.0, 4, 0.0), 0),
-    ((0, 0, 0, 6, 0.2, 4, 0.0, 0, 0.0), 0),
-    ((0, 0, 1, 3, 1.0, 2, 1.0, 3, 1.0), 0),
-    ((0, 0, 1, 2, 0.0, 4, 1.0, 5, 1.0), 0),
-    ((0, 0, 0, 25, 0.8, 5, 1.0, 6, 1.0), 0),
-)
+#: The share of a page's words from which names of what holds them are borne out.
+ENOUGH = 0.02
 
-
-def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 7) -> tuple | float:
+# A small table of labelled pages. A block is its words, the linked share of them, whether it is a
+# heading, whether it stands beside the article and in one, by the names of what holds it, and whether it is main text.
+LABELLED = (
+    # menu, advert, title, paragraphs long and short, footer
+    ((1, 1.0, 0, 1, 0, 0), (1, 1.0, 0, 1, 0, 0), (8, 0.0, 0, 1, 0, 0), (10, 0.0, 1, 0, 1, 1), (80, 0.0, 0, 0, 1, 1),
+     (120, 0.0, 0, 0, 1, 1), (1, 0.0, 0, 0, 1, 1), (9, 0.0, 0, 0, 1, 1), (2, 0.0, 0, 0, 1, 1), (45, 0.2, 0, 0, 1, 1),
+     (3, 0.0, 0, 0, 1, 1), (7, 0.0, 0, 1, 0, 0)),
+    ((2, 1.0, 0, 1, 0, 0), (3, 1.0, 0, 1, 0, 0), (14, 0.0, 0, 1, 0, 0), (2, 0.0, 1, 0, 1, 1), (1, 0.0, 0, 0, 1, 1),
+     (15, 0.6, 0, 0, 1, 1), (60, 0.0, 0, 0, 1, 1), (300, 0.02, 0, 0, 1, 1), (4, 1.0, 0, 0, 1, 1), (40, 0.1, 0, 0, 1, 1),
+     (14, 0.0, 0, 1, 0, 0)),
+    # a short article, a title that is a link, a subheading, a page without advert
+    ((3, 1.0, 0, 1, 0, 0), (6, 0.0, 1, 0, 1, 1), (3, 0.0, 0, 0, 1, 1), (5, 0.0, 0, 1, 0, 0)),
+    ((2, 1.0, 0, 1, 0, 0), (2, 1.0, 0, 1, 0, 0), (9, 1.0, 1, 0, 1, 1), (60, 0.0, 0, 0, 1, 1), (4, 0.0, 1, 0, 1, 1),
+     (25, 0.0, 0, 0, 1, 1), (9, 0.9, 0, 1, 0, 0), (12, 0.0, 0, 1, 0, 0)),
+    # text without a title
+    ((1, 1.0, 0, 1, 0, 0), (2, 1.0, 0, 1, 0, 0), (55, 0.0, 0, 0, 1, 1), (60, 0.1, 0, 0, 1, 1), (22, 0.0, 0, 0, 1, 1),
+     (70, 0.0, 0, 0, 1, 1), (6, 0.2, 0, 1, 0, 0)),
+    # lists of links without a name of their own, after the text
+    ((2, 1.0, 0, 1, 0, 0), (7, 0.0, 1, 0, 1, 1), (90, 0.0, 0, 0, 1, 1), (30, 0.3, 0, 0, 1, 1), (3, 1.0, 0, 0, 1, 0),
+     (4, 1.0, 0, 0, 1, 0), (6, 1.0, 0, 0, 1, 0), (2, 1.0, 0, 0, 1, 0)),
+    # a very long article with a short footer
+    ((1, 1.0, 0, 1, 0, 0), (2, 1.0, 0, 1, 0, 0), (4, 0.0, 0, 1, 0, 0), (8, 0.0, 1, 0, 1, 1), (1900, 0.0, 0, 0, 1, 1),
+     (2, 0.0, 0, 0, 1, 1), (2500, 0.01, 0, 0, 1, 1), (90, 0.0, 0, 0, 1, 1), (6, 0.0, 0, 0, 1, 1), (4, 0.0, 0, 1, 0, 0)),
+    # no menu before, no footer after
+    ((5, 0.0, 1, 0, 1, 1), (35, 0.0, 0, 0, 1, 1), (48, 0.0, 0, 0, 1, 1), (28, 0.0, 0, 0, 1, 1)),
+)
+# Pages on which names alone tell what words and links cannot, in the same form.
+NAMED = (
+    # site name, notice, sharing buttons, a form, side stories, an aside inside the article, readers' comments
+    ((1, 0.0, 1, 1, 0, 0), (1, 1.0, 0, 1, 0, 0), (30, 0.0, 0, 1, 0, 0), (6, 0.0, 1, 0, 1, 1), (70, 0.0, 0, 0, 1, 1),
+     (1, 0.0, 0, 1, 1, 0), (50, 0.05, 0, 0, 1, 1), (25, 0.0, 0, 1, 1, 0), (1, 0.0, 0, 0, 1, 1), (2, 0.0, 0, 0, 1, 1),
+     (4, 0.0, 0, 1, 1, 0), (5, 0.0, 0, 0, 1, 1), (3, 0.0, 1, 1, 0, 0), (90, 0.0, 0, 1, 0, 0), (140, 0.1, 0, 1, 1, 0),
+     (60, 0.0, 0, 1, 1, 0), (2, 0.0, 0, 1, 0, 0)),
+    # a short article under many comments
+    ((3, 0.0, 1, 0, 1, 1), (16, 0.0, 0, 0, 1, 1), (120, 0.0, 0, 1, 1, 0), (200, 0.0, 0, 1, 0, 0), (150, 0.0, 0, 1, 1, 0)),
+    # articles alone: one block, short ends
+    ((1, 0.0, 0, 0, 1, 1),),
+    ((4, 0.0, 0, 0, 1, 1),),
+    ((5, 0.0, 1, 0, 1, 1), (4, 0.0, 0, 0, 1, 1)),
+    ((30, 0.0, 0, 0, 1, 1), (8, 0.0, 0, 0, 1, 1), (3, 0.0, 0, 0, 1, 1)),
+    # short last paragraphs without a footer, footers that are next to nothing of the page, side stories last
+    ((1, 1.0, 0, 1, 0, 0), (8, 0.0, 0, 1, 0, 0), (6, 0.0, 1, 0, 1, 1), (40, 0.0, 0, 0, 1, 1), (5, 0.0, 0, 0, 1, 1)),
+    ((4, 0.0, 0, 1, 0, 0), (9000, 0.0, 0, 0, 1, 1), (2, 0.0, 0, 0, 1, 1)),
+    ((1, 1.0, 0, 1, 0, 0), (7, 0.0, 1, 0, 1, 1), (90000, 0.0, 0, 0, 1, 1), (12, 0.0, 0, 0, 1, 1), (2, 0.0, 0, 1, 0, 0)),
+    ((5, 0.0, 1, 0, 1, 1), (50, 0.0, 0, 0, 1, 1), (30, 0.0, 0, 1, 0, 0), (45, 0.0, 0, 1, 0, 0)),
+    ((5, 0.0, 1, 0, 1, 1), (50, 0.0, 0, 0, 1, 1), (60, 0.0, 0, 1, 1, 0), (70, 0.0, 0, 1, 1, 0)),
+    # text that names place outside the article, and what is left of a page without any
+    ((12, 0.0, 0, 1, 0, 0), (8, 0.0, 1, 0, 1, 1), (20, 0.0, 0, 0, 1, 1), (4, 0.0, 0, 0, 0, 0), (6, 1.0, 0, 0, 0, 0)),
+    ((4, 0.0, 0, 0, 0, 0), (5, 0.0, 0, 0, 0, 0)),
+)
+
+
+def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 16) -> tuple | float:
     """A tree of (feature, threshold, at most, above), split where impurity falls most; leaves are shares."""
     share = float(labels.mean())
     if depth == 0 or share in (0.0, 1.0):
@@ -303,16 +302,52 @@ def decide(tree: tuple | float, row: tuple) -> bool:
     return tree >= 0.5
 
 
+def features(found: list[tuple[int, float, bool, bool, bool]]) -> list[tuple]:
+    """Of each block of a page: words, linked share, heading, beside and article, with those of its neighbours.
+
+    Beside them stands how far names can be trusted: the shares of the page's unlinked words that are not
+    beside an article and that are in one, up to ``ENOUGH``. A missing neighbour has neither words nor links.
+    """
+    plain = [words * (1 - links) for words, links, *_ in found]
+    total = sum(plain) or 1.0
+    outside = min(ENOUGH, sum(p for p, b in zip(plain, found, strict=True) if not b[3]) / total)
+    inside = min(ENOUGH, sum(p for p, b in zip(plain, found, strict=True) if b[4] and not b[3]) / total)
+    around = [(0, 0.0), *(b[:2] for b in found), (0, 0.0)]
+    titled, out = False, []
+    for k, (words, links, heading, beside, article) in enumerate(found):
+        titled = titled or bool(heading)
+        out.append((beside, article, heading, words, links, *around[k], *around[k + 2], titled, outside, inside))
+    return out
+
+
+def learned(labelled: tuple = LABELLED, named: tuple = NAMED) -> tuple | float:
+    """The tree. All pages are learned as named, with blocks of one and of four times the words, whole and cut
+    after each block once there is main text. Those of ``labelled`` are also learned without names, and inside
+    wrappers whose names mislead: a side container around all of it, an article around it and its menus."""
+    rows, labels = [], []
+
+    def add(page: list[tuple] | tuple, form: tuple | None = None, size: int = 1) -> None:
+        rows.extend(features([(b[0] * size, b[1], b[2], *(form or b[3:5])) for b in page]))
+        labels.extend(b[5] for b in page)
+
+    for page in labelled + named:
+        for size in (1, 4):
+            add(page, size=size)
+            for end in range(1, len(page)):
+                if any(b[5] for b in page[:end]):
+                    add(page[:end], size=size)
+    for page in labelled:
+        for form in ((0, 0), (1, 0), (1, 1)):
+            add(page, form)
+        # What an article named so holds is main text, but for lists of links.
+        add([b for b in page if b[5] or b[1] > 0.5], (0, 1))
+    return grow(np.array(rows, float), np.array(labels, float))
+
+
 def main_text(page: str, tree: tuple | float) -> str:
     found = blocks(page)
-    share = [b.linked / b.words for b in found]
-    kept = []
-    for k, b in enumerate(found):
-        before = (found[k - 1].words, share[k - 1]) if k else (0, 0.0)
-        after = (found[k + 1].words, share[k + 1]) if k + 1 < len(found) else (0, 0.0)
-        if decide(tree, (b.beside, b.article, b.heading, b.words, share[k], *before, *after)):
-            kept.append(b.text)
-    return "\n".join(kept)
+    rows = features([(b.words, b.linked / b.words, b.heading, b.beside, b.article) for b in found])
+    return "\n".join(b.text for b, row in zip(found, rows, strict=True) if decide(tree, row))
 
 
 def _extract(tree: tuple | float):
@@ -326,15 +361,17 @@ def _extract(tree: tuple | float):
     return run
 
 
-def extract(pages: DataFrame, html_col: str = "html", labelled: tuple = LABELLED) -> DataFrame:
+def extract(pages: DataFrame, html_col: str = "html", labelled: tuple = LABELLED, named: tuple = NAMED) -> DataFrame:
     """The rows without the html and with ``text`` (replacing a column of that name).
 
     A page becomes flat blocks of text between block elements; a decision tree keeps those of the
-    article by their words and links, those of the blocks before and after, and what they stand in. The
-    tree is grown from ``labelled``, a small table of blocks. Kept blocks are joined by line feeds.
+    article by their words and links, those of the blocks before and after, and the names of what they
+    stand in, as far as the page's words bear these out. The tree is grown from ``labelled`` and ``named``,
+    small tables of pages. Kept blocks are joined by line feeds. Time grows with a page's length alone,
+    however deep its elements are nested.
     Null, empty and broken pages give what text they have, an empty one if none. Nothing is shuffled.
     """
-    tree = grow(np.array([f for f, _ in labelled], float), np.array([y for _, y in labelled], float))
+    tree = learned(labelled, named)
     kept = [c for c in pages.columns if c not in (html_col, "text")]
     base = pages.select(*kept, F.col(html_col).cast("string").alias("__html"))
     return base.mapInArrow(_extract(tree), base.drop("__html").schema.add("text", "string"))
