@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import os
 import random
+import time
 from collections import Counter
 
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from test_queries import encoder
@@ -171,6 +173,22 @@ def test_graph_recall():
     assert hit / 600 >= 0.9
 
 
+@pytest.mark.parametrize("size", [1.0, 1e25, 1e-30])
+def test_recall_over_several_shards_and_sizes_of_components(spark, size):
+    rng = np.random.default_rng(1)
+    centres = rng.normal(0, 1, (10, 16))
+    vectors = (centres[rng.integers(0, 10, 900)] + rng.normal(0, 0.3, (900, 16))) * size
+    rows = [(k, v.tolist()) for k, v in enumerate(vectors)]
+    given = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    out = neighbours.nearest(given, F.col("vec_id") % 30 == 0, shard_rows=250).collect()
+    hit = 0
+    for q in range(0, 900, 30):
+        apart = np.sqrt(((vectors - vectors[q]) ** 2).sum(axis=1))
+        apart[q] = np.inf
+        hit += len({r.vec_id for r in out if r.query_id == q} & set(np.argsort(apart, kind="stable")[:10].tolist()))
+    assert hit / 300 >= 0.9
+
+
 def test_furniture_of_pages_is_left_out():
     page = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="main">
     <header><h1>Site</h1><a href=/>Home</a></header><div id="cookie-notice">We use <b>cookies</b>.</div><nav>menu</nav>
@@ -180,12 +198,58 @@ def test_furniture_of_pages_is_left_out():
     <div class="ad">Buy this</div><table><tr><td>c1</td><td>c2</td></tr></table><!-- note --></main>
     <section class="comments"><article><p>A long comment about the article, with many words in it, by a reader.</p></article></section>
     <footer>&copy; foot</footer><script>if(a<b){"</p>"}</script>"""
-    tree = html_extract.grow(
-        np.array([f for f, _ in html_extract.LABELLED], float), np.array([y for _, y in html_extract.LABELLED], float)
-    )
+    tree = html_extract.learned()
     assert html_extract.main_text(page, tree).split("\n") == ["Title <x>", "Para one with link & text here.", "Short.", "item one", "item two", "c1 c2"]
     assert html_extract.main_text("<article><p>1 < 2</article>", tree) == "1 < 2"
-    assert all(html_extract.decide(tree, f) == bool(y) for f, y in html_extract.LABELLED)
+    for labelled in html_extract.LABELLED + html_extract.NAMED:
+        rows = html_extract.features([b[:5] for b in labelled])
+        assert [html_extract.decide(tree, row) for row in rows] == [bool(b[5]) for b in labelled]
+
+
+@pytest.mark.parametrize("wrapper", ["", '<div class="sidebar">', '<div class="banner"><article>', "<aside>"])
+@pytest.mark.parametrize("name", ["", ' class="x7"', ' id="q-1 z"'])
+def test_words_and_links_tell_the_main_text_where_names_do_not(name, wrapper):
+    tree = html_extract.learned()
+    menu = "".join(f"<li><a href=/{w}>{w} page</a></li>" for w in ("home", "news", "about", "shop", "help"))
+    body = [("The title of it", "h2"), (TEXT, "p"), ("Short.", "p"), (TEXT + " " + TEXT, "p"), ("A last sentence of six words.", "p")]
+    held = "".join(f"<{tag}>{text}</{tag}>" for text, tag in body)
+    page = (
+        f"<body>{wrapper}<div{name}><ul>{menu}</ul></div><div{name}>Buy all of this for less today.</div>"
+        f"<div{name}>{held}</div><div{name}>2024 The publisher of this page.</div>"
+    )
+    assert html_extract.main_text(page, tree).split("\n") == [text for text, _ in body]
+
+
+def test_names_tell_where_words_do_not():
+    tree = html_extract.learned()
+    comments = "".join(f"<article><p>{TEXT} {k}</p></article>" for k in range(9))
+    page = f'<main><h1>Title</h1><p>{TEXT}</p><p>Short.</p></main><div class="comments">{comments}</div><footer>The end of it.</footer>'
+    assert html_extract.main_text(page, tree) == f"Title\n{TEXT}\nShort."
+    # Footers under texts of any length.
+    for n in (1, 10, 100, 1000):
+        ended = f"<nav><a href=/>Home</a></nav><div class=ad>Buy this.</div><article><p>{' '.join([TEXT] * n)}</p><p>End.</p></article>"
+        assert html_extract.main_text(ended, tree).split("\n")[1:] == ["End."]
+        page = f"<article><h1>T</h1><p>{' '.join([TEXT] * n)}</p><p>End.</p></article><footer>The end of it.</footer>"
+        assert html_extract.main_text(page, tree).split("\n")[2:] == ["End."]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_pages_of_the_table_without_their_names():
+    tree = html_extract.learned()
+    pages = pq.read_table("/root/testdata/sf0.01/pages.parquet").column("html").to_pylist()
+    for page in pages:
+        found = html_extract.blocks(page or "")
+        expected = "\n".join(b.text for b in found if b.article and not b.beside)
+        assert html_extract.main_text(page or "", tree) == expected
+        blank = html_extract.features([(b.words, b.linked / b.words, b.heading, False, False) for b in found])
+        assert "\n".join(b.text for b, row in zip(found, blank, strict=True) if html_extract.decide(tree, row)) == expected
+
+
+def test_deeply_nested_pages_take_time_in_proportion():
+    page = "<button>" + "<div><svg><desc>" * 20_000 + "</button>" + "<div><b>" * 20_000 + "</i></q>" * 20_000 + "end"
+    started = time.perf_counter()
+    html_extract.blocks(page)
+    assert time.perf_counter() - started < 20
 
 
 TEXT = "A paragraph of the article that has quite a number of words in it, enough of them to be its main text for any reader."
@@ -208,9 +272,7 @@ TEXT = "A paragraph of the article that has quite a number of words in it, enoug
     ],
 )
 def test_pages_with_open_heads_and_elements_and_wrappers_named_for_what_they_hold(page):
-    tree = html_extract.grow(
-        np.array([f for f, _ in html_extract.LABELLED], float), np.array([y for _, y in html_extract.LABELLED], float)
-    )
+    tree = html_extract.learned()
     assert html_extract.main_text(page, tree) == TEXT
 
 

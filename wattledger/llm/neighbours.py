@@ -131,12 +131,17 @@ def build(vectors: np.ndarray, links: int = LINKS, width: int = BUILD_WIDTH, see
 SHARD = "shard int, size int, vectors binary, ids array<array<bigint>>, levels binary, flat binary, entry int"
 
 
+def scale(vectors: np.ndarray) -> float:
+    """The power of two at the largest component, so that squares of what is divided by it neither overflow nor vanish."""
+    return float(np.ldexp(1.0, int(np.frexp(np.abs(vectors).max())[1]) - 1))
+
+
 def _build_shard(part: pa.Table) -> pa.Table:
     part = part.combine_chunks()
     size = part.column("size")[0].as_py()
     vectors = np.array(part.column("vector").to_pylist(), np.float64).reshape(-1, size)
     order = np.lexsort(vectors.T[::-1])
-    graph = build(vectors[order].astype(np.float32))
+    graph = build(vectors[order] / scale(vectors))
     row = {
         "shard": part.column("shard")[0].as_py(),
         "size": size,
@@ -159,10 +164,11 @@ def _search_shard(k: int, width: int):
             shard = index.to_pylist()[0]
             vectors = np.frombuffer(shard["vectors"]).reshape(-1, shard["size"])
             levels, flat = np.frombuffer(shard["levels"], np.int64), np.frombuffer(shard["flat"], np.int32)
-            graph = Graph(vectors.astype(np.float32), levels, flat, LINKS, shard["entry"])
+            unit = scale(vectors)
+            graph = Graph(vectors / unit, levels, flat, LINKS, shard["entry"])
             for query in queries.to_pylist():
                 at = np.array(query["vector"], np.float64)
-                nodes = graph.nearest(at.astype(np.float32), width)
+                nodes = graph.nearest(at / unit, width)
                 scores = np.sqrt(((vectors[nodes] - at) ** 2).sum(axis=1))
                 pairs = sorted((float(s), i) for s, n in zip(scores, nodes, strict=True) for i in shard["ids"][n] if i != query["vec_id"])
                 found += [(query["vec_id"], query["row"], i, s) for s, i in pairs[:k]]
