@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from wattledger.llm._shared import stored, table
 
 SHARD_ROWS = 4000
-QUERY_ROWS = 500
+#: Components that one block of queries holds, 8 bytes each.
+QUERY_VALUES = 500_000
 LINKS = 16
 BUILD_WIDTH = 64
 SEARCH_WIDTH = 80
@@ -96,7 +97,8 @@ def spread(graph: Graph, found: list[tuple[float, int]], most: int) -> list[tupl
             closest = np.minimum(closest, apart[k])
             if len(taken) == most:
                 break
-    rest = [k for k in range(len(found)) if k not in set(taken)]
+    held = set(taken)
+    rest = [k for k in range(len(found)) if k not in held]
     return [found[k] for k in (taken + rest)[:most]]
 
 
@@ -128,7 +130,7 @@ def build(vectors: np.ndarray, links: int = LINKS, width: int = BUILD_WIDTH, see
     return graph
 
 
-SHARD = "shard int, size int, vectors binary, ids array<array<bigint>>, levels binary, flat binary, entry int"
+SHARD = "size int, shard int, vectors binary, ids array<array<bigint>>, levels binary, flat binary, entry int"
 
 
 def scale(vectors: np.ndarray) -> float:
@@ -143,8 +145,8 @@ def _build_shard(part: pa.Table) -> pa.Table:
     order = np.lexsort(vectors.T[::-1])
     graph = build(vectors[order] / scale(vectors))
     row = {
-        "shard": part.column("shard")[0].as_py(),
         "size": size,
+        "shard": part.column("shard")[0].as_py(),
         "vectors": vectors[order].tobytes(),
         "ids": part.column("ids").take(pa.array(order)).to_pylist(),
         "levels": graph.levels.tobytes(),
@@ -202,48 +204,49 @@ def nearest(
 
     Equal vectors are one node of the graph with their ``k`` + 1 smallest ids, all that any query can ask
     for, picked before they are shuffled. Nodes are dealt to shards of about ``shard_rows`` by their
-    hash, and each shard's graph is built in one task and stored as flat arrays. Queries go to all shards
-    in blocks; a block meets a shard in one task and gives back ``k`` rows for each query.
-    """
-    from functools import reduce
+    hash, and each shard's graph is built in a task of its own and stored as flat arrays. Queries go to all
+    shards of their length in blocks of ``QUERY_VALUES`` components, about the size of a shard; a block meets a
+    shard in one task and gives back ``k`` rows for each query.
 
+    What is broadcast is one row for each length of vector: m different lengths take m * (m + 1) / 2
+    components at the least, so there are fewer of them than the square root of twice the components.
+    """
     given = vectors.where(F.col(id_col).isNotNull() & usable(F.col(vector_col))).select(
         F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"), queries.alias("asked")
     )
     rank = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
     first = given.select("vec_id", "vector").distinct().withColumn("n", rank).where(F.col("n") <= k + 1)
     nodes = stored(first.groupBy("vector").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")).withColumn("size", F.size("vector")))
-    counts = {r.size: r.n for r in nodes.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}
     asked = stored(
         given.where("asked").select("vec_id", "vector").distinct().withColumn("row", F.xxhash64("vec_id", "vector")).withColumn("size", F.size("vector"))
     )
-    schema = "query_id long, rank int, vec_id long, score double"
-    if not counts:
-        return vectors.sparkSession.createDataFrame([], schema)
-    blocks = max(1, -(-asked.count() // QUERY_ROWS))
-    # Shards are numbered through all vector lengths.
-    shards, total = {}, 0
-    for size in sorted(counts):
-        shards[size] = (total, max(1, round(counts[size] / shard_rows)))
-        total += shards[size][1]
-    numbered = reduce(
-        lambda other, size: F.when(
-            F.col("size") == size, F.lit(shards[size][0]) + F.pmod(F.xxhash64("vector"), F.lit(shards[size][1]))
-        ).otherwise(other),
-        shards,
-        F.lit(None),
+    one = F.count(F.lit(1))
+    lengths = stored(
+        nodes.groupBy("size")
+        .agg(F.greatest(F.lit(1), F.round(one / shard_rows)).cast("int").alias("shards"))
+        .join(asked.groupBy("size").agg(F.ceil(one * F.col("size") / QUERY_VALUES).cast("int").alias("blocks")), "size")
+    )
+    total = lengths.agg(F.sum("shards")).first()[0] or 1
+    # The shards of a length go to neighbouring tasks, each to its own.
+    dealt = nodes.join(F.broadcast(lengths), "size").withColumn("shard", F.pmod(F.xxhash64("vector"), F.col("shards")).cast("int"))
+    task = F.pmod(F.pmod(F.xxhash64("size"), F.lit(total)) + F.col("shard"), F.lit(total)).cast("int")
+    index = stored(
+        dealt.select("size", "shard", "vector", "ids", task.alias("task"))
+        .repartitionById(total, "task")
+        .groupBy("task", "size", "shard")
+        .applyInArrow(_build_shard, SHARD)
     )
-    ranges = reduce(
-        lambda other, size: F.when(
-            F.col("size") == size, F.sequence(F.lit(shards[size][0]), F.lit(sum(shards[size]) - 1))
-        ).otherwise(other),
-        shards,
-        F.array().cast("array<int>"),
+    block = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+    met = index.join(F.broadcast(lengths), "size").select(*index.columns, block)
+    sent = asked.join(F.broadcast(lengths), "size").select(
+        "vec_id",
+        "row",
+        "vector",
+        "size",
+        F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"),
+        F.pmod(F.col("row"), F.col("blocks")).cast("int").alias("block"),
     )
-    index = stored(nodes.withColumn("shard", numbered.cast("int")).groupBy("shard").applyInArrow(_build_shard, SHARD))
-    met = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).groupBy("shard", "block")
-    sent = asked.select("vec_id", "row", "vector", F.explode(ranges).alias("shard"), F.pmod(F.col("row"), F.lit(blocks)).cast("int").alias("block"))
-    found = met.cogroup(sent.groupBy("shard", "block")).applyInArrow(
+    found = met.groupBy("size", "shard", "block").cogroup(sent.groupBy("size", "shard", "block")).applyInArrow(
         _search_shard(k, width), "query_id bigint, row bigint, vec_id bigint, score double"
     )
     order = Window.partitionBy("query_id", "row").orderBy("score", "vec_id")
