@@ -60,11 +60,12 @@ def test_hot_group_of_near_copies_in_cells(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in found} == want and 10 < len(set(want.values())) < 60
 
 
-def test_union_sketch_and_links_agree_with_sets():
+@pytest.mark.parametrize("k", [64, None])
+def test_union_sketch_and_links_agree_with_sets(k):
     r = random.Random(1)
     sets = [np.unique(np.array([r.getrandbits(64) for _ in range(150)], np.uint64)) for _ in range(3)]
     sets += [np.unique(np.concatenate([sets[0][:k], sets[1][: 150 - k]])) for k in (150, 145, 138, 75)] + [sets[0][:20]]
-    link = near_dedup.linked(sets, 64, 85)
+    link = near_dedup.linked(sets, k, 85)
     for i, a in enumerate(sets):
         for j, b in enumerate(sets):
             common, union = len(np.intersect1d(a, b)), len(np.union1d(a, b))
@@ -189,6 +190,23 @@ def test_recall_over_several_shards_and_sizes_of_components(spark, size):
     assert hit / 300 >= 0.9
 
 
+def test_lengths_blocks_and_shards_meet(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "QUERY_VALUES", 40)
+    rng = np.random.default_rng(4)
+    rows = [(k, rng.normal(0, 1, 4 if k % 3 else 9).tolist()) for k in range(300)]
+    given = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    out = neighbours.nearest(given, F.col("vec_id") % 10 == 0, shard_rows=30, width=200).collect()
+    got = {}
+    for r in sorted(out, key=lambda r: (r.query_id, r["rank"])):
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    by_id = {i: np.array(v) for i, v in rows}
+    for q in range(0, 300, 10):
+        others = [i for i in by_id if i != q and len(by_id[i]) == len(by_id[q])]
+        # The search is as wide as a shard, so every vector of the length is found.
+        assert got[q] == sorted(others, key=lambda i: np.linalg.norm(by_id[i] - by_id[q]))[:10]
+    assert len(got) == 30
+
+
 def test_furniture_of_pages_is_left_out():
     page = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="main">
     <header><h1>Site</h1><a href=/>Home</a></header><div id="cookie-notice">We use <b>cookies</b>.</div><nav>menu</nav>

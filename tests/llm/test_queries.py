@@ -11,10 +11,12 @@ import public_tokenizers
 import pytest
 import tiktoken
 from odd import documents, empty_dir, odd_dir, odd_tables  # noqa: F401 (fixtures)
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from wattledger.llm import bpe, catalog, quality, secret_scan, token_counts
+from wattledger.llm import bpe, catalog, near_dedup, quality, secret_scan, token_counts
+from wattledger.llm._shared import table
 
 QUERIES = catalog.queries()
 SF_DIR = os.environ.get("PARITY_SF_DIR", "/root/testdata/sf0.001")
@@ -46,6 +48,12 @@ def test_near_dedup(spark, odd_dir, documents):
     same(df, ["doc_id", "n_shingles", "component_id", "kept"], brute.near_dedup(documents))
 
 
+def test_near_dedup_by_full_sets(spark, odd_dir, documents):
+    found = near_dedup.near_duplicates(table(spark, odd_dir, "documents"), 3, 85, k=None)
+    df = found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    same(df, ["doc_id", "n_shingles", "component_id", "kept"], brute.near_dedup(documents))
+
+
 def test_suffix_dedup(spark, odd_dir, documents):
     df = QUERIES["op4_suffix_dedup"](spark, odd_dir)
     same(df, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"], brute.suffix_dedup(documents))

@@ -31,9 +31,11 @@ def fewest_common(k: int, percent: int) -> int:
     return k
 
 
-def least_shared(size: np.ndarray, k: int, percent: int) -> np.ndarray:
-    """Values that the sketch of a set of this size shares with that of any set linked with it."""
-    return np.minimum(-(-size * percent // 100), fewest_common(k, percent))
+def least_shared(size: np.ndarray, k: int | None, percent: int) -> np.ndarray:
+    """Values that the sketch of a set of this size shares with that of any set linked with it; without
+    ``k`` the sketch is the set."""
+    common = -(-size * percent // 100)
+    return common if k is None else np.minimum(common, fewest_common(k, percent))
 
 
 def shingle_sets(group: Group, n: int) -> Iterator[np.ndarray]:
@@ -49,8 +51,8 @@ def shingle_sets(group: Group, n: int) -> Iterator[np.ndarray]:
             yield np.zeros(0, np.uint64)
 
 
-def _sketches(words: int, k: int):
-    """Per document the size of its set, a 128-bit digest of it and its k smallest hashes."""
+def _sketches(words: int, k: int | None):
+    """Per document the size of its set, a 128-bit digest of it and its k smallest hashes, or all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -99,7 +101,20 @@ def union_sketch(sketches: np.ndarray, i: np.ndarray, j: np.ndarray, k: int) ->
     return np.minimum(rank[:, -1], k), (twice & within).sum(axis=1)
 
 
-def linked(sets: list[np.ndarray], k: int, percent: int) -> np.ndarray:
+def likely_pairs(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray, k: int, percent: int) -> np.ndarray:
+    """Which pairs have enough in common in the sketch of their union."""
+    padded = np.full((len(sets), k), 2**64 - 1, np.uint64)
+    for at, values in enumerate(sets):
+        padded[at, : min(k, len(values))] = values[:k]
+    likely = np.zeros(len(i), bool)
+    for low in range(0, len(i), 20_000):
+        part = slice(low, low + 20_000)
+        size, common = union_sketch(padded, i[part], j[part], k)
+        likely[part] = common >= least_shared(size, k, percent)
+    return likely
+
+
+def linked(sets: list[np.ndarray], k: int | None, percent: int) -> np.ndarray:
     """Which pairs of sets are linked, as a symmetric matrix."""
     n = len(sets)
     sizes = np.array([len(s) for s in sets])
@@ -108,15 +123,9 @@ def linked(sets: list[np.ndarray], k: int, percent: int) -> np.ndarray:
     i, j = np.nonzero(np.triu(shared_counts([s[:k] for s in sets]) >= np.minimum(need[:, None], need[None, :]), 1))
     fits = 100 * np.minimum(sizes[i], sizes[j]) >= percent * np.maximum(sizes[i], sizes[j])
     i, j = i[fits], j[fits]
-    padded = np.full((n, k), 2**64 - 1, np.uint64)
-    for at, values in enumerate(sets):
-        padded[at, : min(k, len(values))] = values[:k]
-    likely = np.zeros(len(i), bool)
-    for low in range(0, len(i), 20_000):
-        part = slice(low, low + 20_000)
-        size, common = union_sketch(padded, i[part], j[part], k)
-        likely[part] = common >= least_shared(size, k, percent)
-    i, j = i[likely], j[likely]
+    if k is not None:
+        likely = likely_pairs(sets, i, j, k, percent)
+        i, j = i[likely], j[likely]
     if len(i):
         used, where = np.unique(np.concatenate([i, j]), return_inverse=True)
         common = shared_counts([sets[u] for u in used])[where[: len(i)], where[len(i) :]]
@@ -125,7 +134,7 @@ def linked(sets: list[np.ndarray], k: int, percent: int) -> np.ndarray:
     return link
 
 
-def _cell_links(words: int, k: int, percent: int, id_kind: pa.DataType):
+def _cell_links(words: int, k: int | None, percent: int, id_kind: pa.DataType):
     """Links of one cell that connect what its links connect: each text with the first of those it reaches."""
     node = pa.struct([("id", id_kind), ("one", pa.int64())])
 
@@ -147,7 +156,7 @@ def _cell_links(words: int, k: int, percent: int, id_kind: pa.DataType):
 
 
 def near_duplicates(
-    docs: DataFrame, words: int, percent: int, k: int = SKETCH, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, words: int, percent: int, k: int | None = SKETCH, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per document: ``id_col``, ``fp`` (with the id it names a row), ``n_shingles`` and
     ``component_id``, the smallest id reachable over links.
@@ -167,6 +176,10 @@ def near_duplicates(
     sketch overlap, then the union's sketch, then the full sets decide. Large groups are first cut by
     length, as linked sets differ little in it, then dealt to cells of two parts each. A cell gives
     back no pairs but one link for each text that reaches another.
+
+    With ``k`` None nothing is left to chance: every hash of a set is kept, the lists hold as many of its
+    rarest as a linked set cannot all lack, and cells compare full sets at once. It stores and shuffles
+    eight bytes for each distinct shingle.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
     named = docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col)).alias("fp"), F.col(text_col).cast("string").alias("text"))
@@ -186,8 +199,9 @@ def near_duplicates(
     )
     values = classes.select("node", "n", F.explode("sketch").alias("value"))
     several = values.groupBy("value").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
-    size = F.least("n", F.lit(k))
-    shared = F.least(F.ceil(F.col("n") * percent / 100), F.lit(fewest_common(k, percent)))
+    size, shared = F.col("n"), F.ceil(F.col("n") * percent / 100)
+    if k is not None:
+        size, shared = F.least(size, F.lit(k)), F.least(shared, F.lit(fewest_common(k, percent)))
     rarest = F.array_sort(F.collect_list(F.struct("held", "value")))
     # Values no other class has are rarer than all others: they use up places without making a list.
     places = size - shared + 1 - (size - F.size("lists"))
