@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wattledger.operators import dedupe, integrity, leakage, monthly, windows
 from wattledger.plans import catalog
 from wattledger.plans.frames import Frames
-from wattledger.session import split_hot_keys
+from wattledger.session import TASK_BYTES, bound_tasks, split_hot_keys
 from wattledger.sources import driver_tables
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -183,3 +183,13 @@ def test_hot_order_is_split_though_the_check_groups_by_it(spark, settings, tmp_p
     found = integrity.key_violations(lines, "fact_invoice_line", ("invoice_id", "invoice_line_id"))
     assert "skew=true" in executed(found)
     assert found.agg(F.sum("row_count")).collect()[0][0] == 60_000
+
+
+def test_registered_queries_bound_what_a_task_reads(spark, settings):
+    advisory, split = TASK_BYTES
+    settings(spark__sql__adaptive__advisoryPartitionSizeInBytes="64MB", spark__sql__files__maxPartitionBytes="128MB")
+    catalog.queries()["pk_violations"](spark, SF_DIR)
+    assert {k: int(spark.conf.get(k).rstrip("b")) for k in (advisory, split)} == TASK_BYTES
+    settings(spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB", spark__sql__files__maxPartitionBytes="3m")
+    bound_tasks(spark)
+    assert (spark.conf.get(advisory), spark.conf.get(split)) == ("20KB", "3m")

@@ -35,7 +35,7 @@ from wattledger.schemas import (
     USAGE_MONTHLY,
     Table,
 )
-from wattledger.session import split_hot_keys
+from wattledger.session import bound_tasks, split_hot_keys
 from wattledger.sources import admission, arrivals, driver_tables
 from wattledger.sources.files import own_dir, read_csv, write_csv
 from wattledger.sources.layers import LayerStore, touched_months
@@ -496,6 +496,7 @@ def _over_frames(plan: Callable[[Frames], DataFrame]) -> Query:
 def _prepared(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         split_hot_keys(spark)
+        bound_tasks(spark)
         return query(spark, sf_dir)
 
     return run
