@@ -193,3 +193,17 @@ def test_registered_queries_bound_what_a_task_reads(spark, settings):
     settings(spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB", spark__sql__files__maxPartitionBytes="3m")
     bound_tasks(spark)
     assert (spark.conf.get(advisory), spark.conf.get(split)) == ("20KB", "3m")
+
+
+def test_contract_months_are_not_broadcast(spark, make):
+    """A few contracts make many contract-months, which no task holds whole."""
+    contracts = make("dim_contract", {}, {"contract_id": 102, "effective_start": "2023-03-01"})
+    lines = make(
+        "fact_invoice_line",
+        {}, {"invoice_id": 2, "contract_id": 102}, {"invoice_id": 3, "contract_version": 2},
+    )
+    stale = leakage.stale_version_billing(lines, contracts)
+    assert "Broadcast" not in executed(stale)
+    assert rows(stale, "invoice_id", "in_force_version", "stale_reason") == [
+        (2, None, leakage.NO_VERSION), (3, 1, leakage.OTHER_VERSION),
+    ]

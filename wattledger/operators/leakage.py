@@ -39,7 +39,8 @@ def stale_version_billing(invoices: DataFrame, contracts: DataFrame) -> DataFram
 
     With an amendment inside a month both versions may be billed for it. ``in_force_version`` is the last
     of the month's versions, NULL in a month without one. Works on single lines: a contract with a third
-    of them is split by adaptive execution's skew join when contracts are too many to broadcast.
+    of them is split by adaptive execution's skew join. The contract-months are never broadcast: Spark takes
+    them for as many as the contracts they are made from, and a task would hold all of them.
     """
     billed = F.col("contract_version")
     in_month = (
@@ -49,7 +50,7 @@ def stale_version_billing(invoices: DataFrame, contracts: DataFrame) -> DataFram
     )
     none = F.col("versions").isNull()
     return (
-        invoices.join(in_month, ["contract_id", "invoice_month"], "left")
+        invoices.join(in_month.hint("merge"), ["contract_id", "invoice_month"], "left")
         .where(none | billed.isNull() | ~F.array_contains("versions", billed))
         .select(
             "invoice_id",
