@@ -185,10 +185,11 @@ def test_hot_order_is_split_though_the_check_groups_by_it(spark, settings, tmp_p
     assert found.agg(F.sum("row_count")).collect()[0][0] == 60_000
 
 
-def test_registered_queries_bound_what_a_task_reads(spark, settings):
+@pytest.mark.parametrize("name", ["pk_violations", "load_audit"])
+def test_registered_queries_bound_what_a_task_reads(spark, settings, name):
     advisory, split = TASK_BYTES
     settings(spark__sql__adaptive__advisoryPartitionSizeInBytes="64MB", spark__sql__files__maxPartitionBytes="128MB")
-    catalog.queries()["pk_violations"](spark, SF_DIR)
+    catalog.queries()[name](spark, SF_DIR)
     assert {k: int(spark.conf.get(k).rstrip("b")) for k in (advisory, split)} == TASK_BYTES
     settings(spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB", spark__sql__files__maxPartitionBytes="3m")
     bound_tasks(spark)
