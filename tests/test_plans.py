@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wattledger.operators import dedupe, integrity, leakage, monthly, windows
 from wattledger.plans import catalog
 from wattledger.plans.frames import Frames
-from wattledger.session import TASK_BYTES, bound_tasks, split_hot_keys
+from wattledger.session import INITIAL_PARTITIONS, SHUFFLE_BYTES, TASK_BYTES, bound_tasks, split_hot_keys
 from wattledger.sources import driver_tables
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -196,6 +196,32 @@ def test_registered_queries_bound_what_a_task_reads(spark, settings, name):
     assert (spark.conf.get(advisory), spark.conf.get(split)) == ("20KB", "3m")
 
 
+def test_partitions_of_a_load_follow_its_input(spark, settings, monkeypatch, tmp_path):
+    """With few partitions set, twice the lines are dealt to twice as many, and all of them come out."""
+    monkeypatch.setattr("wattledger.session.SHUFFLE_BYTES", 20_000)
+    settings(spark__sql__shuffle__partitions="2", spark__sql__adaptive__advisoryPartitionSizeInBytes="1KB")
+    settings(**{INITIAL_PARTITIONS.replace(".", "__"): "2"})
+    initial = []
+    for n in (6_000, 12_000):
+        folder, number = tmp_path / str(n), F.col("id")
+        spark.range(0, n, 1, 1).select(
+            number.alias("l_orderkey"), F.xxhash64(number).alias("l_partkey"), (number % 50).alias("l_suppkey"),
+            F.lit(1).alias("l_linenumber"), F.lit(2.0).alias("l_quantity"), (F.xxhash64(number) % 90_000 / 100).alias("l_extendedprice"),
+            F.lit("N").alias("l_returnflag"), F.lit("1996-01-05").cast("timestamp_ntz").alias("l_shipdate"),
+        ).write.parquet(str(folder / "lineitem.parquet"))
+        spark.range(0, n, 1, 1).select(
+            number.alias("o_orderkey"), F.lit(5.0).alias("o_totalprice"), F.lit("1996-01-01").cast("timestamp_ntz").alias("o_orderdate"),
+        ).write.parquet(str(folder / "orders.parquet"))
+        spark.range(0, 50, 1, 1).select(number.alias("s_suppkey"), F.lit("s").alias("s_name"), F.lit(1).alias("s_nationkey")).write.parquet(str(folder / "supplier.parquet"))
+        audited = catalog.queries()["load_audit"](spark, str(folder))
+        assert audited.agg(F.sum("copies")).collect()[0][0] == n
+        initial.append(int(spark.conf.get(INITIAL_PARTITIONS)))
+    assert 2 < initial[0] and 1.6 <= initial[1] / initial[0] <= 2.4
+    monkeypatch.undo()
+    bound_tasks(spark, 3 * SHUFFLE_BYTES)
+    assert int(spark.conf.get(INITIAL_PARTITIONS)) == initial[1]
+
+
 def test_contract_months_are_not_broadcast(spark, make):
     """A few contracts make many contract-months, which no task holds whole."""
     contracts = make("dim_contract", {}, {"contract_id": 102, "effective_start": "2023-03-01"})

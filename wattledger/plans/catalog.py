@@ -37,7 +37,7 @@ from wattledger.schemas import (
 )
 from wattledger.session import bound_tasks, split_hot_keys
 from wattledger.sources import admission, arrivals, driver_tables
-from wattledger.sources.files import own_dir, read_csv, write_csv
+from wattledger.sources.files import own_dir, read_csv, size_of, write_csv
 from wattledger.sources.layers import LayerStore, touched_months
 from wattledger.sources.ledger import LedgerStore
 from wattledger.sources.registry import KeyRegistry
@@ -496,7 +496,7 @@ def _over_frames(plan: Callable[[Frames], DataFrame]) -> Query:
 def _prepared(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         split_hot_keys(spark)
-        bound_tasks(spark)
+        bound_tasks(spark, size_of(spark, sf_dir))
         return query(spark, sf_dir)
 
     return run
