@@ -18,14 +18,16 @@ from wattledger.schemas import (
     FACT_COST,
     FACT_INVOICE,
     FACT_METER,
+    FACT_RACK,
     LAYERS,
     MART,
     RACK_MONTHLY,
     RECON,
     USAGE_MONTHLY,
 )
+from wattledger.sources.driver_tables import SourceTables
 from wattledger.sources.files import new_folder, own_dir, read_csv, scratch_dir, write_csv
-from wattledger.sources.layers import LayerStore
+from wattledger.sources.layers import LOAD_SIZES, LayerStore
 from wattledger.sources.ledger import LedgerStore, WriteMismatch
 
 JAN, FEB = date(2023, 1, 1), date(2023, 2, 1)
@@ -258,6 +260,42 @@ def test_full_rebuild_leaves_nothing_of_removed_months(make, store):
     assert store.read(USAGE_MONTHLY).isEmpty() and store.read(MART).isEmpty()
 
 
+def test_a_load_deals_no_rows_and_a_build_deals_readings_once(spark, make, store, monkeypatch):
+    """Readings and lines are written as they come, latest readings and their monthly sums share one shuffle."""
+    plans = {}
+
+    def replace(rows, table, settings):
+        plans[table.name] = rows._jdf.queryExecution().executedPlan().toString()
+        LayerStore._replace(store, rows, table, settings)
+
+    monkeypatch.setattr(store, "_replace", replace)
+    before = {key: spark.conf.get(key) for key in (*LOAD_SIZES, "spark.sql.files.openCostInBytes")}
+    warehouse.load_sources(store, two_months(make))
+    warehouse.build(store, stamp())
+    assert not any("Exchange" in plans[t.name] for t in (FACT_METER, FACT_RACK, FACT_INVOICE))
+    for table in (USAGE_MONTHLY, RACK_MONTHLY):
+        dealt = [line for line in plans[table.name].split("\n") if "Exchange hashpartitioning" in line]
+        # One by contract and month, one that deals the result by month.
+        assert len(dealt) == 2 and "REBALANCE" in dealt[0] and "hashpartitioning(contract_id" in dealt[1] and "trunc(" in dealt[1]
+    assert {key: spark.conf.get(key) for key in before} == before
+
+
+def test_build_takes_the_latest_of_many_copies(make, store):
+    """Later arrival first, then the largest values; readings without a day or an arrival lose or count nowhere."""
+    copies = [{"used_kw": f"{n}.00", "ingested_at": f"2023-01-1{n % 3} 06:00:00"} for n in range(9)]
+    copies += [{"used_kw": "99.00"}, {"used_kw": "77.00", "ingested_at": "2023-01-20 06:00:00"}]
+    # The later of the eleventh, by its values, names a version that the contract does not have.
+    copies += [{"reading_date": "2023-01-11", "used_kw": "6.00"}, {"reading_date": "2023-01-11", "used_kw": "5.00", "contract_version": 2}]
+    meter = make("fact_meter_power_daily", *copies).withColumns({
+        "ingested_at": F.when(F.col("used_kw") != 99, F.col("ingested_at")),
+        "reading_date": F.when(F.col("used_kw") != 77, F.col("reading_date")),
+    })
+    given = two_months(make)
+    warehouse.load_sources(store, SourceTables(given.customers, given.contracts, meter.repartition(5), given.racks, given.invoices, given.power_cost))
+    warehouse.build(store, stamp())
+    assert rows(store.read(USAGE_MONTHLY), "usage_month", "total_kw") == [("2023-01-01", 8.0)]
+
+
 def test_backfill_stamps_readings_and_counts(make, store):
     warehouse.load_sources(store, two_months(make))
     warehouse.build(store, stamp())

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattledger.functions.expressions import surrogate_key
+from wattledger.functions.expressions import month_floor, surrogate_key
 
 READING_KEY = ("contract_id", "reading_date")
 RACK_KEY = ("contract_id", "usage_date")
@@ -47,6 +47,27 @@ def latest_rack_counts(racks: DataFrame) -> DataFrame:
     return latest_record(racks, RACK_KEY, arrival_order(racks)).drop("source_order")
 
 
+def latest_in_months(daily: DataFrame, day: str) -> DataFrame:
+    """The latest record of each contract and day with its ``usage_month``, dealt by contract and month: sums of
+    contract-months need no second shuffle, and a contract with a third of all rows is spread over its months.
+
+    Copies are not combined before the shuffle, so those of one contract-month meet in one task. How long after its day a
+    record came in stands for ``ingested_at``: the order is the same, and a few values repeat where times do not, which
+    shortens the shuffle. Records without a day have no such lag; no month counts them.
+    """
+    month = month_floor(F.col(day))
+    lag = F.col("ingested_at") - F.col(day).cast("timestamp_ntz")
+    dealt = daily.withColumn("arrival_lag", lag).drop("ingested_at").repartition("contract_id", month)
+    keys = ("contract_id", day, "usage_month")
+    payload = [c for c in daily.columns if c not in (*keys, "ingested_at")]
+    return (
+        dealt.withColumn("usage_month", month)
+        .groupBy(*keys)
+        .agg(F.max(F.struct("arrival_lag", *payload)).alias("latest"))
+        .select(*keys, *[F.col("latest").getField(c).alias(c) for c in payload])
+    )
+
+
 def backfill_merge(existing: DataFrame, late: DataFrame, reprocessed_at: Column) -> DataFrame:
     """Existing and late readings merged: the latest arrival wins, late winners carry the rerun's time."""
     marked = existing.withColumn("reprocessed_at", F.lit(None).cast("timestamp_ntz")).unionByName(

@@ -26,12 +26,15 @@ from wattledger.functions.expressions import (
 CONTRACT_MONTH = ("contract_id", "contract_version", "usage_month")
 
 
+def _month_of(daily: DataFrame, day: str) -> Column:
+    """The month the rows were dealt by, so that their sums need no shuffle; else that of the day."""
+    return F.col("usage_month") if "usage_month" in daily.columns else month_floor(F.col(day)).alias("usage_month")
+
+
 def usage_monthly(effective_meter: DataFrame) -> DataFrame:
     """Monthly usage. A NULL reading counts towards late or estimated days but not towards kW."""
     status, kw = F.col("reading_status"), F.col("used_kw")
-    return effective_meter.groupBy(
-        "contract_id", "contract_version", month_floor(F.col("reading_date")).alias("usage_month")
-    ).agg(
+    return effective_meter.groupBy("contract_id", "contract_version", _month_of(effective_meter, "reading_date")).agg(
         sum_cents(cents(kw), "decimal(12,2)").alias("total_kw"),
         F.avg(kw).cast("decimal(12,2)").alias("avg_daily_kw"),
         F.max(kw).cast("decimal(12,2)").alias("peak_kw"),
@@ -58,9 +61,7 @@ def usage_quality_monthly(effective_meter: DataFrame) -> DataFrame:
 
 
 def rack_monthly(effective_racks: DataFrame) -> DataFrame:
-    return effective_racks.groupBy(
-        "contract_id", "contract_version", month_floor(F.col("usage_date")).alias("usage_month")
-    ).agg(
+    return effective_racks.groupBy("contract_id", "contract_version", _month_of(effective_racks, "usage_date")).agg(
         F.avg("racks_used").cast("decimal(10,2)").alias("avg_racks_used"),
         F.max("racks_used").alias("max_racks_used"),
     )

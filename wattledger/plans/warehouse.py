@@ -46,19 +46,19 @@ def load_sources(store: LayerStore, tables: SourceTables | DerivedTables) -> Non
     store.overwrite(tables.customers, DIM_CUSTOMER)
     store.overwrite(tables.contracts, DIM_CONTRACT)
     store.overwrite(tables.power_cost, FACT_COST)
-    store.overwrite(tables.meter, FACT_METER)
-    store.overwrite(tables.racks, FACT_RACK)
-    store.overwrite(tables.invoices, FACT_INVOICE)
+    store.overwrite(tables.meter, FACT_METER, dealt=False)
+    store.overwrite(tables.racks, FACT_RACK, dealt=False)
+    store.overwrite(tables.invoices, FACT_INVOICE, dealt=False)
 
 
 def build_usage(store: LayerStore, months: Sequence[date] | None = None) -> None:
-    meter = dedupe.latest_readings(store.read(FACT_METER, months))
+    meter = dedupe.latest_in_months(store.read(FACT_METER, months), "reading_date")
     effective = windows.effective_meter(meter, store.read(DIM_CONTRACT))
     store.overwrite(monthly.usage_monthly(effective), USAGE_MONTHLY, months)
 
 
 def build_rack_usage(store: LayerStore, months: Sequence[date] | None = None) -> None:
-    racks = dedupe.latest_rack_counts(store.read(FACT_RACK, months))
+    racks = dedupe.latest_in_months(store.read(FACT_RACK, months), "usage_date")
     effective = windows.effective_racks(racks, store.read(DIM_CONTRACT))
     store.overwrite(monthly.rack_monthly(effective), RACK_MONTHLY, months)
 
