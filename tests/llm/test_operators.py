@@ -5,11 +5,13 @@ from __future__ import annotations
 import os
 import random
 import time
+import tracemalloc
 from collections import Counter
 
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -75,6 +77,40 @@ def test_union_sketch_and_links_agree_with_sets(k):
     assert size.tolist() == [64, 64] and common.tolist() == [0, len(np.intersect1d(np.intersect1d(smallest, sets[0]), sets[4]))]
 
 
+def test_a_full_cell_of_near_copies_is_held_in_parts():
+    """Two parts of a large group, all linked with each other: neither all values nor all pairs are held at once."""
+    r = np.random.default_rng(1)
+    base, n = np.unique(r.integers(0, 2**63, 1000, np.uint64)), 2 * near_dedup.CELL_DOCS
+    sets = [np.unique(np.concatenate([base[r.random(len(base)) > 0.04], r.integers(0, 2**63, 20, np.uint64)])) for _ in range(n)]
+    tracemalloc.start()
+    try:
+        link = near_dedup.linked(sets, near_dedup.SKETCH, 85)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 90e6
+    assert (link == link.T).all() and not link.diagonal().any()
+    for i, j in r.integers(0, n, (300, 2)):
+        common = len(np.intersect1d(sets[i], sets[j]))
+        assert link[i, j] == (i != j and 100 * common >= 85 * (len(sets[i]) + len(sets[j]) - common))
+
+
+def test_sketches_leave_in_small_batches_without_their_sets():
+    texts = pa.array([" ".join(f"w{k}x{j}" for j in range(400)) for k in range(2000)])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2000)), texts], names=["id", "text"])
+    sizes, ids = [], []
+    tracemalloc.start()
+    try:
+        for out in near_dedup._sketches(3, 64)(iter([batch])):
+            sizes.append(out.num_rows)
+            ids += out.column("id").to_pylist()
+            assert set(out.column("n").to_pylist()) == {398}
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert ids == list(range(2000)) and max(sizes) < 1000 and peak < 40e6
+
+
 def test_word_hashes_do_not_depend_on_the_group():
     import pyarrow as pa
 

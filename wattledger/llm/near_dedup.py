@@ -12,13 +12,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from wattledger.llm._components import components
-from wattledger.llm._shared import fingerprint, stored, table
+from wattledger.llm._shared import bound_batches, fingerprint, release, stored, table
 from wattledger.llm._words import SPACED, Group, groups, mix
 
 SKETCH = 64
 MISSED = 1e-8
 CELL_DOCS = 800
 CELL_BYTES = 6_000_000
+PART_VALUES = 2**18
+BLOCK_ROWS = 256
 
 
 def fewest_common(k: int, percent: int) -> int:
@@ -56,37 +58,50 @@ def _sketches(words: int, k: int | None):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[tuple[int, int, int]] = []
-            sketches: list[np.ndarray] = []
             for group in groups(batch.column(batch.num_columns - 1), SPACED):
+                rows: list[tuple[int, int, int]] = []
+                sketches: list[np.ndarray] = []
                 for hashes in shingle_sets(group, words):
                     one, two = (int(np.sum(mix(hashes + np.uint64(s)), dtype=np.uint64).view(np.int64)) for s in (1, 2))
                     rows.append((len(hashes), one, two))
-                    sketches.append(hashes[:k].view(np.int64))
-            columns = [pa.array([r[j] for r in rows], pa.int64()) for j in range(3)]
-            lists = pa.array(sketches, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], *columns, lists], names=[*batch.schema.names[:-1], "n", "one", "two", "sketch"]
-            )
+                    # Copied: a view would keep the whole set.
+                    sketches.append(hashes[:k].view(np.int64).copy())
+                columns = [pa.array([r[j] for r in rows], pa.int64()) for j in range(3)]
+                lists = pa.array(sketches, pa.list_(pa.int64()))
+                given = batch.slice(group.first, len(rows)).columns[:-1]
+                yield pa.RecordBatch.from_arrays([*given, *columns, lists], names=[*batch.schema.names[:-1], "n", "one", "two", "sketch"])
+        release()
 
     return run
 
 
-def shared_counts(sets: list[np.ndarray], width: int = 2048) -> np.ndarray:
-    """How many values each pair of sets has in common, by products of 0/1 matrices over a few values at a time."""
-    values, column, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    several = counts[column] > 1
-    row, column = row[several], np.cumsum(counts > 1)[column[several]] - 1
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
+def _parts(sets: list[np.ndarray], size: int) -> Iterator[list[np.ndarray]]:
+    """Sorted sets of hashes cut at the same hashes, to about ``size`` values of all of them together."""
+    n = max(1, -(-sum(map(len, sets)) // size))
+    edges = np.array([2**64 * p // n for p in range(1, n)], np.uint64)
+    cuts = [[0, *np.searchsorted(s, edges).tolist(), len(s)] for s in sets]
+    for p in range(n):
+        yield [s[c[p] : c[p + 1]] for s, c in zip(sets, cuts, strict=True)]
+
+
+def shared_counts(sets: list[np.ndarray], width: int = 1024) -> np.ndarray:
+    """How many values each pair of sorted sets has in common, by products of 0/1 matrices over a few values at a time."""
     total = np.zeros((len(sets), len(sets)), np.float32)
-    for low in range(0, int(column[-1]) + 1 if len(column) else 0, width):
-        a, b = np.searchsorted(column, [low, low + width])
-        present = np.zeros((len(sets), width), np.float32)
-        present[row[a:b], column[a:b] - low] = 1
-        total += present @ present.T
-    return total.astype(np.int64)
+    present = np.zeros((len(sets), width), np.float32)
+    for part in _parts(sets, PART_VALUES):
+        _, column, counts = np.unique(np.concatenate(part), return_inverse=True, return_counts=True)
+        row = np.repeat(np.arange(len(sets)), [len(s) for s in part])
+        several = counts[column] > 1
+        row, column = row[several], np.cumsum(counts > 1)[column[several]] - 1
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        for low in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+            a, b = np.searchsorted(column, [low, low + width])
+            present[:] = 0
+            present[row[a:b], column[a:b] - low] = 1
+            for at in range(0, len(sets), BLOCK_ROWS):
+                total[at : at + BLOCK_ROWS] += present[at : at + BLOCK_ROWS] @ present.T
+    return total.astype(np.int32)
 
 
 def union_sketch(sketches: np.ndarray, i: np.ndarray, j: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -107,31 +122,38 @@ def likely_pairs(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray, k: int, p
     for at, values in enumerate(sets):
         padded[at, : min(k, len(values))] = values[:k]
     likely = np.zeros(len(i), bool)
-    for low in range(0, len(i), 20_000):
-        part = slice(low, low + 20_000)
+    for low in range(0, len(i), 5_000):
+        part = slice(low, low + 5_000)
         size, common = union_sketch(padded, i[part], j[part], k)
         likely[part] = common >= least_shared(size, k, percent)
     return likely
 
 
 def linked(sets: list[np.ndarray], k: int | None, percent: int) -> np.ndarray:
-    """Which pairs of sets are linked, as a symmetric matrix."""
+    """Which pairs of sets are linked, as a symmetric matrix. Pairs are looked at in blocks of rows, so that what
+    is held of all of them at once is their counts and which are left."""
     n = len(sets)
     sizes = np.array([len(s) for s in sets])
-    link = np.zeros((n, n), bool)
     need = least_shared(sizes, k, percent)
-    i, j = np.nonzero(np.triu(shared_counts([s[:k] for s in sets]) >= np.minimum(need[:, None], need[None, :]), 1))
-    fits = 100 * np.minimum(sizes[i], sizes[j]) >= percent * np.maximum(sizes[i], sizes[j])
-    i, j = i[fits], j[fits]
-    if k is not None:
-        likely = likely_pairs(sets, i, j, k, percent)
-        i, j = i[likely], j[likely]
-    if len(i):
-        used, where = np.unique(np.concatenate([i, j]), return_inverse=True)
-        common = shared_counts([sets[u] for u in used])[where[: len(i)], where[len(i) :]]
-        sure = 100 * common >= percent * (sizes[i] + sizes[j] - common)
-        link[i[sure], j[sure]] = link[j[sure], i[sure]] = True
-    return link
+    counts = shared_counts([s[:k] for s in sets])
+    left = np.zeros((n, n), bool)
+    for low in range(0, n, BLOCK_ROWS):
+        i, j = np.nonzero(np.triu(counts[low : low + BLOCK_ROWS] >= np.minimum(need[low : low + BLOCK_ROWS, None], need), low + 1))
+        i += low
+        fits = 100 * np.minimum(sizes[i], sizes[j]) >= percent * np.maximum(sizes[i], sizes[j])
+        i, j = i[fits], j[fits]
+        if k is not None:
+            likely = likely_pairs(sets, i, j, k, percent)
+            i, j = i[likely], j[likely]
+        left[i, j] = True
+    del counts
+    used = np.flatnonzero(left.any(axis=0) | left.any(axis=1))
+    common = shared_counts([sets[u] for u in used]) if len(used) else None
+    for low in range(0, len(used), BLOCK_ROWS):
+        rows, both = used[low : low + BLOCK_ROWS], common[low : low + BLOCK_ROWS].astype(np.int64)
+        left[np.ix_(rows, used)] &= 100 * both >= percent * (sizes[rows, None] + sizes[used] - both)
+    left |= left.T
+    return left
 
 
 def _cell_links(words: int, k: int | None, percent: int, id_kind: pa.DataType):
@@ -140,15 +162,19 @@ def _cell_links(words: int, k: int | None, percent: int, id_kind: pa.DataType):
 
     def run(cell: pa.Table) -> pa.Table:
         sets = [s for group in groups(cell.column("text").combine_chunks(), SPACED) for s in shingle_sets(group, words)]
-        reach = linked(sets, k, percent) | np.eye(len(sets), dtype=bool)
+        reach = linked(sets, k, percent)
+        np.fill_diagonal(reach, True)
         first = np.arange(len(sets))
+        blocks = range(0, len(sets), BLOCK_ROWS)
         while True:
-            lower = np.where(reach, first[None, :], len(sets)).min(axis=1)
+            lower = np.concatenate([np.where(reach[b : b + BLOCK_ROWS], first[None, :], len(sets)).min(axis=1) for b in blocks])
             lower = lower[lower]
             if (lower == first).all():
                 break
             first = lower
-        at = np.flatnonzero(first != np.arange(len(sets)))
+        del sets, reach
+        release()
+        at = np.flatnonzero(first != np.arange(len(first)))
         nodes = cell.column("node").combine_chunks()
         return pa.table({"u": nodes.take(pa.array(at)).cast(node), "v": nodes.take(pa.array(first[at])).cast(node)})
 
@@ -181,6 +207,7 @@ def near_duplicates(
     rarest as a linked set cannot all lack, and cells compare full sets at once. It stores and shuffles
     eight bytes for each distinct shingle.
     """
+    bound_batches(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
     named = docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col)).alias("fp"), F.col(text_col).cast("string").alias("text"))
     sketched = stored(
