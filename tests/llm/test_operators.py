@@ -20,6 +20,7 @@ from tokenizers import Tokenizer
 
 from wattledger.llm import (
     bpe,
+    decontamination,
     html_extract,
     lexical_search,
     line_dedup,
@@ -32,6 +33,7 @@ from wattledger.llm import (
     token_counts,
     whitening,
 )
+from wattledger.llm._shared import BATCH_RECORDS, BATCH_ROWS
 from wattledger.llm._words import SPACED, groups
 
 DOCS = "doc_id long, text string"
@@ -111,6 +113,29 @@ def test_sketches_leave_in_small_batches_without_their_sets():
     assert ids == list(range(2000)) and max(sizes) < 1000 and peak < 40e6
 
 
+def test_operators_bound_the_rows_sent_to_python_at_once(spark):
+    before = spark.conf.get(BATCH_RECORDS)
+    docs = spark.createDataFrame([(1, "one text")], DOCS)
+    items = spark.createDataFrame([("a", "one text")], "item_id string, text string")
+    path = public_tokenizers.path(bpe.VOCABULARY)
+    network = quality.Network(np.zeros((quality.WIDTH, 256, quality.FILTERS), np.float32), 0, np.zeros(2 * quality.FILTERS), 0.0)
+    try:
+        for operator in (
+            lambda: near_dedup.near_duplicates(docs, 3, 85),
+            lambda: decontamination.find_items(docs, items),
+            lambda: quality.score(docs, network),
+            lambda: bpe.encode(docs, path, public_tokenizers.PATTERN),
+        ):
+            spark.conf.set(BATCH_RECORDS, 10_000)
+            operator()
+            assert int(spark.conf.get(BATCH_RECORDS)) == BATCH_ROWS
+        spark.conf.set(BATCH_RECORDS, 10)
+        quality.score(docs, network)
+        assert int(spark.conf.get(BATCH_RECORDS)) == 10
+    finally:
+        spark.conf.set(BATCH_RECORDS, before)
+
+
 def test_word_hashes_do_not_depend_on_the_group():
     import pyarrow as pa
 

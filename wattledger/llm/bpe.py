@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from wattledger.llm._shared import table
+from wattledger.llm._shared import bound_batches, release, table
 from wattledger.sources.files import scratch_dir
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -124,6 +124,8 @@ def _word_blocks(pattern: str, block_chars: int, segment_chars: int, buckets: in
                 row += 1
         if rows:
             yield flush()
+        del words, rows
+        release()
 
     return run
 
@@ -151,6 +153,8 @@ def _encode_words(path: str, pattern: str):
                     [pa.array([v], t) for v, t in zip(row, [pa.int64(), *[pa.binary()] * 3], strict=True)],
                     names=["block", "places", "counts", "ids"],
                 )
+        del known
+        release()
 
     return run
 
@@ -186,6 +190,8 @@ def _reassemble(path: str, pattern: str, id_kind: pa.DataType):
                     batches.append(flush())
                     out, size = {n: [] for n in out}, 0
         batches.append(flush())
+        del out, places, counts, flat, start_of, count_of
+        release()
         return pa.Table.from_batches(batches)
 
     return run
@@ -220,6 +226,7 @@ def encode(
     parts are joined at the end. ``segment_chars`` is what is split into words at a time.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     id_type = docs.schema[id_col].dataType
     numbers = [("row", T.LongType()), ("piece", T.IntegerType()), ("last", T.BooleanType())]

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wattledger.llm._shared import fingerprint, lower_ascii, stored, table
+from wattledger.llm._shared import bound_batches, fingerprint, lower_ascii, release, stored, table
 from wattledger.llm._words import ALNUM, groups
 
 WINDOW = 13
@@ -76,6 +76,7 @@ def _occurrences(field, lengths: list[int]):
                     found.append(hashes[inside & _passing(field.value, hashes)])
             hashes, counts = np.unique(np.concatenate(found), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts)], names=["hash", "n"])
+        release()
 
     return run
 
@@ -86,10 +87,9 @@ def _candidates(field, lengths: list[int], window: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n_words: list[int] = []
-            hits: list[list[dict]] = [[] for _ in range(batch.num_rows)]
             for group in groups(batch.column(batch.num_columns - 1), ALNUM):
-                n_words += np.diff(group.bounds).tolist()
+                n_words = np.diff(group.bounds)
+                hits: list[list[dict]] = [[] for _ in n_words]
                 for n in lengths:
                     hashes, inside = group.shingles(n)
                     for k in np.flatnonzero(inside & _passing(field.value, hashes)):
@@ -97,11 +97,12 @@ def _candidates(field, lengths: list[int], window: int):
                         low, high = max(int(group.bounds[i]), k - window + 1), min(int(group.bounds[i + 1]), k + window)
                         around = " ".join(group.word(j) for j in range(low, high))
                         at = int(k - group.bounds[i])
-                        hits[group.first + i].append({"hash": int(hashes[k].astype(np.int64)), "at": at, "before": k - low, "around": around})
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(n_words, pa.int64()), pa.array(hits, kind)],
-                names=[*batch.schema.names[:-1], "n_words", "hits"],
-            )
+                        hits[i].append({"hash": int(hashes[k].astype(np.int64)), "at": at, "before": k - low, "around": around})
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.slice(group.first, len(hits)).columns[:-1], pa.array(n_words, pa.int64()), pa.array(hits, kind)],
+                    names=[*batch.schema.names[:-1], "n_words", "hits"],
+                )
+        release()
 
     return run
 
@@ -132,6 +133,7 @@ def find_items(
     word. The joins carry nothing else and may be split at frequent shingles.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     listed = items.select(
         F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"), words(F.col(text_col)).alias("words")
     ).where(F.size("words") > 0)

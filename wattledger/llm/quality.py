@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattledger.llm._shared import stored, table
+from wattledger.llm._shared import bound_batches, release, stored, table
 
 CHUNK = 256
 STEP = 128
@@ -211,6 +211,7 @@ def _score(network: Network, score_col: str):
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(scores, pa.float64())], names=[*batch.schema.names[:-1], score_col]
             )
+        release()
 
     return run
 
@@ -221,6 +222,7 @@ def score(docs: DataFrame, network: Network, text_col: str = "text", score_col:
     Only the text is read. All of it is, in chunks of 256 bytes that overlap by half. Null and empty texts
     score as one empty chunk does. Nothing is shuffled.
     """
+    bound_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c not in (text_col, score_col)]
     base = docs.select(*kept, F.col(text_col).cast("string").alias("__text"))
     return base.mapInArrow(_score(network, score_col), base.drop("__text").schema.add(score_col, "double"))
